@@ -144,24 +144,27 @@ def hash_ctes(prefix: str, src: str, key: str, text: str, dim: int) -> str:
 )"""
 
 
-def catalogue_ctes() -> str:
+LABELLED = "doc_id IN (SELECT doc_id FROM labels)"
+
+
+def catalogue_ctes(docs: str = "documents", labelled: str = LABELLED) -> str:
     """Derived catalogue (same rule as ``lectern.sources.tables.catalogue``) + first match."""
-    return """cat AS (
+    return f"""cat AS (
   SELECT doc_id AS id, 'Doc ' || doc_id::VARCHAR AS title, source AS author, lang AS context, 0 AS entry_dup
-  FROM documents WHERE doc_id IN (SELECT doc_id FROM labels)
+  FROM {docs} WHERE {labelled}
   UNION ALL
   SELECT doc_id, 'Doc ' || doc_id::VARCHAR || ' (second entry)', source, lang, 1
-  FROM documents WHERE doc_id IN (SELECT doc_id FROM labels) AND doc_id % 7 = 0
+  FROM {docs} WHERE {labelled} AND doc_id % 7 = 0
 ),
 cat1 AS (SELECT * FROM cat QUALIFY row_number() OVER (PARTITION BY id ORDER BY entry_dup) = 1)"""
 
 
-def points_ctes(budget: int, dim: int, docs: str = "documents") -> str:
+def points_ctes(budget: int, dim: int, docs: str = "documents", labelled: str = LABELLED) -> str:
     """Corpus build: sentences -> chunks -> matched books -> ids -> stored points.
 
     Yields ``pts`` (id, book_id, chunk_no, chunk_text, title, author, context) and
     ``pvec`` (k = id, b, vf) with components rounded through FLOAT like the store."""
-    return f"""{catalogue_ctes()},
+    return f"""{catalogue_ctes(docs, labelled)},
 {sentence_cte('psents', docs, 'doc_id', 'text')},
 {chunk_ctes('pchunks', 'psents', budget)},
 nch AS (SELECT doc_id, max(chunk_no) + 1 AS n_chunks FROM pchunks GROUP BY 1),

@@ -25,7 +25,11 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     lookup is exercised.  ``entry_pos`` is the catalogue order.
     """
     docs = table(spark, sf_dir, "documents")
-    labelled = docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi")
+    return catalogue_of(docs.join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id", "left_semi"))
+
+
+def catalogue_of(labelled: DataFrame) -> DataFrame:
+    """Catalogue rows for labelled documents (doc_id, source, lang)."""
     first = labelled.select(
         F.col("doc_id").alias("id"), F.concat(F.lit("Doc "), F.col("doc_id").cast("string")).alias("title"),
         F.col("source").alias("author"), F.col("lang").alias("context"), F.lit(0).alias("entry_dup"))
