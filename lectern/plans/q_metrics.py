@@ -79,7 +79,9 @@ def bleu_sums_sql(pairs: str, group: str | None = None) -> tuple[str, str]:
     """CTEs for n = 1..4 and a SELECT body computing corpus BLEU (optionally per group)."""
     tok = S.bleu_tokens
     ctes = ",\n".join(overlap_ctes(f"b{n}", pairs, tok, n) for n in range(1, 5))
-    g = f"{group}, " if group else ""
+    name = group.split(".")[-1] if group else None
+    g = f"{group} AS {name}, " if group else ""
+    go = f"{name}, " if group else ""
     joins = " ".join(f"JOIN b{n} ON b{n}.pid = b1.pid" for n in range(2, 5))
     src = f"b1 {joins} JOIN {pairs} pp ON pp.pid = b1.pid"
     sums = ", ".join(f"sum(b{n}.ov) AS m{n}, sum(b{n}.np) AS p{n}" for n in range(1, 5))
@@ -90,7 +92,7 @@ def bleu_sums_sql(pairs: str, group: str | None = None) -> tuple[str, str]:
            f"ELSE 0.0 END)")
     ratio = "(CASE WHEN ref_len > 0 THEN pred_len / ref_len END)"
     bp = f"(CASE WHEN {ratio} > 1.0 THEN 1.0 WHEN {ratio} > 0 THEN exp(1.0 - 1.0 / {ratio}) ELSE 0.0 END)"
-    body = (f"SELECT {g}round({geo} * {bp}, 9) AS bleu, "
+    body = (f"SELECT {go}round({geo} * {bp}, 9) AS bleu, "
             + ", ".join(f"round({x}, 9) AS precision_{i + 1}" for i, x in enumerate(prec))
             + f", round({bp}, 9) AS brevity_penalty, round({ratio}, 9) AS length_ratio, "
               f"pred_len::BIGINT AS translation_length, ref_len::BIGINT AS reference_length FROM ({agg})")
@@ -187,7 +189,6 @@ mpairs AS MATERIALIZED (SELECT row_number() OVER (ORDER BY model, conv_id, turn)
     p2, _, f2 = prf_sql("o2.ov", "o2.np", "o2.nr")
     _, _, fl = rouge_l_prf("l")
     ctes, body = bleu_sums_sql("mpairs", "pp.model")
-    body = body.replace("SELECT pp.model, round(", "SELECT model, round(", 1)
     return f"""WITH RECURSIVE {mp},
 {overlap_ctes('o1', 'mpairs', ROUGE_TOK, 1)},
 {overlap_ctes('o2', 'mpairs', ROUGE_TOK, 2)},
@@ -195,7 +196,7 @@ mpairs AS MATERIALIZED (SELECT row_number() OVER (ORDER BY model, conv_id, turn)
 {ctes},
 means AS (SELECT pp.model, count(*) AS n_pairs, avg({f1}) AS rouge1, avg({f2}) AS rouge2, avg({fl}) AS rougeL
   FROM mpairs pp JOIN o1 ON o1.pid = pp.pid JOIN o2 ON o2.pid = pp.pid JOIN l ON l.pid = pp.pid GROUP BY pp.model),
-bl AS ({body.replace('pp.model AS model', 'pp.model')})
+bl AS ({body})
 SELECT m.model, m.n_pairs::BIGINT AS n_pairs, round(m.rouge1, 9) AS rouge1, round(m.rouge2, 9) AS rouge2,
   round(m.rougeL, 9) AS rougeL, bl.bleu FROM means m JOIN bl ON bl.model = m.model"""
 
