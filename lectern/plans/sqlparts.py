@@ -147,40 +147,43 @@ def hash_ctes(prefix: str, src: str, key: str, text: str, dim: int) -> str:
 LABELLED = "doc_id IN (SELECT doc_id FROM labels)"
 
 
-def catalogue_ctes(docs: str = "documents", labelled: str = LABELLED) -> str:
+def catalogue_ctes(docs: str = "documents", labelled: str = LABELLED, p: str = "") -> str:
     """Derived catalogue (same rule as ``lectern.sources.tables.catalogue``) + first match."""
-    return f"""cat AS (
+    return f"""{p}cat AS (
   SELECT doc_id AS id, 'Doc ' || doc_id::VARCHAR AS title, source AS author, lang AS context, 0 AS entry_dup
   FROM {docs} WHERE {labelled}
   UNION ALL
   SELECT doc_id, 'Doc ' || doc_id::VARCHAR || ' (second entry)', source, lang, 1
   FROM {docs} WHERE {labelled} AND doc_id % 7 = 0
 ),
-cat1 AS (SELECT * FROM cat QUALIFY row_number() OVER (PARTITION BY id ORDER BY entry_dup) = 1)"""
+{p}cat1 AS (SELECT * FROM {p}cat QUALIFY row_number() OVER (PARTITION BY id ORDER BY entry_dup) = 1)"""
 
 
-def points_ctes(budget: int, dim: int, docs: str = "documents", labelled: str = LABELLED) -> str:
+def points_ctes(budget: int, dim: int, docs: str = "documents", labelled: str = LABELLED, p: str = "",
+                sents: str | None = None) -> str:
     """Corpus build: sentences -> chunks -> matched books -> ids -> stored points.
 
-    Yields ``pts`` (id, book_id, chunk_no, chunk_text, title, author, context) and
-    ``pvec`` (k = id, b, vf) with components rounded through FLOAT like the store."""
-    return f"""{catalogue_ctes(docs, labelled)},
-{sentence_cte('psents', docs, 'doc_id', 'text')},
-{chunk_ctes('pchunks', 'psents', budget)},
-nch AS (SELECT doc_id, max(chunk_no) + 1 AS n_chunks FROM pchunks GROUP BY 1),
-books AS (
+    Yields ``{p}pts`` (id, book_id, chunk_no, chunk_text, title, author, context) and
+    ``{p}pvec`` (k = id, b, vf) with components rounded through FLOAT like the store.
+    ``sents`` reuses an existing sentence CTE instead of splitting again."""
+    sent_cte = "" if sents else sentence_cte(f"{p}psents", docs, "doc_id", "text") + ",\n"
+    sents = sents or f"{p}psents"
+    return f"""{catalogue_ctes(docs, labelled, p)},
+{sent_cte}{chunk_ctes(f'{p}pchunks', sents, budget)},
+{p}nch AS (SELECT doc_id, max(chunk_no) + 1 AS n_chunks FROM {p}pchunks GROUP BY 1),
+{p}books AS (
   SELECT n.doc_id, c.title, c.author, c.context,
          coalesce(sum(n.n_chunks) OVER (ORDER BY n.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS off
-  FROM nch n JOIN cat1 c ON c.id = n.doc_id
+  FROM {p}nch n JOIN {p}cat1 c ON c.id = n.doc_id
 ),
-allpts AS MATERIALIZED (
+{p}allpts AS MATERIALIZED (
   SELECT (b.off + k.chunk_no)::BIGINT AS id, k.doc_id AS book_id, k.chunk_no, k.chunk_text,
          b.title, b.author, b.context
-  FROM pchunks k JOIN books b ON b.doc_id = k.doc_id
+  FROM {p}pchunks k JOIN {p}books b ON b.doc_id = k.doc_id
 ),
-{hash_ctes('pvec0', 'allpts', 'id', 'chunk_text', dim)},
-pvec AS (SELECT k, b, v::FLOAT::DOUBLE AS vf FROM pvec0),
-pts AS (SELECT * FROM allpts WHERE id IN (SELECT k FROM pvec))"""
+{hash_ctes(f'{p}pvec0', f'{p}allpts', 'id', 'chunk_text', dim)},
+{p}pvec AS (SELECT k, b, v::FLOAT::DOUBLE AS vf FROM {p}pvec0),
+{p}pts AS (SELECT * FROM {p}allpts WHERE id IN (SELECT k FROM {p}pvec))"""
 
 
 def question_ctes() -> str:
@@ -191,18 +194,19 @@ def question_ctes() -> str:
 )"""
 
 
-def topk_ctes(k: int, dim: int, questions: str = "qs") -> str:
-    """Brute-force top-k of every question over every stored point -> ``hits``
-    (qid, rank, id, score, text)."""
-    return f"""{hash_ctes('qvec', questions, 'qid', 'question', dim)},
-qdot AS (SELECT q.k AS qid, p.k AS id, sum(q.v * p.vf) AS s FROM qvec q JOIN pvec p ON p.b = q.b GROUP BY 1, 2),
-qall AS (
-  SELECT q.qid, p.id, round(coalesce(d.s, 0.0), 9) AS score
-  FROM (SELECT DISTINCT k AS qid FROM qvec) q CROSS JOIN (SELECT id FROM pts) p
-  LEFT JOIN qdot d ON d.qid = q.qid AND d.id = p.id
+def topk_ctes(k: int, dim: int, questions: str = "qs", p: str = "", qvec: str | None = None) -> str:
+    """Brute-force top-k of every question over every stored point -> ``{p}hits``
+    (qid, rank, id, score, text).  ``qvec`` reuses an existing question-vector CTE."""
+    qv_cte = "" if qvec else hash_ctes(f"{p}qvec", questions, "qid", "question", dim) + ",\n"
+    qvec = qvec or f"{p}qvec"
+    return f"""{qv_cte}{p}qdot AS (SELECT q.k AS qid, pv.k AS id, sum(q.v * pv.vf) AS s FROM {qvec} q JOIN {p}pvec pv ON pv.b = q.b GROUP BY 1, 2),
+{p}qall AS (
+  SELECT q.qid, pt.id, round(coalesce(d.s, 0.0), 9) AS score
+  FROM (SELECT DISTINCT k AS qid FROM {qvec}) q CROSS JOIN (SELECT id FROM {p}pts) pt
+  LEFT JOIN {p}qdot d ON d.qid = q.qid AND d.id = pt.id
 ),
-hits AS (
-  SELECT r.qid, r.rank, r.id, r.score, coalesce(p.chunk_text, '') AS text FROM (
-    SELECT qid, id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id ASC) AS rank FROM qall
-  ) r JOIN pts p ON p.id = r.id WHERE r.rank <= {k}
+{p}hits AS (
+  SELECT r.qid, r.rank, r.id, r.score, coalesce(pt.chunk_text, '') AS text FROM (
+    SELECT qid, id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id ASC) AS rank FROM {p}qall
+  ) r JOIN {p}pts pt ON pt.id = r.id WHERE r.rank <= {k}
 )"""
