@@ -86,7 +86,8 @@ def pack_chunks(df: DataFrame, key_cols: list[str], budget: int = 512,
                     cols["n_tokens"].append(int(prefix[e] - prefix[s]))
                     cols["n_sentences"].append(e - s)
                     cols["n_chunks"].append(len(bounds))
-            yield pd.DataFrame(cols, columns=names)
+            if cols["chunk_no"]:
+                yield pd.DataFrame(cols, columns=names)
 
     return df.select(*key_cols, sents_col, lens_col).mapInPandas(fn, out_schema)
 
