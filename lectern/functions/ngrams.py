@@ -42,7 +42,9 @@ def bleu_tokens(c) -> Column:
 
 
 def ngrams(tokens, n: int) -> Column:
-    """Contiguous n-grams joined by one space (tokens hold no whitespace)."""
+    """Contiguous n-grams joined by one space (tokens hold no whitespace).
+
+    ``tokens`` should be a column reference: the array is read once per n-gram."""
     t = _col(tokens)
     if n == 1:
         return t

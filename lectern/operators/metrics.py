@@ -2,7 +2,9 @@
 
 ROUGE-N and BLEU clipped counts are native in-row expressions (sorted merge + one
 fold, ``lectern.functions.ngrams``): scoring is a narrow map over the pair table and
-the only shuffle is the final (partial + final) aggregation.  LCS has no native
+the only shuffle is the final (partial + final) aggregation.  ``score_pairs`` projects
+token and n-gram arrays as columns first: an n-gram builder must never be handed an
+un-projected tokeniser expression (it would re-tokenise once per n-gram).  LCS has no native
 linear form, so ROUGE-L / Lsum use an Arrow UDF whose DP row update is one
 ``numpy.maximum.accumulate`` per token of the shorter side.
 """
@@ -24,15 +26,6 @@ SCORE = T.StructType([T.StructField("precision", T.DoubleType()), T.StructField(
                       T.StructField("fmeasure", T.DoubleType())])
 
 
-def rouge_n(pred, ref, n: int) -> Column:
-    """A3: ROUGE-N of one pair -> struct(precision, recall, fmeasure)."""
-    gp, gr = ngrams(rouge_tokens(_col(pred)), n), ngrams(rouge_tokens(_col(ref)), n)
-    ov = multiset_overlap(gp, gr).cast("double")
-    p = ov / F.greatest(F.size(gp), F.lit(1))
-    r = ov / F.greatest(F.size(gr), F.lit(1))
-    return F.struct(p.alias("precision"), r.alias("recall"), fmeasure(p, r).alias("fmeasure"))
-
-
 # ------------------------------------------------------------------ LCS (Arrow UDF)
 
 def lcs_length(a, b) -> int:
@@ -128,11 +121,6 @@ def _rouge_lsum_udf(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["precision", "recall", "fmeasure"])
 
 
-def rouge_l(pred, ref) -> Column:
-    """A4: ROUGE-L (LCS F-measure) of one pair."""
-    return _rouge_l_udf(rouge_tokens(_col(pred)), rouge_tokens(_col(ref)))
-
-
 def _line_tokens(c) -> Column:
     lines = F.filter(F.split(_col(c), "\n"), lambda s: F.length(s) > 0)
     return F.transform(lines, lambda s: rouge_tokens(s))
@@ -145,17 +133,6 @@ def rouge_lsum(pred, ref) -> Column:
 
 # ------------------------------------------------------------------ BLEU
 
-def bleu_parts(pred, ref, max_order: int = 4) -> Column:
-    """Per pair: clipped matches and possible n-grams per order, lengths (A5 inputs)."""
-    tp, tr = bleu_tokens(_col(pred)), bleu_tokens(_col(ref))
-    fields = []
-    for n in range(1, max_order + 1):
-        fields.append(multiset_overlap(ngrams(tp, n), ngrams(tr, n)).cast("long").alias(f"m{n}"))
-        fields.append(F.greatest(F.size(tp) - n + 1, F.lit(0)).cast("long").alias(f"p{n}"))
-    fields += [F.size(tp).cast("long").alias("pred_len"), F.size(tr).cast("long").alias("ref_len")]
-    return F.struct(*fields)
-
-
 def bleu_from_sums(m: list[Column], p: list[Column], pred_len: Column, ref_len: Column) -> Column:
     """BLEU without smoothing from corpus sums -> struct(bleu, precisions, bp, ratio, lengths)."""
     prec = [F.when(pi > 0, mi.cast("double") / pi).otherwise(F.lit(0.0)) for mi, pi in zip(m, p)]
@@ -183,13 +160,6 @@ def corpus_bleu(df: DataFrame, parts_col: str = "bp", group_cols: list[str] | No
         F.col("pred_len"), F.col("ref_len")).alias("bleu"))
 
 
-def sentence_bleu(pred, ref, max_order: int = 4) -> Column:
-    """BLEU of a single pair (the answer path scores one pair at a time)."""
-    parts = bleu_parts(pred, ref, max_order)
-    return bleu_from_sums([parts[f"m{n}"] for n in range(1, max_order + 1)],
-                          [parts[f"p{n}"] for n in range(1, max_order + 1)], parts["pred_len"], parts["ref_len"])
-
-
 def score_pairs(df: DataFrame, pred_col: str = "prediction", ref_col: str = "reference",
                 metrics=("rouge1", "rouge2", "rougeL", "bleu"), max_order: int = 4) -> DataFrame:
     """Adds one struct column per metric.  Token and n-gram arrays are projected once

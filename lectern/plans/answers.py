@@ -35,16 +35,20 @@ def combine(hits: DataFrame) -> DataFrame:
         F.array_join(F.transform(ordered, lambda x: x["text"]), PASSAGE_SEPARATOR).alias("context"))
 
 
-def extractive_summary(question, context, n: int = SUMMARY_SENTENCES):
+def with_extractive_summary(df: DataFrame, question: str, context: str, out: str = "summary",
+                            n: int = SUMMARY_SENTENCES) -> DataFrame:
     """Built-in generator -- the n context sentences sharing most distinct question
-    terms (ties: earlier first), output in source order.  Native, in-row."""
-    qterms = F.array_distinct(rouge_tokens(_col(question)))
-    scored = F.transform(sentences(_col(context)), lambda s, i: F.struct(
-        (-F.size(F.array_intersect(F.array_distinct(rouge_tokens(s)), qterms))).alias("neg"),
+    terms (ties: earlier first), output in source order.  Native and in-row; question
+    terms and sentences are projected once before the per-sentence lambda reads them."""
+    keep = df.columns
+    d = df.select("*", F.array_distinct(rouge_tokens(F.col(question))).alias("_qt"),
+                  sentences(F.col(context)).alias("_sents"))
+    scored = F.transform("_sents", lambda s, i: F.struct(
+        (-F.size(F.array_intersect(F.array_distinct(rouge_tokens(s)), F.col("_qt")))).alias("neg"),
         i.alias("pos"), s.alias("s")))
     top = F.slice(F.array_sort(scored), 1, n)
     ordered = F.array_sort(F.transform(top, lambda x: F.struct(x["pos"].alias("pos"), x["s"].alias("s"))))
-    return F.array_join(F.transform(ordered, lambda x: x["s"]), " ")
+    return d.select(*keep, F.array_join(F.transform(ordered, lambda x: x["s"]), " ").alias(out))
 
 
 def answer_questions(points: DataFrame, questions: DataFrame, k: int = 4, dim: int = DEFAULT_DIM,
@@ -57,5 +61,5 @@ def answer_questions(points: DataFrame, questions: DataFrame, k: int = 4, dim: i
         "qid", "question", "reference", F.coalesce("n_passages", F.lit(0)).alias("n_passages"),
         F.coalesce("context", F.lit("")).alias("context"))
     j = j.withColumn("prompt", truncate_tokens(prompt(F.col("question"), F.col("context")), PROMPT_TOKENS))
-    j = j.withColumn("summary", extractive_summary(F.col("question"), F.col("context"), n_sentences))
+    j = with_extractive_summary(j, "question", "context", "summary", n_sentences)
     return j.withColumn("answer", enrich(F.col("summary"), F.col("context")))

@@ -58,9 +58,17 @@ def points_from_chunks(chunks: DataFrame, books: DataFrame, dim: int = DEFAULT_D
 
 
 def build_points(spark: SparkSession, docs: DataFrame, catalogue: DataFrame,
-                 budget: int = DEFAULT_BUDGET, dim: int = DEFAULT_DIM) -> DataFrame:
+                 budget: int = DEFAULT_BUDGET, dim: int = DEFAULT_DIM, materialize: bool = True) -> DataFrame:
+    """C1 up to the point table.  ``materialize`` writes the points once (as the
+    collection would be stored) and returns the stored table, so search, payload
+    lookup and counts read vectors instead of re-embedding every chunk."""
     chunks = write_chunks(spark, docs, budget)
-    return points_from_chunks(chunks, book_table(chunks, catalogue), dim)
+    pts = points_from_chunks(chunks, book_table(chunks, catalogue), dim)
+    if not materialize:
+        return pts
+    path = scratch_dir(spark, "points")
+    pts.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def training_corpus(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lectern.operators.generation import batch_generator, make_head_model
 from lectern.operators.metrics import bleu_from_sums, score_pairs
 from lectern.plans import sqlparts as S
-from lectern.plans.answers import PROMPT_TOKENS, answer_questions, combine, extractive_summary, retrieve
+from lectern.plans.answers import PROMPT_TOKENS, answer_questions, combine, retrieve, with_extractive_summary
 from lectern.plans.corpus import build_points
 from lectern.plans.q_metrics import bleu_sums_sql, lcs_ctes, overlap_ctes, prf_sql, rouge_l_prf
 from lectern.sources.tables import catalogue, documents, questions
@@ -101,7 +101,7 @@ def q32_system_delta(spark, sf):
     both = (combine(hits.filter(F.col("rank") <= 1)).withColumn("system", F.lit("k1"))
             .unionByName(combine(hits).withColumn("system", F.lit("k4"))))
     j = both.join(q.filter(F.col("reference").isNotNull() & (F.col("reference") != "")), "qid")
-    j = j.select("qid", "system", "reference", extractive_summary(F.col("question"), F.col("context")).alias("summary"))
+    j = with_extractive_summary(j.select("qid", "system", "reference", "question", "context"), "question", "context")
     s = score_pairs(j, "summary", "reference", metrics=("rouge1",))
     pv = s.groupBy("qid").pivot("system", ["k1", "k4"]).agg(F.first("rouge1.fmeasure"))
     return pv.select("qid", F.round("k1", 9).alias("rouge1_k1"), F.round("k4", 9).alias("rouge1_k4"),

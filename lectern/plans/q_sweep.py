@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from lectern.operators.metrics import score_pairs
 from lectern.operators.sweep import BATCH_SIZES, EPOCHS, LR_HIGH, LR_LOW, N_TRIALS, SEED, best_trial, trial_table
 from lectern.plans import sqlparts as S
-from lectern.plans.answers import extractive_summary, retrieve
+from lectern.plans.answers import retrieve, with_extractive_summary
 from lectern.plans.corpus import build_points
 from lectern.plans.q_metrics import overlap_ctes, prf_sql
 from lectern.sources.tables import catalogue, documents, questions
@@ -38,8 +38,8 @@ def q34_sweep(spark, sf):
     ordered = F.array_sort(F.collect_list(F.struct("rank", "text")))
     ctx = th.groupBy("trial_id", "qid").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), SEP).alias("context"))
     ev = ctx.join(q.filter(F.col("reference").isNotNull() & (F.col("reference") != "")), "qid")
-    ev = ev.select("trial_id", "qid", "reference",
-                   extractive_summary(F.col("question"), F.col("context")).alias("summary"))
+    ev = with_extractive_summary(ev.select("trial_id", "qid", "reference", "question", "context"),
+                                 "question", "context")
     sc = score_pairs(ev, "summary", "reference", metrics=("rouge1",))
     loss = sc.groupBy("trial_id").agg((1.0 - F.avg("rouge1.fmeasure")).alias("loss"))
     res = best_trial(trials.join(loss, "trial_id"))

@@ -14,6 +14,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # rows here are CPU-heavy (whole texts): do not let AQE fold a small shuffle into
+    # one task; big shuffles are unaffected (their partitions exceed this anyway)
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     # whole documents travel through Arrow batches; keep a batch well below executor memory
