@@ -224,14 +224,18 @@ def _finish(name):
 
 
 def leaderboard(pred: DataFrame, model_col: str = "model", pred_col: str = "prediction",
-                ref_col: str = "reference") -> DataFrame:
-    """Per-model mean ROUGE-1/2/L F-measure and corpus BLEU in one job."""
+                ref_col: str = "reference", max_order: int = 4) -> DataFrame:
+    """Per-model mean ROUGE-1/2/L F-measure and corpus BLEU in one aggregation
+    (one pass over the scored pairs; partial aggregation before the shuffle)."""
     scored = score_pairs(pred.select(model_col, pred_col, ref_col), pred_col, ref_col)
-    means = scored.groupBy(model_col).agg(F.count("*").alias("n_pairs"), F.avg("rouge1.fmeasure").alias("rouge1"),
-                                          F.avg("rouge2.fmeasure").alias("rouge2"),
-                                          F.avg("rougeL.fmeasure").alias("rougeL"))
-    bleu = corpus_bleu(scored, "bleu_parts", [model_col])
-    return means.join(bleu, model_col)
+    n = range(1, max_order + 1)
+    g = scored.groupBy(model_col).agg(
+        F.count("*").alias("n_pairs"), F.avg("rouge1.fmeasure").alias("rouge1"),
+        F.avg("rouge2.fmeasure").alias("rouge2"), F.avg("rougeL.fmeasure").alias("rougeL"),
+        *[F.sum(f"bleu_parts.m{i}").alias(f"m{i}") for i in n], *[F.sum(f"bleu_parts.p{i}").alias(f"p{i}") for i in n],
+        F.sum("bleu_parts.pred_len").alias("pred_len"), F.sum("bleu_parts.ref_len").alias("ref_len"))
+    return g.select(model_col, "n_pairs", "rouge1", "rouge2", "rougeL", bleu_from_sums(
+        [F.col(f"m{i}") for i in n], [F.col(f"p{i}") for i in n], F.col("pred_len"), F.col("ref_len")).alias("bleu"))
 
 
 def metrics_json(df: DataFrame, key_col: str, metric_cols: list[str]) -> DataFrame:

@@ -62,16 +62,19 @@ SELECT qid, n_passages::BIGINT AS n_passages, length(context)::BIGINT AS context
 
 
 def q30_answer_scores(spark, sf):
-    a = _answers(spark, sf)
+    """C3 + C4 in one pass: every answer is scored against its reference; P5 blanks the
+    metrics of questions without a (non-empty) reference."""
+    a = _answers(spark, sf).select("qid", "summary", "answer", "reference")
+    s = score_pairs(a, "answer", "reference")
     has_ref = F.col("reference").isNotNull() & (F.col("reference") != "")
-    s = score_pairs(a.filter(has_ref).select("qid", "answer", "reference"), "answer", "reference")
-    b = s.select("qid", "rouge1", "rouge2", "rougeL", F.col("bleu_parts").alias("bp"))
-    bl = bleu_from_sums([F.col(f"bp.m{n}") for n in range(1, 5)], [F.col(f"bp.p{n}") for n in range(1, 5)],
-                        F.col("bp.pred_len"), F.col("bp.ref_len"))
-    sc = b.select("qid", F.round("rouge1.fmeasure", 9).alias("rouge1"), F.round("rouge2.fmeasure", 9).alias("rouge2"),
-                  F.round("rougeL.fmeasure", 9).alias("rougeL"), F.round(bl["bleu"], 9).alias("bleu"))
-    return (a.select("qid", F.md5("summary").alias("summary_md5"), F.md5("answer").alias("answer_md5"))
-            .join(sc, "qid", "left"))
+    bl = bleu_from_sums([F.col(f"bleu_parts.m{n}") for n in range(1, 5)],
+                        [F.col(f"bleu_parts.p{n}") for n in range(1, 5)],
+                        F.col("bleu_parts.pred_len"), F.col("bleu_parts.ref_len"))
+    def only(c):
+        return F.when(has_ref, F.round(c, 9))
+    return s.select("qid", F.md5("summary").alias("summary_md5"), F.md5("answer").alias("answer_md5"),
+                    only(F.col("rouge1.fmeasure")).alias("rouge1"), only(F.col("rouge2.fmeasure")).alias("rouge2"),
+                    only(F.col("rougeL.fmeasure")).alias("rougeL"), only(bl["bleu"]).alias("bleu"))
 
 
 def sql_q30_answer_scores():

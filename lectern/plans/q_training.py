@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions.text import clean_text
-from lectern.operators.training import (EOS, FIRST_ID, IGNORE, PAD, VOCAB, book_rows, collate_causal,
-                                        concat_rows, seq2seq_rows)
+from lectern.operators.training import (EOS, FIRST_ID, IGNORE, PAD, VOCAB, attention_mask, book_rows,
+                                        collate_causal, concat_rows, encode, seq2seq_rows, token_ids)
 from lectern.plans import sqlparts as S
 from lectern.sources.tables import documents, metric_pairs
 
@@ -20,15 +20,16 @@ def _clean_docs(spark, sf):
 
 
 def q27_training_rows(spark, sf):
-    d = _clean_docs(spark, sf)
-    causal = book_rows(d, "text", 512)
-    s2s = seq2seq_rows(d, "text", None, 512, 150).select("doc_id", F.col("labels").alias("labels150"))
-    j = causal.join(s2s, "doc_id")
-    return j.select("doc_id",
-                    F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("input_real"),
-                    _md5_ints(F.col("input_ids")).alias("input_md5"), _md5_ints(F.col("labels")).alias("labels_md5"),
-                    _md5_ints(F.col("labels150")).alias("labels150_md5"),
-                    F.size(F.filter("labels150", lambda x: x != PAD)).cast("long").alias("labels150_real"))
+    """Causal rows (labels = inputs) and the seq2seq 150-token labels of the same text,
+    from one tokenisation per document."""
+    d = _clean_docs(spark, sf).withColumn("_ids", token_ids("text"))
+    rows = d.select("doc_id", encode("_ids", 512).alias("input_ids"), encode("_ids", 150).alias("labels150"))
+    rows = rows.withColumn("attention_mask", attention_mask("input_ids")).withColumn("labels", F.col("input_ids"))
+    return rows.select("doc_id",
+                       F.aggregate("attention_mask", F.lit(0).cast("long"), lambda a, x: a + x).alias("input_real"),
+                       _md5_ints(F.col("input_ids")).alias("input_md5"), _md5_ints(F.col("labels")).alias("labels_md5"),
+                       _md5_ints(F.col("labels150")).alias("labels150_md5"),
+                       F.size(F.filter("labels150", lambda x: x != PAD)).cast("long").alias("labels150_real"))
 
 
 def _sql_ids(text):
