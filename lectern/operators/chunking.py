@@ -53,11 +53,18 @@ def pack_sentences(sents, lengths, budget: int, drop_empty: bool = False):
     return res
 
 
-def pack_chunks(df: DataFrame, key_cols: list[str], budget: int = 512,
+def pack_chunks(df: DataFrame, key_cols: list[str], budget: int | list[int] = 512,
                 sents_col: str = "sentences", lens_col: str = "lengths",
                 drop_empty: bool = False) -> DataFrame:
-    """Rows (keys..., sentences ARRAY<STRING>, lengths ARRAY<INT>) -> one row per chunk."""
+    """Rows (keys..., sentences ARRAY<STRING>, lengths ARRAY<INT>) -> one row per chunk.
+
+    With a list of budgets every document is packed once per budget in the same pass
+    (one sentence split feeds all of them) and rows carry ``chunk_budget``."""
+    multi = isinstance(budget, (list, tuple))
+    budgets = list(budget) if multi else [budget]
     key_fields = [df.schema[k] for k in key_cols]
+    if multi:
+        key_fields = key_fields + [T.StructField("chunk_budget", T.IntegerType(), False)]
     out_schema = T.StructType(key_fields + [
         T.StructField("chunk_no", T.IntegerType(), False),
         T.StructField("chunk_text", T.StringType(), False),
@@ -77,15 +84,18 @@ def pack_chunks(df: DataFrame, key_cols: list[str], budget: int = 512,
                 sents = list(sents)
                 lens = np.asarray(lens, dtype=np.int64)
                 prefix = np.concatenate(([0], np.cumsum(lens)))
-                bounds = chunk_bounds(lens, budget, drop_empty)
-                for no, (s, e) in enumerate(bounds):
-                    for j, k in enumerate(key_cols):
-                        cols[k].append(keys[j][i])
-                    cols["chunk_no"].append(no)
-                    cols["chunk_text"].append(" ".join(sents[s:e]))
-                    cols["n_tokens"].append(int(prefix[e] - prefix[s]))
-                    cols["n_sentences"].append(e - s)
-                    cols["n_chunks"].append(len(bounds))
+                for b in budgets:
+                    bounds = chunk_bounds(lens, b, drop_empty)
+                    for no, (s, e) in enumerate(bounds):
+                        for j, k in enumerate(key_cols):
+                            cols[k].append(keys[j][i])
+                        if multi:
+                            cols["chunk_budget"].append(b)
+                        cols["chunk_no"].append(no)
+                        cols["chunk_text"].append(" ".join(sents[s:e]))
+                        cols["n_tokens"].append(int(prefix[e] - prefix[s]))
+                        cols["n_sentences"].append(e - s)
+                        cols["n_chunks"].append(len(bounds))
             if cols["chunk_no"]:
                 yield pd.DataFrame(cols, columns=names)
 
@@ -93,7 +103,7 @@ def pack_chunks(df: DataFrame, key_cols: list[str], budget: int = 512,
 
 
 def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    budget: int = 512, cleaned: bool = False, drop_empty: bool = False) -> DataFrame:
+                    budget: int | list[int] = 512, cleaned: bool = False, drop_empty: bool = False) -> DataFrame:
     """Clean (unless ``cleaned``), split, count and pack; one row per chunk.
 
     The cleaned text is never materialised: re-splitting a cleaned text yields the

@@ -15,19 +15,24 @@ from pyspark.sql import functions as F
 from lectern.session import checkpoint_root
 
 
-def exclusive_offsets(df: DataFrame, key: str, count_col: str, partitions: int | None = None) -> DataFrame:
-    """(key, count, ...) -> same columns + offset = sum of counts of smaller keys."""
+def exclusive_offsets(df: DataFrame, key: str, count_col: str, partitions: int | None = None,
+                      group: str | None = None) -> DataFrame:
+    """(key, count, ...) -> same columns + offset = sum of counts of smaller keys
+    (within the same ``group`` when given)."""
     spark = df.sparkSession
     checkpoint_root(spark)
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (df.repartitionByRange(n, key)
+    order = ([group] if group else []) + [key]
+    ranged = (df.repartitionByRange(n, *order)
               .withColumn("_p", F.spark_partition_id())).checkpoint(eager=True)
-    totals = ranged.groupBy("_p").agg(F.sum(count_col).alias("_t"))
-    base = totals.withColumn(
-        "_base", F.coalesce(F.sum("_t").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)),
-                            F.lit(0)))
-    within = Window.partitionBy("_p").orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
-    return (ranged.join(F.broadcast(base.select("_p", "_base")), "_p")
+    gcols = ["_p"] + ([group] if group else [])
+    totals = ranged.groupBy(*gcols).agg(F.sum(count_col).alias("_t"))
+    w = (Window.partitionBy(group) if group else Window).orderBy("_p") \
+        .rowsBetween(Window.unboundedPreceding, -1)
+    base = totals.withColumn("_base", F.coalesce(F.sum("_t").over(w), F.lit(0)))
+    within = Window.partitionBy(*gcols).orderBy(key).rowsBetween(Window.unboundedPreceding, -1)
+    # ``base`` has one row per (partition, group): bounded by partitions x groups
+    return (ranged.join(F.broadcast(base.select(*gcols, "_base")), gcols)
             .withColumn("offset", (F.col("_base") + F.coalesce(F.sum(count_col).over(within), F.lit(0))).cast("long"))
             .drop("_p", "_base"))
 

@@ -31,11 +31,12 @@ CAND_SCHEMA = T.StructType([
 ])
 
 
-def _partial_topk(bc, k: int, id_col: str, vec_col: str, cell_col: str | None):
+def _partial_topk(bc, k: int, id_col: str, vec_col: str, cell_col: str | None, group_col: str | None = None):
     def fn(batches):
         payload = bc.value
         qids, Q = payload["qids"], payload["Q"]
         probe = payload.get("probe")  # (nq, ncells) bool, only for cell-restricted search
+        qgroups = payload.get("groups")  # (nq,) question group, only for grouped search
         nq = len(qids)
         best_s = np.empty((0, nq))
         best_i = np.empty((0, nq), dtype=np.int64)
@@ -48,6 +49,9 @@ def _partial_topk(bc, k: int, id_col: str, vec_col: str, cell_col: str | None):
             if probe is not None:
                 cells = pdf[cell_col].to_numpy(dtype=np.int64)
                 S = np.where(probe[:, cells].T, S, -np.inf)
+            if qgroups is not None:
+                g = pdf[group_col].to_numpy(dtype=np.int64)
+                S = np.where(g[:, None] == qgroups[None, :], S, -np.inf)
             all_s = np.vstack([best_s, S])
             all_i = np.vstack([best_i, np.broadcast_to(ids[:, None], S.shape)])
             order = np.lexsort((all_i, -all_s), axis=0)[:k]
@@ -56,8 +60,10 @@ def _partial_topk(bc, k: int, id_col: str, vec_col: str, cell_col: str | None):
         if best_s.shape[0] == 0:
             return
         r, c = np.nonzero(np.isfinite(best_s))
-        yield pd.DataFrame({"qid": qids[c].astype(np.int64), "id": best_i[r, c],
-                            "score": best_s[r, c]})
+        out = {"qid": qids[c].astype(np.int64), "id": best_i[r, c], "score": best_s[r, c]}
+        if qgroups is not None:
+            out["grp"] = qgroups[c].astype(np.int64)
+        yield pd.DataFrame(out)
     return fn
 
 
@@ -72,21 +78,27 @@ def _question_blocks(questions: DataFrame, max_bytes: int):
 def top_k(points: DataFrame, questions: DataFrame, k: int = 4, id_col: str = "id",
           vec_col: str = "vector", qid_col: str = "qid", qvec_col: str = "qvec",
           max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-          cells: dict | None = None) -> DataFrame:
+          cells: dict | None = None, group_col: str | None = None) -> DataFrame:
     """Exact top-k per question -> (qid, rank, id, score).
 
     ``cells`` (from ``ann_index``) restricts each question to the points of its
     probed cells (approximate search); ``points`` must then carry ``cell``.
+    ``group_col`` (an integer column on both sides) restricts each question row to the
+    points of its own group -- several collections searched in one job; the output
+    then carries the group column and ranks per (qid, group).
     """
     spark = points.sparkSession
-    q = (questions.select(F.col(qid_col).cast("long").alias("qid"),
-                          F.col(qvec_col).cast("array<double>").alias("qvec"))
-         .filter(F.col("qvec").isNotNull()))
+    qcols = [F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).cast("array<double>").alias("qvec")]
+    if group_col:
+        qcols.append(F.col(group_col).cast("long").alias("grp"))
+    q = questions.select(*qcols).filter(F.col("qvec").isNotNull())
     n, _dim, nblocks = _question_blocks(q, max_broadcast_bytes)
     cell_col = "cell" if cells is not None else None
     cols = [F.col(id_col).cast("long").alias(id_col), F.col(vec_col).alias(vec_col)]
     if cell_col:
         cols.append(F.col(cell_col))
+    if group_col:
+        cols.append(F.col(group_col))
     pts = points.filter(F.col(vec_col).isNotNull()).select(*cols)
     parts = []
     if n > 0:
@@ -99,16 +111,22 @@ def top_k(points: DataFrame, questions: DataFrame, k: int = 4, id_col: str = "id
                        "Q": np.stack([np.asarray(v, dtype=np.float64) for v in pdf["qvec"]])}
             if cells is not None:
                 payload["probe"] = _probe_matrix(payload["Q"], cells["centers"], cells["nprobe"])
+            if group_col:
+                payload["groups"] = pdf["grp"].to_numpy(dtype=np.int64)
             bc = spark.sparkContext.broadcast(payload)
-            parts.append(pts.mapInPandas(_partial_topk(bc, k, id_col, vec_col, cell_col), CAND_SCHEMA))
+            schema = CAND_SCHEMA if not group_col else T.StructType(
+                CAND_SCHEMA.fields + [T.StructField("grp", T.LongType(), False)])
+            parts.append(pts.mapInPandas(_partial_topk(bc, k, id_col, vec_col, cell_col, group_col), schema))
+    gsel = [F.col("grp").alias(group_col)] if group_col else []
     if not parts:
-        return spark.createDataFrame([], "qid long, rank int, id long, score double")
+        extra = f", {group_col} long" if group_col else ""
+        return spark.createDataFrame([], f"qid long{extra}, rank int, id long, score double")
     cand = parts[0]
     for p in parts[1:]:
         cand = cand.unionByName(p)
-    w = Window.partitionBy("qid").orderBy(F.col("score").desc(), F.col("id").asc())
+    w = Window.partitionBy("qid", *(["grp"] if group_col else [])).orderBy(F.col("score").desc(), F.col("id").asc())
     return (cand.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
-            .select("qid", F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score"))
+            .select("qid", *gsel, F.col("rank").cast("int").alias("rank"), F.col("id").alias(id_col), "score"))
 
 
 # ---------------------------------------------------------------- approximate (V4)

@@ -15,13 +15,23 @@ PROMPT_TOKENS = 512
 SUMMARY_SENTENCES = 3
 
 
-def retrieve(points: DataFrame, questions: DataFrame, k: int = 4, dim: int = DEFAULT_DIM) -> DataFrame:
-    """R2 + P2: top-k passages per question -> (qid, rank, id, score, text)."""
+def retrieve(points: DataFrame, questions: DataFrame, k: int = 4, dim: int = DEFAULT_DIM,
+             group_col: str | None = None, groups: list[int] | None = None) -> DataFrame:
+    """R2 + P2: top-k passages per question -> (qid, rank, id, score, text).
+
+    With ``group_col`` the points hold several collections (e.g. one per chunk budget,
+    values ``groups``); every question is searched in each of them and rows carry the
+    group."""
     q = questions.select("qid", hash_embed(F.col("question"), dim).alias("qvec"))
-    hits = top_k(points, q, k=k)
+    keys = ["id"]
+    if group_col:
+        # one question row per collection (a parameter list, not data)
+        q = q.withColumn(group_col, F.explode(F.array(*[F.lit(g) for g in groups])))
+        keys = [group_col, "id"]
+    hits = top_k(points, q, k=k, group_col=group_col)
     # hits hold at most k rows per (size-checked) question; they are the broadcast side
-    payload = points.select("id", F.coalesce(F.col("payload.text"), F.lit("")).alias("text"))
-    return payload.join(F.broadcast(hits), "id", "inner")
+    payload = points.select(*keys, F.coalesce(F.col("payload.text"), F.lit("")).alias("text"))
+    return payload.join(F.broadcast(hits), keys, "inner")
 
 
 def combine(hits: DataFrame) -> DataFrame:

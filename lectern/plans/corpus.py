@@ -15,7 +15,7 @@ from lectern.session import scratch_dir
 DEFAULT_BUDGET = 512
 
 
-def write_chunks(spark: SparkSession, docs: DataFrame, budget: int = DEFAULT_BUDGET,
+def write_chunks(spark: SparkSession, docs: DataFrame, budget: int | list[int] = DEFAULT_BUDGET,
                  path: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """K2: chunk every document and persist the chunk table; returns the re-read table.
 
@@ -32,12 +32,14 @@ def book_table(chunks: DataFrame, catalogue: DataFrame) -> DataFrame:
     """Matched books with their first catalogue entry and the id offset of their chunks.
 
     R4: ids are dense over matched chunks in (book_id, chunk_no) order; unmatched
-    books consume no id.
+    books consume no id.  A multi-budget chunk table numbers each budget separately.
     """
-    counts = chunks.groupBy("doc_id").agg(F.max("n_chunks").alias("n_chunks"))
+    group = "chunk_budget" if "chunk_budget" in chunks.columns else None
+    keys = ([group] if group else []) + ["doc_id"]
+    counts = chunks.groupBy(*keys).agg(F.max("n_chunks").alias("n_chunks"))
     cat = first_match(catalogue, "id", ["entry_dup"]).withColumnRenamed("id", "doc_id")
     books = counts.join(cat.select("doc_id", "title", "author", "context"), "doc_id", "inner")
-    return exclusive_offsets(books, "doc_id", "n_chunks")
+    return exclusive_offsets(books, "doc_id", "n_chunks", group=group)
 
 
 def points_from_chunks(chunks: DataFrame, books: DataFrame, dim: int = DEFAULT_DIM) -> DataFrame:
@@ -46,10 +48,11 @@ def points_from_chunks(chunks: DataFrame, books: DataFrame, dim: int = DEFAULT_D
     Chunks whose text has no letter/digit token (including the empty chunk 0) have a
     zero vector with no direction; they keep their id slot but are not stored.
     """
-    j = chunks.join(broadcast_if_small(books), "doc_id", "inner")
+    group = ["chunk_budget"] if "chunk_budget" in chunks.columns else []
+    j = chunks.join(broadcast_if_small(books), group + ["doc_id"], "inner")
     stem = F.format_string("book_id_%d", F.col("doc_id"))
     out = j.select(
-        (F.col("offset") + F.col("chunk_no")).cast("long").alias("id"),
+        *group, (F.col("offset") + F.col("chunk_no")).cast("long").alias("id"),
         F.col("doc_id").alias("book_id"), "chunk_no",
         hash_embed(F.col("chunk_text"), dim).cast("array<float>").alias("vector"),
         F.struct(chunk_file_name(stem, F.col("chunk_no")).alias("filename"), "title", "author", "context",
@@ -58,10 +61,12 @@ def points_from_chunks(chunks: DataFrame, books: DataFrame, dim: int = DEFAULT_D
 
 
 def build_points(spark: SparkSession, docs: DataFrame, catalogue: DataFrame,
-                 budget: int = DEFAULT_BUDGET, dim: int = DEFAULT_DIM, materialize: bool = True) -> DataFrame:
+                 budget: int | list[int] = DEFAULT_BUDGET, dim: int = DEFAULT_DIM,
+                 materialize: bool = True) -> DataFrame:
     """C1 up to the point table.  ``materialize`` writes the points once (as the
     collection would be stored) and returns the stored table, so search, payload
-    lookup and counts read vectors instead of re-embedding every chunk."""
+    lookup and counts read vectors instead of re-embedding every chunk.  A list of
+    budgets builds one collection per budget in the same jobs (``chunk_budget`` column)."""
     chunks = write_chunks(spark, docs, budget)
     pts = points_from_chunks(chunks, book_table(chunks, catalogue), dim)
     if not materialize:

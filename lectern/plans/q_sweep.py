@@ -28,13 +28,13 @@ def q34_sweep(spark, sf):
     budgets = sorted(r[0] for r in trials.select("chunk_budget").distinct().collect())
     max_k = max(EPOCHS)
     q = questions(spark, sf)
-    docs, cat = documents(spark, sf), catalogue(spark, sf)
-    hits = None
-    for b in budgets:
-        h = retrieve(build_points(spark, docs, cat, budget=b, dim=DIM), q, k=max_k, dim=DIM) \
-            .withColumn("chunk_budget", F.lit(b))
-        hits = h if hits is None else hits.unionByName(h)
-    th = hits.join(trials.select("trial_id", "chunk_budget", "top_k"), "chunk_budget").filter(F.col("rank") <= F.col("top_k"))
+    # every budget's collection is built in the same jobs (one sentence split, one
+    # chunk write, one point write) and searched in one grouped top-k job
+    pts = build_points(spark, documents(spark, sf), catalogue(spark, sf), budget=budgets, dim=DIM)
+    hits = retrieve(pts, q, k=max_k, dim=DIM, group_col="chunk_budget", groups=budgets)
+    # trials: N_TRIALS rows (a parameter), broadcast by construction
+    th = hits.join(F.broadcast(trials.select("trial_id", "chunk_budget", "top_k")), "chunk_budget") \
+        .filter(F.col("rank") <= F.col("top_k"))
     ordered = F.array_sort(F.collect_list(F.struct("rank", "text")))
     ctx = th.groupBy("trial_id", "qid").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), SEP).alias("context"))
     ev = ctx.join(q.filter(F.col("reference").isNotNull() & (F.col("reference") != "")), "qid")

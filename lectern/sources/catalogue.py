@@ -1,15 +1,17 @@
 """Catalogue JSON -- one JSON object per file holding a root array of entries.
 
-Writing splits the catalogue into buckets of bounded size (one object per file, so
-no single task or file ever holds the whole catalogue); reading parses each file as
-one document (``multiLine``) with an explicit schema and ``inline``s the root array.
-Catalogue order (for first-match lookup) is (file name, position in the array).
+Writing splits the catalogue into contiguous slices of bounded size (one object per
+file, so no single task or file ever holds the whole catalogue); reading parses each
+file as one document (``multiLine``) with an explicit schema and explodes the root
+array.  Catalogue order (for first-match lookup) is (file name, position in the array).
 """
 
 from __future__ import annotations
 
 import math
 
+import pandas as pd
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,17 +32,31 @@ def catalogue_schema(root_key: str, with_context: bool = True) -> T.StructType:
 
 def write_catalogue(entries: DataFrame, path: str, root_key: str, order_cols: list[str],
                     max_entries: int = MAX_ENTRIES_PER_FILE) -> int:
-    """Entries -> ``{root_key: [...]}`` objects, one per file.  Returns the file count."""
+    """Entries -> ``{root_key: [...]}`` objects, one per file.  Returns the file count.
+
+    Files are contiguous slices of the catalogue order: range partitioning on the order
+    columns plus a unique tiebreaker, so even one id holding a third of all entries is
+    spread over many files and no object exceeds about ``max_entries`` entries.  File
+    names follow partition order, so (file name, array position) is the catalogue order.
+    """
     n = entries.count()
     nfiles = max(1, math.ceil(n / max_entries))
     fields = [c for c, _ in ENTRY_FIELDS if c in entries.columns]
-    keyed = entries.withColumn("_bucket", F.pmod(F.xxhash64("id"), F.lit(nfiles)))
-    objs = keyed.groupBy("_bucket").agg(
-        F.array_sort(F.collect_list(F.struct(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(order_cols)],
-                                             *fields))).alias("_arr"))
-    objs = objs.select("_bucket", F.transform("_arr", lambda e: F.struct(*[e[c].alias(c) for c in fields])).alias(root_key))
-    # one object per directory -> one object per file (each bucket is one row)
-    objs.write.mode("overwrite").partitionBy("_bucket").json(path)
+    keyed = entries.withColumn("_u", F.monotonically_increasing_id())
+    ranged = keyed.repartitionByRange(nfiles, *order_cols, "_u").sortWithinPartitions(*order_cols, "_u")
+
+    def to_object(batches):
+        import json
+        items = []
+        for pdf in batches:
+            items.extend(pdf[fields].to_dict("records"))
+        if items:
+            for it in items:
+                if "id" in it and it["id"] is not None:
+                    it["id"] = int(it["id"])
+            yield pd.DataFrame({"value": [json.dumps({root_key: items}, ensure_ascii=False)]})
+
+    ranged.select(*fields).mapInPandas(to_object, "value string").write.mode("overwrite").text(path)
     return nfiles
 
 
@@ -48,5 +64,5 @@ def read_catalogue(spark: SparkSession, path: str, root_key: str, with_context:
     """-> (id, title, author, [context], file, pos) one row per entry, in catalogue order keys."""
     raw = (spark.read.schema(catalogue_schema(root_key, with_context)).option("multiLine", True)
            .option("recursiveFileLookup", True).json(path))
-    rows = raw.select(F.col("_metadata.file_path").alias("file"), F.posexplode(root_key).alias("pos", "e"))
+    rows = raw.select(F.col("_metadata.file_name").alias("file"), F.posexplode(root_key).alias("pos", "e"))
     return rows.select("e.*", "file", "pos")
