@@ -13,6 +13,9 @@ from lectern.operators.search import top_k
 
 PROMPT_TOKENS = 512
 SUMMARY_SENTENCES = 3
+# size bound for broadcasting the per-question context table (questions x k passages)
+PASSAGE_BYTES = 8 * 512
+MAX_CONTEXT_BROADCAST_BYTES = 256 << 20
 
 
 def retrieve(points: DataFrame, questions: DataFrame, k: int = 4, dim: int = DEFAULT_DIM,
@@ -67,6 +70,11 @@ def answer_questions(points: DataFrame, questions: DataFrame, k: int = 4, dim: i
 
     Questions without any hit keep an empty context (left join)."""
     ctx = combine(retrieve(points, questions, k, dim))
+    # the context table holds one row per question (k passages): when that is provably
+    # small it is broadcast, so answers keep the question scan's partitioning (no
+    # shuffle of the question side, no small-shuffle coalescing into a few tasks)
+    if questions.count() * k * PASSAGE_BYTES <= MAX_CONTEXT_BROADCAST_BYTES:
+        ctx = F.broadcast(ctx)
     j = questions.join(ctx, "qid", "left").select(
         "qid", "question", "reference", F.coalesce("n_passages", F.lit(0)).alias("n_passages"),
         F.coalesce("context", F.lit("")).alias("context"))

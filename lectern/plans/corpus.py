@@ -11,6 +11,7 @@ from lectern.operators.embedding import DEFAULT_DIM, hash_embed
 from lectern.operators.joins import broadcast_if_small, first_match
 from lectern.operators.numbering import exclusive_offsets
 from lectern.session import scratch_dir
+from lectern.sources.tables import balanced
 
 DEFAULT_BUDGET = 512
 
@@ -25,7 +26,7 @@ def write_chunks(spark: SparkSession, docs: DataFrame, budget: int | list[int] =
     path = path or scratch_dir(spark, "chunks")
     chunks = chunk_documents(docs, id_col, text_col, budget)
     chunks.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return balanced(spark.read.parquet(path))
 
 
 def book_table(chunks: DataFrame, catalogue: DataFrame) -> DataFrame:

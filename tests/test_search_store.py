@@ -94,3 +94,15 @@ def test_generation_failure_blanks_only_that_row(spark):
     df = spark.createDataFrame([(1, "one two three four"), (2, "x"), (3, "a b c")], "id int, t string").coalesce(1)
     got = {r.id: r.o for r in df.select("id", gen(F.col("t")).alias("o")).collect()}
     assert got == {1: "one two", 2: "", 3: "a b"}
+
+
+def test_catalogue_json_round_trip_keeps_first_match(spark, tmp_dir):
+    from lectern.operators.joins import first_match
+    from lectern.sources.catalogue import read_catalogue, write_catalogue
+    rows = [(i % 5, f"T{i}", "A", "c", i) for i in range(40)]  # every id repeated 8 times
+    cat = spark.createDataFrame(rows, "id long, title string, author string, context string, pos int")
+    n = write_catalogue(cat, f"{tmp_dir}/cat", "root", ["pos"], max_entries=7)
+    back = read_catalogue(spark, f"{tmp_dir}/cat", "root")
+    assert n == 6 and back.count() == 40
+    first = {r.id: r.title for r in first_match(back, "id", ["file", "pos"]).collect()}
+    assert first == {i: f"T{i}" for i in range(5)}
