@@ -40,23 +40,29 @@ def prf_sql(ov: str, np_: str, nr: str) -> tuple[str, str, str]:
     return p, r, f
 
 
-def lcs_ctes(prefix: str, pairs: str, tok: str) -> str:
-    """(pid, lcs, lp, lr): exact LCS by a DP over cells, recursing over the shorter side."""
+def lcs_ctes(prefix: str, pairs: str, tok) -> str:
+    """(pid, lcs, lp, lr): exact LCS by a DP over cells, recursing over the shorter side.
+
+    Tokens are unnested into scalar tables so each DP step joins scalars, not lists."""
     return f"""{prefix}_ab AS MATERIALIZED (
   SELECT pid, len(tp) AS lp, len(tr) AS lr,
          CASE WHEN len(tp) <= len(tr) THEN tp ELSE tr END AS x, CASE WHEN len(tp) <= len(tr) THEN tr ELSE tp END AS y
   FROM (SELECT pid, {tok('pred')} AS tp, {tok('ref')} AS tr FROM {pairs})
 ),
+{prefix}_x AS MATERIALIZED (SELECT pid, unnest(x) AS tok, generate_subscripts(x, 1) AS i FROM {prefix}_ab),
+{prefix}_y AS MATERIALIZED (SELECT pid, unnest(y) AS tok, generate_subscripts(y, 1) AS j FROM {prefix}_ab),
 {prefix}_dp AS (
-  SELECT pid, 0 AS i, unnest(range(0, len(y) + 1)) AS j, 0::BIGINT AS L FROM {prefix}_ab
+  SELECT pid, 0 AS i, j, 0::BIGINT AS L FROM (SELECT pid, j FROM {prefix}_y UNION ALL SELECT pid, 0 FROM {prefix}_ab)
   UNION ALL
   SELECT pid, i, j, max(c) OVER (PARTITION BY pid ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
   FROM (
     SELECT d.pid, d.i + 1 AS i, d.j,
       CASE WHEN d.j = 0 THEN 0
-           WHEN ab.y[d.j] = ab.x[d.i + 1] THEN lag(d.L) OVER (PARTITION BY d.pid ORDER BY d.j) + 1
+           WHEN yy.tok = xx.tok THEN lag(d.L) OVER (PARTITION BY d.pid ORDER BY d.j) + 1
            ELSE d.L END AS c
-    FROM {prefix}_dp d JOIN {prefix}_ab ab ON ab.pid = d.pid WHERE d.i < len(ab.x)
+    FROM {prefix}_dp d
+    JOIN {prefix}_x xx ON xx.pid = d.pid AND xx.i = d.i + 1
+    LEFT JOIN {prefix}_y yy ON yy.pid = d.pid AND yy.j = d.j
   )
 ),
 {prefix} AS (
