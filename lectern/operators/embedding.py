@@ -23,14 +23,14 @@ DEFAULT_DIM = 384
 
 
 def _signed_counts(ids: pd.Series, dim: int) -> np.ndarray:
+    """Rows of signed bucket ids -> (rows, dim) signed counts with one bincount."""
     n = len(ids)
     lens = np.fromiter((0 if a is None else len(a) for a in ids), dtype=np.int64, count=n)
-    out = np.zeros((n, dim), dtype=np.float64)
-    if lens.sum() > 0:
-        flat = np.concatenate([np.asarray(a, dtype=np.int64) for a in ids if a is not None and len(a)])
-        rows = np.repeat(np.arange(n), lens)
-        np.add.at(out, (rows, np.abs(flat) - 1), np.sign(flat).astype(np.float64))
-    return out
+    if lens.sum() == 0:
+        return np.zeros((n, dim), dtype=np.float64)
+    flat = np.concatenate([np.asarray(a, dtype=np.int64) for a in ids if a is not None and len(a)])
+    cell = np.repeat(np.arange(n, dtype=np.int64) * dim, lens) + (np.abs(flat) - 1)
+    return np.bincount(cell, weights=np.sign(flat).astype(np.float64), minlength=n * dim).reshape(n, dim)
 
 
 def _bincount_udf(dim: int, normalize: bool):
@@ -42,7 +42,10 @@ def _bincount_udf(dim: int, normalize: bool):
         norm = np.sqrt((out * out).sum(axis=1))
         res = [None if nv == 0 else row / nv for row, nv in zip(out, norm)]
         return pd.Series(res, dtype=object)
-    return signed_bincount
+    # The function is deterministic, but declaring it otherwise keeps Catalyst from
+    # copying it into pushed-down or inferred predicates (e.g. ``vector IS NOT NULL``
+    # below a repartition or join), which would evaluate the UDF twice.
+    return signed_bincount.asNondeterministic()
 
 
 def hash_counts(text, dim: int = DEFAULT_DIM) -> Column:

@@ -34,6 +34,19 @@ def encode(ids, max_len: int) -> Column:
     return F.concat(body, F.array_repeat(F.lit(PAD), F.lit(max_len) - F.size(body)))
 
 
+def pad_to_batch_longest(df: DataFrame, ids_col: str, batch_col: str, max_len: int = 512) -> DataFrame:
+    """V6 (``padding=True``): truncate to ``max_len`` (EOS kept) and pad every row to the
+    longest row of its batch.  The per-batch maximum is a partial aggregate (one row per
+    batch) joined back on the batch key."""
+    body = F.concat(F.slice(F.col(ids_col), 1, max_len - 1), F.array(F.lit(EOS)))
+    t = df.withColumn("_body", body)
+    longest = t.groupBy(batch_col).agg(F.max(F.size("_body")).alias("_longest"))
+    j = t.join(longest, batch_col)
+    padded = F.concat(F.col("_body"), F.array_repeat(F.lit(PAD), F.col("_longest") - F.size("_body")))
+    return (j.withColumn("input_ids", padded).withColumn("attention_mask", attention_mask("input_ids"))
+            .drop("_body", "_longest"))
+
+
 def attention_mask(encoded) -> Column:
     return F.transform(_col(encoded), lambda x: F.when(x == PAD, 0).otherwise(1))
 
