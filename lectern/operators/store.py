@@ -1,14 +1,18 @@
 """K3/K4: keyed vector table with a dimension contract and snapshot upserts.
 
 A collection is a directory of immutable Parquet snapshots ``v=000001``, ...; the
-current snapshot is the highest version carrying ``_SUCCESS``.  Parquet cannot be
-rewritten while it is read, so every upsert writes a new snapshot
-(old rows whose key is replaced are anti-joined away, new rows appended) and the
-version switch is the commit point.  Single writer assumed.
+current snapshot is the highest version.  Parquet cannot be rewritten while it is
+read, so every upsert writes a new snapshot (old rows whose key is replaced are
+anti-joined away, new rows appended).  A snapshot is written once into a staging
+directory, its contract is checked on the written files (a scan of the vector column
+only), and a directory rename makes it visible -- the rename is the commit point, so
+a failed or rejected write never becomes current.  Single writer assumed.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,7 +55,7 @@ class VectorStore:
         out = []
         for st in fs.listStatus(p):
             name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(st.getPath().suffix("/_SUCCESS")):
+            if name.startswith("v=") and st.isDirectory():
                 out.append(int(name[2:]))
         return sorted(out)
 
@@ -68,18 +72,25 @@ class VectorStore:
     def read(self) -> DataFrame:
         return self.spark.read.parquet(self._path(self.current_version()))
 
-    def _check(self, points: DataFrame) -> None:
-        bad = points.filter(contract_kind(self.vec_col, self.dim) != "ok").limit(1).count()
+    def _commit(self, df: DataFrame, version: int) -> int:
+        staging = f"{self.root}/_staging-{uuid.uuid4().hex[:12]}"
+        df.write.mode("errorifexists").parquet(staging)
+        written = self.spark.read.parquet(staging).select(self.vec_col)
+        bad = written.filter(contract_kind(self.vec_col, self.dim) != "ok").limit(1).count()
+        fs, src = hadoop_fs(self.spark, staging)
         if bad:
+            fs.delete(src, True)
             raise ValueError(f"points violate the collection contract (dim={self.dim}, non-null, non-zero)")
+        _, dst = hadoop_fs(self.spark, self._path(version))
+        if not fs.rename(src, dst):
+            raise RuntimeError(f"could not commit snapshot {version}")
+        return version
 
     def create_if_absent(self, points: DataFrame) -> int:
         """K3: first snapshot; later calls leave an existing collection untouched."""
         if self.exists():
             return self.current_version()
-        self._check(points)
-        points.write.mode("errorifexists").parquet(self._path(1))
-        return 1
+        return self._commit(points, 1)
 
     def upsert(self, points: DataFrame, replaced_keys: DataFrame | None = None) -> int:
         """K4: rows of every replaced key are dropped, the new rows appended (last wins).
@@ -89,10 +100,7 @@ class VectorStore:
         has no storable chunk also loses its old ones."""
         if not self.exists():
             return self.create_if_absent(points)
-        self._check(points)
         keys = (replaced_keys if replaced_keys is not None else points.select(self.key)).distinct()
         old = self.read()
         kept = old.join(broadcast_if_small(keys), self.key, "left_anti")
-        nxt = self.current_version() + 1
-        kept.unionByName(points.select(*old.columns)).write.mode("errorifexists").parquet(self._path(nxt))
-        return nxt
+        return self._commit(kept.unionByName(points.select(*old.columns)), self.current_version() + 1)

@@ -53,12 +53,12 @@ def q19_upsert(spark, sf):
     """C1 + K4: build the collection, then upsert the delta; result = final snapshot keys."""
     store = VectorStore(spark, scratch_dir(spark, "store"), DIM)
     docs = documents(spark, sf)
-    store.create_if_absent(build_points(spark, docs, catalogue(spark, sf), dim=DIM))
+    store.create_if_absent(build_points(spark, docs, catalogue(spark, sf), dim=DIM, materialize=False))
     delta = _delta_documents(spark, sf)
     labelled = table(spark, sf, "labels").select("doc_id")
     new_lab = labelled.select((F.col("doc_id") + NEW_ID_OFFSET).alias("doc_id")).filter(F.col("doc_id") % 100 == 99)
     delta_cat = catalogue_of(delta.join(labelled.unionByName(new_lab), "doc_id", "left_semi"))
-    store.upsert(build_points(spark, delta, delta_cat, dim=DIM),
+    store.upsert(build_points(spark, delta, delta_cat, dim=DIM, materialize=False),
                  replaced_keys=delta.select(F.col("doc_id").alias("book_id")))
     return store.read().select("book_id", F.col("chunk_no").cast("long").alias("chunk_no"),
                                F.md5(F.col("payload.text")).alias("md5_text"),

@@ -46,7 +46,7 @@ def incremental_build(spark: SparkSession, landing_dir: str, store: VectorStore,
         if batch.isEmpty():
             return
         docs = batch.select("doc_id", "text")
-        pts = build_points(spark, docs, catalogue, budget=budget, dim=dim)
+        pts = build_points(spark, docs, catalogue, budget=budget, dim=dim, materialize=False)
         store.upsert(pts, replaced_keys=docs.select(F.col("doc_id").alias("book_id")))
 
     return (text_file_stream(spark, landing_dir).writeStream.foreachBatch(apply)
