@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import importlib
 
-MODULES = ["q_sources", "q_text", "q_vectors", "q_store", "q_metrics", "q_answers", "q_training", "q_sweep"]
+MODULES = ["q_sources", "q_text", "q_vectors", "q_store", "q_metrics", "q_answers", "q_training", "q_sweep", "q_streams"]
 
 
 def registry() -> dict:

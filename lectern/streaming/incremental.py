@@ -56,7 +56,7 @@ def incremental_build(spark: SparkSession, landing_dir: str, store: VectorStore,
 def answer_stream(spark: SparkSession, question_dir: str, store: VectorStore, sink: str, checkpoint: str,
                   k: int = 4, dim: int = 384):
     """Question files (JSON lines) -> answers appended to a Parquet sink."""
-    qs = spark.readStream.schema(QUESTION_SCHEMA).json(question_dir)
+    qs = spark.readStream.schema(QUESTION_SCHEMA).option("recursiveFileLookup", True).json(question_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
         if batch.isEmpty():
