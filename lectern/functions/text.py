@@ -8,6 +8,8 @@ all character classes are spelled out explicitly so Java regex and RE2 agree.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -63,9 +65,21 @@ def trim_ws(c) -> Column:
     return F.regexp_replace(_col(c), TRIM, "")
 
 
-def sentences(c) -> Column:
+def sentence_end(abbreviations: list[str] | None = None) -> str:
+    """Boundary pattern; ``abbreviations`` (e.g. ["Mr", "Dr"]) never end a sentence.
+
+    The option uses a Java look-behind, so it has no RE2 (SQL oracle) spelling; the
+    default (no list) is what the registered queries use."""
+    if not abbreviations:
+        return SENTENCE_END
+    alts = "|".join(sorted((re.escape(a) for a in abbreviations), key=len, reverse=True))
+    # not preceded by an abbreviation that is itself not preceded by a letter/digit
+    return r"(?<!(?<![\p{L}\p{N}])(?:" + alts + r"))" + SENTENCE_END
+
+
+def sentences(c, abbreviations: list[str] | None = None) -> Column:
     """rule-based sentence split -> ARRAY<STRING> (blank pieces dropped)."""
-    marked = F.regexp_replace(_col(c), SENTENCE_END, "$1" + MARK)
+    marked = F.regexp_replace(_col(c), sentence_end(abbreviations), "$1" + MARK)
     parts = F.split(marked, MARK)
     return F.filter(F.transform(parts, lambda s: F.regexp_replace(s, TRIM, "")),
                     lambda s: F.length(s) > 0)

@@ -103,14 +103,18 @@ def pack_chunks(df: DataFrame, key_cols: list[str], budget: int | list[int] = 51
 
 
 def chunk_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    budget: int | list[int] = 512, cleaned: bool = False, drop_empty: bool = False) -> DataFrame:
+                    budget: int | list[int] = 512, cleaned: bool = False, drop_empty: bool = False,
+                    counter=None) -> DataFrame:
     """Clean (unless ``cleaned``), split, count and pack; one row per chunk.
 
     The cleaned text is never materialised: re-splitting a cleaned text yields the
-    same sentences, so one sentence array feeds both steps.
+    same sentences, so one sentence array feeds both steps.  ``counter`` (F7) maps the
+    sentence array column to a token-count array column (default: whitespace tokens;
+    a subword tokenizer plugs in as an Arrow UDF over the array).
     """
     from lectern.functions.text import sentences
     sents = sentences(text_col) if cleaned else clean_sentences(text_col)
+    count = counter or sentence_lengths
     prepared = (docs.select(F.col(id_col), sents.alias("sentences"))
-                .withColumn("lengths", sentence_lengths("sentences")))
+                .withColumn("lengths", count(F.col("sentences"))))
     return pack_chunks(prepared, [id_col], budget=budget, drop_empty=drop_empty)

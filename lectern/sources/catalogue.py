@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lectern.session import checkpoint_root
+
 ENTRY_FIELDS = [("id", T.LongType()), ("title", T.StringType()), ("author", T.StringType()),
                 ("context", T.StringType())]
 MAX_ENTRIES_PER_FILE = 10_000
@@ -39,10 +41,13 @@ def write_catalogue(entries: DataFrame, path: str, root_key: str, order_cols: li
     spread over many files and no object exceeds about ``max_entries`` entries.  File
     names follow partition order, so (file name, array position) is the catalogue order.
     """
+    checkpoint_root(entries.sparkSession)
     n = entries.count()
     nfiles = max(1, math.ceil(n / max_entries))
     fields = [c for c, _ in ENTRY_FIELDS if c in entries.columns]
-    keyed = entries.withColumn("_u", F.monotonically_increasing_id())
+    # the tiebreaker must not change when a lost task is recomputed: number the rows
+    # of a reliably checkpointed (fixed) input
+    keyed = entries.checkpoint(eager=True).withColumn("_u", F.monotonically_increasing_id())
     ranged = keyed.repartitionByRange(nfiles, *order_cols, "_u").sortWithinPartitions(*order_cols, "_u")
 
     def to_object(batches):

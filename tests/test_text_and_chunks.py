@@ -94,3 +94,18 @@ def test_email_keeps_domain_and_unicode_handle_removed(spark):
 def test_sentence_split(spark):
     got = _one(spark, TX.sentences, "  Hello there. How are you?  'Fine!' he said.\nEnd")
     assert got == ["Hello there.", "How are you?", "'Fine!'", "he said.", "End"]
+
+
+def test_sentence_split_abbreviations(spark):
+    t = "Mr. Smith met Dr. Jones. They talked. Mr. X left."
+    got = _one(spark, lambda c: TX.sentences(c, ["Mr", "Dr"]), t)
+    assert got == ["Mr. Smith met Dr. Jones.", "They talked.", "Mr. X left."]
+    assert _one(spark, TX.sentences, "Mr. X left.") == ["Mr.", "X left."]
+
+
+def test_pluggable_token_counter(spark):
+    docs = spark.createDataFrame([(1, "a b c. d e f. g h i.")], "doc_id long, text string")
+    # a counter that counts characters instead of words
+    chars = lambda arr: F.transform(arr, lambda s: F.length(s))
+    got = [r.chunk_text for r in chunk_documents(docs, budget=11, counter=chars).orderBy("chunk_no").collect()]
+    assert got == ["a b c.", "d e f.", "g h i."]
