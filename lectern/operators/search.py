@@ -31,6 +31,31 @@ CAND_SCHEMA = T.StructType([
 ])
 
 
+SCORE_CELLS = 2_000_000  # scores held at once per task (rows x questions), ~16 MB
+
+
+def _select_topk(S: np.ndarray, I: np.ndarray, k: int):
+    """Exact top-k per column under (score desc, id asc).
+
+    ``argpartition`` keeps 2k candidates per column in linear time; a column is
+    re-sorted in full only when ties at the cut could reach past the kept candidates."""
+    n = S.shape[0]
+    if n <= 2 * k:
+        order = np.lexsort((I, -S), axis=0)[:k]
+        return np.take_along_axis(S, order, 0), np.take_along_axis(I, order, 0)
+    m = 2 * k
+    part = np.argpartition(-S, m - 1, axis=0)[:m]
+    Ss, Is = np.take_along_axis(S, part, 0), np.take_along_axis(I, part, 0)
+    kth = -np.partition(-Ss, k - 1, axis=0)[k - 1]
+    unsafe = np.flatnonzero(Ss.min(axis=0) >= kth)  # a tie at the k-th score may continue
+    if unsafe.size:
+        full = np.lexsort((I[:, unsafe], -S[:, unsafe]), axis=0)[:m]
+        Ss[:, unsafe] = np.take_along_axis(S[:, unsafe], full, 0)
+        Is[:, unsafe] = np.take_along_axis(I[:, unsafe], full, 0)
+    order = np.lexsort((Is, -Ss), axis=0)[:k]
+    return np.take_along_axis(Ss, order, 0), np.take_along_axis(Is, order, 0)
+
+
 def _partial_topk(bc, k: int, id_col: str, vec_col: str, cell_col: str | None, group_col: str | None = None):
     def fn(batches):
         payload = bc.value
@@ -38,25 +63,31 @@ def _partial_topk(bc, k: int, id_col: str, vec_col: str, cell_col: str | None, g
         probe = payload.get("probe")  # (nq, ncells) bool, only for cell-restricted search
         qgroups = payload.get("groups")  # (nq,) question group, only for grouped search
         nq = len(qids)
-        best_s = np.empty((0, nq))
+        best_s = np.full((0, nq), -np.inf)
         best_i = np.empty((0, nq), dtype=np.int64)
         for pdf in batches:
             if len(pdf) == 0:
                 continue
             ids = pdf[id_col].to_numpy(dtype=np.int64)
             V = np.stack([np.asarray(v, dtype=np.float64) for v in pdf[vec_col]])
-            S = np.round(V @ Q.T, SCORE_DIGITS)
-            if probe is not None:
-                cells = pdf[cell_col].to_numpy(dtype=np.int64)
-                S = np.where(probe[:, cells].T, S, -np.inf)
-            if qgroups is not None:
-                g = pdf[group_col].to_numpy(dtype=np.int64)
-                S = np.where(g[:, None] == qgroups[None, :], S, -np.inf)
-            all_s = np.vstack([best_s, S])
-            all_i = np.vstack([best_i, np.broadcast_to(ids[:, None], S.shape)])
-            order = np.lexsort((all_i, -all_s), axis=0)[:k]
-            best_s = np.take_along_axis(all_s, order, axis=0)
-            best_i = np.take_along_axis(all_i, order, axis=0)
+            cells = pdf[cell_col].to_numpy(dtype=np.int64) if probe is not None else None
+            g = pdf[group_col].to_numpy(dtype=np.int64) if qgroups is not None else None
+            step = max(16, SCORE_CELLS // len(pdf))  # questions scored together
+            new_s = np.full((min(k, len(pdf)) + best_s.shape[0], nq), -np.inf)
+            new_i = np.zeros(new_s.shape, dtype=np.int64)
+            for lo in range(0, nq, step):
+                hi = min(nq, lo + step)
+                S = np.round(V @ Q[lo:hi].T, SCORE_DIGITS)
+                if cells is not None:
+                    S = np.where(probe[lo:hi][:, cells].T, S, -np.inf)
+                if g is not None:
+                    S = np.where(g[:, None] == qgroups[None, lo:hi], S, -np.inf)
+                all_s = np.vstack([best_s[:, lo:hi], S])
+                all_i = np.vstack([best_i[:, lo:hi], np.broadcast_to(ids[:, None], S.shape)])
+                top_s, top_i = _select_topk(all_s, all_i, k)
+                new_s, new_i = new_s[:top_s.shape[0]], new_i[:top_s.shape[0]]
+                new_s[:, lo:hi], new_i[:, lo:hi] = top_s, top_i
+            best_s, best_i = new_s, new_i
         if best_s.shape[0] == 0:
             return
         r, c = np.nonzero(np.isfinite(best_s))
@@ -109,14 +140,18 @@ def top_k(points: DataFrame, questions: DataFrame, k: int = 4, id_col: str = "id
                 continue
             payload = {"qids": pdf["qid"].to_numpy(dtype=np.int64),
                        "Q": np.stack([np.asarray(v, dtype=np.float64) for v in pdf["qvec"]])}
+            block_pts = pts
             if cells is not None:
                 payload["probe"] = _probe_matrix(payload["Q"], cells["centers"], cells["nprobe"])
+                # only probed cells are read (file pruning when the table is stored by cell)
+                probed = [int(c) for c in np.flatnonzero(payload["probe"].any(axis=0))]
+                block_pts = pts.filter(F.col(cell_col).isin(probed))
             if group_col:
                 payload["groups"] = pdf["grp"].to_numpy(dtype=np.int64)
             bc = spark.sparkContext.broadcast(payload)
             schema = CAND_SCHEMA if not group_col else T.StructType(
                 CAND_SCHEMA.fields + [T.StructField("grp", T.LongType(), False)])
-            parts.append(pts.mapInPandas(_partial_topk(bc, k, id_col, vec_col, cell_col, group_col), schema))
+            parts.append(block_pts.mapInPandas(_partial_topk(bc, k, id_col, vec_col, cell_col, group_col), schema))
     gsel = [F.col("grp").alias(group_col)] if group_col else []
     if not parts:
         extra = f", {group_col} long" if group_col else ""

@@ -106,3 +106,17 @@ def test_catalogue_json_round_trip_keeps_first_match(spark, tmp_dir):
     assert n == 6 and back.count() == 40
     first = {r.id: r.title for r in first_match(back, "id", ["file", "pos"]).collect()}
     assert first == {i: f"T{i}" for i in range(5)}
+
+
+def test_select_topk_matches_full_sort_with_ties():
+    from lectern.operators.search import _select_topk
+    rng = np.random.default_rng(3)
+    for trial in range(200):
+        n, nq, k = int(rng.integers(1, 60)), int(rng.integers(1, 6)), int(rng.integers(1, 8))
+        S = rng.integers(0, 4, size=(n, nq)).astype(float)  # heavy ties
+        S[rng.random((n, nq)) < 0.2] = -np.inf
+        I = np.broadcast_to(rng.permutation(n)[:, None], (n, nq)).copy()
+        got_s, got_i = _select_topk(S, I, k)
+        order = np.lexsort((I, -S), axis=0)[:k]
+        assert np.array_equal(got_i, np.take_along_axis(I, order, 0))
+        assert np.array_equal(got_s, np.take_along_axis(S, order, 0))
