@@ -9,9 +9,8 @@ from lectern.plans import sqlparts as S
 from lectern.plans.corpus import training_corpus
 from lectern.session import scratch_dir
 from lectern.sources.catalogue import read_catalogue, write_catalogue
-from lectern.sources.corpus import (land_text, landing_audit, read_split, scan_text, split_bucket,
-                                    write_split)
-from lectern.sources.tables import catalogue, documents, table
+from lectern.sources.corpus import land_text, landing_audit, read_split, scan_text, write_split
+from lectern.sources.tables import catalogue, documents
 
 ROOT_KEY = "external_books_id"
 NEW_ID_OFFSET = 1_000_000
