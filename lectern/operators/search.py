@@ -98,10 +98,16 @@ def _partial_topk(bc, k: int, id_col: str, vec_col: str, cell_col: str | None, g
     return fn
 
 
-def _question_blocks(questions: DataFrame, max_bytes: int):
-    """Size check of the question side: (n, dim, number of blocks)."""
-    stats = questions.agg(F.count("*").alias("n"), F.max(F.size("qvec")).alias("dim")).first()
-    n, dim = int(stats["n"] or 0), int(stats["dim"] or 0)
+def _question_blocks(questions: DataFrame, max_bytes: int, dim_hint: int | None = None):
+    """Size check of the question side: (n, dim, number of blocks).
+
+    With the dimension known, counting rows is enough (the vector column is pruned,
+    so an embedding UDF is not evaluated for the check)."""
+    if dim_hint:
+        n, dim = questions.select("qid").count(), dim_hint
+    else:
+        stats = questions.agg(F.count("*").alias("n"), F.max(F.size("qvec")).alias("dim")).first()
+        n, dim = int(stats["n"] or 0), int(stats["dim"] or 0)
     nbytes = n * max(dim, 1) * 8
     return n, dim, max(1, math.ceil(nbytes / max_bytes))
 
@@ -109,7 +115,7 @@ def _question_blocks(questions: DataFrame, max_bytes: int):
 def top_k(points: DataFrame, questions: DataFrame, k: int = 4, id_col: str = "id",
           vec_col: str = "vector", qid_col: str = "qid", qvec_col: str = "qvec",
           max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-          cells: dict | None = None, group_col: str | None = None) -> DataFrame:
+          cells: dict | None = None, group_col: str | None = None, dim_hint: int | None = None) -> DataFrame:
     """Exact top-k per question -> (qid, rank, id, score).
 
     ``cells`` (from ``ann_index``) restricts each question to the points of its
@@ -123,7 +129,8 @@ def top_k(points: DataFrame, questions: DataFrame, k: int = 4, id_col: str = "id
     if group_col:
         qcols.append(F.col(group_col).cast("long").alias("grp"))
     q = questions.select(*qcols).filter(F.col("qvec").isNotNull())
-    n, _dim, nblocks = _question_blocks(q, max_broadcast_bytes)
+    n, _dim, nblocks = _question_blocks(questions.select(F.col(qid_col).alias("qid")) if dim_hint else q,
+                                        max_broadcast_bytes, dim_hint)
     cell_col = "cell" if cells is not None else None
     cols = [F.col(id_col).cast("long").alias(id_col), F.col(vec_col).alias(vec_col)]
     if cell_col:

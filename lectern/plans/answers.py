@@ -31,7 +31,7 @@ def retrieve(points: DataFrame, questions: DataFrame, k: int = 4, dim: int = DEF
         # one question row per collection (a parameter list, not data)
         q = q.withColumn(group_col, F.explode(F.array(*[F.lit(g) for g in groups])))
         keys = [group_col, "id"]
-    hits = top_k(points, q, k=k, group_col=group_col)
+    hits = top_k(points, q, k=k, group_col=group_col, dim_hint=dim)
     # hits hold at most k rows per (size-checked) question; they are the broadcast side
     payload = points.select(*keys, F.coalesce(F.col("payload.text"), F.lit("")).alias("text"))
     return payload.join(F.broadcast(hits), keys, "inner")
