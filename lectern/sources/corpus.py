@@ -23,7 +23,7 @@ def scan_text(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
     """Every matching file as one row (book_id, file_name, text)."""
     raw = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
            .text(path, wholetext=True))
-    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), KEY_PATTERN, 1).cast("long").alias("book_id"),
+    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), KEY_PATTERN, 1).try_cast("long").alias("book_id"),
                       F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
 
 

@@ -35,7 +35,7 @@ def text_file_stream(spark: SparkSession, landing_dir: str, glob: str = "*.txt",
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.load(landing_dir)
-    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), KEY_PATTERN, 1).cast("long").alias("doc_id"),
+    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), KEY_PATTERN, 1).try_cast("long").alias("doc_id"),
                       F.col("value").alias("text"))
 
 
