@@ -53,9 +53,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
     if not d:
-        d = sc.getConf().get("spark.checkpoint.dir", None)
+        d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
         if not d:
-            d = tempfile.mkdtemp(prefix="lectern-ckpt-")
+            d = tempfile.mkdtemp(prefix="lectern-ckpt-")  # unset: local runs and tests only
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
     return d
