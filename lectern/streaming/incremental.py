@@ -15,6 +15,7 @@ mechanism, as in the reference (a rerun over a directory / a form submit).
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,11 +44,16 @@ def incremental_build(spark: SparkSession, landing_dir: str, store: VectorStore,
                       checkpoint: str, budget: int = 512, dim: int = 384):
     """Start the stream with ``availableNow`` (process what is there, then stop)."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        docs = batch.select("doc_id", "text")
-        pts = build_points(spark, docs, catalogue, budget=budget, dim=dim, materialize=False)
-        store.upsert(pts, replaced_keys=docs.select(F.col("doc_id").alias("book_id")))
+        # several actions read the micro-batch (chunk write, counts, commit): read the
+        # landed files once (persist is recomputable from the source if a block is lost)
+        docs = batch.select("doc_id", "text").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if docs.isEmpty():
+                return
+            pts = build_points(spark, docs, catalogue, budget=budget, dim=dim, materialize=False)
+            store.upsert(pts, replaced_keys=docs.select(F.col("doc_id").alias("book_id")))
+        finally:
+            docs.unpersist()
 
     return (text_file_stream(spark, landing_dir).writeStream.foreachBatch(apply)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
@@ -59,10 +65,14 @@ def answer_stream(spark: SparkSession, question_dir: str, store: VectorStore, si
     qs = spark.readStream.schema(QUESTION_SCHEMA).option("recursiveFileLookup", True).json(question_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        ans = answer_questions(store.read(), batch, k=k, dim=dim)
-        ans.withColumn("epoch_id", F.lit(epoch_id)).write.mode("append").parquet(sink)
+        qb = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            if qb.isEmpty():
+                return
+            ans = answer_questions(store.read(), qb, k=k, dim=dim)
+            ans.withColumn("epoch_id", F.lit(epoch_id)).write.mode("append").parquet(sink)
+        finally:
+            qb.unpersist()
 
     return (qs.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
