@@ -18,30 +18,46 @@ from lectern.functions.text import NON_WS_RUN
 GEN_BATCH = 16
 
 
-def batch_generator(make_model, batch_size: int = GEN_BATCH):
-    """``make_model() -> callable(np.ndarray[str]) -> sequence[str]`` -> Column UDF."""
+GEN_RESULT = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])
+
+
+def _generate(model, inputs: np.ndarray):
+    """(texts, errors): the batch at once; on failure row by row, a failing row -> ""."""
+    try:
+        out = list(model(inputs))
+        if len(out) != len(inputs):
+            raise ValueError("generator returned a different number of rows")
+        return out, [None] * len(out)
+    except Exception:
+        texts, errors = [], []
+        for x in inputs:
+            try:
+                texts.append(list(model(np.asarray([x], dtype=object)))[0])
+                errors.append(None)
+            except Exception as e:  # the row keeps an empty answer and the reason
+                texts.append("")
+                errors.append(f"{type(e).__name__}: {e}")
+        return texts, errors
+
+
+def batch_generator(make_model, batch_size: int = GEN_BATCH, with_errors: bool = False):
+    """``make_model() -> callable(np.ndarray[str]) -> sequence[str]`` -> Column UDF.
+
+    Returns the generated text, or ``struct(text, error)`` with ``with_errors``."""
     from pyspark.ml.functions import predict_batch_udf
 
     def make_predict_fn():
         model = make_model()
 
-        def predict(inputs: np.ndarray) -> np.ndarray:
-            try:
-                out = list(model(inputs))
-                if len(out) != len(inputs):
-                    raise ValueError("generator returned a different number of rows")
-                return np.asarray(out, dtype=object)
-            except Exception:
-                res = []
-                for x in inputs:
-                    try:
-                        res.append(list(model(np.asarray([x], dtype=object)))[0])
-                    except Exception:
-                        res.append("")
-                return np.asarray(res, dtype=object)
+        def predict(inputs: np.ndarray):
+            texts, errors = _generate(model, inputs)
+            if with_errors:
+                return {"text": np.asarray(texts, dtype=object), "error": np.asarray(errors, dtype=object)}
+            return np.asarray(texts, dtype=object)
         return predict
 
-    return predict_batch_udf(make_predict_fn, return_type=T.StringType(), batch_size=batch_size)
+    return predict_batch_udf(make_predict_fn, return_type=GEN_RESULT if with_errors else T.StringType(),
+                             batch_size=batch_size)
 
 
 # --- a dependency-free stand-in model (used where no real model is installed) -------

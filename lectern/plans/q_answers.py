@@ -143,11 +143,12 @@ MIN_TOKENS = 3
 
 
 def q33_batch_generation(spark, sf):
-    gen = batch_generator(partial(make_head_model, HEAD_TOKENS, MIN_TOKENS), batch_size=16)
-    d = documents(spark, sf).select("doc_id", gen(F.col("text")).alias("out"))
-    return d.select("doc_id", F.md5("out").alias("out_md5"),
-                    F.size(F.filter(F.split("out", " "), lambda s: F.length(s) > 0)).cast("long").alias("out_tokens"),
-                    (F.col("out") == "").alias("failed"))
+    """B2 + R5: the user model runs in batches of 16; a failing row keeps "" and its error."""
+    gen = batch_generator(partial(make_head_model, HEAD_TOKENS, MIN_TOKENS), batch_size=16, with_errors=True)
+    d = documents(spark, sf).select("doc_id", gen(F.col("text")).alias("g"))
+    return d.select("doc_id", F.md5("g.text").alias("out_md5"),
+                    F.size(F.filter(F.split("g.text", " "), lambda s: F.length(s) > 0)).cast("long").alias("out_tokens"),
+                    F.col("g.error").isNotNull().alias("failed"))
 
 
 def sql_q33_batch_generation():

@@ -120,3 +120,10 @@ def test_select_topk_matches_full_sort_with_ties():
         order = np.lexsort((I, -S), axis=0)[:k]
         assert np.array_equal(got_i, np.take_along_axis(I, order, 0))
         assert np.array_equal(got_s, np.take_along_axis(S, order, 0))
+
+
+def test_generation_error_column(spark):
+    gen = batch_generator(lambda: make_head_model(2, 3), batch_size=4, with_errors=True)
+    df = spark.createDataFrame([(1, "one two three four"), (2, "x")], "id int, t string").coalesce(1)
+    got = {r.id: (r.o.text, r.o.error) for r in df.select("id", gen(F.col("t")).alias("o")).collect()}
+    assert got[1] == ("one two", None) and got[2][0] == "" and got[2][1].startswith("ValueError")
