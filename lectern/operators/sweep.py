@@ -43,8 +43,12 @@ def trial_table(spark: SparkSession, n_trials: int = N_TRIALS) -> DataFrame:
         categorical(uniform(F.col("trial_id"), "epochs"), EPOCHS).alias("num_train_epochs"))
 
 
-def best_trial(scored: DataFrame, loss_col: str = "loss") -> DataFrame:
-    """Flags the trial of minimum loss (ties: lower trial_id) via a global min_by."""
-    best = scored.agg(F.min_by("trial_id", F.struct(loss_col, "trial_id")).alias("trial_id"))
+def best_trial(scored: DataFrame, loss_col: str = "loss", digits: int = 9) -> DataFrame:
+    """Flags the trial of minimum loss (ties: lower trial_id) via a global min_by.
+
+    The loss is compared at ``digits`` decimals: a mean's last bits depend on the order
+    partial sums are combined in, so equal losses must not be split by that noise."""
+    key = F.struct(F.round(F.col(loss_col), digits).alias("l"), F.col("trial_id"))
+    best = scored.agg(F.min_by("trial_id", key).alias("trial_id"))
     return scored.join(best.withColumn("is_best", F.lit(True)), "trial_id", "left") \
         .withColumn("is_best", F.coalesce("is_best", F.lit(False)))

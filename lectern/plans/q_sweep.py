@@ -94,7 +94,7 @@ loss AS (SELECT sp.trial_id, 1.0 - avg({f}) AS loss FROM o JOIN sp ON sp.pid = o
 res AS (SELECT t.*, l.loss FROM trials2 t JOIN loss l ON l.trial_id = t.trial_id)
 SELECT trial_id::BIGINT AS trial_id, round(learning_rate, 12) AS learning_rate, batch_size::BIGINT AS batch_size,
   num_train_epochs::BIGINT AS num_train_epochs, chunk_budget::BIGINT AS chunk_budget, top_k::BIGINT AS top_k,
-  round(loss, 9) AS loss, trial_id = (SELECT arg_min(trial_id, (loss, trial_id)) FROM res) AS is_best FROM res"""
+  round(loss, 9) AS loss, trial_id = (SELECT arg_min(trial_id, (round(loss, 9), trial_id)) FROM res) AS is_best FROM res"""
 
 
 QUERIES = {

@@ -50,3 +50,10 @@ def test_pad_to_batch_longest(spark):
     assert len(ids) == 4 and ids[1] == EOS and ids[2:] == [PAD, PAD] and mask == [1, 1, 0, 0]
     ids, mask = rows[(1, "a b c d e")]
     assert len(ids) == 5 and ids[-1] == EOS and mask == [1] * 5
+
+
+def test_best_trial_ignores_last_bit_noise(spark):
+    from lectern.operators.sweep import best_trial
+    scored = spark.createDataFrame([(7, 0.1 + 0.2), (4, 0.3), (9, 0.5)], "trial_id int, loss double")
+    best = [r.trial_id for r in best_trial(scored).filter("is_best").collect()]
+    assert best == [4]  # 0.30000000000000004 and 0.3 tie; the lower trial id wins
