@@ -9,6 +9,7 @@ from lectern.functions.ngrams import rouge_tokens
 from lectern.functions.text import (PASSAGE_SEPARATOR, _col, enrich, prompt, sentences,
                                     truncate_tokens)
 from lectern.operators.embedding import DEFAULT_DIM, hash_embed
+from lectern.operators.joins import MAX_BROADCAST_ROWS
 from lectern.operators.search import top_k
 
 PROMPT_TOKENS = 512
@@ -32,9 +33,13 @@ def retrieve(points: DataFrame, questions: DataFrame, k: int = 4, dim: int = DEF
         q = q.withColumn(group_col, F.explode(F.array(*[F.lit(g) for g in groups])))
         keys = [group_col, "id"]
     hits = top_k(points, q, k=k, group_col=group_col, dim_hint=dim)
-    # hits hold at most k rows per (size-checked) question; they are the broadcast side
     payload = points.select(*keys, F.coalesce(F.col("payload.text"), F.lit("")).alias("text"))
-    return payload.join(F.broadcast(hits), keys, "inner")
+    # hits hold k rows per question (and group): broadcast only under a counted bound,
+    # otherwise a shuffle join (the payload side is then shuffled by id once)
+    n_hits = questions.count() * k * (len(groups) if group_col else 1)
+    if n_hits <= MAX_BROADCAST_ROWS:
+        hits = F.broadcast(hits)
+    return payload.join(hits, keys, "inner")
 
 
 def combine(hits: DataFrame) -> DataFrame:
