@@ -147,6 +147,67 @@ def q25_rouge_lsum(spark, sf):
     return s.select("conv_id", "turn", *[F.round(F.col(f"r.{k}"), 9).alias(k) for k in ("precision", "recall", "fmeasure")])
 
 
+def sql_q25_rouge_lsum():
+    """Union-LCS over newline-separated lines: a DP table per (reference line, candidate
+    line), a backtrack with the metric's tie rule, then hits = sum over tokens of
+    min(occurrences in the union, candidate count)."""
+    tok = S.rouge_tokens
+    nl = "chr(10)"
+    lines = lambda col: f"list_filter(string_split({col}, {nl}), lambda s: length(s) > 0)"
+    return f"""WITH RECURSIVE {PAIRS_SQL},
+ln AS MATERIALIZED (
+  SELECT pid, side, li, {tok('line')} AS toks FROM (
+    SELECT pid, 'c' AS side, unnest(l) AS line, generate_subscripts(l, 1) AS li FROM (SELECT pid, {lines('pred')} AS l FROM pairs)
+    UNION ALL
+    SELECT pid, 'r', unnest(l), generate_subscripts(l, 1) FROM (SELECT pid, {lines('ref')} AS l FROM pairs))
+),
+lp AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY r.pid, r.li, c.li) AS lpid, r.pid, r.li AS ri, r.toks AS x, c.toks AS y
+  FROM ln r JOIN ln c ON c.pid = r.pid WHERE r.side = 'r' AND c.side = 'c'
+),
+xt AS MATERIALIZED (SELECT lpid, unnest(x) AS tok, generate_subscripts(x, 1) AS i FROM lp),
+yt AS MATERIALIZED (SELECT lpid, unnest(y) AS tok, generate_subscripts(y, 1) AS j FROM lp),
+dp AS (
+  SELECT lpid, 0 AS i, j, 0::BIGINT AS L FROM (SELECT lpid, j FROM yt UNION ALL SELECT lpid, 0 FROM lp)
+  UNION ALL
+  SELECT lpid, i, j, max(c) OVER (PARTITION BY lpid ORDER BY j ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+  FROM (
+    SELECT d.lpid, d.i + 1 AS i, d.j,
+      CASE WHEN d.j = 0 THEN 0
+           WHEN yy.tok = xx.tok THEN lag(d.L) OVER (PARTITION BY d.lpid ORDER BY d.j) + 1
+           ELSE d.L END AS c
+    FROM dp d JOIN xt xx ON xx.lpid = d.lpid AND xx.i = d.i + 1
+    LEFT JOIN yt yy ON yy.lpid = d.lpid AND yy.j = d.j)
+),
+dpm AS MATERIALIZED (SELECT * FROM dp),
+bt AS (
+  SELECT lpid, len(x) AS i, len(y) AS j, NULL::BIGINT AS hit FROM lp
+  UNION ALL
+  SELECT b.lpid,
+    CASE WHEN xx.tok = yy.tok THEN b.i - 1 WHEN lf.L > up.L THEN b.i ELSE b.i - 1 END,
+    CASE WHEN xx.tok = yy.tok THEN b.j - 1 WHEN lf.L > up.L THEN b.j - 1 ELSE b.j END,
+    CASE WHEN xx.tok = yy.tok THEN b.i END
+  FROM bt b
+  JOIN xt xx ON xx.lpid = b.lpid AND xx.i = b.i
+  JOIN yt yy ON yy.lpid = b.lpid AND yy.j = b.j
+  JOIN dpm lf ON lf.lpid = b.lpid AND lf.i = b.i AND lf.j = b.j - 1
+  JOIN dpm up ON up.lpid = b.lpid AND up.i = b.i - 1 AND up.j = b.j
+  WHERE b.i > 0 AND b.j > 0
+),
+uni AS (SELECT DISTINCT lp.pid, lp.ri, b.hit, lp.x[b.hit] AS t FROM bt b JOIN lp ON lp.lpid = b.lpid WHERE b.hit IS NOT NULL),
+occ AS (SELECT pid, t, count(*) AS o FROM uni GROUP BY ALL),
+cc AS (SELECT pid, t, count(*) AS c FROM (SELECT pid, unnest(toks) AS t FROM ln WHERE side = 'c') GROUP BY ALL),
+hits AS (SELECT o.pid, sum(least(o.o, c.c)) AS h FROM occ o JOIN cc c ON c.pid = o.pid AND c.t = o.t GROUP BY o.pid),
+sizes AS (SELECT pid, sum(len(toks)) FILTER (WHERE side = 'r') AS m, sum(len(toks)) FILTER (WHERE side = 'c') AS n FROM ln GROUP BY pid),
+sc AS (SELECT p.pid, p.conv_id, p.turn, coalesce(h.h, 0) AS h, coalesce(z.m, 0) AS m, coalesce(z.n, 0) AS n
+  FROM pairs p LEFT JOIN hits h ON h.pid = p.pid LEFT JOIN sizes z ON z.pid = p.pid)
+SELECT conv_id, turn,
+  round(CASE WHEN m = 0 OR n = 0 THEN 0.0 ELSE h / n END, 9) AS precision,
+  round(CASE WHEN m = 0 OR n = 0 THEN 0.0 ELSE h / m END, 9) AS recall,
+  round(CASE WHEN m = 0 OR n = 0 OR h = 0 THEN 0.0 ELSE 2 * (h / n) * (h / m) / ((h / n) + (h / m)) END, 9) AS fmeasure
+FROM sc"""
+
+
 def q26_bleu(spark, sf):
     s = score_pairs(_pairs(spark, sf), metrics=("bleu",))
     b = corpus_bleu(s, "bleu_parts")
@@ -211,7 +272,7 @@ QUERIES = {
     "q22_rouge1": (_rouge_n_query(1), _sql_rouge_n(1)),
     "q23_rouge2": (_rouge_n_query(2), _sql_rouge_n(2)),
     "q24_rouge_l": (q24_rouge_l, sql_q24_rouge_l),
-    "q25_rouge_lsum": (q25_rouge_lsum, None),
+    "q25_rouge_lsum": (q25_rouge_lsum, sql_q25_rouge_lsum),
     "q26_bleu": (q26_bleu, sql_q26_bleu),
     "q31_leaderboard": (q31_leaderboard, sql_q31_leaderboard),
 }
