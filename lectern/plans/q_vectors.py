@@ -75,16 +75,31 @@ FROM e JOIN cen c ON c.label = e.label"""
 
 def q16_ann_recall(spark, sf):
     """V4: KMeans cells (16, cosine), 2 probes, exact re-rank inside the probed cells;
-    questions are the label centroids.  Rows carry whether the exact top-4 has them."""
+    questions are the label centroids.  Rows carry whether the exact top-4 has them, the
+    question's recall@4 and the fraction of the table its probed cells hold."""
+    from pyspark.sql import Window
     emb = table(spark, sf, "embeddings").filter(F.col("embedding").isNotNull())
     pts = emb.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     qs = _centroids(emb).select(F.col("label").cast("long").alias("qid"), F.col("centroid").alias("qvec"))
     cells_pts, cells = ann_index(pts, n_cells=16, nprobe=2)
     approx = top_k(cells_pts, qs, k=4, cells=cells)
     exact = top_k(pts, qs, k=4).select("qid", "id", F.lit(True).alias("in_exact"))
-    return (approx.join(exact, ["qid", "id"], "left")
-            .select("qid", "rank", "id", F.round("score", 9).alias("score"),
-                    F.coalesce("in_exact", F.lit(False)).alias("in_exact")))
+    rows = approx.join(exact, ["qid", "id"], "left").withColumn("in_exact", F.coalesce("in_exact", F.lit(False)))
+    # scanned fraction: the probed cells of each question (centres are n_cells x dim, a
+    # parameter -> exploded literal, no join) weighted by the cell sizes (n_cells rows)
+    centres = F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in cells["centers"]])
+    qc = qs.select("qid", "qvec", F.posexplode(centres).alias("cell", "cvec")) \
+        .withColumn("sim", cosine(F.col("qvec"), F.col("cvec")))
+    w = Window.partitionBy("qid").orderBy(F.col("sim").desc(), F.col("cell").asc())
+    probed = qc.withColumn("r", F.row_number().over(w)).filter(F.col("r") <= cells["nprobe"]).select("qid", "cell")
+    sizes = cells_pts.groupBy("cell").agg(F.count("*").alias("n"))
+    total = sizes.agg(F.sum("n")).first()[0]
+    frac = probed.join(F.broadcast(sizes), "cell").groupBy("qid").agg((F.sum("n") / F.lit(total)).alias("scanned_fraction"))
+    recall = Window.partitionBy("qid")
+    return (rows.join(frac, "qid", "left")
+            .select("qid", "rank", "id", F.round("score", 9).alias("score"), "in_exact",
+                    (F.sum(F.col("in_exact").cast("int")).over(recall) / F.lit(4.0)).alias("recall"),
+                    F.round("scanned_fraction", 6).alias("scanned_fraction")))
 
 
 def q17_points(spark, sf):
