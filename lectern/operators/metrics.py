@@ -165,13 +165,19 @@ def score_pairs(df: DataFrame, pred_col: str = "prediction", ref_col: str = "ref
     """Adds one struct column per metric.  Token and n-gram arrays are projected once
     as columns (Catalyst keeps a non-cheap projection that is referenced several
     times instead of inlining it), so each regex chain runs once per row."""
-    keep = df.columns
+    keep = [c for c in df.columns if c not in ("_rr", "_br")]
     want_r = any(m in metrics for m in ("rouge1", "rouge2", "rougeL"))
     toks = []
+    # reference tokens may be projected by the caller (``_rr`` / ``_br``), e.g. once per
+    # reference before it is fanned out to several models
     if want_r:
-        toks += [rouge_tokens(pred_col).alias("_rp"), rouge_tokens(ref_col).alias("_rr")]
+        toks.append(rouge_tokens(pred_col).alias("_rp"))
+        if "_rr" not in df.columns:
+            toks.append(rouge_tokens(ref_col).alias("_rr"))
     if "bleu" in metrics:
-        toks += [bleu_tokens(pred_col).alias("_bp"), bleu_tokens(ref_col).alias("_br")]
+        toks.append(bleu_tokens(pred_col).alias("_bp"))
+        if "_br" not in df.columns:
+            toks.append(bleu_tokens(ref_col).alias("_br"))
     cur = df.select("*", *toks)
     grams = []
     if "rouge2" in metrics:
@@ -227,7 +233,8 @@ def leaderboard(pred: DataFrame, model_col: str = "model", pred_col: str = "pred
                 ref_col: str = "reference", max_order: int = 4) -> DataFrame:
     """Per-model mean ROUGE-1/2/L F-measure and corpus BLEU in one aggregation
     (one pass over the scored pairs; partial aggregation before the shuffle)."""
-    scored = score_pairs(pred.select(model_col, pred_col, ref_col), pred_col, ref_col)
+    extra = [c for c in ("_rr", "_br") if c in pred.columns]
+    scored = score_pairs(pred.select(model_col, pred_col, ref_col, *extra), pred_col, ref_col)
     n = range(1, max_order + 1)
     g = scored.groupBy(model_col).agg(
         F.count("*").alias("n_pairs"), F.avg("rouge1.fmeasure").alias("rouge1"),

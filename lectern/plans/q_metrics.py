@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from lectern.functions.ngrams import bleu_tokens, rouge_tokens
 from lectern.functions.text import sentences, truncate_tokens
 from lectern.operators.metrics import corpus_bleu, leaderboard, rouge_lsum, score_pairs
 from lectern.plans import sqlparts as S
@@ -234,8 +235,11 @@ def _predictions(spark, sf):
     gens = [F.struct(F.lit(name).alias("model"), F.array_join(F.slice(sentences("prediction"), 1, n), " ").alias("out"))
             for name, n in MODELS]
     gens.append(F.struct(F.lit("head_150").alias("model"), truncate_tokens("prediction", HEAD_TOKENS).alias("out")))
-    e = p.select("conv_id", "turn", "reference", F.explode(F.array(*gens)).alias("g"))
-    return e.select(F.col("g.model").alias("model"), "conv_id", "turn", F.col("g.out").alias("prediction"), "reference")
+    # each reference is tokenised once, before it is paired with every model's output
+    p = p.select("*", rouge_tokens("reference").alias("_rr"), bleu_tokens("reference").alias("_br"))
+    e = p.select("conv_id", "turn", "reference", "_rr", "_br", F.explode(F.array(*gens)).alias("g"))
+    return e.select(F.col("g.model").alias("model"), "conv_id", "turn", F.col("g.out").alias("prediction"),
+                    "reference", "_rr", "_br")
 
 
 def q31_leaderboard(spark, sf):
