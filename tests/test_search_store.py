@@ -127,3 +127,15 @@ def test_generation_error_column(spark):
     df = spark.createDataFrame([(1, "one two three four"), (2, "x")], "id int, t string").coalesce(1)
     got = {r.id: (r.o.text, r.o.error) for r in df.select("id", gen(F.col("t")).alias("o")).collect()}
     assert got[1] == ("one two", None) and got[2][0] == "" and got[2][1].startswith("ValueError")
+
+
+def test_ann_query_reports_recall_and_scan(spark):
+    import __spark_entry__ as E
+    rows = E.queries()["q16_ann_recall"](spark, "/root/testdata/sf0.001").collect()
+    assert rows
+    by_q = {}
+    for r in rows:
+        by_q.setdefault(r.qid, []).append(r)
+    for qid, rs in by_q.items():
+        assert 0.0 <= rs[0].recall <= 1.0 and 0.0 < rs[0].scanned_fraction <= 1.0
+        assert rs[0].recall == sum(x.in_exact for x in rs) / 4.0
