@@ -9,19 +9,26 @@ count) is ever ordered as a whole.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.session import checkpoint_root
 
 
+ROWS_PER_RANGE = 1_000_000
+
+
 def exclusive_offsets(df: DataFrame, key: str, count_col: str, partitions: int | None = None,
                       group: str | None = None) -> DataFrame:
     """(key, count, ...) -> same columns + offset = sum of counts of smaller keys
     (within the same ``group`` when given)."""
     spark = df.sparkSession
     checkpoint_root(spark)
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # one range partition per ROWS_PER_RANGE rows: a few hundred books stay one task,
+    # a billion books get a thousand ranges
+    n = partitions or max(1, math.ceil(df.count() / ROWS_PER_RANGE))
     order = ([group] if group else []) + [key]
     ranged = (df.repartitionByRange(n, *order)
               .withColumn("_p", F.spark_partition_id())).checkpoint(eager=True)
