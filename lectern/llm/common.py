@@ -204,3 +204,19 @@ def spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
     """start[0], start[0] + 1, ... count[0] values, then those of start[1], ..."""
     total = int(count.sum())
     return np.arange(total) + np.repeat(start - (np.cumsum(count) - count), count)
+
+
+# ---------------------------------------------------------------- decisions on rows
+
+def text_key(docs: DataFrame, text_col: str = "text"):
+    return F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+
+
+def without(docs: DataFrame, bad: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` without the rows whose (id, text) is in ``bad``, a written table of doc_id and
+    the text's ``h``; null ids match null ids.  All columns stay as they are."""
+    side = bad.select(F.col("doc_id").alias("_bad_id"), F.col("h").alias("_bad_h"))
+    small = side.count() * 24 <= BROADCAST_BYTES
+    return docs.join(F.broadcast(side) if small else side,
+                     docs[id_col].cast("long").eqNullSafe(F.col("_bad_id")) & (text_key(docs, text_col) == F.col("_bad_h")),
+                     "left_anti")

@@ -8,10 +8,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import exact_dedup, packing, token_output
+from lectern.llm import decontaminate, exact_dedup, packing, token_output
 from lectern.sources.tables import table
 
 
+_WORDS = r"""coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), [])"""
+
+
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contamination_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op1_sql() -> str:
+    return f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+bw AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[j:j + least(len(w), 10) - 1], ' ') AS g
+       FROM b, unnest(range(1, len(w) - least(len(w), 10) + 2)) t(j) WHERE len(w) > 0),
+dw AS (SELECT doc_id, i, n, array_to_string(w[i:i + n - 1], ' ') AS g
+       FROM d, (SELECT DISTINCT n FROM bw), unnest(range(1, len(w) - n + 2)) t(i)),
+hit AS (SELECT doc_id, i, n, item_id FROM dw JOIN bw USING (n, g)),
+cov AS (SELECT doc_id, count(DISTINCT k) AS n_hit
+        FROM (SELECT DISTINCT doc_id, i, n FROM hit) h, unnest(range(i, i + n)) t(k) GROUP BY doc_id),
+its AS (SELECT doc_id, count(*) AS n_items, sha256(string_agg(item_id, ',' ORDER BY item_id)) AS s
+        FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item_id FROM hit) GROUP BY doc_id)
+SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       coalesce(s, sha256('')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)"""
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -32,6 +58,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontamination": (op1_decontamination, op1_sql),
     "op8_exact_dedup": (op8_exact_dedup, op8_sql),
     "op9_token_output": (op9_token_output, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
