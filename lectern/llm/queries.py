@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import decontaminate, exact_dedup, packing, token_output
+from lectern.llm import decontaminate, exact_dedup, packing, span_dedup, token_output
 from lectern.sources.tables import table
 
 
@@ -38,6 +38,10 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_item
 FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN its USING (doc_id)"""
 
 
+def op2_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return span_dedup.span_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -59,6 +63,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_decontamination": (op1_decontamination, op1_sql),
+    "op2_span_dedup": (op2_span_dedup, None),
     "op8_exact_dedup": (op8_exact_dedup, op8_sql),
     "op9_token_output": (op9_token_output, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
