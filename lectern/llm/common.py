@@ -172,11 +172,12 @@ def _long_word(b: np.ndarray) -> np.uint64:
 
 
 def byte_table(word_byte) -> np.ndarray:
-    """Byte map for :func:`words`: A-Z lower-cased, bytes outside words to 0."""
+    """Byte map for :func:`words`: A-Z lower-cased, bytes outside words to 0 (and a NUL that is
+    in words to 255, which UTF-8 has no use for)."""
     t = np.zeros(256, np.uint8)
     for b in range(256):
         if word_byte(b):
-            t[b] = b + 32 if 65 <= b <= 90 else b
+            t[b] = b + 32 if 65 <= b <= 90 else b or 255
     return t
 
 
@@ -220,3 +221,13 @@ def without(docs: DataFrame, bad: DataFrame, id_col: str = "doc_id", text_col: s
     return docs.join(F.broadcast(side) if small else side,
                      docs[id_col].cast("long").eqNullSafe(F.col("_bad_id")) & (text_key(docs, text_col) == F.col("_bad_h")),
                      "left_anti")
+
+
+def join_groups(rows: DataFrame, groups: DataFrame, key: str, size_col: str, total: int) -> DataFrame:
+    """Join ``rows`` to ``groups`` (written, one row per key, with the key's row count).  Groups
+    that hold over a thousandth of all rows are a thousand at most and are broadcast; the others
+    are too small to skew the shuffled join."""
+    hot_size = max(1000, total // 1000)
+    hot, cold = groups.filter(F.col(size_col) > hot_size), groups.filter(F.col(size_col) <= hot_size)
+    return rows.join(F.broadcast(hot), key).unionByName(
+        rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(cold, key))

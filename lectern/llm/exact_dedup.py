@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import BROADCAST_BYTES, keyed, materialise, parts_for, semi_join
+from lectern.llm.common import BROADCAST_BYTES, join_groups, keyed, materialise, parts_for, semi_join
 
 #: rows of one sender, and fingerprints of one owner, at most (owners: on average)
 SENDER_ROWS = 1 << 18
@@ -140,12 +140,7 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .join(verified, "sha")
         .select("sha", "group_size", F.col("last.doc_id").alias("keep_id"), F.col("last.row").alias("keep_row"),
                 F.when(F.col("texts") > 1, F.raise_error(F.lit("two texts with one SHA-256"))).alias("_check")), "groups")
-    # groups that hold over a thousandth of the rows are at most a thousand: broadcast.
-    # The others cannot skew the join.
-    hot_size = max(1000, flagged.count() // 1000)
-    hot, cold = groups.filter(F.col("group_size") > hot_size), groups.filter(F.col("group_size") <= hot_size)
-    joined = (suspects.join(F.broadcast(hot), "sha").unionByName(
-        suspects.join(F.broadcast(hot.select("sha")), "sha", "left_anti").join(cold, "sha")))
+    joined = join_groups(suspects, groups, "sha", "group_size", flagged.count())
     out = ["doc_id", "keep_id", "group_size", "kept", F.col("sha").alias("text_sha256")]
     return (joined.withColumn("kept", F.col("row") == F.col("keep_row")).filter(F.col("_check").isNull()).select(*out)
             .unionByName(flagged.filter(~F.col("suspect"))

@@ -42,6 +42,8 @@ class _Letters(dict):
 
 #: any byte but blank and newline is in a piece
 _PIECE = byte_table(lambda b: b not in (10, 32))
+_LOWER = byte_table(lambda b: True)
+_LOWER[0] = 0
 
 
 class PieceEncoder:
@@ -99,7 +101,7 @@ class PieceEncoder:
         code, seen = pd.factorize(h)
         one = np.empty(len(seen), np.int64)  # an occurrence of each piece
         one[code] = np.arange(len(code))
-        lower = _PIECE[buf]
+        lower = _LOWER[buf]
         padded = np.append(lower, np.zeros(8, np.uint8))
         head = np.ndarray((len(buf) + 1,), "<u8", padded.tobytes(), 0, (1,))[s[one]].astype(np.uint64)
         short = np.minimum(e[one] - s[one], 8).astype(np.uint64)
