@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import decontaminate, exact_dedup, ngram_join, packing, span_dedup, token_output
+from lectern.llm import decontaminate, exact_dedup, ngram_join, packing, span_dedup, token_output, toxicity
 from lectern.sources.tables import table
 
 
@@ -46,6 +46,10 @@ def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op1_decontamination": (op1_decontamination, op1_sql),
     "op2_span_dedup": (op2_span_dedup, None),
     "op3_ngram_jaccard_join": (op3_ngram_jaccard_join, None),
+    "op4_toxicity": (op4_toxicity, None),
     "op8_exact_dedup": (op8_exact_dedup, op8_sql),
     "op9_token_output": (op9_token_output, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
