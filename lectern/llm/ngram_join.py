@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lectern.llm.common import (BROADCAST_BYTES, U64, byte_table, expand, finish, join_groups, keyed, materialise, mix, packs,
-                                parts_for, spans, squeeze, utf8, words)
+                                parts_for, spans, squeeze, utf8, without, words)
 from lectern.llm.components import components
 
 WORDS = 5
@@ -99,8 +99,8 @@ def _sign(batches):
     for table in packs(batches, PACK):
         sets = shingle_sets(table)
         yield pa.RecordBatch.from_arrays(
-            [table.column("doc_id").combine_chunks(), pa.array([len(x) for x in sets], pa.int64()),
-             pa.array([_fingerprint(x) for x in sets], pa.binary())], names=["doc_id", "n", "fp"])
+            [table.column("doc_id").combine_chunks(), table.column("h").combine_chunks(), pa.array([len(x) for x in sets], pa.int64()),
+             pa.array([_fingerprint(x) for x in sets], pa.binary())], names=["doc_id", "h", "n", "fp"])
 
 
 def _bucket(h: np.ndarray, n: int) -> np.ndarray:
@@ -337,9 +337,9 @@ def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame) -> DataFrame
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_list: int = SHORT_LIST) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id."""
+    """Per row of ``docs``: doc_id, n_shingles, component_id, h (hash of the text)."""
     src = keyed(docs, id_col=id_col, text_col=text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_LOW)))
-    signed = materialise(src.mapInArrow(_sign, "doc_id long, n long, fp binary"), "signed")
+    signed = materialise(src.withColumn("h", F.xxhash64("text")).mapInArrow(_sign, "doc_id long, h long, n long, fp binary"), "signed")
     classes = materialise(signed.filter("n > 0").groupBy("fp").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
@@ -391,10 +391,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = known.groupBy("label").agg(F.min("rep").alias("component_id"))
     known = materialise(known.join(least, "label").select("fp", "component_id", "copies"), "known")
     rows = signed.count()
-    out = (join_groups(signed.filter("n > 0"), known, "fp", "copies", rows).select("doc_id", "n", "component_id")
-           .unionByName(signed.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))))
+    out = (join_groups(signed.filter("n > 0"), known, "fp", "copies", rows).select("doc_id", "h", "n", "component_id")
+           .unionByName(signed.filter("n = 0").select("doc_id", "h", "n", F.col("doc_id").alias("component_id"))))
     null = lambda c: F.when(F.col(c) != _LOW, F.col(c)).alias(c)
-    return out.select(null("doc_id"), F.col("n").alias("n_shingles"), null("component_id"))
+    return out.select(null("doc_id"), F.col("n").alias("n_shingles"), null("component_id"), "h")
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """``docs`` with one document of each group of near duplicates: the one of the least doc_id."""
+    found = near_duplicates(docs)
+    bad = materialise(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "h").distinct(), "near")
+    return without(docs, bad)
 
 
 def l_of_size(n):

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import decontaminate, exact_dedup, ngram_join, packing, span_dedup, token_output, toxicity
+from lectern.llm import chat, decontaminate, exact_dedup, language_id, licences, ngram_join, packing, span_dedup, token_output, toxicity
 from lectern.sources.tables import table
 
 
@@ -43,13 +43,25 @@ def op2_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("h")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chat(table(spark, sf_dir, "conversations"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"))
+
+
+def op7_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licence_digest(table(spark, sf_dir, "documents"))
+
+
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -74,6 +86,9 @@ QUERIES = {
     "op2_span_dedup": (op2_span_dedup, None),
     "op3_ngram_jaccard_join": (op3_ngram_jaccard_join, None),
     "op4_toxicity": (op4_toxicity, None),
+    "op5_chat_formatting": (op5_chat_formatting, None),
+    "op6_language_id": (op6_language_id, None),
+    "op7_licence_scan": (op7_licence_scan, None),
     "op8_exact_dedup": (op8_exact_dedup, op8_sql),
     "op9_token_output": (op9_token_output, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
