@@ -43,8 +43,8 @@ SEED = 32
 _KMERS = SPAN - SEED + 1
 #: text bytes hashed at a time, sent as one pack, held by one owner, and of one shard
 STEP_BYTES = 1 << 20
-SEND_BYTES = 16 << 20
-OWNER_BYTES = 48 << 20
+SEND_BYTES = 8 << 20
+OWNER_BYTES = 16 << 20
 SHARD_BYTES = 2 << 20
 HOT_SEED = 200_000
 
@@ -262,7 +262,7 @@ def _fetch(shards: int):
     """Bytes of the representatives, by shard (kind 1), and fingerprints of hot seeds' strings
     (kind 2), the earliest of each in the pack; what repeats within it is settled (kind 0)."""
     def fetch(batches):
-        for table in packs(batches, SEND_BYTES):
+        for table in packs(batches, 4 * STEP_BYTES):
             buf, off = utf8(table.column("text"))
             ids, hs = _null_id(table.column("doc_id")), table.column("h").to_numpy()
             rows = []
