@@ -14,9 +14,10 @@ is to reach the threshold shares at least T = ceil(0.8 n) of them with its partn
    short lists.  Among themselves, each is first compared with one pivot per long list; then
    members of one list that the links found so far leave in different components are compared,
    over all but the longest lists that a partner cannot need.
-4. Candidates are checked in shards: a shard holds the whole sets of the documents it needs and
-   searches each among the others by DivideSkip (heap merge of short lists with skips, binary
-   probes of long ones), then by 100 * intersection >= 80 * union.
+4. Candidates are checked in shards, which hold the whole sets of the documents they need: the
+   larger of a pair is searched among its partners by DivideSkip (heap merge of short lists with
+   skips, binary probes of long ones), then by 100 * intersection >= 80 * union.  Partners that
+   links of the shard already connect to it are not searched again.
 
 No list is cut or left out, and no pair of a long list is emitted unless its components differ.
 Null, empty or blank texts have no shingles and no links; a null doc_id ranks below all others
@@ -260,44 +261,61 @@ def divide_skip(lists: list[list[int]], least: int) -> dict[int, int]:
     return found
 
 
-def _check(pdf: pd.DataFrame) -> pd.DataFrame:
-    """All links among the documents of a shard."""
-    pdf = pdf.drop_duplicates("cid")
-    table = pa.table({"text": pa.array(pdf["text"], pa.string())})
-    sets = shingle_sets(table)
-    cids = pdf["cid"].to_numpy()
-    order = sorted(range(len(sets)), key=lambda i: (len(sets[i]), cids[i]))
-    sets, cids = [sets[i] for i in order], cids[order]
-    size = np.array([len(x) for x in sets])
-    h = np.concatenate(sets)
-    doc = np.repeat(np.arange(len(sets)), size)
-    o = np.lexsort((doc, h))
-    h, doc = h[o], doc[o]
-    at, many = _lists(h)
-    # shingles that only one document of the shard has are in no intersection
-    keep = many > 1
-    at, many = at[keep], many[keep]
-    lists = [doc[a:a + m].tolist() for a, m in zip(at.tolist(), many.tolist())]
-    mine: dict[int, list[int]] = {}
-    for k, x in enumerate(lists):
-        for d in x:
-            mine.setdefault(d, []).append(k)
+def _check(docs: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    """Links among a shard's pairs, as many as connect what they connect.
+
+    The larger document of a pair searches among its partners of the shard: one of each
+    component found so far, then another of each that has failed."""
+    docs = docs.drop_duplicates("cid")
+    sets = dict(zip(docs["cid"].tolist(), shingle_sets(pa.table({"text": pa.array(docs["text"], pa.string())}))))
+    partners: dict[int, list[int]] = {}
+    for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist()):
+        if a in sets and b in sets:
+            d, e = (a, b) if (len(sets[a]), a) > (len(sets[b]), b) else (b, a)
+            partners.setdefault(d, []).append(e)
+    root: dict[int, int] = {}
+
+    def find(x: int) -> int:
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
     out = []
-    for d, ks in mine.items():
-        least = needed(size[d])
-        if len(ks) < least:
-            continue
-        # partners that are no larger: the lists up to d itself, from the smallest size that can link
-        low = int(np.searchsorted(size, least, "left"))
-        own = []
-        for k in ks:
-            x = lists[k]
-            i, j = bisect_left(x, low), bisect_left(x, d)
-            if j > i:
-                own.append(x[i:j])
-        for e, met in divide_skip(own, int(least)).items():
-            if 100 * met >= 80 * (size[d] + size[e] - met):
-                out.append((int(min(cids[d], cids[e])), int(max(cids[d], cids[e]))))
+    for d in sorted(partners, key=lambda d: (len(sets[d]), d)):
+        x = sets[d]
+        least = int(needed(len(x)))
+        open_ = sorted(set(partners[d]))
+        while True:
+            mine = find(d)
+            turn: dict[int, int] = {}
+            rest = []
+            for e in open_:
+                r = find(e)
+                if r != mine:
+                    if r in turn:
+                        rest.append(e)
+                    else:
+                        turn[r] = e
+            if not turn:
+                break
+            asked = list(turn.values())
+            size = np.array([len(sets[e]) for e in asked])
+            cat = np.concatenate([sets[e] for e in asked])
+            who = np.repeat(np.arange(len(asked)), size)
+            at = np.minimum(np.searchsorted(x, cat), len(x) - 1)
+            same = x[at] == cat
+            at, who = at[same], who[same]
+            if len(at) >= least:
+                o = np.argsort(at, kind="stable")
+                s, many = _lists(at[o])
+                ids = who[o].tolist()
+                lists = [ids[i:i + m] for i, m in zip(s.tolist(), many.tolist())]
+                for k, met in (divide_skip(lists, least) if len(lists) >= least else {}).items():
+                    if 100 * met >= 80 * (len(x) + int(size[k]) - met):
+                        out.append((min(d, asked[k]), max(d, asked[k])))
+                        root[find(asked[k])] = find(d)
+            open_ = rest
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
@@ -315,7 +333,7 @@ def _fit(batches):
 
 
 def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) of classes that link, and any other links that their shards show."""
+    """Of the pairs (a, b) of classes, links enough to connect all that the pairs' links connect."""
     pairs = materialise(pairs.select("a", "b"), "pairs")
     n = pairs.count()
     # pairs of one neighbourhood share a shard: by the least class next to either
@@ -329,11 +347,13 @@ def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame) -> DataFrame
     ends = dealt.select("label", "part", F.col("a").alias("cid")).unionByName(dealt.select("label", "part", F.col("b").alias("cid"))).distinct()
     text = classes.agg(F.sum("n")).first()[0] * 6 / max(1, classes.count())  # bytes of a text, about
     shards = parts_for(ends.count() * text, SHARD_TEXT)
-    wanted = ends.groupBy("cid").agg(F.collect_set(F.pmod(F.xxhash64("label", "part"), F.lit(shards))).alias("shards"))
+    shard = F.pmod(F.xxhash64("label", "part"), F.lit(shards))
+    wanted = ends.groupBy("cid").agg(F.collect_set(shard).alias("shards"))
     reps = materialise(wanted.join(classes.select("cid", "fp", F.col("rep").alias("doc_id")), "cid"), "wanted")
     texts = _texts_of(src, reps).mapInArrow(_fit, "shards array<long>, cid long, text string")
-    return (texts.select(F.explode("shards").alias("shard"), "cid", "text")
-            .groupBy("shard").applyInPandas(_check, "a long, b long").distinct())
+    texts = texts.select(F.explode("shards").alias("shard"), "cid", "text")
+    return (texts.groupBy("shard").cogroup(dealt.select("a", "b", shard.alias("shard")).groupBy("shard"))
+            .applyInPandas(_check, "a long, b long").distinct())
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_list: int = SHORT_LIST) -> DataFrame:

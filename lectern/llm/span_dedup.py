@@ -407,10 +407,10 @@ def _settled(pdfs):
 
 
 def _cover(pdf: pd.DataFrame) -> pd.DataFrame:
-    """Removed byte ranges of a document, from the starts of its repeated strings."""
+    """Removed byte ranges of a bucket's documents, from the starts of their repeated strings."""
+    size = pdf["a"].map(len).to_numpy()
     a, b = np.concatenate(pdf["a"].to_list()).astype(np.int64), np.concatenate(pdf["b"].to_list()).astype(np.int64)
-    n = len(a)
-    return _by_document(np.full(n, pdf["doc_id"].iloc[0]), np.full(n, pdf["h"].iloc[0]), a, b + SPAN - 1)
+    return _by_document(np.repeat(pdf["doc_id"].to_numpy(), size), np.repeat(pdf["h"].to_numpy(), size), a, b + SPAN - 1)
 
 
 def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_seed: int = HOT_SEED,
@@ -453,7 +453,9 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     in_shards = fetched.filter("kind > 0").groupBy("shard", "kind").applyInPandas(_shard, _PLACES)
     settled = fetched.filter("kind = 0").select("n", "data").mapInPandas(_settled, _PLACES)
     every = places.unionByName(in_shards).unionByName(settled)
-    return every.groupBy("doc_id", "h").applyInPandas(_cover, _PLACES)
+    # documents are merged many at a time, in buckets that grow in number with the text
+    bucket = F.pmod(F.xxhash64("doc_id", "h"), F.lit(parts_for(int(total), owner_bytes)))
+    return every.withColumn("_bucket", bucket).groupBy("_bucket").applyInPandas(lambda pdf: _cover(pdf), _PLACES)
 
 
 def _cut(batches):
