@@ -209,6 +209,14 @@ def spans(start: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- decisions on rows
 
+def fresh(docs: DataFrame, name: str) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {c.lower() for c in docs.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_key(docs: DataFrame, text_col: str = "text"):
     return F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
 
@@ -216,10 +224,11 @@ def text_key(docs: DataFrame, text_col: str = "text"):
 def without(docs: DataFrame, bad: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without the rows whose (id, text) is in ``bad``, a written table of doc_id and
     the text's ``h``; null ids match null ids.  All columns stay as they are."""
-    side = bad.select(F.col("doc_id").alias("_bad_id"), F.col("h").alias("_bad_h"))
+    bad_id, bad_h = fresh(docs, "_bad_id"), fresh(docs, "_bad_h")
+    side = bad.select(F.col("doc_id").alias(bad_id), F.col("h").alias(bad_h))
     small = side.count() * 24 <= BROADCAST_BYTES
     return docs.join(F.broadcast(side) if small else side,
-                     docs[id_col].cast("long").eqNullSafe(F.col("_bad_id")) & (text_key(docs, text_col) == F.col("_bad_h")),
+                     docs[id_col].cast("long").eqNullSafe(F.col(bad_id)) & (text_key(docs, text_col) == F.col(bad_h)),
                      "left_anti")
 
 

@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import BROADCAST_BYTES, join_groups, keyed, materialise, parts_for, semi_join
+from lectern.llm.common import BROADCAST_BYTES, fresh, join_groups, keyed, materialise, parts_for, semi_join
 
 #: rows of one sender, and fingerprints of one owner, at most (owners: on average)
 SENDER_ROWS = 1 << 18
@@ -161,17 +161,15 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     again = (groups.groupBy(*pair).agg(F.count(F.lit(1)).alias("n"), F.max("kept").alias("kept"))
              .filter((F.col("n") > 1) & F.col("kept")).select(*pair))
     gone, again = materialise(gone, "gone"), materialise(again, "again")
-    cols = docs.columns
-    keyed_docs = docs.select("*", F.sha2(F.coalesce(docs[text_col], F.lit("")), 256).alias("_sha"),
-                             docs[id_col].cast("long").alias("_id"))
+    cols, sha, key = docs.columns, fresh(docs, "_sha"), fresh(docs, "_key")
+    keyed_docs = docs.select("*", F.sha2(F.coalesce(docs[text_col], F.lit("")), 256).alias(sha), docs[id_col].cast("long").alias(key))
+    side_id, side_sha = fresh(keyed_docs, "_side_id"), fresh(keyed_docs, "_side_sha")
 
-    def match(ids: DataFrame):
+    def joined(ids: DataFrame, how: str) -> DataFrame:
         small = ids.count() * 100 <= BROADCAST_BYTES
-        return (F.broadcast(ids) if small else ids), (keyed_docs["_id"].eqNullSafe(ids["doc_id"])
-                                                       & (keyed_docs["_sha"] == ids["text_sha256"]))
-
-    drop = gone.unionByName(again)
-    side, on = match(drop)
-    once = keyed_docs.join(side, on, "left_anti").select(*cols)
-    side, on = match(again)
-    return once.unionByName(keyed_docs.join(side, on, "left_semi").dropDuplicates(["_id", "_sha"]).select(*cols))
+        ids = ids.select(F.col("doc_id").alias(side_id), F.col("text_sha256").alias(side_sha))
+        return keyed_docs.join(F.broadcast(ids) if small else ids,
+                               F.col(key).eqNullSafe(F.col(side_id)) & (F.col(sha) == F.col(side_sha)), how)
+
+    once = joined(gone.unionByName(again), "left_anti").select(*cols)
+    return once.unionByName(joined(again, "left_semi").dropDuplicates([key, sha]).select(*cols))

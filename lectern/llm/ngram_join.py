@@ -345,7 +345,7 @@ def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame) -> DataFrame
     dealt = materialise(join_groups(near, materialise(sizes, "labels"), "label", "k", n).select(
         "a", "b", "label", F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / LABEL_PAIRS)).alias("part")), "dealt")
     ends = dealt.select("label", "part", F.col("a").alias("cid")).unionByName(dealt.select("label", "part", F.col("b").alias("cid"))).distinct()
-    text = classes.agg(F.sum("n")).first()[0] * 6 / max(1, classes.count())  # bytes of a text, about
+    text = (classes.agg(F.sum("n")).first()[0] or 0) * 6 / max(1, classes.count())  # bytes of a text, about
     shards = parts_for(ends.count() * text, SHARD_TEXT)
     shard = F.pmod(F.xxhash64("label", "part"), F.lit(shards))
     wanted = ends.groupBy("cid").agg(F.collect_set(shard).alias("shards"))

@@ -122,9 +122,11 @@ def _pack(capacity: int, last: bool, exchange: int):
         n = pdf["length"].to_numpy()
         where, offset, free = best_fit_decreasing(n, capacity)
         handed = np.zeros(len(free), bool)
-        if not last and len(free) > lower_bound(n, capacity):
+        if not last:
+            # certified alone: loose bins can still be worth sharing
+            gap = len(free) > lower_bound(n, capacity)
             slack = np.argsort(-free, kind="stable")[:exchange]
-            handed[slack[free[slack] > 0]] = True
+            handed[slack[free[slack] > (0 if gap else capacity // 64)]] = True
         pdf["sequence_id"], pdf["offset"], pdf["open"] = where, offset, handed[where]
         return pdf
     return pack

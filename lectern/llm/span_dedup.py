@@ -130,7 +130,7 @@ def _by_document(doc: np.ndarray, h: np.ndarray, a: np.ndarray, b: np.ndarray) -
     o = np.lexsort((a, h, doc))
     doc, h, a, b = doc[o], h[o], a[o], b[o]
     if not len(doc):
-        return pd.DataFrame({"doc_id": doc, "h": h, "a": [], "b": []})
+        return pd.DataFrame({"doc_id": doc, "h": h, "a": pd.Series([], dtype=object), "b": pd.Series([], dtype=object)})
     new_doc = np.r_[True, (doc[1:] != doc[:-1]) | (h[1:] != h[:-1])]
     # ranges of one document: start a new one where a lies behind all ends so far
     base = np.cumsum(new_doc) * (1 << 33)
