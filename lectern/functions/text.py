@@ -26,7 +26,8 @@ PREAMBLE_LINES = [
     r"before using this eBook\.\n",
 ]
 # Handles and web addresses removed after the preamble.
-HANDLE_URL = r"@[\p{L}\p{N}_]+|https?://[^ \t\n\r\f]+"
+# An address ends at any Unicode white space: separators and the control spaces.
+HANDLE_URL = r"@[\p{L}\p{N}_]+|https?://[^\p{Z}\t\n\r\f\x0B\x1C-\x1F\x85]+"
 # Prompt template: question first, then the context.
 PROMPT_PREFIX = "Provide a detailed summary of the following content based on the question '"
 PROMPT_MIDDLE = "': "

@@ -66,6 +66,13 @@ class VectorStore:
         vs = self._versions()
         return vs[-1] if vs else 0
 
+    def next_id(self) -> int:
+        """First id above all stored ones: where the ids of a further load start."""
+        if not self.exists():
+            return 0
+        top = self.read().agg(F.max(self.id_col)).first()[0]
+        return 0 if top is None else int(top) + 1
+
     def exists(self) -> bool:
         return self.current_version() > 0
 
@@ -75,12 +82,13 @@ class VectorStore:
     def _commit(self, df: DataFrame, version: int) -> int:
         staging = f"{self.root}/_staging-{uuid.uuid4().hex[:12]}"
         df.write.mode("errorifexists").parquet(staging)
-        written = self.spark.read.parquet(staging).select(self.vec_col)
+        written = self.spark.read.parquet(staging)
         bad = written.filter(contract_kind(self.vec_col, self.dim) != "ok").limit(1).count()
+        twice = written.groupBy(self.id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
         fs, src = hadoop_fs(self.spark, staging)
-        if bad:
+        if bad or twice:
             fs.delete(src, True)
-            raise ValueError(f"points violate the collection contract (dim={self.dim}, non-null, non-zero)")
+            raise ValueError(f"points violate the collection contract (dim={self.dim}, non-null, non-zero, unique ids)")
         _, dst = hadoop_fs(self.spark, self._path(version))
         if not fs.rename(src, dst):
             raise RuntimeError(f"could not commit snapshot {version}")

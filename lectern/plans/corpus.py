@@ -43,7 +43,7 @@ def book_table(chunks: DataFrame, catalogue: DataFrame) -> DataFrame:
     return exclusive_offsets(books, "doc_id", "n_chunks", group=group)
 
 
-def points_from_chunks(chunks: DataFrame, books: DataFrame, dim: int = DEFAULT_DIM) -> DataFrame:
+def points_from_chunks(chunks: DataFrame, books: DataFrame, dim: int = DEFAULT_DIM, first_id: int = 0) -> DataFrame:
     """Vector points: (id, book_id, chunk_no, vector ARRAY<FLOAT>, payload STRUCT).
 
     Chunks whose text has no letter/digit token (including the empty chunk 0) have a
@@ -53,7 +53,7 @@ def points_from_chunks(chunks: DataFrame, books: DataFrame, dim: int = DEFAULT_D
     j = chunks.join(broadcast_if_small(books), group + ["doc_id"], "inner")
     stem = F.format_string("book_id_%d", F.col("doc_id"))
     out = j.select(
-        *group, (F.col("offset") + F.col("chunk_no")).cast("long").alias("id"),
+        *group, (F.lit(first_id) + F.col("offset") + F.col("chunk_no")).cast("long").alias("id"),
         F.col("doc_id").alias("book_id"), "chunk_no",
         hash_embed(F.col("chunk_text"), dim).cast("array<float>").alias("vector"),
         F.struct(chunk_file_name(stem, F.col("chunk_no")).alias("filename"), "title", "author", "context",
@@ -63,13 +63,15 @@ def points_from_chunks(chunks: DataFrame, books: DataFrame, dim: int = DEFAULT_D
 
 def build_points(spark: SparkSession, docs: DataFrame, catalogue: DataFrame,
                  budget: int | list[int] = DEFAULT_BUDGET, dim: int = DEFAULT_DIM,
-                 materialize: bool = True) -> DataFrame:
+                 materialize: bool = True, first_id: int = 0) -> DataFrame:
     """C1 up to the point table.  ``materialize`` writes the points once (as the
     collection would be stored) and returns the stored table, so search, payload
     lookup and counts read vectors instead of re-embedding every chunk.  A list of
-    budgets builds one collection per budget in the same jobs (``chunk_budget`` column)."""
+    budgets builds one collection per budget in the same jobs (``chunk_budget`` column).
+    ``first_id``: ids start there; for a later load, one above the stored ones
+    (``VectorStore.next_id``)."""
     chunks = write_chunks(spark, docs, budget)
-    pts = points_from_chunks(chunks, book_table(chunks, catalogue), dim)
+    pts = points_from_chunks(chunks, book_table(chunks, catalogue), dim, first_id)
     if not materialize:
         return pts
     path = scratch_dir(spark, "points")

@@ -58,11 +58,13 @@ def q19_upsert(spark, sf):
     labelled = table(spark, sf, "labels").select("doc_id")
     new_lab = labelled.select((F.col("doc_id") + NEW_ID_OFFSET).alias("doc_id")).filter(F.col("doc_id") % 100 == 99)
     delta_cat = catalogue_of(delta.join(labelled.unionByName(new_lab), "doc_id", "left_semi"))
-    store.upsert(build_points(spark, delta, delta_cat, dim=DIM, materialize=False),
+    store.upsert(build_points(spark, delta, delta_cat, dim=DIM, materialize=False, first_id=store.next_id()),
                  replaced_keys=delta.select(F.col("doc_id").alias("book_id")))
-    return store.read().select("book_id", F.col("chunk_no").cast("long").alias("chunk_no"),
-                               F.md5(F.col("payload.text")).alias("md5_text"),
-                               F.col("payload.title").alias("title"))
+    pts = store.read()
+    ids = pts.groupBy("id").agg(F.count(F.lit(1)).alias("rows_of_id"))
+    return pts.join(ids, "id").select("book_id", F.col("chunk_no").cast("long").alias("chunk_no"),
+                                      F.md5(F.col("payload.text")).alias("md5_text"),
+                                      F.col("payload.title").alias("title"), "rows_of_id")
 
 
 def sql_q19_upsert():
@@ -73,7 +75,7 @@ def sql_q19_upsert():
   WHERE doc_id % 100 = 99)"""
     return f"""WITH RECURSIVE effdocs AS MATERIALIZED {eff},
 {S.points_ctes(512, DIM, 'effdocs', 'lab')}
-SELECT book_id, chunk_no, md5(chunk_text) AS md5_text, title FROM pts"""
+SELECT book_id, chunk_no, md5(chunk_text) AS md5_text, title, 1::BIGINT AS rows_of_id FROM pts"""
 
 
 QUERIES = {

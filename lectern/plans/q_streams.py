@@ -28,8 +28,10 @@ def t01_incremental_build(spark, sf):
         part = docs.filter(F.col("doc_id") % DROPS == drop).select(F.col("doc_id").alias("book_id"), "text")
         land_text(part, f"{root}/landing/drop={drop}")
         incremental_build(spark, f"{root}/landing", store, cat, f"{root}/ckpt", dim=DIM).awaitTermination()
-    return store.read().select("book_id", F.col("chunk_no").cast("long").alias("chunk_no"),
-                               F.md5(F.col("payload.text")).alias("md5_text"))
+    pts = store.read()
+    ids = pts.groupBy("id").agg(F.count(F.lit(1)).alias("rows_of_id"))
+    return pts.join(ids, "id").select("book_id", F.col("chunk_no").cast("long").alias("chunk_no"),
+                                      F.md5(F.col("payload.text")).alias("md5_text"), "rows_of_id")
 
 
 def sql_t01_incremental_build():
@@ -37,7 +39,7 @@ def sql_t01_incremental_build():
     return f"""WITH RECURSIVE landed AS MATERIALIZED (
   SELECT doc_id, text || chr(10) AS text, source, lang, doc_id IN (SELECT doc_id FROM labels) AS lab FROM documents),
 {S.points_ctes(512, DIM, 'landed', 'lab')}
-SELECT book_id, chunk_no, md5(chunk_text) AS md5_text FROM pts"""
+SELECT book_id, chunk_no, md5(chunk_text) AS md5_text, 1::BIGINT AS rows_of_id FROM pts"""
 
 
 def t02_question_stream(spark, sf):

@@ -52,10 +52,10 @@ def sql_q05_preamble():
 
 
 def _with_urls(spark, sf):
-    """text + ' ' + a page URL (page_id = doc_id % 50), + ' @été_1 ' for doc_id % 5 = 0."""
+    """text + ' ' + a page URL (page_id = doc_id mod the number of pages), + ' @été_1 ' for doc_id % 5 = 0."""
     d = documents(spark, sf)
     p = table(spark, sf, "pages").select("page_id", "url")
-    j = d.join(p, F.pmod(d["doc_id"], F.lit(50)) == p["page_id"], "left")
+    j = d.join(p, F.pmod(d["doc_id"], F.lit(max(1, p.count()))) == p["page_id"], "left")
     txt = F.concat(F.col("text"), F.lit(" "), F.coalesce(F.col("url"), F.lit("")),
                    F.when(F.col("doc_id") % 5 == 0, F.lit(HANDLE_SUFFIX)).otherwise(F.lit("")))
     return j.select("doc_id", txt.alias("text"))
@@ -64,7 +64,7 @@ def _with_urls(spark, sf):
 def _sql_with_urls():
     return f"""(SELECT d.doc_id, d.text || ' ' || coalesce(p.url, '') ||
   CASE WHEN d.doc_id % 5 = 0 THEN {S.lit(HANDLE_SUFFIX)} ELSE '' END AS text
-  FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id % 50)"""
+  FROM documents d LEFT JOIN pages p ON p.page_id = d.doc_id % (SELECT greatest(1, count(*)) FROM pages))"""
 
 
 def q06_handles_urls(spark, sf):

@@ -10,11 +10,5 @@ MODULES = ["q_sources", "q_text", "q_vectors", "q_store", "q_metrics", "q_answer
 def registry() -> dict:
     out = {}
     for m in MODULES:
-        try:
-            mod = importlib.import_module(f"lectern.plans.{m}")
-        except ModuleNotFoundError as e:
-            if e.name == f"lectern.plans.{m}":
-                continue
-            raise
-        out.update(mod.QUERIES)
+        out.update(importlib.import_module(f"lectern.plans.{m}").QUERIES)
     return dict(sorted(out.items()))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -55,6 +54,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not d:
         d = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
         if not d:
+            if not sc.master.startswith("local"):
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             d = tempfile.mkdtemp(prefix="lectern-ckpt-")  # unset: local runs and tests only
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir() or d
@@ -72,8 +73,3 @@ def hadoop_fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
-
-
-def ensure_local_dir(path: str) -> None:
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)

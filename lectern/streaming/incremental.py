@@ -7,7 +7,7 @@ files (the checkpoint records processed files), and re-applying a batch after a
 failure is harmless because the upsert is keyed.
 
 T2 -- questions to answers: question files are a stream joined against the current
-(static) vector table; each micro-batch runs the answer job and appends to a sink.
+(static) vector table; each micro-batch runs the answer job and writes its own folder of the sink.
 
 No event time is involved, so there are no watermarks: the stream is only a delivery
 mechanism, as in the reference (a rerun over a directory / a form submit).
@@ -37,7 +37,9 @@ def text_file_stream(spark: SparkSession, landing_dir: str, glob: str = "*.txt",
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     raw = r.load(landing_dir)
     return raw.select(F.regexp_extract(F.col("_metadata.file_path"), KEY_PATTERN, 1).try_cast("long").alias("doc_id"),
-                      F.col("value").alias("text"))
+                      F.col("value").alias("text"),
+                      F.struct(F.col("_metadata.file_modification_time").alias("at"),
+                               F.col("_metadata.file_path").alias("path")).alias("landed"))
 
 
 def incremental_build(spark: SparkSession, landing_dir: str, store: VectorStore, catalogue: DataFrame,
@@ -46,11 +48,14 @@ def incremental_build(spark: SparkSession, landing_dir: str, store: VectorStore,
     def apply(batch: DataFrame, epoch_id: int) -> None:
         # several actions read the micro-batch (chunk write, counts, commit): read the
         # landed files once (persist is recomputable from the source if a block is lost)
-        docs = batch.select("doc_id", "text").persist(StorageLevel.MEMORY_AND_DISK)
+        # of a book that landed several times in the batch, the newest file counts
+        docs = (batch.groupBy("doc_id").agg(F.max_by("text", "landed").alias("text"))
+                .persist(StorageLevel.MEMORY_AND_DISK))
         try:
             if docs.isEmpty():
                 return
-            pts = build_points(spark, docs, catalogue, budget=budget, dim=dim, materialize=False)
+            pts = build_points(spark, docs, catalogue, budget=budget, dim=dim, materialize=False,
+                               first_id=store.next_id())
             store.upsert(pts, replaced_keys=docs.select(F.col("doc_id").alias("book_id")))
         finally:
             docs.unpersist()
@@ -61,7 +66,7 @@ def incremental_build(spark: SparkSession, landing_dir: str, store: VectorStore,
 
 def answer_stream(spark: SparkSession, question_dir: str, store: VectorStore, sink: str, checkpoint: str,
                   k: int = 4, dim: int = 384):
-    """Question files (JSON lines) -> answers appended to a Parquet sink."""
+    """Question files (JSON lines) -> answers in a Parquet sink, a folder per micro-batch."""
     qs = spark.readStream.schema(QUESTION_SCHEMA).option("recursiveFileLookup", True).json(question_dir)
 
     def apply(batch: DataFrame, epoch_id: int) -> None:
@@ -70,7 +75,8 @@ def answer_stream(spark: SparkSession, question_dir: str, store: VectorStore, si
             if qb.isEmpty():
                 return
             ans = answer_questions(store.read(), qb, k=k, dim=dim)
-            ans.withColumn("epoch_id", F.lit(epoch_id)).write.mode("append").parquet(sink)
+            # a replayed micro-batch replaces its own folder, so no answer comes twice
+            ans.write.mode("overwrite").parquet(f"{sink}/epoch_id={epoch_id}")
         finally:
             qb.unpersist()
 

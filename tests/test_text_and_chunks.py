@@ -109,3 +109,10 @@ def test_pluggable_token_counter(spark):
     chars = lambda arr: F.transform(arr, lambda s: F.length(s))
     got = [r.chunk_text for r in chunk_documents(docs, budget=11, counter=chars).orderBy("chunk_no").collect()]
     assert got == ["a b c.", "d e f.", "g h i."]
+
+
+def test_addresses_end_at_unicode_white_space(spark):
+    rows = [f"see https://a.b/c{c}next words" for c in ("\u00a0", "\u3000", "\x0b", "\u2028", " ")]
+    df = spark.createDataFrame([(r,) for r in rows], "t string")
+    got = [r[0] for r in df.select(TX.strip_handles_urls("t")).collect()]
+    assert got == [r.replace("https://a.b/c", "") for r in rows]
