@@ -19,6 +19,9 @@ PACK_BYTES = 8 << 20
 #: a table is broadcast only when its counted size is below this; beyond it the join shuffles
 BROADCAST_BYTES = 32 << 20
 
+#: texts in an Arrow batch
+BATCH_ROWS = 1024
+
 U64 = np.uint64
 _C1 = U64(0x9E3779B97F4A7C15)
 _C2 = U64(0xC2B2AE3D27D4EB4F)
@@ -32,8 +35,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark) -> None:
+    """Whole texts travel to Python in Arrow batches, which the executor and its worker both
+    hold: the session's batches are kept at ``BATCH_ROWS`` rows at most."""
+    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def keyed(docs: DataFrame, *extra: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and text (null: empty) alone, so that other columns of any name cannot clash."""
+    small_batches(docs.sparkSession)
     return docs.select(docs[id_col].cast("long").alias("doc_id"),
                        F.coalesce(docs[text_col], F.lit("")).alias("text"),
                        *[docs[c] for c in extra])

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import materialise, packs, utf8
+from lectern.llm.common import packs, small_batches, utf8
 from lectern.llm.toxicity import held_out
 
 FOLDS, HELD = 3, 1
@@ -163,6 +163,7 @@ def _apply(block):
 
 def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, lang_pred, score, rejected."""
+    small_batches(docs.sparkSession)
     model = model or fit(docs)
     block = docs.sparkSession.sparkContext.broadcast(model)  # 2^15 rows of one float per language
     text = F.coalesce(docs["text"], F.lit(""))

@@ -42,9 +42,9 @@ from lectern.llm.components import components
 
 WORDS = 5
 SHORT_LIST = 32
-OWNER_POSTINGS = 400_000
-PACK = 4 << 20
-SHARD_TEXT = 4 << 20
+OWNER_POSTINGS = 200_000
+PACK = 2 << 20
+SHARD_TEXT = 2 << 20
 #: pairs of one label beyond which they are dealt over several shards
 LABEL_PAIRS = 2048
 _WORD = byte_table(lambda b: b not in (32, 9, 10, 11, 12, 13))

@@ -40,7 +40,7 @@ _PACKED = _PIECES + ", key long, sequence_id long, offset long, open boolean"
 
 def _cut(path: str, end_id: int, capacity: int):
     def cut(batches):
-        for table in packs(batches, 16 << 20):
+        for table in packs(batches, 4 << 20):
             for doc_ids, ids, off in id_batches(table, path, end_id):
                 ids = ids.astype("<u4", copy=False)
                 size = np.diff(off)

@@ -28,7 +28,7 @@ from lectern.session import scratch_dir
 #: documents per shard, on average
 SHARD_DOCS = 20_000
 #: ids coded at a time
-CODE_IDS = 1 << 20
+CODE_IDS = 1 << 19
 
 _CODED = "doc_id long, n_tokens long, crc long, words binary, blocks binary, escapes binary"
 _SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("crc", pa.int64()), ("words", pa.binary()),
@@ -59,7 +59,7 @@ def id_batches(table, path: str, end_id: int):
 
 def _code(path: str, end_id: int):
     def code(batches):
-        for table in packs(batches, 16 << 20):
+        for table in packs(batches, 4 << 20):
             for doc_ids, ids, off in id_batches(table, path, end_id):
                 words, wo, blocks, bo, esc = simple8b.encode(ids, off)
                 eo = np.searchsorted(esc[:, 0], np.arange(len(doc_ids) + 1)) if len(esc) else np.zeros(len(doc_ids) + 1, np.int64)

@@ -35,7 +35,7 @@ SAMPLE_SENTENCES = 4000
 #: sentences longer than this are scored in parts of this many words
 CHAIN = 128
 BITS = 18
-PACK = 2 << 20
+PACK = 1 << 20
 _WORD = byte_table(lambda b: 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128)
 _SPLIT = r"[^\p{L}\p{N}]+"
 #: evidence (nats) and rate ratio that a training word needs to be tagged
