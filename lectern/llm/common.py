@@ -6,9 +6,12 @@ or only name a table in the folder that every executor sees.
 
 from __future__ import annotations
 
+import pickle
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,6 +61,16 @@ def semi_join(left: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame
     return left.join(F.broadcast(r) if small else r, left[key].eqNullSafe(F.col("_k")), "left_semi")
 
 
+def share(spark, value):
+    """Broadcast ``value``, a model or test set of bounded size, so that executors without this
+    package can read it."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shared(block):
+    return pickle.loads(block.value)
+
+
 def parts_for(df_or_n, per_part: int) -> int:
     """Partitions so that each holds about ``per_part`` of the counted amount."""
     n = df_or_n if isinstance(df_or_n, (int, float)) else df_or_n.count()

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import byte_table, keyed, materialise, packs, spans, utf8, without, words
+from lectern.llm.common import byte_table, keyed, materialise, packs, share, shared, spans, utf8, without, words
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -148,7 +148,7 @@ class Shard:
 
 def _hits(block):
     def hits(batches):
-        test = block.value
+        test = shared(block)
         for table in packs(batches, SHARD_BYTES):
             shard = Shard(table, test)
             n = table.num_rows
@@ -190,7 +190,7 @@ def _hits(block):
 
 def _longest(block, least: int):
     def longest(batches):
-        test = block.value
+        test = shared(block)
         for table in packs(batches, SHARD_BYTES):
             shard = Shard(table, test)
             if not shard.any:
@@ -214,7 +214,7 @@ def _blocks(benchmark: DataFrame, window: int, block_bytes: int):
     n = max(1, -(-2 * int(total) // block_bytes)) if total > block_bytes else 1
     for i in range(n):
         part = b.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == i).toArrow() if n > 1 else b.toArrow()
-        yield spark.sparkContext.broadcast(TestSet(part.column("item_id").to_pylist(), part.column("text"), window))
+        yield share(spark, TestSet(part.column("item_id").to_pylist(), part.column("text"), window))
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES) -> DataFrame:

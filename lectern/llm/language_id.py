@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lectern.llm.common import packs, small_batches, utf8
+from lectern.llm.common import packs, share, shared, small_batches, utf8
 from lectern.llm.toxicity import held_out
 
 FOLDS, HELD = 3, 1
@@ -144,7 +144,7 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | Non
 
 def _apply(block):
     def apply(batches):
-        m = block.value
+        m = shared(block)
         for table in packs(batches, PACK):
             buf, off = utf8(table.column("text"))
             letters = table.column("letters").to_numpy()
@@ -165,7 +165,7 @@ def identify(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, held_out, lang_pred, score, rejected."""
     small_batches(docs.sparkSession)
     model = model or fit(docs)
-    block = docs.sparkSession.sparkContext.broadcast(model)  # 2^15 rows of one float per language
+    block = share(docs.sparkSession, model)  # 2^15 rows of one float per language
     text = F.coalesce(docs["text"], F.lit(""))
     src = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), text.rlike(r"\p{L}").alias("letters"))
     return src.mapInArrow(_apply(block), "doc_id long, lang_pred string, score double, rejected boolean").select(

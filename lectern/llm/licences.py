@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import U64, byte_table, finish, keyed, mix, packs, utf8, words
+from lectern.llm.common import U64, byte_table, finish, keyed, mix, packs, share, shared, utf8, words
 
 #: fixed values: short notices of the families, as licences prescribe or authors use them
 TEMPLATES = {
@@ -184,7 +184,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE_PARAGRAPHS, variants: int = 60, ep
 
 def _apply(block):
     def apply(batches):
-        m = block.value
+        m = shared(block)
         other = len(m.families)
         for table in packs(batches, PACK):
             buf, off = utf8(table.column("text"))
@@ -213,7 +213,7 @@ def _apply(block):
 
 def scan(docs: DataFrame, model: Model | None = None) -> DataFrame:
     """Per row of ``docs``: doc_id, n_paragraphs, found (family or unknown, probability, paragraph)."""
-    block = docs.sparkSession.sparkContext.broadcast(model or fit(docs))  # 2^14 rows of a float per class
+    block = share(docs.sparkSession, model or fit(docs))  # 2^14 rows of a float per class
     return keyed(docs).mapInArrow(_apply(block), "doc_id long, n_paragraphs long, found array<struct<family:string,p:double,paragraph:int>>")
 
 

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import U64, byte_table, finish, keyed, materialise, packs, utf8, without, words
+from lectern.llm.common import U64, byte_table, finish, keyed, materialise, packs, share, shared, utf8, without, words
 
 FOLDS = 5
 SAMPLE_DOCS = 2500
@@ -281,7 +281,7 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample_docs: int
 
 def _apply(block, extra: bool):
     def apply(batches):
-        m = block.value
+        m = shared(block)
         for table in packs(batches, PACK):
             buf, off = utf8(table.column("text"))
             n = table.num_rows
@@ -318,7 +318,7 @@ def _apply(block, extra: bool):
 
 
 def _score(rows: DataFrame, model: Crf, extra: bool = False) -> DataFrame:
-    block = rows.sparkSession.sparkContext.broadcast(model)  # the weights: 1 MB
+    block = share(rows.sparkSession, model)  # the weights: 1 MB
     kind = "doc_id long, score double, spans array<struct<start:int,end:int,p:double>>, "
     return rows.mapInArrow(_apply(block, extra), kind + ("f array<double>, toxic int" if extra else "h long"))
 
