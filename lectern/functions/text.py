@@ -45,6 +45,8 @@ NON_WS_RUN = r"[^ \t\n\r\f]+"
 SENTENCE_END = r"""([.!?]['")\]]*)[ \t\n\r\f]+"""
 TRIM = r"^[ \t\n\r\f]+|[ \t\n\r\f]+$"
 MARK = "\u0001"
+# a mark that is in the text itself is written otherwise until the pieces are cut
+ESCAPES = [("\u0002", "\u0002\u0003"), ("\u0001", "\u0002\u0004")]
 
 
 def normalize_newlines(c) -> Column:
@@ -80,10 +82,17 @@ def sentence_end(abbreviations: list[str] | None = None) -> str:
 
 def sentences(c, abbreviations: list[str] | None = None) -> Column:
     """rule-based sentence split -> ARRAY<STRING> (blank pieces dropped)."""
-    marked = F.regexp_replace(_col(c), sentence_end(abbreviations), "$1" + MARK)
-    parts = F.split(marked, MARK)
-    return F.filter(F.transform(parts, lambda s: F.regexp_replace(s, TRIM, "")),
-                    lambda s: F.length(s) > 0)
+    text = _col(c)
+    for a, b in ESCAPES:
+        text = F.replace(text, F.lit(a), F.lit(b))
+    parts = F.split(F.regexp_replace(text, sentence_end(abbreviations), "$1" + MARK), MARK)
+
+    def piece(s):
+        s = F.regexp_replace(s, TRIM, "")
+        for a, b in reversed(ESCAPES):
+            s = F.replace(s, F.lit(b), F.lit(a))
+        return s
+    return F.filter(F.transform(parts, piece), lambda s: F.length(s) > 0)
 
 
 def join_sentences(arr) -> Column:

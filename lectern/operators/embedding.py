@@ -33,32 +33,46 @@ def _signed_counts(ids: pd.Series, dim: int) -> np.ndarray:
     return np.bincount(cell, weights=np.sign(flat).astype(np.float64), minlength=n * dim).reshape(n, dim)
 
 
-def _bincount_udf(dim: int, normalize: bool):
+# The two functions are deterministic, but declaring them otherwise keeps Catalyst from
+# copying them into pushed-down or inferred predicates (e.g. ``vector IS NOT NULL``
+# below a repartition or join), which would evaluate the UDF twice.
+
+def _counts_udf(dim: int):
     @F.pandas_udf(T.ArrayType(T.DoubleType()))
     def signed_bincount(ids: pd.Series) -> pd.Series:
+        return pd.Series(list(_signed_counts(ids, dim)))
+    return signed_bincount.asNondeterministic()
+
+
+def _unit_udf(dim: int):
+    @F.pandas_udf(T.ArrayType(T.DoubleType()))
+    def unit_bincount(ids: pd.Series, spare: pd.Series) -> pd.Series:
         out = _signed_counts(ids, dim)
-        if not normalize:
-            return pd.Series(list(out))
         norm = np.sqrt((out * out).sum(axis=1))
+        lost = np.flatnonzero((norm == 0) & spare.notna().to_numpy())
+        one = spare.iloc[lost].to_numpy(dtype=np.int64)
+        out[lost, np.abs(one) - 1] = np.sign(one)
+        norm[lost] = 1.0
         res = [None if nv == 0 else row / nv for row, nv in zip(out, norm)]
         return pd.Series(res, dtype=object)
-    # The function is deterministic, but declaring it otherwise keeps Catalyst from
-    # copying it into pushed-down or inferred predicates (e.g. ``vector IS NOT NULL``
-    # below a repartition or join), which would evaluate the UDF twice.
-    return signed_bincount.asNondeterministic()
+    return unit_bincount.asNondeterministic()
 
 
 def hash_counts(text, dim: int = DEFAULT_DIM) -> Column:
     """Dense signed bucket counts (ARRAY<DOUBLE>, integer valued)."""
-    return _bincount_udf(dim, False)(signed_bucket_ids(embed_tokens(_col(text)), dim))
+    return _counts_udf(dim)(signed_bucket_ids(embed_tokens(_col(text)), dim))
 
 
 def hash_embed(text, dim: int = DEFAULT_DIM) -> Column:
-    """Unit vector (ARRAY<DOUBLE>); null when the text has no letter/digit token.
+    """Unit vector (ARRAY<DOUBLE>); null for a null or empty text.
+
+    Where the signed counts cancel or there is no letter/digit token, the text as a whole
+    counts as one token, so every other text has a direction.
 
     Normalised inside the same Arrow batch (sum of squares of integers is exact,
     sqrt and division are correctly rounded, so any engine agrees bit for bit)."""
-    return _bincount_udf(dim, True)(signed_bucket_ids(embed_tokens(_col(text)), dim))
+    whole = F.when(F.length(_col(text)) > 0, F.get(signed_bucket_ids(F.array(_col(text)), dim), F.lit(0)))
+    return _unit_udf(dim)(signed_bucket_ids(embed_tokens(_col(text)), dim), whole)
 
 
 def model_encoder(make_encode_fn, dim: int, batch_size: int = 64):

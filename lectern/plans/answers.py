@@ -20,13 +20,14 @@ MAX_CONTEXT_BROADCAST_BYTES = 256 << 20
 
 
 def retrieve(points: DataFrame, questions: DataFrame, k: int = 4, dim: int = DEFAULT_DIM,
-             group_col: str | None = None, groups: list[int] | None = None) -> DataFrame:
+             group_col: str | None = None, groups: list[int] | None = None, encoder=None) -> DataFrame:
     """R2 + P2: top-k passages per question -> (qid, rank, id, score, text).
 
     With ``group_col`` the points hold several collections (e.g. one per chunk budget,
     values ``groups``); every question is searched in each of them and rows carry the
     group."""
-    q = questions.select("qid", hash_embed(F.col("question"), dim).alias("qvec"))
+    vec = encoder(F.col("question")) if encoder else hash_embed(F.col("question"), dim)
+    q = questions.select("qid", vec.alias("qvec"))
     keys = ["id"]
     if group_col:
         # one question row per collection (a parameter list, not data)
@@ -70,11 +71,14 @@ def with_extractive_summary(df: DataFrame, question: str, context: str, out: str
 
 
 def answer_questions(points: DataFrame, questions: DataFrame, k: int = 4, dim: int = DEFAULT_DIM,
-                     n_sentences: int = SUMMARY_SENTENCES) -> DataFrame:
+                     n_sentences: int = SUMMARY_SENTENCES, encoder=None, generator=None) -> DataFrame:
     """(qid, question, reference, n_passages, context, prompt, summary, answer).
 
-    Questions without any hit keep an empty context (left join)."""
-    ctx = combine(retrieve(points, questions, k, dim))
+    Questions without any hit keep an empty context (left join).  ``generator`` maps the prompt
+    column to a (text, error) struct, as ``batch_generator(..., with_errors=True)`` does: a row
+    that fails has an empty summary, is enriched all the same, and shows its ``error``.  Without
+    one the built-in extractive generator writes the summary."""
+    ctx = combine(retrieve(points, questions, k, dim, encoder=encoder))
     # the context table holds one row per question (k passages): when that is provably
     # small it is broadcast, so answers keep the question scan's partitioning (no
     # shuffle of the question side, no small-shuffle coalescing into a few tasks)
@@ -84,5 +88,9 @@ def answer_questions(points: DataFrame, questions: DataFrame, k: int = 4, dim: i
         "qid", "question", "reference", F.coalesce("n_passages", F.lit(0)).alias("n_passages"),
         F.coalesce("context", F.lit("")).alias("context"))
     j = j.withColumn("prompt", truncate_tokens(prompt(F.col("question"), F.col("context")), PROMPT_TOKENS))
-    j = with_extractive_summary(j, "question", "context", "summary", n_sentences)
+    if generator:
+        j = j.withColumn("_g", generator(F.col("prompt"))).select(
+            "*", F.coalesce("_g.text", F.lit("")).alias("summary"), F.col("_g.error").alias("error")).drop("_g")
+    else:
+        j = with_extractive_summary(j, "question", "context", "summary", n_sentences)
     return j.withColumn("answer", enrich(F.col("summary"), F.col("context")))

@@ -62,11 +62,12 @@ SELECT qid, n_passages::BIGINT AS n_passages, length(context)::BIGINT AS context
 
 
 def q30_answer_scores(spark, sf):
-    """C3 + C4 in one pass: every answer is scored against its reference; P5 blanks the
-    metrics of questions without a (non-empty) reference."""
-    a = _answers(spark, sf).select("qid", "summary", "answer", "reference")
-    s = score_pairs(a, "answer", "reference")
+    """C3 + C4 in one pass: answers with a (non-empty) reference are scored against it (P5);
+    the others go through as empty texts, with null metrics."""
     has_ref = F.col("reference").isNotNull() & (F.col("reference") != "")
+    a = _answers(spark, sf).select("qid", "summary", "answer", "reference",
+                                   F.when(has_ref, F.col("answer")).otherwise("").alias("scored"))
+    s = score_pairs(a, "scored", "reference")
     bl = bleu_from_sums([F.col(f"bleu_parts.m{n}") for n in range(1, 5)],
                         [F.col(f"bleu_parts.p{n}") for n in range(1, 5)],
                         F.col("bleu_parts.pred_len"), F.col("bleu_parts.ref_len"))
@@ -158,7 +159,30 @@ def sql_q33_batch_generation():
   o = '' AS failed FROM (SELECT doc_id, {out} AS o FROM documents)"""
 
 
+GENERATED_TOKENS = 150
+GENERATED_MIN = 500
+
+
+def q36_generated_answers(spark, sf):
+    """C3 through B2: a user model writes the summary from the prompt, in batches; it fails on
+    prompts of fewer than ``GENERATED_MIN`` tokens, which leaves an empty, enriched summary."""
+    pts = build_points(spark, documents(spark, sf), catalogue(spark, sf), budget=512, dim=DIM)
+    gen = batch_generator(partial(make_head_model, GENERATED_TOKENS, GENERATED_MIN), batch_size=16, with_errors=True)
+    a = answer_questions(pts, questions(spark, sf), k=K, dim=DIM, generator=gen)
+    return a.select("qid", F.md5("summary").alias("summary_md5"), F.md5("answer").alias("answer_md5"),
+                    F.col("error").isNotNull().alias("failed"))
+
+
+def sql_q36_generated_answers():
+    short = f"len({S.ws_tokens('prompt')}) < {GENERATED_MIN}"
+    out = f"CASE WHEN {short} THEN '' ELSE {S.truncate_tokens('prompt', GENERATED_TOKENS)} END"
+    return f"""WITH RECURSIVE {_sql_answers()},
+made AS (SELECT qid, context, {out} AS s, {short} AS failed FROM ans)
+SELECT qid, md5(s) AS summary_md5, md5({S.enrich('s', 'context')}) AS answer_md5, failed FROM made"""
+
+
 QUERIES = {
+    "q36_generated_answers": (q36_generated_answers, sql_q36_generated_answers),
     "q29_context_prompt": (q29_context_prompt, sql_q29_context_prompt),
     "q30_answer_scores": (q30_answer_scores, sql_q30_answer_scores),
     "q32_system_delta": (q32_system_delta, sql_q32_system_delta),

@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from lectern.operators.store import VectorStore, contract_report
 from lectern.plans import sqlparts as S
+from lectern.plans.answers import retrieve
 from lectern.plans.corpus import build_points
 from lectern.session import scratch_dir
-from lectern.sources.tables import catalogue, catalogue_of, documents, table
+from lectern.sources.tables import catalogue, catalogue_of, documents, questions, table
 
 DIM = 384
 EMB_DIM = 64
@@ -49,8 +50,8 @@ def _delta_documents(spark, sf):
     return rev.unionByName(new)
 
 
-def q19_upsert(spark, sf):
-    """C1 + K4: build the collection, then upsert the delta; result = final snapshot keys."""
+def _upserted(spark, sf) -> VectorStore:
+    """C1 + K4: build the collection, then upsert the delta."""
     store = VectorStore(spark, scratch_dir(spark, "store"), DIM)
     docs = documents(spark, sf)
     store.create_if_absent(build_points(spark, docs, catalogue(spark, sf), dim=DIM, materialize=False))
@@ -60,25 +61,56 @@ def q19_upsert(spark, sf):
     delta_cat = catalogue_of(delta.join(labelled.unionByName(new_lab), "doc_id", "left_semi"))
     store.upsert(build_points(spark, delta, delta_cat, dim=DIM, materialize=False, first_id=store.next_id()),
                  replaced_keys=delta.select(F.col("doc_id").alias("book_id")))
-    pts = store.read()
+    return store
+
+
+def q19_upsert(spark, sf):
+    """Keys and texts of the collection after the upsert, and how often each id occurs."""
+    pts = _upserted(spark, sf).read()
     ids = pts.groupBy("id").agg(F.count(F.lit(1)).alias("rows_of_id"))
     return pts.join(ids, "id").select("book_id", F.col("chunk_no").cast("long").alias("chunk_no"),
                                       F.md5(F.col("payload.text")).alias("md5_text"),
                                       F.col("payload.title").alias("title"), "rows_of_id")
 
 
-def sql_q19_upsert():
+def _sql_upserted() -> str:
     eff = f"""(SELECT doc_id, CASE WHEN doc_id % 10 = 0 THEN text || {S.lit(REVISION_SUFFIX)} ELSE text END AS text,
     source, lang, doc_id IN (SELECT doc_id FROM labels) AS lab FROM documents
   UNION ALL
   SELECT doc_id + {NEW_ID_OFFSET}, text, source, lang, doc_id IN (SELECT doc_id FROM labels) FROM documents
   WHERE doc_id % 100 = 99)"""
-    return f"""WITH RECURSIVE effdocs AS MATERIALIZED {eff},
-{S.points_ctes(512, DIM, 'effdocs', 'lab')}
+    return f"""effdocs AS MATERIALIZED {eff},
+{S.points_ctes(512, DIM, 'effdocs', 'lab')}"""
+
+
+def sql_q19_upsert():
+    return f"""WITH RECURSIVE {_sql_upserted()}
 SELECT book_id, chunk_no, md5(chunk_text) AS md5_text, title, 1::BIGINT AS rows_of_id FROM pts"""
 
 
+def q35_search_after_upsert(spark, sf):
+    """R2 over a collection that was loaded twice: top-4 of every question."""
+    pts = _upserted(spark, sf).read()
+    hits = retrieve(pts, questions(spark, sf), k=4, dim=DIM)
+    named = hits.join(pts.select("id", "book_id", "chunk_no"), "id")
+    return named.select("qid", F.col("rank").cast("long").alias("rank"), "book_id", F.col("chunk_no").cast("long").alias("chunk_no"),
+                        F.round("score", 6).alias("score"), F.md5("text").alias("md5_text"))
+
+
+def sql_q35_search_after_upsert():
+    # equal scores: the lower id, and ids of the second load follow those of the first
+    load = f"CASE WHEN p.book_id % 10 = 0 OR p.book_id >= {NEW_ID_OFFSET} THEN 1 ELSE 0 END"
+    return f"""WITH RECURSIVE {_sql_upserted()},
+{S.question_ctes()},
+{S.topk_ctes(4, DIM, 'qs')}
+SELECT qid, rank::BIGINT AS rank, book_id, chunk_no, round(score, 6) AS score, md5(chunk_text) AS md5_text FROM (
+  SELECT a.qid, a.score, p.book_id, p.chunk_no, p.chunk_text,
+    row_number() OVER (PARTITION BY a.qid ORDER BY a.score DESC, {load}, p.book_id, p.chunk_no) AS rank
+  FROM qall a JOIN pts p ON p.id = a.id) WHERE rank <= 4"""
+
+
 QUERIES = {
+    "q35_search_after_upsert": (q35_search_after_upsert, sql_q35_search_after_upsert),
     "q18_contract": (q18_contract, sql_q18_contract),
     "q19_upsert": (q19_upsert, sql_q19_upsert),
 }

@@ -46,9 +46,14 @@ def strip_handles_urls(x): return rx_replace(x, TX.HANDLE_URL)
 
 
 def sentences(x: str) -> str:
+    for a, b in TX.ESCAPES:
+        x = f"replace({x}, {lit(a)}, {lit(b)})"
     marked = rx_replace(x, TX.SENTENCE_END, "$1" + TX.MARK)
+    piece = rx_replace("s", TX.TRIM)
+    for a, b in reversed(TX.ESCAPES):
+        piece = f"replace({piece}, {lit(b)}, {lit(a)})"
     return (f"list_filter(list_transform(string_split({marked}, chr(1)), "
-            f"lambda s: {rx_replace('s', TX.TRIM)}), lambda s: length(s) > 0)")
+            f"lambda s: {piece}), lambda s: length(s) > 0)")
 
 
 def clean_sentences(x: str) -> str:
@@ -139,8 +144,15 @@ def hash_ctes(prefix: str, src: str, key: str, text: str, dim: int) -> str:
          sum(CASE WHEN substr(h, 9, 1) < '8' THEN 1 ELSE -1 END)::DOUBLE AS c
   FROM {prefix}_tok GROUP BY 1, 2 HAVING sum(CASE WHEN substr(h, 9, 1) < '8' THEN 1 ELSE -1 END) <> 0
 ),
+{prefix}_dir AS (
+  SELECT k, b, c FROM {prefix}_cnt
+  UNION ALL
+  SELECT k, (('0x' || substr(h, 1, 8))::BIGINT % {dim})::BIGINT, CASE WHEN substr(h, 9, 1) < '8' THEN 1.0 ELSE -1.0 END::DOUBLE
+  FROM (SELECT {key} AS k, md5({text}) AS h FROM {src} WHERE length({text}) > 0) w
+  WHERE NOT EXISTS (SELECT 1 FROM {prefix}_cnt n WHERE n.k = w.k)
+),
 {prefix} AS MATERIALIZED (
-  SELECT k, b, c / sqrt(sum(c * c) OVER (PARTITION BY k)) AS v FROM {prefix}_cnt
+  SELECT k, b, c / sqrt(sum(c * c) OVER (PARTITION BY k)) AS v FROM {prefix}_dir
 )"""
 
 

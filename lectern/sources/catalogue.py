@@ -66,8 +66,9 @@ def write_catalogue(entries: DataFrame, path: str, root_key: str, order_cols: li
 
 
 def read_catalogue(spark: SparkSession, path: str, root_key: str, with_context: bool = True) -> DataFrame:
-    """-> (id, title, author, [context], file, pos) one row per entry, in catalogue order keys."""
+    """-> (id, title, author, [context], file, pos, part) one row per entry.  Catalogue order is
+    (part, file, pos): part numbers count as numbers, so it holds beyond five digits."""
     raw = (spark.read.schema(catalogue_schema(root_key, with_context)).option("multiLine", True)
            .option("recursiveFileLookup", True).json(path))
     rows = raw.select(F.col("_metadata.file_name").alias("file"), F.posexplode(root_key).alias("pos", "e"))
-    return rows.select("e.*", "file", "pos")
+    return rows.select("e.*", "file", "pos", F.regexp_extract("file", r"^part-(\d+)", 1).try_cast("long").alias("part"))

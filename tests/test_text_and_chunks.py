@@ -116,3 +116,22 @@ def test_addresses_end_at_unicode_white_space(spark):
     df = spark.createDataFrame([(r,) for r in rows], "t string")
     got = [r[0] for r in df.select(TX.strip_handles_urls("t")).collect()]
     assert got == [r.replace("https://a.b/c", "") for r in rows]
+
+
+def test_mark_in_the_text_is_kept(spark):
+    for text, want in [("One\u0001two. Three.", ["One\u0001two.", "Three."]),
+                       ("\u0002\u0004a. b\u0002\u0003\u0001", ["\u0002\u0004a.", "b\u0002\u0003\u0001"])]:
+        assert _one(spark, TX.sentences, text) == want
+
+
+def test_address_ends_at_unicode_space(spark):
+    for space in ("\u00a0", "\u3000", "\u000b"):
+        assert _one(spark, TX.strip_handles_urls, f"see https://a.b/c{space}next") == f"see {space}next"
+
+
+def test_text_whose_counts_cancel_has_a_vector(spark):
+    from lectern.operators.embedding import hash_embed
+    rows = [("xi xii",), ("...",), ("",), (None,)]
+    got = [r["v"] for r in spark.createDataFrame(rows, "t string").select(hash_embed(F.col("t"), 384).alias("v")).collect()]
+    assert [sum(x * x for x in v) for v in got[:2]] == [1.0, 1.0]
+    assert got[2] is None and got[3] is None
