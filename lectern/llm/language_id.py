@@ -25,6 +25,7 @@ from lectern.llm.common import packs, share, shared, small_batches, utf8
 from lectern.llm.toxicity import held_out
 
 FOLDS, HELD = 3, 1
+SAMPLE_SALTS = 64
 SAMPLE_PER_LANGUAGE = 600
 SAMPLE_BYTES = 4000
 LANGUAGES = 500
@@ -113,8 +114,12 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | Non
     src = src.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (held_out(F.col("doc_id"), FOLDS) != HELD)
                      & (F.octet_length("text") <= SAMPLE_BYTES))
     # the first of each language by hash: groups are cut to size while they are sorted
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    picked = src.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= per_language)
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
+    # first in SAMPLE_SALTS parts of each language, so that one of most rows is not one task
+    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE_SALTS))
+    some = src.withColumn("part", part).withColumn("r", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
+    some = some.filter(F.col("r") <= per_language)
+    picked = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("r") <= per_language)
     rows = picked.select("text", "lang", "r").orderBy("lang", "r").limit(per_language * LANGUAGES).toPandas()
     if not len(rows):
         return None
