@@ -115,8 +115,9 @@ def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | Non
                      & (F.octet_length("text") <= SAMPLE_BYTES))
     # the first of each language by hash: groups are cut to size while they are sorted
     order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
-    # first in SAMPLE_SALTS parts of each language, so that one of most rows is not one task
-    part = F.pmod(F.xxhash64("doc_id", "text"), F.lit(SAMPLE_SALTS))
+    # each scan task cuts to size what it sends; parts of the tasks are cut again, then the languages:
+    # the last step reads SAMPLE_SALTS * per_language rows of a language at most, whatever the input
+    part = F.pmod(F.spark_partition_id(), F.lit(SAMPLE_SALTS))
     some = src.withColumn("part", part).withColumn("r", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
     some = some.filter(F.col("r") <= per_language)
     picked = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("r") <= per_language)
