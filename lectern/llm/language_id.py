@@ -7,8 +7,9 @@ the probabilities, and a score below the rejection bound (the share ``REJECT`` o
 right answers lies under it) marks a prediction as ``rejected``.
 
 Training sees only text and lang of rows with a lang whose crc32(doc_id as text) mod 3 is not 1,
-at most ``SAMPLE_PER_LANGUAGE`` texts of each language (least hash first, of at most
-``SAMPLE_BYTES`` bytes).  Texts that are null or have no letter are ``und`` with score 0; so is
+at most ``SAMPLE_PER_LANGUAGE`` texts of each language (least hash first; of a text over
+``SAMPLE_BYTES`` bytes a slice with a letter, chosen by hash, for fitting only); with over
+``LANGUAGES`` languages, as many fewer of each.  Texts that are null or have no letter are ``und`` with score 0; so is
 every text if nothing could be learnt.  Ties go to the language first in order.
 """
 
@@ -111,17 +112,25 @@ def _softmax(z: np.ndarray) -> np.ndarray:
 
 def fit(docs: DataFrame, per_language: int = SAMPLE_PER_LANGUAGE) -> Model | None:
     src = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], docs["lang"].alias("lang"))
-    src = src.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (held_out(F.col("doc_id"), FOLDS) != HELD)
-                     & (F.octet_length("text") <= SAMPLE_BYTES))
+    src = src.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}") & (held_out(F.col("doc_id"), FOLDS) != HELD))
+    # a long text is learnt from a slice of so many characters, which has the bytes at most
+    size = SAMPLE_BYTES // 4
+    at = (F.pmod(F.xxhash64("text"), F.greatest(F.length("text") - size + 1, F.lit(1))) + 1).cast("int")
+    piece = F.substring("text", at, F.lit(size))
+    piece = F.when(piece.rlike(r"\p{L}"), piece).otherwise(F.substring("text", F.regexp_instr("text", F.lit(r"\p{L}")), F.lit(size)))
+    src = src.select("doc_id", "lang", F.xxhash64("text").alias("h"),
+                     F.when(F.octet_length("text") <= SAMPLE_BYTES, F.col("text")).otherwise(piece).alias("text"))
     # the first of each language by hash: groups are cut to size while they are sorted
-    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.xxhash64("text")]
+    order = [F.xxhash64("doc_id"), F.col("doc_id"), F.col("h")]
     # each scan task cuts to size what it sends; parts of the tasks are cut again, then the languages:
     # the last step reads SAMPLE_SALTS * per_language rows of a language at most, whatever the input
     part = F.pmod(F.spark_partition_id(), F.lit(SAMPLE_SALTS))
     some = src.withColumn("part", part).withColumn("r", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order)))
     some = some.filter(F.col("r") <= per_language)
     picked = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("r") <= per_language)
-    rows = picked.select("text", "lang", "r").orderBy("lang", "r").limit(per_language * LANGUAGES).toPandas()
+    # first one text of each language, then a second, so that no language is left out
+    rows = (picked.select("text", "lang", "r").orderBy("r", "lang").limit(per_language * LANGUAGES).toPandas()
+            .sort_values(["lang", "r"], ignore_index=True))
     if not len(rows):
         return None
     languages = sorted(rows["lang"].unique())
