@@ -13,7 +13,9 @@ States are the role of the message that a turn is in: 0 before the first, 1 syst
 of neighbouring stretches combine by (min, +) products; so a conversation of any length may lie
 over many partitions.  Turns are range-partitioned in order, each partition reduces its stretch
 of each conversation to a matrix, the few matrices of a conversation that crosses partitions are
-chained, and partitions trace their own stretch back between the states found.  Output is one
+chained to the least costs from each stretch's end on; each stretch tells by the order above in
+which state a way from each state leaves it, so the states between stretches, and with them the
+rows, are the same wherever a conversation is cut.  Each stretch then traces its turns.  Output is one
 row per source turn, with the piece of rendered text that it contributes, so that no row or task
 holds a conversation: the pieces in order of (conv_id, seq) are the rendered conversations.
 
@@ -83,12 +85,13 @@ def stretch_cost(roles: np.ndarray) -> np.ndarray:
     return m[0]
 
 
-def best_states(roles: np.ndarray, entry: int, final: int) -> np.ndarray:
-    """States after each turn of the cheapest way from ``entry`` to ``final``; among equals a
-    lower rank of (relabel, state) from the front."""
+def best_states(roles: np.ndarray, entry: int, rest: np.ndarray) -> np.ndarray:
+    """States after each turn of the cheapest way from ``entry`` on, where ``rest`` is the least
+    cost of what follows by the last state; among equals a lower rank of (relabel, state) from
+    the front."""
     n = len(roles)
     to_end = np.full((n + 1, 4), _INF, np.int64)
-    to_end[n, final] = 0
+    to_end[n] = rest
     for i in range(n - 1, -1, -1):
         to_end[i] = np.minimum((STEPS[roles[i]] + to_end[i + 1][None, :]).min(1), _INF)
     out = np.empty(n, np.int64)
@@ -107,16 +110,16 @@ def repair(roles: list[int]) -> tuple[int, np.ndarray]:
     r = np.array(roles, np.int64)
     if not len(r):
         return 0, r
-    cost = stretch_cost(r)[0]
-    final = int(cost.argmin())
-    return int(cost[final]), best_states(r, 0, final)
+    return int(stretch_cost(r)[0].min()), best_states(r, 0, np.zeros(4, np.int64))
 
 
 #: turns of a stretch; a conversation is chained from one matrix per stretch
 STRETCH = 1 << 12
 _LOW = -(1 << 63)
-_STRETCHES = "conv long, lo long, n int, hi long, final int, cost long, m array<long>"
-_STATES = "conv long, lo long, entry int, final int, cost long, ends boolean"
+_STRETCHES = "conv long, lo long, n int, hi long, cost long, m array<long>"
+_RESTS = "conv long, lo long, rest array<long>, cost long, ends boolean"
+_EXITS = "conv long, lo long, rest array<long>, cost long, ends boolean, exits array<int>"
+_STATES = "conv long, lo long, entry int, rest array<long>, cost long, ends boolean"
 _OUT = "conv long, seq long, turn long, role string, source_role string, action string, n_inserted int, conv_cost long, rendered string"
 
 
@@ -142,26 +145,37 @@ def _stretches(pdf: pd.DataFrame) -> pd.DataFrame:
     out = []
     for a, b in zip(cut.tolist(), np.append(cut[1:], len(conv)).tolist()):
         m = stretch_cost(code[a:b])
-        final = int(m[0].argmin())
-        out.append((int(conv[a]), int(pdf["lo"].iloc[0]), b - a, int(seq[b - 1]), final, int(m[0, final]), m.ravel().tolist()))
-    return pd.DataFrame(out, columns=["conv", "lo", "n", "hi", "final", "cost", "m"])
+        out.append((int(conv[a]), int(pdf["lo"].iloc[0]), b - a, int(seq[b - 1]), int(m[0].min()), m.ravel().tolist()))
+    return pd.DataFrame(out, columns=["conv", "lo", "n", "hi", "cost", "m"])
 
 
 def _chain(pdf: pd.DataFrame) -> pd.DataFrame:
-    """States at the ends of each stretch of a conversation that has several."""
+    """Least costs from the end of each stretch on, of a conversation that has several."""
     pdf = pdf.sort_values("lo")
-    ms = [np.array(m, np.int64).reshape(4, 4) for m in pdf["m"]]
     to_end = [np.zeros(4, np.int64)]
-    for m in reversed(ms):
-        to_end.append((m + to_end[-1][None, :]).min(1))
+    for m in reversed(pdf["m"].to_list()):
+        to_end.append(np.minimum((np.array(m, np.int64).reshape(4, 4) + to_end[-1][None, :]).min(1), _INF))
     to_end.reverse()
-    s, entry, final = 0, [], []
-    for m, rest in zip(ms, to_end[1:]):
-        entry.append(s)
-        s = int((m[s] + rest).argmin())
-        final.append(s)
-    ends = [False] * (len(ms) - 1) + [True]
-    return pd.DataFrame({"conv": pdf["conv"], "lo": pdf["lo"], "entry": entry, "final": final, "cost": int(to_end[0][0]), "ends": ends})
+    ends = [False] * (len(pdf) - 1) + [True]
+    return pd.DataFrame({"conv": pdf["conv"], "lo": pdf["lo"], "rest": [x.tolist() for x in to_end[1:]], "cost": int(to_end[0][0]), "ends": ends})
+
+
+def _exits(rows: pd.DataFrame, rests: pd.DataFrame) -> pd.DataFrame:
+    """For each state before a stretch of a conversation that has several, the state after it."""
+    rows = rows.sort_values("seq")
+    conv, code = rows["conv"].to_numpy(), rows["code"].to_numpy()
+    exits = [[int(best_states(code[conv == c], s, np.array(rest, np.int64))[-1]) for s in range(4)]
+             for c, rest in zip(rests["conv"].tolist(), rests["rest"])]
+    return rests.assign(exits=exits)[["conv", "lo", "rest", "cost", "ends", "exits"]]
+
+
+def _enter(pdf: pd.DataFrame) -> pd.DataFrame:
+    """The state before each stretch of a conversation that has several."""
+    pdf = pdf.sort_values("lo")
+    entry = [0]
+    for exits in pdf["exits"]:
+        entry.append(int(exits[entry[-1]]))
+    return pdf.assign(entry=entry[:-1])[["conv", "lo", "entry", "rest", "cost", "ends"]]
 
 
 def _trace(rows: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
@@ -173,7 +187,7 @@ def _trace(rows: pd.DataFrame, states: pd.DataFrame) -> pd.DataFrame:
     close, out = "<|im_end|>\n", []
     for a, b in zip(cut, np.append(cut[1:], len(conv))):
         k = known.loc[conv[a]]
-        after = best_states(code[a:b], int(k["entry"]), int(k["final"]))
+        after = best_states(code[a:b], int(k["entry"]), np.array(k["rest"], np.int64))
         before = np.r_[int(k["entry"]), after[:-1]]
         for i, s, r in zip(range(a, b), before.tolist(), after.tolist()):
             _, joined, way = MOVES[s, r]
@@ -198,8 +212,12 @@ def format_chat(turns: DataFrame, rows: int = ROWS) -> DataFrame:
     # only conversations that lie in several stretches are chained, from one row per stretch
     parts = marks.groupBy("conv").agg(F.count(F.lit(1)).alias("parts"))
     marks = marks.join(parts, "conv")
-    one = marks.filter("parts = 1").select("conv", "lo", F.lit(0).alias("entry"), "final", "cost", F.lit(True).alias("ends"))
-    states = one.unionByName(marks.filter("parts > 1").select("conv", "lo", "m").groupBy("conv").applyInPandas(_chain, _STATES))
+    one = marks.filter("parts = 1").select("conv", "lo", F.lit(0).alias("entry"), F.expr("array(0L, 0L, 0L, 0L)").alias("rest"), "cost",
+                                          F.lit(True).alias("ends"))
+    rests = materialise(marks.filter("parts > 1").select("conv", "lo", "m").groupBy("conv").applyInPandas(_chain, _RESTS), "rests")
+    cut = ordered.select("conv", "lo", "seq", "code").join(rests.select("conv", "lo"), ["conv", "lo"], "left_semi")
+    exits = cut.groupBy("lo").cogroup(rests.groupBy("lo")).applyInPandas(_exits, _EXITS)
+    states = one.unionByName(exits.groupBy("conv").applyInPandas(_enter, _STATES))
     out = ordered.groupBy("lo").cogroup(states.groupBy("lo")).applyInPandas(_trace, _OUT)
     null = lambda c, name: F.when(F.col(c) != _LOW, F.col(c)).alias(name)
     return out.select(null("conv", "conv_id"), "seq", null("turn", "turn"), "role", "source_role", "action", "n_inserted",
