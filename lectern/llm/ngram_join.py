@@ -19,7 +19,10 @@ is to reach the threshold shares at least T = ceil(0.8 n) of them with its partn
    skips, binary probes of long ones), then by 100 * intersection >= 80 * union.  Partners that
    links of the shard already connect to it are not searched again.
 
-No list is cut or left out, and no pair of a long list is emitted unless its components differ.
+No list is cut or left out.  In full mode (``links``, op3) all crowded classes that share a list that
+a partner needs are compared and every candidate is checked, so every link between classes is found;
+its work grows with the pairs of a group of near copies.  Otherwise (``keep_one``) no pair of a long
+list is emitted unless its components differ, and the links are enough to connect the components.
 Null, empty or blank texts have no shingles and no links; a null doc_id ranks below all others
 (its component_id is null); rows that repeat a document are in one class.
 """
@@ -47,6 +50,10 @@ PACK = 2 << 20
 SHARD_TEXT = 2 << 20
 #: pairs of one label beyond which they are dealt over several shards
 LABEL_PAIRS = 2048
+#: in full mode, pairs of a block: those of two parts of a label's classes
+BLOCK_PAIRS = 1 << 16
+#: partners searched at a time in full mode
+ASKED = 256
 _WORD = byte_table(lambda b: b not in (32, 9, 10, 11, 12, 13))
 _LOW = -(1 << 63)
 
@@ -319,6 +326,42 @@ def _check(docs: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
+def _check_all(docs: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
+    """All links among a shard's pairs: the larger document searches among all its partners."""
+    docs = docs.drop_duplicates("cid")
+    sets = dict(zip(docs["cid"].tolist(), shingle_sets(pa.table({"text": pa.array(docs["text"], pa.string())}))))
+    partners: dict[int, list[int]] = {}
+    for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist()):
+        if a in sets and b in sets:
+            d, e = (a, b) if (len(sets[a]), a) > (len(sets[b]), b) else (b, a)
+            partners.setdefault(d, []).append(e)
+    out = []
+    for d, others in partners.items():
+        x = sets[d]
+        least = int(needed(len(x)))
+        others = sorted(set(others))
+        for i in range(0, len(others), ASKED):
+            asked = others[i:i + ASKED]
+            size = np.array([len(sets[e]) for e in asked])
+            cat = np.concatenate([sets[e] for e in asked])
+            who = np.repeat(np.arange(len(asked)), size)
+            at = np.minimum(np.searchsorted(x, cat), len(x) - 1)
+            same = x[at] == cat
+            at, who = at[same], who[same]
+            if 2 * len(at) >= len(asked) * len(x):
+                met = np.bincount(who, minlength=len(asked))  # full lists: a merge has nothing to skip
+                found = enumerate(met.tolist())
+            else:
+                o = np.argsort(at, kind="stable")
+                s, many = _lists(at[o]) if len(at) else (np.zeros(0, np.int64),) * 2
+                ids = who[o].tolist()
+                lists = [ids[j:j + m] for j, m in zip(s.tolist(), many.tolist())]
+                found = (divide_skip(lists, least) if len(lists) >= least else {}).items()
+            out += [(min(d, asked[k]), max(d, asked[k])) for k, met in found
+                    if met >= least and 100 * met >= 80 * (len(x) + int(size[k]) - met)]
+    return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+
+
 def _texts_of(src: DataFrame, reps: DataFrame) -> DataFrame:
     """Texts joined to class rows that name a document; both null-safe on the lowered id."""
     small = reps.agg(F.count(F.lit(1)).alias("n")).first()["n"] * 64 <= BROADCAST_BYTES
@@ -332,8 +375,8 @@ def _fit(batches):
         yield from table.select(["shards", "cid", "text"]).filter(pa.array(ok)).to_batches()
 
 
-def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame) -> DataFrame:
-    """Of the pairs (a, b) of classes, links enough to connect all that the pairs' links connect."""
+def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame, full: bool) -> DataFrame:
+    """Of the pairs (a, b) of classes, all links (full) or enough to connect all that they connect."""
     pairs = materialise(pairs.select("a", "b"), "pairs")
     n = pairs.count()
     # pairs of one neighbourhood share a shard: by the least class next to either
@@ -342,8 +385,13 @@ def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame) -> DataFrame
     near = (pairs.join(least, "a").join(least.select(F.col("a").alias("b"), F.col("label").alias("other")), "b")
             .select("a", "b", F.least("label", "other").alias("label")))
     sizes = near.groupBy("label").agg(F.count(F.lit(1)).alias("k"))
-    dealt = materialise(join_groups(near, materialise(sizes, "labels"), "label", "k", n).select(
-        "a", "b", "label", F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / LABEL_PAIRS)).alias("part")), "dealt")
+    if full:
+        # a class is in as many blocks as there are parts, not in one for each partner
+        side = F.ceil(F.sqrt(F.col("k") / BLOCK_PAIRS))
+        part = F.pmod(F.xxhash64("a"), side) * side + F.pmod(F.xxhash64("b"), side)
+    else:
+        part = F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / LABEL_PAIRS))
+    dealt = materialise(join_groups(near, materialise(sizes, "labels"), "label", "k", n).select("a", "b", "label", part.alias("part")), "dealt")
     ends = dealt.select("label", "part", F.col("a").alias("cid")).unionByName(dealt.select("label", "part", F.col("b").alias("cid"))).distinct()
     text = (classes.agg(F.sum("n")).first()[0] or 0) * 6 / max(1, classes.count())  # bytes of a text, about
     shards = parts_for(ends.count() * text, SHARD_TEXT)
@@ -353,11 +401,11 @@ def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame) -> DataFrame
     texts = _texts_of(src, reps).mapInArrow(_fit, "shards array<long>, cid long, text string")
     texts = texts.select(F.explode("shards").alias("shard"), "cid", "text")
     return (texts.groupBy("shard").cogroup(dealt.select("a", "b", shard.alias("shard")).groupBy("shard"))
-            .applyInPandas(_check, "a long, b long").distinct())
+            .applyInPandas(_check_all if full else _check, "a long, b long").distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_list: int = SHORT_LIST) -> DataFrame:
-    """Per row of ``docs``: doc_id, n_shingles, component_id, h (hash of the text)."""
+def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full: bool):
+    """(rows with their fingerprints, classes, links of classes, labels of linked classes)."""
     src = keyed(docs, id_col=id_col, text_col=text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_LOW)))
     signed = materialise(src.withColumn("h", F.xxhash64("text")).mapInArrow(_sign, "doc_id long, h long, n long, fp binary"), "signed")
     classes = materialise(signed.filter("n > 0").groupBy("fp").agg(
@@ -394,19 +442,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = met.select("a", "b")
     if some:
         in_lists = materialise(lists.join(crowded.select("cid", "n", "l"), "cid"), "crowded-lists")
+    if some and full:
+        pairs = pairs.unionByName(_asked(in_lists)).distinct()
+    elif some:
         pivots = in_lists.groupBy("shingle").agg(F.min(F.struct("cid", "n")).alias("p"), F.count(F.lit(1)).alias("members"))
         pivots = materialise(pivots, "pivots")
         star = (join_groups(in_lists, pivots, "shingle", "members", in_lists.count()).filter(F.col("cid") != F.col("p.cid"))
                 .filter(5 * F.least("n", F.col("p.n")) >= 4 * F.greatest("n", F.col("p.n")))
                 .select(F.col("p.cid").alias("a"), F.col("cid").alias("b")))
         pairs = pairs.unionByName(star).distinct()
-    links = materialise(_verified(pairs, src, classes), "links")
+    links = materialise(_verified(pairs, src, classes, full), "links")
     labels = components(links)
-    if some:
+    if some and not full:
         more = _between(in_lists, labels)
         if more.limit(1).count():
-            links = materialise(links.unionByName(_verified(more, src, classes)).distinct(), "links")
+            links = materialise(links.unionByName(_verified(more, src, classes, False)).distinct(), "links")
             labels = components(links)
+    return signed, classes, links, labels
+
+
+def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_list: int = SHORT_LIST) -> DataFrame:
+    """All links between classes (documents with one shingle set), by their least doc_ids: a < b."""
+    _, classes, found, _ = _linked(docs, id_col, text_col, short_list, True)
+    null = lambda c: F.when(c != _LOW, c)
+    reps = classes.select("cid", "rep")
+    out = (found.join(reps.select(F.col("cid").alias("a"), F.col("rep").alias("x")), "a")
+           .join(reps.select(F.col("cid").alias("b"), F.col("rep").alias("y")), "b"))
+    return out.select(null(F.least("x", "y")).alias("a"), null(F.greatest("x", "y")).alias("b"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_list: int = SHORT_LIST, full: bool = False) -> DataFrame:
+    """Per row of ``docs``: doc_id, n_shingles, component_id, h (hash of the text)."""
+    signed, classes, _, labels = _linked(docs, id_col, text_col, short_list, full)
     known = classes.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
     least = known.groupBy("label").agg(F.min("rep").alias("component_id"))
     known = materialise(known.join(least, "label").select("fp", "component_id", "copies"), "known")
@@ -453,3 +520,17 @@ def _between(in_lists: DataFrame, labels: DataFrame) -> DataFrame:
     return (left.join(right, ["shingle", "block"])
             .filter((F.col("label") != F.col("other_label")) & (5 * F.least("n", "m") >= 4 * F.greatest("n", "m")))
             .select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct())
+
+
+def _asked(in_lists: DataFrame) -> DataFrame:
+    """Pairs of crowded classes that share a long list, but for those lists of a class that a
+    partner need not be in (see ``_between``)."""
+    ranked = in_lists.groupBy("cid", "n", "l").agg(F.sort_array(F.collect_list(F.struct("size", "shingle")), asc=False).alias("lists"))
+    skip = F.greatest(F.floor(F.col("l") * 0.8) - 2, F.lit(0))
+    asks = ranked.select("cid", "n", F.explode(F.slice("lists", skip.cast("int") + 1, F.size("lists"))).alias("x"))
+    blocks = 16
+    left = asks.select("cid", "n", F.col("x.shingle").alias("shingle"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
+    right = in_lists.select("shingle", F.col("cid").alias("other"), F.col("n").alias("m"), F.pmod(F.xxhash64("cid"), F.lit(blocks)).cast("int").alias("block"))
+    return (left.join(right, ["shingle", "block"])
+            .filter((F.col("cid") != F.col("other")) & (5 * F.least("n", "m") >= 4 * F.greatest("n", "m")))
+            .select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct())

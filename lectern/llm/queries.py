@@ -43,7 +43,7 @@ def op2_span_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("h")
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"), full=True).drop("h")
 
 
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
