@@ -6,6 +6,7 @@ or only name a table in the folder that every executor sees.
 
 from __future__ import annotations
 
+import hashlib
 import pickle
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.session import scratch_dir
+from lectern.session import hadoop_fs, scratch_dir
 
 #: text bytes that a task handles at a time; a longer document is a pack of its own
 PACK_BYTES = 8 << 20
@@ -28,6 +29,8 @@ BATCH_ROWS = 1024
 U64 = np.uint64
 _C1 = U64(0x9E3779B97F4A7C15)
 _C2 = U64(0xC2B2AE3D27D4EB4F)
+_C3 = U64(0xD6E8FEB86659FD93)
+_C4 = U64(0xFF51AFD7ED558CCD)
 
 
 def materialise(df: DataFrame, name: str) -> DataFrame:
@@ -35,7 +38,16 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     whichever executors are lost, and see the same rows each time."""
     path = scratch_dir(df.sparkSession, f"llm-{name}")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables that :func:`materialise` wrote, once all that reads them is written too."""
+    for t in tables:
+        fs, path = hadoop_fs(t.sparkSession, t.written_to)
+        fs.delete(path, True)
 
 
 def small_batches(spark) -> None:
@@ -130,30 +142,46 @@ def finish(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(32))
 
 
-#: odd base of the polynomial word hash and its inverse modulo 2^64
-_BASE = 0x5851F42D4C957F2D
-_INV = pow(_BASE, -1, 1 << 64)
-_CHUNK = 1 << 16
+#: words beyond this many bytes are hashed one by one
+_LONG = 1024
 
 
-def _powers(base: int, n: int) -> np.ndarray:
-    out = np.full(n, base & (2**64 - 1), np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
+def _round(state: np.ndarray, block: np.ndarray, c1: np.uint64, c2: np.uint64) -> np.ndarray:
+    x = (state ^ block) * c1
+    x ^= x >> U64(32)
+    x *= c2
+    return x ^ (x >> U64(29))
 
 
-_POW = _powers(_BASE, _CHUNK + 1)
-_IPOW = _powers(_INV, _CHUNK + 1)
+def _hash_spans(norm: np.ndarray, s: np.ndarray, e: np.ndarray, c1: np.uint64, c2: np.uint64) -> np.ndarray:
+    """64-bit hash of the bytes norm[s:e] of each span, which hold no 0.
 
+    Eight bytes at a time are xored into the state, which a bijection of 64 bits then stirs:
+    spans of up to eight bytes never collide, and longer ones have no algebraic relation that
+    patterns of letters could meet (a polynomial modulo 2^64 has)."""
+    size = e - s
+    padded = np.append(norm, np.zeros(8, np.uint8))
+    eight = np.ndarray((len(norm) + 1,), "<u8", padded, 0, (1,))
+    live = np.flatnonzero(size <= _LONG) if len(size) and size.max() > _LONG else np.arange(len(size))
+    h = np.full(len(size), c2, np.uint64)
+    at = 0
+    while len(live):
+        room = np.minimum(size[live] - at, 8).astype(np.uint64)
+        block = eight[s[live] + at] & (U64(2**64 - 1) >> (U64(64) - room * U64(8)))
+        h[live] = _round(h[live], block, c1, c2)
+        at += 8
+        live = live[size[live] > at]
+    for i in np.flatnonzero(size > _LONG).tolist():
+        h[i] = np.frombuffer(hashlib.blake2b(norm[s[i]:e[i]].tobytes(), digest_size=8, key=int(c1).to_bytes(8, "little")).digest(), "<u8")[0]
+    return finish(h)
 
-def words(buf: np.ndarray, table: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+
+def words(buf: np.ndarray, table: np.ndarray, off: np.ndarray, twice: bool = False):
     """(start, end, 64-bit hash, first word of each text) of the words in a pack.
 
     ``table`` maps each byte to its normalised byte, 0 for bytes that are in no word.  Words
-    do not cross texts.  The hash is a polynomial over the normalised bytes, so equal words
-    have equal hashes wherever they stand; different words of a corpus collide with the
-    chance of a random 64-bit value.
-    """
+    do not cross texts.  Equal words have equal hashes wherever they stand; see
+    ``_hash_spans``.  ``twice`` adds a second, independent hash: the two are 128 bits."""
     n = len(buf)
     norm = table[buf]
     inside = norm != 0
@@ -167,32 +195,8 @@ def words(buf: np.ndarray, table: np.ndarray, off: np.ndarray) -> tuple[np.ndarr
         first[cut] = inside[cut]
         last[cut - 1] = inside[cut - 1]
     s, e = np.flatnonzero(first), np.flatnonzero(last) + 1
-    h = np.zeros(len(s), np.uint64)
-    # prefix sums are taken in chunks that end between words, as powers are tabled for one chunk
-    k = 0
-    while k < len(s):
-        a = s[k]
-        m = max(k + 1, int(np.searchsorted(e, a + _CHUNK, "right")))
-        z = e[m - 1]
-        if z - a > _CHUNK:  # one word longer than a chunk
-            h[k] = _long_word(norm[a:z])
-            k += 1
-            continue
-        c = np.zeros(z - a + 1, np.uint64)
-        np.cumsum(norm[a:z].astype(np.uint64) * _POW[:z - a], out=c[1:])
-        i, j = s[k:m] - a, e[k:m] - a
-        h[k:m] = (c[j] - c[i]) * _IPOW[i]
-        k = m
-    return s, e, finish(h), np.searchsorted(s, off)
-
-
-def _long_word(b: np.ndarray) -> np.uint64:
-    total, scale = 0, 1
-    for i in range(0, len(b), _CHUNK):
-        x = b[i:i + _CHUNK].astype(np.uint64)
-        total = (total + int((x * _POW[:len(x)]).sum(dtype=np.uint64)) * scale) & (2**64 - 1)
-        scale = (scale * pow(_BASE, len(x), 1 << 64)) & (2**64 - 1)
-    return np.uint64(total)
+    out = s, e, _hash_spans(norm, s, e, _C1, _C2), np.searchsorted(s, off)
+    return (*out, _hash_spans(norm, s, e, _C3, _C4)) if twice else out
 
 
 def byte_table(word_byte) -> np.ndarray:

@@ -41,8 +41,9 @@ class TestSet:
 
     def __init__(self, item_ids: list[str], texts, window: int = WINDOW):
         buf, off = utf8(texts)
-        _, _, h, first = words(buf, _WORD, off)
-        self.vocab = np.unique(h)
+        _, _, h, first, check = words(buf, _WORD, off, twice=True)
+        self.vocab, at = np.unique(h, return_index=True)
+        self.check = check[at]  # a word is its two hashes, 128 bits
         self.ids = np.searchsorted(self.vocab, h).astype(np.int64) + 1
         self.item_ids = item_ids
         n = np.diff(first)
@@ -116,11 +117,11 @@ class Shard:
 
     def __init__(self, table, test: TestSet):
         buf, off = utf8(table.column("text"))
-        _, _, h, self.first = words(buf, _WORD, off)
+        _, _, h, self.first, check = words(buf, _WORD, off, twice=True)
         self.n_words = np.diff(self.first)
         place = np.searchsorted(test.vocab, h)
         known = place < len(test.vocab)
-        known[known] = test.vocab[place[known]] == h[known]
+        known[known] = (test.vocab[place[known]] == h[known]) & (test.check[place[known]] == check[known])
         n = len(h)
         # runs of known words of one document
         new = known.copy()

@@ -3,28 +3,28 @@
 Documents with one shingle set are a class; a class joins once.  A class of n shingles that
 is to reach the threshold shares at least T = ceil(0.8 n) of them with its partner.
 
-1. Each class sends the start of its shingles in hash order: q = n - T + 1 of them and some
-   more, s in all.  A partner then shares l = s - q + 1 of the sent ones at least (of the two
-   l the one of the class whose sent part ends first).
-2. Owners of hash ranges build the inverted lists.  Lists of at most ``SHORT_LIST`` classes are
-   merged, which gives candidates and how often each was met; longer ones are set aside, as
-   DivideSkip does: a class with fewer than l long lists meets every partner in a short one.
-3. Classes with l long lists or more (``crowded``: members of large groups of near copies, in the
-   main) need more.  Against classes that are not crowded, their remaining shingles probe the
-   short lists.  Among themselves, each is first compared with one pivot per long list; then
-   members of one list that the links found so far leave in different components are compared,
-   over all but the longest lists that a partner cannot need.
-4. Candidates are checked in shards, which hold the whole sets of the documents they need: the
-   larger of a pair is searched among its partners by DivideSkip (heap merge of short lists with
+1. One order of all shingles is fixed: those of long lists last, the others by hash.  Of the
+   first q = n - T + 1 of a class one at least is in its partner too, and among the first q of that.
+   A class sends these and some more to the owners of hash ranges, which build the inverted lists.
+   Which lists are long (over ``SHORT_LIST`` classes) shows only there: shingles that many
+   documents of a task hold are known before (``hot``) and never sent, and a class that has sent too
+   few others sends the rest of its set, until nothing changes.
+2. Lists that are not long are merged, which gives candidates and how often each was met.
+3. Only classes of which more than four fifths lie in long lists (``core``: members of large groups
+   of near copies) may have partners that no short list shows; what they share is in long lists
+   alone.  In each list of their order's first shingles they are compared with its least class;
+   these links are contracted, and where classes of several components are left in one family (the
+   classes compared with one), those outside its largest component search the others.
+4. Candidates are checked in shards, which hold the whole sets of the documents they need: a
+   document is searched among its partners by DivideSkip (heap merge of short lists with
    skips, binary probes of long ones), then by 100 * intersection >= 80 * union.  Partners that
    links of the shard already connect to it are not searched again.
 
-No list is cut or left out.  In full mode (``links``, op3) all crowded classes that share a list that
-a partner needs are compared and every candidate is checked, so every link between classes is found;
-its work grows with the pairs of a group of near copies.  Otherwise (``keep_one``) no pair of a long
-list is emitted unless its components differ, and the links are enough to connect the components.
-Null, empty or blank texts have no shingles and no links; a null doc_id ranks below all others
-(its component_id is null); rows that repeat a document are in one class.
+No list is cut or left out, and no pairs of a long list leave a task: rows grow with the input.  The
+links found connect what all links connect.  ``links`` searches every family in full and returns
+every link between classes, as many as there are.  Null, empty or blank texts have no shingles and no
+links; a null doc_id ranks below all others (its component_id is null); rows that repeat a document
+are in one class; very long texts are one row and one set.
 """
 
 from __future__ import annotations
@@ -39,8 +39,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import (BROADCAST_BYTES, U64, byte_table, expand, finish, join_groups, keyed, materialise, mix, packs,
-                                parts_for, spans, squeeze, utf8, without, words)
+from lectern.llm.common import (BROADCAST_BYTES, U64, byte_table, discard, expand, finish, join_groups, keyed, materialise, mix, packs,
+                                parts_for, share, shared, spans, squeeze, utf8, without, words)
 from lectern.llm.components import components
 
 WORDS = 5
@@ -52,6 +52,10 @@ SHARD_TEXT = 2 << 20
 LABEL_PAIRS = 2048
 #: in full mode, pairs of a block: those of two parts of a label's classes
 BLOCK_PAIRS = 1 << 16
+#: askers and members of a family's block
+ASKERS, MEMBERS = 1024, 4096
+#: a shingle in one of so many classes is hot; at most HOT_KEYS are (any set will do: it only fixes the order)
+HOT_SHARE, HOT_KEYS = 2000, 1 << 20
 #: partners searched at a time in full mode
 ASKED = 256
 _WORD = byte_table(lambda b: b not in (32, 9, 10, 11, 12, 13))
@@ -88,27 +92,51 @@ def needed(n):
     return -(-4 * n // 5)
 
 
-def sent(n):
-    """How many shingles a class of n sends."""
-    q = n - needed(n) + 1
-    return np.minimum(n, q + (3 * q) // 10 + 2)
+def prefix(n):
+    """q: of so many shingles, first in the common order, a partner shares one."""
+    return n - needed(n) + 1
 
 
-def slack(n):
-    """l: how many of the sent ones a partner shares."""
-    return sent(n) - (n - needed(n) + 1) + 1
+def sent(n):
+    """How many shingles a class of n sends at first."""
+    q = prefix(n)
+    return q + (3 * q) // 10 + 2
 
 
 def _fingerprint(x: np.ndarray) -> bytes:
     return hashlib.blake2b(x.tobytes(), digest_size=16).digest()
 
 
+_SIGNED = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("fp", pa.binary())])
+
+
+def _add_up(keys: list, counts: list):
+    key, at = np.unique(np.concatenate(keys), return_inverse=True)
+    return [key], [np.bincount(at, np.concatenate(counts), len(key)).astype(np.int64)]
+
+
 def _sign(batches):
+    """Kind 0: a row's text hash, set size and fingerprint; kind 1: a shingle (h) that n documents
+    of the task hold, a hundredth of the hundreds or so that would be hot everywhere."""
+    keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
     for table in packs(batches, PACK):
         sets = shingle_sets(table)
+        prints = [_fingerprint(x) for x in sets]
         yield pa.RecordBatch.from_arrays(
-            [table.column("doc_id").combine_chunks(), table.column("h").combine_chunks(), pa.array([len(x) for x in sets], pa.int64()),
-             pa.array([_fingerprint(x) for x in sets], pa.binary())], names=["doc_id", "h", "n", "fp"])
+            [pa.array(np.zeros(len(sets), np.int32)), table.column("doc_id").combine_chunks(), table.column("h").combine_chunks(),
+             pa.array([len(x) for x in sets], pa.int64()), pa.array(prints, pa.binary())], schema=_SIGNED)
+        sets = list(dict(zip(prints, sets)).values())
+        held += len(sets)
+        k, c = np.unique(np.concatenate(sets), return_counts=True)
+        keys.append(k[c > 1])
+        counts.append(c[c > 1])
+        if len(keys) > 32:
+            keys, counts = _add_up(keys, counts)
+    (key,), (count,) = _add_up(keys, counts)
+    often = count >= max(4, held // HOT_SHARE)
+    key, count = key[often], count[often]
+    yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(key), np.int32)), pa.nulls(len(key), pa.int64()), pa.array(key.view(np.int64)),
+                                      pa.array(count), pa.nulls(len(key), pa.binary())], schema=_SIGNED)
 
 
 def _bucket(h: np.ndarray, n: int) -> np.ndarray:
@@ -128,25 +156,49 @@ _POSTING = ("<u8", "<i8", "<i4")
 _SENT = "bucket int, n long, data binary"
 
 
-def _send(buckets: int, rest: bool):
-    """Messages of the sent shingles, or (rest) of the others."""
+#: bucket of the rows that tell what a class has sent: class, size, sent, all that are not hot
+_ABOUT = -1
+_ABOUT_TYPES = ("<i8", "<i8", "<i8", "<i8")
+
+
+def _members(x: np.ndarray, of: np.ndarray) -> np.ndarray:
+    if not len(of):
+        return np.zeros(len(x), bool)
+    return of[np.minimum(np.searchsorted(of, x), len(of) - 1)] == x
+
+
+def _send(buckets: int, block, part: str):
+    """Messages of the shingles that are not hot: the first ones, the rest, or (all) the whole sets."""
     def send(batches):
+        hot = shared(block)
         for table in packs(batches, 2 * PACK):
-            parts = []
+            parts, about = [], []
             for cid, fp, x in zip(table.column("cid").to_pylist(), table.column("fp").to_pylist(), shingle_sets(table)):
                 if _fingerprint(x) != fp:
                     continue  # another text under a repeated doc_id
-                s = int(sent(len(x)))
-                y = x[s:] if rest else x[:s]
+                y, s = x, int(sent(len(x)))
+                if part != "all":
+                    y = x[~_members(x, hot)]
+                    if part == "first":
+                        about.append((cid, len(x), min(s, len(y)), len(y)))
+                    y = y[:s] if part == "first" else y[s:]
                 parts.append((y, np.full(len(y), cid, np.int64), np.full(len(y), len(x), np.int32)))
             if parts:
                 rows = list(_messages(*(np.concatenate(c) for c in zip(*parts)), buckets))
+                if about:
+                    rows.append((_ABOUT, len(about), squeeze(*np.array(about, np.int64).T)))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), (pa.int32(), pa.int64(), pa.binary()))],
                                                      names=["bucket", "n", "data"])
     return send
 
 
+def _about(batches):
+    for pdf in batches:
+        for n, data in zip(pdf["n"], pdf["data"]):
+            yield pd.DataFrame(dict(zip(("cid", "n", "sent", "cold"), expand(data, n, *_ABOUT_TYPES))))
+
+
 def _postings(pdf: pd.DataFrame):
     """Postings of a bucket ordered by shingle, size and class, each once."""
     h, cid, n = (np.concatenate(c) for c in zip(*(expand(d, k, *_POSTING) for k, d in zip(pdf["n"], pdf["data"]))))
@@ -168,6 +220,16 @@ def _may_link(n, m):
 _CANDIDATE = "kind int, a long, b long, met long"
 
 
+def _count_long(short_list: int):
+    """How many shingles of each class are in long lists of the bucket."""
+    def count(pdf: pd.DataFrame) -> pd.DataFrame:
+        h, cid, _ = _postings(pdf)
+        _, size = _lists(h)
+        who, k = np.unique(cid[np.repeat(size > short_list, size)], return_counts=True)
+        return pd.DataFrame({"cid": who, "k": k})
+    return count
+
+
 def _count_pairs(a, b) -> pd.DataFrame:
     lo, hi = np.minimum(a, b), np.maximum(a, b)
     o = np.lexsort((hi, lo))
@@ -177,8 +239,8 @@ def _count_pairs(a, b) -> pd.DataFrame:
 
 
 def _own(short_list: int):
-    """Kind 0: candidates of the short lists and how often they met; kind 1: postings of the
-    long lists (a: shingle, b: class, met: list length)."""
+    """Kind 0: candidates of the short lists and how often they met; kind 1: the shingles (a) of
+    long lists, of bucket b."""
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
         h, cid, n = _postings(pdf)
         at, size = _lists(h)
@@ -194,31 +256,18 @@ def _own(short_list: int):
             i = i[_may_link(n[i], n[i + k])]
             pairs.append((cid[i], cid[i + k]))
         out = _count_pairs(*(np.concatenate(c) for c in zip(*pairs)))
-        long = size > short_list
-        i = spans(at[long], size[long])
-        return pd.concat([out, pd.DataFrame({"kind": 1, "a": h[i].view(np.int64), "b": cid[i], "met": np.repeat(size[long], size[long])})],
-                         ignore_index=True)
+        long = h[at[size > short_list]].view(np.int64)
+        return pd.concat([out, pd.DataFrame({"kind": 1, "a": long, "b": int(pdf["bucket"].iloc[0]), "met": 0})], ignore_index=True)
     return own
 
 
-def _probe(short_list: int):
-    """The crowded classes' other shingles against the short lists."""
-    def probe(lists: pd.DataFrame, extra: pd.DataFrame) -> pd.DataFrame:
-        if not len(extra) or not len(lists):
-            return pd.DataFrame({"kind": [], "a": [], "b": [], "met": []}).astype("int64")
-        h, cid, n = _postings(lists)
-        at, size = _lists(h)
-        keys = h[at]
-        x, who, m = _postings(extra)
-        place = np.searchsorted(keys, x)
-        ok = place < len(keys)
-        ok[ok] = (keys[place[ok]] == x[ok]) & (size[place[ok]] <= short_list)
-        place, who, m = place[ok], who[ok], m[ok]
-        i = spans(at[place], size[place])
-        a, am = np.repeat(who, size[place]), np.repeat(m, size[place])
-        ok = (a != cid[i]) & _may_link(am, n[i])
-        return _count_pairs(a[ok], cid[i][ok])
-    return probe
+def _in_long(longs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
+    """Of the shingles of the asking classes those that are in long lists."""
+    if not len(longs) or not len(asked):
+        return pd.DataFrame({"cid": [], "shingle": []}).astype("int64")
+    h, cid, _ = _postings(asked)
+    i = _members(h, np.sort(longs["shingle"].to_numpy(np.int64).view(np.uint64)))
+    return pd.DataFrame({"cid": cid[i], "shingle": h[i].view(np.int64)})
 
 
 # ---------------------------------------------------------------- T-occurrence search
@@ -363,8 +412,9 @@ def _check_all(docs: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
 
 
 def _texts_of(src: DataFrame, reps: DataFrame) -> DataFrame:
-    """Texts joined to class rows that name a document; both null-safe on the lowered id."""
-    small = reps.agg(F.count(F.lit(1)).alias("n")).first()["n"] * 64 <= BROADCAST_BYTES
+    """Texts joined to written class rows that name a document; both null-safe on the lowered id."""
+    size = F.lit(64) + (F.size("shards") * 24 if "shards" in reps.columns else 0)
+    small = (reps.agg(F.sum(size).alias("n")).first()["n"] or 0) <= BROADCAST_BYTES
     return src.join(F.broadcast(reps) if small else reps, "doc_id")
 
 
@@ -391,7 +441,8 @@ def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame, full: bool)
         part = F.pmod(F.xxhash64("a"), side) * side + F.pmod(F.xxhash64("b"), side)
     else:
         part = F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / LABEL_PAIRS))
-    dealt = materialise(join_groups(near, materialise(sizes, "labels"), "label", "k", n).select("a", "b", "label", part.alias("part")), "dealt")
+    labelled = materialise(sizes, "labels")
+    dealt = materialise(join_groups(near, labelled, "label", "k", n).select("a", "b", "label", part.alias("part")), "dealt")
     ends = dealt.select("label", "part", F.col("a").alias("cid")).unionByName(dealt.select("label", "part", F.col("b").alias("cid"))).distinct()
     text = (classes.agg(F.sum("n")).first()[0] or 0) * 6 / max(1, classes.count())  # bytes of a text, about
     shards = parts_for(ends.count() * text, SHARD_TEXT)
@@ -400,65 +451,210 @@ def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame, full: bool)
     reps = materialise(wanted.join(classes.select("cid", "fp", F.col("rep").alias("doc_id")), "cid"), "wanted")
     texts = _texts_of(src, reps).mapInArrow(_fit, "shards array<long>, cid long, text string")
     texts = texts.select(F.explode("shards").alias("shard"), "cid", "text")
-    return (texts.groupBy("shard").cogroup(dealt.select("a", "b", shard.alias("shard")).groupBy("shard"))
-            .applyInPandas(_check_all if full else _check, "a long, b long").distinct())
+    out = materialise(texts.groupBy("shard").cogroup(dealt.select("a", "b", shard.alias("shard")).groupBy("shard"))
+                      .applyInPandas(_check_all if full else _check, "a long, b long").distinct(), "links")
+    discard(pairs, labelled, dealt, reps)
+    return out
+
+
+def _search(full: bool):
+    """Links of a block of a family: each asker is searched among the members that may be linked with
+    it, in connect mode those of other components, of each of which one link will do."""
+    def search(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("cid")
+        sets = shingle_sets(pa.table({"text": pa.array(pdf["text"], pa.string())}))
+        cid, label, long = (pdf[c].to_numpy(np.int64) for c in ("cid", "label", "long"))
+        n = np.array([len(x) for x in sets], np.int64)
+        member = np.flatnonzero(pdf["member"])
+        who = np.repeat(member, n[member])
+        cat = np.concatenate([sets[i] for i in member]) if len(member) else np.zeros(0, np.uint64)
+        o = np.lexsort((who, cat))
+        who = who[o]
+        start, size = _lists(cat[o]) if len(cat) else (np.zeros(0, np.int64),) * 2
+        keys = cat[o][start]
+        out = []
+        for i in np.flatnonzero(pdf["asks"]).tolist():
+            x, least = sets[i], int(needed(n[i]))
+            ok = _may_link(n[i], n) & (9 * np.minimum(long[i], long) >= 4 * (n[i] + n))
+            ok &= (cid > cid[i]) if full else (label != label[i])
+            ok[i] = False
+            if not ok.any() or not len(keys):
+                continue
+            at = np.minimum(np.searchsorted(keys, x), len(keys) - 1)
+            at = at[keys[at] == x]
+            lists = [y[ok[y]].tolist() for y in (who[a:a + k] for a, k in zip(start[at].tolist(), size[at].tolist()))]
+            lists = [y for y in lists if y]
+            done = set()
+            for j, met in (divide_skip(lists, least) if len(lists) >= least else {}).items():
+                if 100 * met >= 80 * (n[i] + n[j] - met) and (full or label[j] not in done):
+                    done.add(label[j])
+                    out.append((min(cid[i], cid[j]), max(cid[i], cid[j])))
+        return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
+    return search
+
+
+def _state(about: DataFrame, sent_all: DataFrame | None, messages: list[DataFrame], short_list: int) -> DataFrame:
+    """What each class has sent: cid, n, q, a (sent shingles in no long list), whole (all that are not hot are sent)."""
+    every = messages[0]
+    for m in messages[1:]:
+        every = every.unionByName(m)
+    longs = every.groupBy("bucket").applyInPandas(_count_long(short_list), "cid long, k long").groupBy("cid").agg(F.sum("k").alias("k"))
+    x = about.join(longs, "cid", "left")
+    if sent_all is not None:
+        x = x.join(sent_all.select("cid", F.lit(True).alias("more")), "cid", "left")
+    else:
+        x = x.withColumn("more", F.lit(False))
+    more = F.coalesce("more", F.lit(False))
+    q = F.col("n") - ((F.col("n") * 4 + 4) / 5).cast("long") + 1
+    return materialise(x.select("cid", "n", q.alias("q"), (F.when(more, F.col("cold")).otherwise(F.col("sent")) - F.coalesce("k", F.lit(0))).alias("a"),
+                                (more | (F.col("sent") == F.col("cold"))).alias("whole")), "state")
+
+
+def _met_often_enough(candidates: DataFrame, state: DataFrame) -> DataFrame:
+    """Pairs (a, b) met as often as linked classes are.
+
+    At most q - 1 shingles of a class are not its partner's, so of its a sent ones in short lists
+    a - q + 1 are; they are met if the partner has sent as far or all."""
+    met = candidates.groupBy("a", "b").agg(F.sum("met").alias("met"))
+    side = lambda c: state.select(F.col("cid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "q", "a", "whole")])
+    met = met.join(side("a"), "a").join(side("b"), "b")
+    owed = lambda c: F.greatest(F.col(f"a_{c}") - F.col(f"q_{c}") + 1, F.lit(1))
+    both = F.col("whole_a") & F.col("whole_b")
+    least = (F.when(both, F.greatest(owed("a"), owed("b"))).when(F.col("whole_a"), owed("b")).when(F.col("whole_b"), owed("a"))
+             .otherwise(F.least(owed("a"), owed("b"))))
+    long = F.least(F.col("n_a") - F.col("a_a"), F.col("n_b") - F.col("a_b"))
+    return met.filter((F.col("met") >= least) & (~both | (9 * (F.col("met") + long) >= 4 * (F.col("n_a") + F.col("n_b"))))).select("a", "b")
+
+
+def _families(sets: DataFrame):
+    """(p, cid, n, long): each core class with the least class of each of its order's first lists."""
+    rows = materialise(sets.select(F.explode(F.slice("lists", F.lit(1), F.col("p"))).alias("g"), "cid", "n", "long"), "core-lists")
+    pivots = materialise(rows.groupBy("g").agg(F.min("cid").alias("p"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "pivots")
+    out = materialise(join_groups(rows, pivots, "g", "size", rows.count()).select("p", "cid", "n", "long").distinct(), "families")
+    discard(rows, pivots)
+    return out
+
+
+def _within(families: DataFrame, labels: DataFrame | None, src: DataFrame, classes: DataFrame, full: bool) -> DataFrame:
+    """Links of classes of one family: all, or (with labels) enough to connect different components."""
+    label = F.lit(0).cast("long")
+    fam = families.withColumn("label", label) if labels is None else (
+        families.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid")))
+    fam = materialise(fam, "labelled")
+    n = fam.count()
+    groups = (fam.groupBy("p", "label").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).groupBy("p")
+              .agg(F.max_by("label", F.struct("k", "label")).alias("major"), F.sum("k").alias("size"), F.min("least").alias("least"),
+                   F.count(F.lit(1)).alias("labels")).filter("size > 1" if full else "labels > 1"))
+    groups = materialise(groups, "mixed")
+    # what a class shares with a partner that no short list shows is in long lists
+    may = 9 * F.col("long") >= 4 * (F.col("n") + F.greatest(F.ceil(F.col("n") * 4 / 5), F.col("least")))
+    rows = join_groups(fam, groups, "p", "size", n).filter(may).withColumn("asks", F.lit(True) if full else F.col("label") != F.col("major"))
+    rows = materialise(rows.select("p", "cid", "long", "label", "asks"), "searched")
+    parts = rows.groupBy("p").agg(F.sum(F.col("asks").cast("long")).alias("u"), F.count(F.lit(1)).alias("m")).filter("u > 0")
+    parts = materialise(parts.select("p", "m", F.ceil(F.col("u") / ASKERS).alias("rows"), F.ceil(F.col("m") / MEMBERS).alias("cols")), "parts")
+    dealt = join_groups(rows, parts, "p", "m", n)
+    i, j = F.pmod(F.xxhash64("cid"), F.col("rows")), F.pmod(F.xxhash64("cid", F.lit(1)), F.col("cols"))
+    every = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
+    as_member = F.transform(every("rows"), lambda r: F.struct("p", r.alias("i"), j.alias("j"), F.lit(True).alias("member"), F.lit(False).alias("asks"), "label", "long"))
+    as_asker = F.transform(every("cols"), lambda c: F.struct("p", i.alias("i"), c.alias("j"), F.lit(False).alias("member"), F.lit(True).alias("asks"), "label", "long"))
+    seats = dealt.select("cid", F.when(F.col("asks"), F.concat(as_member, as_asker)).otherwise(as_member).alias("seats"))
+    wanted = seats.groupBy("cid").agg(F.flatten(F.collect_list("seats")).alias("shards"))
+    reps = materialise(wanted.join(classes.select("cid", "fp", F.col("rep").alias("doc_id")), "cid"), "wanted")
+    seat = "array<struct<p:long,i:long,j:long,member:boolean,asks:boolean,label:long,long:long>>"
+    texts = _texts_of(src, reps).mapInArrow(_fit, f"shards {seat}, cid long, text string").select(F.explode("shards").alias("s"), "cid", "text")
+    both = texts.select("s.p", "s.i", "s.j", "cid", "s.member", "s.asks", "s.label", "s.long", "text")
+    out = materialise(both.groupBy("p", "i", "j").applyInPandas(_seated(full), "a long, b long").distinct(), "links")
+    discard(fam, groups, rows, parts, reps)
+    return out
+
+
+def _seated(full: bool):
+    search = _search(full)
+
+    def seated(pdf: pd.DataFrame) -> pd.DataFrame:
+        # a class that asks and is asked has two rows
+        roles = pdf.groupby("cid")[["member", "asks"]].any()
+        one = pdf.drop_duplicates("cid").drop(columns=["member", "asks"]).join(roles, on="cid").reset_index(drop=True)
+        return search(one)
+    return seated
+
+
+def _hot(signed: DataFrame, classes: int, short_list: int) -> DataFrame:
+    """Shingles that about one of ``HOT_SHARE`` classes or more hold, so many as are broadcast safely."""
+    often = signed.filter("kind = 1").groupBy("h").agg(F.sum("n").alias("k")).filter(F.col("k") > max(short_list, classes // HOT_SHARE))
+    often = materialise(often, "often")
+    by = sorted(often.groupBy(F.floor(F.log2("k")).alias("e")).agg(F.count(F.lit(1)).alias("c")).collect(), reverse=True)
+    total, least = 0, 0
+    for e, c in by:
+        total += c
+        if total > HOT_KEYS:
+            least = 1 << (e + 1)
+            break
+    return often.filter(F.col("k") >= least).select("h")
 
 
 def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full: bool):
     """(rows with their fingerprints, classes, links of classes, labels of linked classes)."""
     src = keyed(docs, id_col=id_col, text_col=text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_LOW)))
-    signed = materialise(src.withColumn("h", F.xxhash64("text")).mapInArrow(_sign, "doc_id long, h long, n long, fp binary"), "signed")
+    every = materialise(src.withColumn("h", F.xxhash64("text")).mapInArrow(_sign, "kind int, doc_id long, h long, n long, fp binary"), "signed")
+    signed = every.filter("kind = 0").drop("kind")
     classes = materialise(signed.filter("n > 0").groupBy("fp").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    total = classes.agg(F.sum("n")).first()[0] or 0
-    buckets = parts_for(int(total * 0.27), OWNER_POSTINGS)
-    by_doc = classes.select("cid", "fp", F.col("rep").alias("doc_id"))
-    postings = materialise(_texts_of(src, by_doc).mapInArrow(_send(buckets, False), _SENT), "postings")
-    owned = materialise(postings.groupBy("bucket").applyInPandas(_own(short_list), _CANDIDATE), "owned")
-    sizes = classes.select("cid", "n")
-
-    lists = owned.filter("kind = 1").select(F.col("a").alias("shingle"), F.col("b").alias("cid"), F.col("met").alias("size"))
-    long = lists.groupBy("cid").agg(F.count(F.lit(1)).alias("long")).join(sizes, "cid")
-    long = materialise(long.withColumn("l", l_of_size(F.col("n"))), "long")
-    crowded = materialise(long.filter("long >= l"), "crowded")
-
-    candidates = owned.filter("kind = 0").select("a", "b", "met")
-    some = crowded.limit(1).count() > 0
-    if some:
-        others = _texts_of(src, materialise(by_doc.join(crowded.select("cid"), "cid"), "crowded-docs"))
-        extra = others.mapInArrow(_send(buckets, True), _SENT)
-        candidates = candidates.unionByName(postings.groupBy("bucket").cogroup(extra.groupBy("bucket"))
-                                            .applyInPandas(_probe(short_list), _CANDIDATE).select("a", "b", "met"))
-    # met in short lists, and in as many long ones as both have at most: below l of the smaller, no link
-    met = candidates.groupBy("a", "b").agg(F.sum("met").alias("met"))
-    spare = long.select("cid", "long")
-    least_l = F.least(l_of_size(F.col("na")), l_of_size(F.col("nb")))
-    met = (met.join(sizes.select(F.col("cid").alias("a"), F.col("n").alias("na")), "a")
-           .join(sizes.select(F.col("cid").alias("b"), F.col("n").alias("nb")), "b")
-           .join(spare.select(F.col("cid").alias("a"), F.col("long").alias("xa")), "a", "left")
-           .join(spare.select(F.col("cid").alias("b"), F.col("long").alias("xb")), "b", "left")
-           .filter(F.col("met") + F.least(F.coalesce("xa", F.lit(0)), F.coalesce("xb", F.lit(0))) >= least_l))
-    pairs = met.select("a", "b")
-    if some:
-        in_lists = materialise(lists.join(crowded.select("cid", "n", "l"), "cid"), "crowded-lists")
-    if some and full:
-        pairs = pairs.unionByName(_asked(in_lists)).distinct()
-    elif some:
-        pivots = in_lists.groupBy("shingle").agg(F.min(F.struct("cid", "n")).alias("p"), F.count(F.lit(1)).alias("members"))
-        pivots = materialise(pivots, "pivots")
-        star = (join_groups(in_lists, pivots, "shingle", "members", in_lists.count()).filter(F.col("cid") != F.col("p.cid"))
-                .filter(5 * F.least("n", F.col("p.n")) >= 4 * F.greatest("n", F.col("p.n")))
-                .select(F.col("p.cid").alias("a"), F.col("cid").alias("b")))
-        pairs = pairs.unionByName(star).distinct()
-    links = materialise(_verified(pairs, src, classes, full), "links")
-    labels = components(links)
-    if some and not full:
-        more = _between(in_lists, labels)
-        if more.limit(1).count():
-            links = materialise(links.unionByName(_verified(more, src, classes, False)).distinct(), "links")
-            labels = components(links)
-    return signed, classes, links, labels
+    size = classes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    buckets = parts_for(int((size["n"] or 0) * 0.4), OWNER_POSTINGS)
+    hot = materialise(_hot(every, size["k"], short_list), "hot")
+    block = share(src.sparkSession, np.sort(hot.toPandas()["h"].to_numpy(np.int64).view(np.uint64)))
+    by_doc = materialise(classes.select("cid", "fp", F.col("rep").alias("doc_id")), "by-doc")
+    first = materialise(_texts_of(src, by_doc).mapInArrow(_send(buckets, block, "first"), _SENT), "postings")
+    about = materialise(first.filter(F.col("bucket") == _ABOUT).mapInPandas(_about, "cid long, n long, sent long, cold long"), "about")
+    messages, sent_all = [first.filter(F.col("bucket") != _ABOUT)], None
+    written = [first]
+    state = _state(about, None, messages, short_list)
+    # the first time with some room, so that fewer classes follow later
+    room = F.floor(F.col("q") / 10)
+    while True:
+        short_of = materialise(state.filter(~F.col("whole") & (F.col("a") < F.col("q") + room)).select("cid"), "short-of")
+        if short_of.limit(1).count() == 0:
+            break
+        room = F.lit(0)
+        who = materialise(by_doc.join(short_of, "cid"), "rest-docs")
+        rest = materialise(_texts_of(src, who).mapInArrow(_send(buckets, block, "rest"), _SENT), "rest")
+        messages.append(rest)
+        written += [rest, who]
+        sent_all = short_of if sent_all is None else materialise(sent_all.unionByName(short_of), "sent-all")
+        discard(state)
+        state = _state(about, sent_all, messages, short_list)
+    posted = messages[0]
+    for m in messages[1:]:
+        posted = posted.unionByName(m)
+    owned = materialise(posted.groupBy("bucket").applyInPandas(_own(short_list), _CANDIDATE), "owned")
+    discard(*written)
+
+    pairs = _met_often_enough(owned.filter("kind = 0").select("a", "b", "met"), state)
+    found = _verified(pairs, src, classes, full)
+    core = materialise(state.filter(F.col("whole") & (F.col("a") < F.col("q"))), "core")
+    if core.limit(1).count():
+        who = materialise(by_doc.join(core.select("cid"), "cid"), "core-docs")
+        asked = _texts_of(src, who).mapInArrow(_send(buckets, block, "all"), _SENT)
+        longs = owned.filter("kind = 1").select(F.col("b").cast("int").alias("bucket"), F.col("a").alias("shingle")).unionByName(
+            hot.select(F.pmod(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(buckets)).cast("int").alias("bucket"), F.col("h").alias("shingle")))
+        lists = (longs.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(_in_long, "cid long, shingle long")
+                 .groupBy("cid").agg(F.array_sort(F.collect_list("shingle")).alias("lists")))
+        sets = lists.join(core.select("cid", "n", (F.col("q") - F.col("a")).cast("int").alias("p")), "cid").withColumn("long", F.size("lists").cast("long"))
+        families = _families(sets)
+        if not full:
+            ends = classes.select(F.col("cid").alias("p"), F.col("n").alias("m"))
+            star = families.filter("p <> cid").join(ends, "p").filter(5 * F.least("n", "m") >= 4 * F.greatest("n", "m"))
+            star = _verified(star.select(F.col("p").alias("a"), F.col("cid").alias("b")), src, classes, False)
+            found = materialise(found.unionByName(star).distinct(), "links")
+            labels = components(found)
+            more = _within(families, labels, src, classes, False)
+        else:
+            more = _within(families, None, src, classes, True)
+        found = materialise(found.unionByName(more).distinct(), "links")
+    discard(owned)
+    return signed, classes, found, components(found)
 
 
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_list: int = SHORT_LIST) -> DataFrame:
@@ -489,48 +685,3 @@ def keep_one(docs: DataFrame) -> DataFrame:
     found = near_duplicates(docs)
     bad = materialise(found.filter(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id", "h").distinct(), "near")
     return without(docs, bad)
-
-
-def l_of_size(n):
-    """``slack`` as a column."""
-    q = n - ((n * 4 + 4) / 5).cast("long") + 1
-    return F.least(n, q + (q * 3 / 10).cast("long") + 2) - q + 1
-
-
-def _between(in_lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Pairs of crowded classes that share a long list and are in different components so far.
-
-    A partner shares l of the sent shingles, so the longest l - 1 lists of a class (less what a
-    smaller partner may lack) need not be looked at."""
-    rows = in_lists.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    rows = materialise(rows, "labelled")
-    mixed = materialise(rows.groupBy("shingle").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count(F.lit(1)).alias("members"))
-                        .filter("lo < hi").select("shingle", "members"), "mixed")
-    n = rows.count()
-    rows = materialise(join_groups(rows, mixed, "shingle", "members", n), "mixed-rows")
-    ranked = rows.groupBy("cid", "n", "l", "label").agg(F.sort_array(F.collect_list(F.struct("size", "shingle")), asc=False).alias("lists"))
-    skip = F.greatest(F.floor(F.col("l") * 0.8) - 2, F.lit(0))
-    asks = ranked.select("cid", "n", "label", F.explode(F.slice("lists", skip.cast("int") + 1, F.size("lists"))).alias("x")) \
-        .select("cid", "n", "label", F.col("x.shingle").alias("shingle"))
-    # an asked list is looked at in blocks, so that a long one is many tasks
-    blocks = 16
-    left = asks.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    right = rows.select("shingle", F.col("cid").alias("other"), F.col("n").alias("m"), F.col("label").alias("other_label"),
-                        F.pmod(F.xxhash64("cid"), F.lit(blocks)).cast("int").alias("block"))
-    return (left.join(right, ["shingle", "block"])
-            .filter((F.col("label") != F.col("other_label")) & (5 * F.least("n", "m") >= 4 * F.greatest("n", "m")))
-            .select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct())
-
-
-def _asked(in_lists: DataFrame) -> DataFrame:
-    """Pairs of crowded classes that share a long list, but for those lists of a class that a
-    partner need not be in (see ``_between``)."""
-    ranked = in_lists.groupBy("cid", "n", "l").agg(F.sort_array(F.collect_list(F.struct("size", "shingle")), asc=False).alias("lists"))
-    skip = F.greatest(F.floor(F.col("l") * 0.8) - 2, F.lit(0))
-    asks = ranked.select("cid", "n", F.explode(F.slice("lists", skip.cast("int") + 1, F.size("lists"))).alias("x"))
-    blocks = 16
-    left = asks.select("cid", "n", F.col("x.shingle").alias("shingle"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
-    right = in_lists.select("shingle", F.col("cid").alias("other"), F.col("n").alias("m"), F.pmod(F.xxhash64("cid"), F.lit(blocks)).cast("int").alias("block"))
-    return (left.join(right, ["shingle", "block"])
-            .filter((F.col("cid") != F.col("other")) & (5 * F.least("n", "m") >= 4 * F.greatest("n", "m")))
-            .select(F.least("cid", "other").alias("a"), F.greatest("cid", "other").alias("b")).distinct())

@@ -2,7 +2,7 @@
 
 A text's ids are the ids of its pieces between blanks, one after another, as no token of a
 word tokenizer spans white space.  So each distinct piece is encoded once and the ids of the
-texts are gathered with numpy.  Pieces are known by a 64-bit hash and their first eight bytes;
+texts are gathered with numpy.  Pieces are known by two 64-bit hashes;
 the ids learnt stay in a bounded table of the worker.
 """
 
@@ -58,7 +58,7 @@ class PieceEncoder:
 
     def _forget(self) -> None:
         self.known = np.zeros(0, np.uint64)  # hashes, sorted
-        self.head = np.zeros(0, np.uint64)  # first bytes of each
+        self.check = np.zeros(0, np.uint64)  # second hash of each
         self.at = np.zeros(0, np.int64)  # its place in the pool
         self.size = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
@@ -95,23 +95,22 @@ class PieceEncoder:
         if pc.any(odd).as_py():
             return self._whole(texts, odd)
         buf, off = utf8(texts)
-        s, e, h, first = words(buf, _PIECE, off)
+        s, e, h, first, h2 = words(buf, _PIECE, off, twice=True)
         if not len(s):
             return np.zeros(0, np.uint32), np.zeros(len(texts) + 1, np.int64)
         code, seen = pd.factorize(h)
         one = np.empty(len(seen), np.int64)  # an occurrence of each piece
         one[code] = np.arange(len(code))
         lower = _LOWER[buf]
-        padded = np.append(lower, np.zeros(8, np.uint8))
-        head = np.ndarray((len(buf) + 1,), "<u8", padded.tobytes(), 0, (1,))[s[one]].astype(np.uint64)
-        short = np.minimum(e[one] - s[one], 8).astype(np.uint64)
-        head &= np.uint64(2**64 - 1) >> (np.uint64(64) - short * np.uint64(8))
+        check = h2[one]
+        if (check[code] != h2).any():  # two pieces of the pack share a hash
+            return self._whole(texts, pa.array([True] * len(texts)))
         if len(self.known) + len(seen) > self.limit:
             self._forget()
         place = np.searchsorted(self.known, seen)
         hit = place < len(self.known)
         hit[hit] = self.known[place[hit]] == seen[hit]
-        if (self.head[place[hit]] != head[hit]).any():
+        if (self.check[place[hit]] != check[hit]).any():
             self._forget()  # two pieces with one hash: start anew
             hit[:] = False
         new = np.flatnonzero(~hit)
@@ -124,7 +123,7 @@ class PieceEncoder:
             keys = np.concatenate([self.known, seen[new]])
             by = np.argsort(keys, kind="stable")
             self.known = keys[by]
-            self.head = np.concatenate([self.head, head[new]])[by]
+            self.check = np.concatenate([self.check, check[new]])[by]
             self.at = np.concatenate([self.at, at])[by]
             self.size = np.concatenate([self.size, size])[by]
             place = np.searchsorted(self.known, seen)
