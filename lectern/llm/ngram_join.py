@@ -29,7 +29,6 @@ are in one class; very long texts are one row and one set.
 
 from __future__ import annotations
 
-import hashlib
 import heapq
 from bisect import bisect_left
 
@@ -39,52 +38,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import (BROADCAST_BYTES, U64, byte_table, discard, expand, finish, join_groups, keyed, materialise, mix, packs,
-                                parts_for, share, shared, spans, squeeze, utf8, without, words)
+from lectern.llm.common import U64, discard, expand, join_groups, keyed, materialise, packs, parts_for, share, shared, spans, squeeze, without
 from lectern.llm.components import components
+from lectern.llm.families import LOW, PACK, families, fingerprint, labelled_rows, sets_by_class, shingle_sets, texts_of, verified, within
 
 WORDS = 5
 SHORT_LIST = 32
 OWNER_POSTINGS = 200_000
-PACK = 2 << 20
-SHARD_TEXT = 2 << 20
-#: pairs of one label beyond which they are dealt over several shards
-LABEL_PAIRS = 2048
 #: in full mode, pairs of a block: those of two parts of a label's classes
 BLOCK_PAIRS = 1 << 16
-#: askers and members of a family's block
-ASKERS, MEMBERS = 1024, 4096
 #: a shingle in one of so many classes is hot; at most HOT_KEYS are (any set will do: it only fixes the order)
 HOT_SHARE, HOT_KEYS = 2000, 1 << 20
 #: partners searched at a time in full mode
 ASKED = 256
-_WORD = byte_table(lambda b: b not in (32, 9, 10, 11, 12, 13))
-_LOW = -(1 << 63)
-
-
-def shingle_sets(table) -> list[np.ndarray]:
-    """Sorted distinct 64-bit shingle hashes of each text."""
-    buf, off = utf8(table.column("text"))
-    _, _, h, first = words(buf, _WORD, off)
-    n = len(h)
-    x = np.zeros(n, np.uint64)
-    if n >= WORDS:
-        y = h[:n - WORDS + 1] + U64(WORDS)
-        for j in range(1, WORDS):
-            y = mix(y, h[j:n - WORDS + 1 + j])
-        x[:n - WORDS + 1] = finish(y)
-    out = []
-    for a, b in zip(first[:-1].tolist(), first[1:].tolist()):
-        if b - a >= WORDS:
-            out.append(np.unique(x[a:b - WORDS + 1]))
-        elif b > a:
-            y = h[a:a + 1] + U64(b - a)
-            for j in range(a + 1, b):
-                y = mix(y, h[j:j + 1])
-            out.append(finish(y))
-        else:
-            out.append(np.zeros(0, np.uint64))
-    return out
+
+
+def _sets(table) -> list[np.ndarray]:
+    return shingle_sets(table, WORDS)
 
 
 def needed(n):
@@ -103,10 +73,6 @@ def sent(n):
     return q + (3 * q) // 10 + 2
 
 
-def _fingerprint(x: np.ndarray) -> bytes:
-    return hashlib.blake2b(x.tobytes(), digest_size=16).digest()
-
-
 _SIGNED = pa.schema([("kind", pa.int32()), ("doc_id", pa.int64()), ("h", pa.int64()), ("n", pa.int64()), ("fp", pa.binary())])
 
 
@@ -120,8 +86,8 @@ def _sign(batches):
     of the task hold, a hundredth of the hundreds or so that would be hot everywhere."""
     keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
     for table in packs(batches, PACK):
-        sets = shingle_sets(table)
-        prints = [_fingerprint(x) for x in sets]
+        sets = _sets(table)
+        prints = [fingerprint(x) for x in sets]
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.zeros(len(sets), np.int32)), table.column("doc_id").combine_chunks(), table.column("h").combine_chunks(),
              pa.array([len(x) for x in sets], pa.int64()), pa.array(prints, pa.binary())], schema=_SIGNED)
@@ -173,8 +139,8 @@ def _send(buckets: int, block, part: str):
         hot = shared(block)
         for table in packs(batches, 2 * PACK):
             parts, about = [], []
-            for cid, fp, x in zip(table.column("cid").to_pylist(), table.column("fp").to_pylist(), shingle_sets(table)):
-                if _fingerprint(x) != fp:
+            for cid, fp, x in zip(table.column("cid").to_pylist(), table.column("fp").to_pylist(), _sets(table)):
+                if fingerprint(x) != fp:
                     continue  # another text under a repeated doc_id
                 y, s = x, int(sent(len(x)))
                 if part != "all":
@@ -322,8 +288,8 @@ def _check(docs: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
 
     The larger document of a pair searches among its partners of the shard: one of each
     component found so far, then another of each that has failed."""
-    docs = docs.drop_duplicates("cid")
-    sets = dict(zip(docs["cid"].tolist(), shingle_sets(pa.table({"text": pa.array(docs["text"], pa.string())}))))
+    docs, found = sets_by_class(docs, WORDS)
+    sets = dict(zip(docs["cid"].tolist(), found))
     partners: dict[int, list[int]] = {}
     for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist()):
         if a in sets and b in sets:
@@ -377,8 +343,8 @@ def _check(docs: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
 
 def _check_all(docs: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
     """All links among a shard's pairs: the larger document searches among all its partners."""
-    docs = docs.drop_duplicates("cid")
-    sets = dict(zip(docs["cid"].tolist(), shingle_sets(pa.table({"text": pa.array(docs["text"], pa.string())}))))
+    docs, found = sets_by_class(docs, WORDS)
+    sets = dict(zip(docs["cid"].tolist(), found))
     partners: dict[int, list[int]] = {}
     for a, b in zip(pairs["a"].tolist(), pairs["b"].tolist()):
         if a in sets and b in sets:
@@ -411,58 +377,20 @@ def _check_all(docs: pd.DataFrame, pairs: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(out, columns=["a", "b"]).astype("int64")
 
 
-def _texts_of(src: DataFrame, reps: DataFrame) -> DataFrame:
-    """Texts joined to written class rows that name a document; both null-safe on the lowered id."""
-    size = F.lit(64) + (F.size("shards") * 24 if "shards" in reps.columns else 0)
-    small = (reps.agg(F.sum(size).alias("n")).first()["n"] or 0) <= BROADCAST_BYTES
-    return src.join(F.broadcast(reps) if small else reps, "doc_id")
-
-
-def _fit(batches):
-    """Drop rows whose text is not the class's."""
-    for table in packs(batches, PACK):
-        ok = [_fingerprint(x) == fp for x, fp in zip(shingle_sets(table), table.column("fp").to_pylist())]
-        yield from table.select(["shards", "cid", "text"]).filter(pa.array(ok)).to_batches()
-
-
 def _verified(pairs: DataFrame, src: DataFrame, classes: DataFrame, full: bool) -> DataFrame:
     """Of the pairs (a, b) of classes, all links (full) or enough to connect all that they connect."""
-    pairs = materialise(pairs.select("a", "b"), "pairs")
-    n = pairs.count()
-    # pairs of one neighbourhood share a shard: by the least class next to either
-    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("label"))
-    near = (pairs.join(least, "a").join(least.select(F.col("a").alias("b"), F.col("label").alias("other")), "b")
-            .select("a", "b", F.least("label", "other").alias("label")))
-    sizes = near.groupBy("label").agg(F.count(F.lit(1)).alias("k"))
-    if full:
-        # a class is in as many blocks as there are parts, not in one for each partner
-        side = F.ceil(F.sqrt(F.col("k") / BLOCK_PAIRS))
-        part = F.pmod(F.xxhash64("a"), side) * side + F.pmod(F.xxhash64("b"), side)
-    else:
-        part = F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / LABEL_PAIRS))
-    labelled = materialise(sizes, "labels")
-    dealt = materialise(join_groups(near, labelled, "label", "k", n).select("a", "b", "label", part.alias("part")), "dealt")
-    ends = dealt.select("label", "part", F.col("a").alias("cid")).unionByName(dealt.select("label", "part", F.col("b").alias("cid"))).distinct()
-    text = (classes.agg(F.sum("n")).first()[0] or 0) * 6 / max(1, classes.count())  # bytes of a text, about
-    shards = parts_for(ends.count() * text, SHARD_TEXT)
-    shard = F.pmod(F.xxhash64("label", "part"), F.lit(shards))
-    wanted = ends.groupBy("cid").agg(F.collect_set(shard).alias("shards"))
-    reps = materialise(wanted.join(classes.select("cid", "fp", F.col("rep").alias("doc_id")), "cid"), "wanted")
-    texts = _texts_of(src, reps).mapInArrow(_fit, "shards array<long>, cid long, text string")
-    texts = texts.select(F.explode("shards").alias("shard"), "cid", "text")
-    out = materialise(texts.groupBy("shard").cogroup(dealt.select("a", "b", shard.alias("shard")).groupBy("shard"))
-                      .applyInPandas(_check_all if full else _check, "a long, b long").distinct(), "links")
-    discard(pairs, labelled, dealt, reps)
-    return out
+    if not full:
+        return verified(pairs, src, classes, WORDS, _check)
+    # a class is in as many blocks as there are parts, not in one for each partner
+    side = F.ceil(F.sqrt(F.col("k") / BLOCK_PAIRS))
+    return verified(pairs, src, classes, WORDS, _check_all, F.pmod(F.xxhash64("a"), side) * side + F.pmod(F.xxhash64("b"), side))
 
 
 def _search(full: bool):
     """Links of a block of a family: each asker is searched among the members that may be linked with
     it, in connect mode those of other components, of each of which one link will do."""
     def search(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("cid")
-        sets = shingle_sets(pa.table({"text": pa.array(pdf["text"], pa.string())}))
+        pdf, sets = sets_by_class(pdf, WORDS)
         cid, label, long = (pdf[c].to_numpy(np.int64) for c in ("cid", "label", "long"))
         n = np.array([len(x) for x in sets], np.int64)
         member = np.flatnonzero(pdf["member"])
@@ -526,57 +454,10 @@ def _met_often_enough(candidates: DataFrame, state: DataFrame) -> DataFrame:
     return met.filter((F.col("met") >= least) & (~both | (9 * (F.col("met") + long) >= 4 * (F.col("n_a") + F.col("n_b"))))).select("a", "b")
 
 
-def _families(sets: DataFrame):
-    """(p, cid, n, long): each core class with the least class of each of its order's first lists."""
-    rows = materialise(sets.select(F.explode(F.slice("lists", F.lit(1), F.col("p"))).alias("g"), "cid", "n", "long"), "core-lists")
-    pivots = materialise(rows.groupBy("g").agg(F.min("cid").alias("p"), F.count(F.lit(1)).alias("size")).filter("size > 1"), "pivots")
-    out = materialise(join_groups(rows, pivots, "g", "size", rows.count()).select("p", "cid", "n", "long").distinct(), "families")
-    discard(rows, pivots)
-    return out
-
-
-def _within(families: DataFrame, labels: DataFrame | None, src: DataFrame, classes: DataFrame, full: bool) -> DataFrame:
-    """Links of classes of one family: all, or (with labels) enough to connect different components."""
-    label = F.lit(0).cast("long")
-    fam = families.withColumn("label", label) if labels is None else (
-        families.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid")))
-    fam = materialise(fam, "labelled")
-    n = fam.count()
-    groups = (fam.groupBy("p", "label").agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("least")).groupBy("p")
-              .agg(F.max_by("label", F.struct("k", "label")).alias("major"), F.sum("k").alias("size"), F.min("least").alias("least"),
-                   F.count(F.lit(1)).alias("labels")).filter("size > 1" if full else "labels > 1"))
-    groups = materialise(groups, "mixed")
+def _within(members: DataFrame, labels: DataFrame | None, src: DataFrame, classes: DataFrame) -> DataFrame:
     # what a class shares with a partner that no short list shows is in long lists
-    may = 9 * F.col("long") >= 4 * (F.col("n") + F.greatest(F.ceil(F.col("n") * 4 / 5), F.col("least")))
-    rows = join_groups(fam, groups, "p", "size", n).filter(may).withColumn("asks", F.lit(True) if full else F.col("label") != F.col("major"))
-    rows = materialise(rows.select("p", "cid", "long", "label", "asks"), "searched")
-    parts = rows.groupBy("p").agg(F.sum(F.col("asks").cast("long")).alias("u"), F.count(F.lit(1)).alias("m")).filter("u > 0")
-    parts = materialise(parts.select("p", "m", F.ceil(F.col("u") / ASKERS).alias("rows"), F.ceil(F.col("m") / MEMBERS).alias("cols")), "parts")
-    dealt = join_groups(rows, parts, "p", "m", n)
-    i, j = F.pmod(F.xxhash64("cid"), F.col("rows")), F.pmod(F.xxhash64("cid", F.lit(1)), F.col("cols"))
-    every = lambda c: F.sequence(F.lit(0).cast("long"), F.col(c) - 1)
-    as_member = F.transform(every("rows"), lambda r: F.struct("p", r.alias("i"), j.alias("j"), F.lit(True).alias("member"), F.lit(False).alias("asks"), "label", "long"))
-    as_asker = F.transform(every("cols"), lambda c: F.struct("p", i.alias("i"), c.alias("j"), F.lit(False).alias("member"), F.lit(True).alias("asks"), "label", "long"))
-    seats = dealt.select("cid", F.when(F.col("asks"), F.concat(as_member, as_asker)).otherwise(as_member).alias("seats"))
-    wanted = seats.groupBy("cid").agg(F.flatten(F.collect_list("seats")).alias("shards"))
-    reps = materialise(wanted.join(classes.select("cid", "fp", F.col("rep").alias("doc_id")), "cid"), "wanted")
-    seat = "array<struct<p:long,i:long,j:long,member:boolean,asks:boolean,label:long,long:long>>"
-    texts = _texts_of(src, reps).mapInArrow(_fit, f"shards {seat}, cid long, text string").select(F.explode("shards").alias("s"), "cid", "text")
-    both = texts.select("s.p", "s.i", "s.j", "cid", "s.member", "s.asks", "s.label", "s.long", "text")
-    out = materialise(both.groupBy("p", "i", "j").applyInPandas(_seated(full), "a long, b long").distinct(), "links")
-    discard(fam, groups, rows, parts, reps)
-    return out
-
-
-def _seated(full: bool):
-    search = _search(full)
-
-    def seated(pdf: pd.DataFrame) -> pd.DataFrame:
-        # a class that asks and is asked has two rows
-        roles = pdf.groupby("cid")[["member", "asks"]].any()
-        one = pdf.drop_duplicates("cid").drop(columns=["member", "asks"]).join(roles, on="cid").reset_index(drop=True)
-        return search(one)
-    return seated
+    may = 9 * F.col("long") >= 4 * (F.col("n") + F.greatest(F.ceil(F.col("n") * 4 / 5), F.col("m")))
+    return within(members, labels, src, classes, WORDS, _search(labels is None), may)
 
 
 def _hot(signed: DataFrame, classes: int, short_list: int) -> DataFrame:
@@ -595,7 +476,7 @@ def _hot(signed: DataFrame, classes: int, short_list: int) -> DataFrame:
 
 def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full: bool):
     """(rows with their fingerprints, classes, links of classes, labels of linked classes)."""
-    src = keyed(docs, id_col=id_col, text_col=text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(_LOW)))
+    src = keyed(docs, id_col=id_col, text_col=text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(LOW)))
     every = materialise(src.withColumn("h", F.xxhash64("text")).mapInArrow(_sign, "kind int, doc_id long, h long, n long, fp binary"), "signed")
     signed = every.filter("kind = 0").drop("kind")
     classes = materialise(signed.filter("n > 0").groupBy("fp").agg(
@@ -606,7 +487,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
     hot = materialise(_hot(every, size["k"], short_list), "hot")
     block = share(src.sparkSession, np.sort(hot.toPandas()["h"].to_numpy(np.int64).view(np.uint64)))
     by_doc = materialise(classes.select("cid", "fp", F.col("rep").alias("doc_id")), "by-doc")
-    first = materialise(_texts_of(src, by_doc).mapInArrow(_send(buckets, block, "first"), _SENT), "postings")
+    first = materialise(texts_of(src, by_doc).mapInArrow(_send(buckets, block, "first"), _SENT), "postings")
     about = materialise(first.filter(F.col("bucket") == _ABOUT).mapInPandas(_about, "cid long, n long, sent long, cold long"), "about")
     messages, sent_all = [first.filter(F.col("bucket") != _ABOUT)], None
     written = [first]
@@ -619,7 +500,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
             break
         room = F.lit(0)
         who = materialise(by_doc.join(short_of, "cid"), "rest-docs")
-        rest = materialise(_texts_of(src, who).mapInArrow(_send(buckets, block, "rest"), _SENT), "rest")
+        rest = materialise(texts_of(src, who).mapInArrow(_send(buckets, block, "rest"), _SENT), "rest")
         messages.append(rest)
         written += [rest, who]
         sent_all = short_of if sent_all is None else materialise(sent_all.unionByName(short_of), "sent-all")
@@ -636,22 +517,25 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
     core = materialise(state.filter(F.col("whole") & (F.col("a") < F.col("q"))), "core")
     if core.limit(1).count():
         who = materialise(by_doc.join(core.select("cid"), "cid"), "core-docs")
-        asked = _texts_of(src, who).mapInArrow(_send(buckets, block, "all"), _SENT)
+        asked = texts_of(src, who).mapInArrow(_send(buckets, block, "all"), _SENT)
         longs = owned.filter("kind = 1").select(F.col("b").cast("int").alias("bucket"), F.col("a").alias("shingle")).unionByName(
             hot.select(F.pmod(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(buckets)).cast("int").alias("bucket"), F.col("h").alias("shingle")))
         lists = (longs.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(_in_long, "cid long, shingle long")
                  .groupBy("cid").agg(F.array_sort(F.collect_list("shingle")).alias("lists")))
         sets = lists.join(core.select("cid", "n", (F.col("q") - F.col("a")).cast("int").alias("p")), "cid").withColumn("long", F.size("lists").cast("long"))
-        families = _families(sets)
+        sets = materialise(sets, "core-sets")
+        rows = materialise(sets.select(F.explode(F.slice("lists", F.lit(1), F.col("p"))).alias("g"), "cid"), "core-lists")
+        members = materialise(families(rows).join(sets.select("cid", "n", "long"), "cid"), "members")
         if not full:
-            ends = classes.select(F.col("cid").alias("p"), F.col("n").alias("m"))
-            star = families.filter("p <> cid").join(ends, "p").filter(5 * F.least("n", "m") >= 4 * F.greatest("n", "m"))
+            pivots = members.groupBy("p").agg(F.count(F.lit(1)).alias("size")).join(classes.select(F.col("cid").alias("p"), F.col("n").alias("m")), "p")
+            pivots = materialise(pivots, "pivots")
+            star = join_groups(members.filter("p <> cid"), pivots, "p", "size", members.count()).filter(5 * F.least("n", "m") >= 4 * F.greatest("n", "m"))
             star = _verified(star.select(F.col("p").alias("a"), F.col("cid").alias("b")), src, classes, False)
             found = materialise(found.unionByName(star).distinct(), "links")
             labels = components(found)
-            more = _within(families, labels, src, classes, False)
+            more = _within(members, labels, src, classes)
         else:
-            more = _within(families, None, src, classes, True)
+            more = _within(members, None, src, classes)
         found = materialise(found.unionByName(more).distinct(), "links")
     discard(owned)
     return signed, classes, found, components(found)
@@ -660,7 +544,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
 def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_list: int = SHORT_LIST) -> DataFrame:
     """All links between classes (documents with one shingle set), by their least doc_ids: a < b."""
     _, classes, found, _ = _linked(docs, id_col, text_col, short_list, True)
-    null = lambda c: F.when(c != _LOW, c)
+    null = lambda c: F.when(c != LOW, c)
     reps = classes.select("cid", "rep")
     out = (found.join(reps.select(F.col("cid").alias("a"), F.col("rep").alias("x")), "a")
            .join(reps.select(F.col("cid").alias("b"), F.col("rep").alias("y")), "b"))
@@ -670,14 +554,7 @@ def links(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", short_list: int = SHORT_LIST, full: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, h (hash of the text)."""
     signed, classes, _, labels = _linked(docs, id_col, text_col, short_list, full)
-    known = classes.join(labels.select(F.col("node").alias("cid"), "label"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    least = known.groupBy("label").agg(F.min("rep").alias("component_id"))
-    known = materialise(known.join(least, "label").select("fp", "component_id", "copies"), "known")
-    rows = signed.count()
-    out = (join_groups(signed.filter("n > 0"), known, "fp", "copies", rows).select("doc_id", "h", "n", "component_id")
-           .unionByName(signed.filter("n = 0").select("doc_id", "h", "n", F.col("doc_id").alias("component_id"))))
-    null = lambda c: F.when(F.col(c) != _LOW, F.col(c)).alias(c)
-    return out.select(null("doc_id"), F.col("n").alias("n_shingles"), null("component_id"), "h")
+    return labelled_rows(signed, classes, labels)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:

@@ -8,8 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lectern.llm import (chat, decontaminate, exact_dedup, language_id, lexical_search, licences, ngram_join, packing, prefix_trie,
-                         span_dedup, token_output, toxicity)
+from lectern.llm import (chat, decontaminate, exact_dedup, language_id, lexical_search, licences, minhash, ngram_join, packing,
+                         prefix_trie, span_dedup, token_output, toxicity)
 from lectern.sources.tables import table
 
 
@@ -82,6 +82,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicate_digest(table(spark, sf_dir, "documents"))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.rebuilt_trie(table(spark, sf_dir, "conversations"))
 
@@ -145,6 +149,7 @@ QUERIES = {
     "op8_exact_dedup": (op8_exact_dedup, op8_sql),
     "op9_token_output": (op9_token_output, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "op11_minhash_near_dedup": (op11_minhash_near_dedup, None),
     "op12_prefix_trie": (op12_prefix_trie, op12_sql),
     "op13_lexical_search": (op13_lexical_search, op13_sql),
 }
