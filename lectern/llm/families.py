@@ -95,7 +95,7 @@ def verified(pairs: DataFrame, src: DataFrame, classes: DataFrame, size: int, ch
     near = (pairs.join(least, "a").join(least.select(F.col("a").alias("b"), F.col("label").alias("other")), "b")
             .select("a", "b", F.least("label", "other").alias("label")))
     sizes = materialise(near.groupBy("label").agg(F.count(F.lit(1)).alias("k")), "labels")
-    part = parts or F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / LABEL_PAIRS))
+    part = F.pmod(F.xxhash64("b"), F.ceil(F.col("k") / LABEL_PAIRS)) if parts is None else parts
     dealt = materialise(join_groups(near, sizes, "label", "k", n).select("a", "b", "label", part.alias("part")), "dealt")
     ends = dealt.select("label", "part", F.col("a").alias("cid")).unionByName(dealt.select("label", "part", F.col("b").alias("cid"))).distinct()
     text = (classes.agg(F.sum("n")).first()[0] or 0) * 6 / max(1, classes.count())  # bytes of a text, about
