@@ -44,10 +44,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Remove tables that :func:`materialise` wrote, once all that reads them is written too."""
+    """Remove tables that :func:`materialise` wrote, once all that reads them is written too.
+
+    The shuffle files of finished jobs go when the driver's JVM collects what refers to them, which
+    ``spark.cleaner.periodicGC.interval`` leaves to half an hour: it is asked to do so now."""
     for t in tables:
         fs, path = hadoop_fs(t.sparkSession, t.written_to)
         fs.delete(path, True)
+    for t in tables[:1]:
+        t.sparkSession.sparkContext._jvm.System.gc()
 
 
 def small_batches(spark) -> None:

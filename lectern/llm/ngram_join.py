@@ -47,8 +47,9 @@ SHORT_LIST = 32
 OWNER_POSTINGS = 200_000
 #: in full mode, pairs of a block: those of two parts of a label's classes
 BLOCK_PAIRS = 1 << 16
-#: a shingle in one of so many classes is hot; at most HOT_KEYS are (any set will do: it only fixes the order)
-HOT_SHARE, HOT_KEYS = 2000, 1 << 20
+#: a task reports shingles that so many of its classes hold, or one of HOT_SHARE; at most HOT_KEYS shingles
+#: are hot, those of most classes (any set will do: it only fixes the order)
+HOT_LEAST, HOT_SHARE, HOT_KEYS = 3, 2000, 1 << 20
 #: partners searched at a time in full mode
 ASKED = 256
 
@@ -82,8 +83,8 @@ def _add_up(keys: list, counts: list):
 
 
 def _sign(batches):
-    """Kind 0: a row's text hash, set size and fingerprint; kind 1: a shingle (h) that n documents
-    of the task hold, a hundredth of the hundreds or so that would be hot everywhere."""
+    """Kind 0: a row's text hash, set size and fingerprint; kind 1: a shingle (h) that n classes of the
+    task hold, counted in packs that hold it twice."""
     keys, counts, held = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], 0
     for table in packs(batches, PACK):
         sets = _sets(table)
@@ -99,18 +100,14 @@ def _sign(batches):
         if len(keys) > 32:
             keys, counts = _add_up(keys, counts)
     (key,), (count,) = _add_up(keys, counts)
-    often = count >= max(4, held // HOT_SHARE)
+    often = count >= max(HOT_LEAST, held // HOT_SHARE)
     key, count = key[often], count[often]
     yield pa.RecordBatch.from_arrays([pa.array(np.ones(len(key), np.int32)), pa.nulls(len(key), pa.int64()), pa.array(key.view(np.int64)),
                                       pa.array(count), pa.nulls(len(key), pa.binary())], schema=_SIGNED)
 
 
-def _bucket(h: np.ndarray, n: int) -> np.ndarray:
-    return (h & U64(0xFFFFFFFF)).astype(np.int64) % n
-
-
 def _messages(h, cid, size, buckets):
-    to = _bucket(h, buckets)
+    to = (h & U64(0xFFFFFFFF)).astype(np.int64) % buckets
     o = np.lexsort((h, to))
     cut = np.searchsorted(to[o], np.arange(buckets + 1))
     for k in np.flatnonzero(np.diff(cut)):
@@ -186,13 +183,16 @@ def _may_link(n, m):
 _CANDIDATE = "kind int, a long, b long, met long"
 
 
-def _count_long(short_list: int):
+def _long_counts(cid: np.ndarray, size: np.ndarray, short_list: int):
     """How many shingles of each class are in long lists of the bucket."""
+    return np.unique(cid[np.repeat(size > short_list, size)], return_counts=True)
+
+
+def _count_long(short_list: int):
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
         h, cid, _ = _postings(pdf)
-        _, size = _lists(h)
-        who, k = np.unique(cid[np.repeat(size > short_list, size)], return_counts=True)
-        return pd.DataFrame({"cid": who, "k": k})
+        who, k = _long_counts(cid, _lists(h)[1], short_list)
+        return pd.DataFrame({"kind": 2, "a": who, "b": 0, "met": k})
     return count
 
 
@@ -206,7 +206,7 @@ def _count_pairs(a, b) -> pd.DataFrame:
 
 def _own(short_list: int):
     """Kind 0: candidates of the short lists and how often they met; kind 1: the shingles (a) of
-    long lists, of bucket b."""
+    long lists, of bucket b; kind 2: classes (a) and how many shingles they have in long lists (met)."""
     def own(pdf: pd.DataFrame) -> pd.DataFrame:
         h, cid, n = _postings(pdf)
         at, size = _lists(h)
@@ -223,7 +223,9 @@ def _own(short_list: int):
             pairs.append((cid[i], cid[i + k]))
         out = _count_pairs(*(np.concatenate(c) for c in zip(*pairs)))
         long = h[at[size > short_list]].view(np.int64)
-        return pd.concat([out, pd.DataFrame({"kind": 1, "a": long, "b": int(pdf["bucket"].iloc[0]), "met": 0})], ignore_index=True)
+        who, k = _long_counts(cid, size, short_list)
+        return pd.concat([out, pd.DataFrame({"kind": 1, "a": long, "b": int(pdf["bucket"].iloc[0]), "met": 0}),
+                          pd.DataFrame({"kind": 2, "a": who, "b": 0, "met": k})], ignore_index=True)
     return own
 
 
@@ -421,12 +423,9 @@ def _search(full: bool):
     return search
 
 
-def _state(about: DataFrame, sent_all: DataFrame | None, messages: list[DataFrame], short_list: int) -> DataFrame:
+def _state(about: DataFrame, sent_all: DataFrame | None, owned: DataFrame) -> DataFrame:
     """What each class has sent: cid, n, q, a (sent shingles in no long list), whole (all that are not hot are sent)."""
-    every = messages[0]
-    for m in messages[1:]:
-        every = every.unionByName(m)
-    longs = every.groupBy("bucket").applyInPandas(_count_long(short_list), "cid long, k long").groupBy("cid").agg(F.sum("k").alias("k"))
+    longs = owned.filter("kind = 2").groupBy(F.col("a").alias("cid")).agg(F.sum("met").alias("k"))
     x = about.join(longs, "cid", "left")
     if sent_all is not None:
         x = x.join(sent_all.select("cid", F.lit(True).alias("more")), "cid", "left")
@@ -460,9 +459,9 @@ def _within(members: DataFrame, labels: DataFrame | None, src: DataFrame, classe
     return within(members, labels, src, classes, WORDS, _search(labels is None), may)
 
 
-def _hot(signed: DataFrame, classes: int, short_list: int) -> DataFrame:
-    """Shingles that about one of ``HOT_SHARE`` classes or more hold, so many as are broadcast safely."""
-    often = signed.filter("kind = 1").groupBy("h").agg(F.sum("n").alias("k")).filter(F.col("k") > max(short_list, classes // HOT_SHARE))
+def _hot(signed: DataFrame, short_list: int) -> DataFrame:
+    """Shingles that are known to be in long lists, those of most classes, as many as are broadcast safely."""
+    often = signed.filter("kind = 1").groupBy("h").agg(F.sum("n").alias("k")).filter(F.col("k") > short_list)
     often = materialise(often, "often")
     by = sorted(often.groupBy(F.floor(F.log2("k")).alias("e")).agg(F.count(F.lit(1)).alias("c")).collect(), reverse=True)
     total, least = 0, 0
@@ -482,41 +481,44 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
     classes = materialise(signed.filter("n > 0").groupBy("fp").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
         .withColumn("cid", F.monotonically_increasing_id()), "classes")
-    size = classes.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).first()
-    buckets = parts_for(int((size["n"] or 0) * 0.4), OWNER_POSTINGS)
-    hot = materialise(_hot(every, size["k"], short_list), "hot")
+    buckets = parts_for(int((classes.agg(F.sum("n")).first()[0] or 0) * 0.3), OWNER_POSTINGS)
+    hot = materialise(_hot(every, short_list), "hot")
     block = share(src.sparkSession, np.sort(hot.toPandas()["h"].to_numpy(np.int64).view(np.uint64)))
     by_doc = materialise(classes.select("cid", "fp", F.col("rep").alias("doc_id")), "by-doc")
     first = materialise(texts_of(src, by_doc).mapInArrow(_send(buckets, block, "first"), _SENT), "postings")
     about = materialise(first.filter(F.col("bucket") == _ABOUT).mapInPandas(_about, "cid long, n long, sent long, cold long"), "about")
-    messages, sent_all = [first.filter(F.col("bucket") != _ABOUT)], None
-    written = [first]
-    state = _state(about, None, messages, short_list)
-    # the first time with some room, so that fewer classes follow later
-    room = F.floor(F.col("q") / 10)
+    posted, sent_all = first.filter(F.col("bucket") != _ABOUT), None
+    written = [by_doc, first, about]
+    # the first time only long lists are looked for, with some room, so that fewer classes follow later
+    owned = materialise(posted.groupBy("bucket").applyInPandas(_count_long(short_list), _CANDIDATE), "owned")
+    state = _state(about, None, owned)
+    room, counted = F.floor(F.col("q") / 10), True
     while True:
         short_of = materialise(state.filter(~F.col("whole") & (F.col("a") < F.col("q") + room)).select("cid"), "short-of")
-        if short_of.limit(1).count() == 0:
+        more = short_of.limit(1).count() > 0
+        if not more and not counted:
+            discard(short_of)
             break
-        room = F.lit(0)
-        who = materialise(by_doc.join(short_of, "cid"), "rest-docs")
-        rest = materialise(texts_of(src, who).mapInArrow(_send(buckets, block, "rest"), _SENT), "rest")
-        messages.append(rest)
-        written += [rest, who]
-        sent_all = short_of if sent_all is None else materialise(sent_all.unionByName(short_of), "sent-all")
-        discard(state)
-        state = _state(about, sent_all, messages, short_list)
-    posted = messages[0]
-    for m in messages[1:]:
-        posted = posted.unionByName(m)
-    owned = materialise(posted.groupBy("bucket").applyInPandas(_own(short_list), _CANDIDATE), "owned")
+        discard(owned)
+        if more:
+            who = materialise(by_doc.join(short_of, "cid"), "rest-docs")
+            rest = materialise(texts_of(src, who).mapInArrow(_send(buckets, block, "rest"), _SENT), "rest")
+            posted = posted.unionByName(rest)
+            written += [rest, short_of]
+            discard(who)
+            sent_all = short_of if sent_all is None else sent_all.unionByName(short_of)
+        owned = materialise(posted.groupBy("bucket").applyInPandas(_own(short_list), _CANDIDATE), "owned")
+        if more:
+            discard(state)
+            state = _state(about, sent_all, owned)
+        room, counted = F.lit(0), False
     discard(*written)
 
     pairs = _met_often_enough(owned.filter("kind = 0").select("a", "b", "met"), state)
     found = _verified(pairs, src, classes, full)
     core = materialise(state.filter(F.col("whole") & (F.col("a") < F.col("q"))), "core")
     if core.limit(1).count():
-        who = materialise(by_doc.join(core.select("cid"), "cid"), "core-docs")
+        who = materialise(classes.join(core.select("cid"), "cid").select("cid", "fp", F.col("rep").alias("doc_id")), "core-docs")
         asked = texts_of(src, who).mapInArrow(_send(buckets, block, "all"), _SENT)
         longs = owned.filter("kind = 1").select(F.col("b").cast("int").alias("bucket"), F.col("a").alias("shingle")).unionByName(
             hot.select(F.pmod(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(buckets)).cast("int").alias("bucket"), F.col("h").alias("shingle")))

@@ -48,9 +48,9 @@ OWNER_BYTES = 16 << 20
 SHARD_BYTES = 2 << 20
 HOT_SEED = 200_000
 
-_KINDS = ("<u8", "<u8", "<i8", "<i4", "<i4", "u1", "u1")  # seed, context, doc_id, h, start, strings - 1, anchor - start
+_KINDS = ("<u8", "<u8", "<i8", "<i8", "<i4", "u1", "u1")  # seed, context, doc_id, h, start, strings - 1, anchor - start
 _SENT = "kind string, bucket int, n long, data binary"
-_PLACES = "doc_id long, h int, a array<int>, b array<int>"
+_PLACES = "doc_id long, h long, a array<int>, b array<int>"
 
 
 def _hashes(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -153,7 +153,7 @@ def _null_id(column) -> np.ndarray:
 
 
 def _scan(buckets: int):
-    places = pa.schema([("doc_id", pa.int64()), ("h", pa.int32()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])
+    places = pa.schema([("doc_id", pa.int64()), ("h", pa.int64()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])
 
     def scan(batches):
         for table in packs(batches, SEND_BYTES):
@@ -255,7 +255,7 @@ def _own(buckets: int):
     return own
 
 
-_SHARD = ("<u8", "<i8", "<i4", "<i4", "<i4")  # seed, doc_id, h, start, bytes
+_SHARD = ("<u8", "<i8", "<i8", "<i4", "<i4")  # seed, doc_id, h, start, bytes
 
 
 def _fetch(shards: int):
@@ -307,11 +307,11 @@ def _hot_strings(buf, at, seed, ids, hs, start, shards):
     rows = []
     i = np.flatnonzero(~first)
     if len(i):
-        rows.append((0, 0, len(i), squeeze(*(c[i].astype(t, copy=False) for c, t in zip(cols, ("<u8", "<u8", "<i8", "<i4", "<i4")))), b""))
+        rows.append((0, 0, len(i), squeeze(*(c[i].astype(t, copy=False) for c, t in zip(cols, ("<u8", "<u8", "<i8", "<i8", "<i4")))), b""))
     to = (cols[1] % U64(shards)).astype(np.int64)
     for k in np.unique(to[first]):
         i = np.flatnonzero(first & (to == k))
-        rows.append((2, int(k), len(i), squeeze(*(c[i].astype(t, copy=False) for c, t in zip(cols, ("<u8", "<u8", "<i8", "<i4", "<i4")))), b""))
+        rows.append((2, int(k), len(i), squeeze(*(c[i].astype(t, copy=False) for c, t in zip(cols, ("<u8", "<u8", "<i8", "<i8", "<i4")))), b""))
     return rows
 
 
@@ -388,7 +388,7 @@ def repeated_in_shard(seed, doc, h, start, size, text: np.ndarray) -> pd.DataFra
 
 def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     kind = int(pdf["kind"].iloc[0])
-    kinds = _SHARD if kind == 1 else ("<u8", "<u8", "<i8", "<i4", "<i4")
+    kinds = _SHARD if kind == 1 else ("<u8", "<u8", "<i8", "<i8", "<i4")
     cols = [np.concatenate(c) for c in zip(*(expand(d, n, *kinds) for n, d in zip(pdf["n"], pdf["data"])))]
     if kind == 1:
         text = np.frombuffer(b"".join(pdf["text"]), np.uint8)
@@ -402,7 +402,7 @@ def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
 def _settled(pdfs):
     for pdf in pdfs:
         for n, d in zip(pdf["n"], pdf["data"]):
-            c = expand(d, n, "<u8", "<u8", "<i8", "<i4", "<i4")
+            c = expand(d, n, "<u8", "<u8", "<i8", "<i8", "<i4")
             yield _string_places(c[2], c[3], c[4])
 
 
@@ -417,7 +417,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    owner_bytes: int = OWNER_BYTES, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """doc_id, h, and the sorted disjoint byte ranges [a[i], b[i]) that repeat earlier text; only
     documents with any.  A null doc_id comes as the smallest long."""
-    src = keyed(docs, id_col=id_col, text_col=text_col).withColumn("h", F.hash("text"))
+    src = keyed(docs, id_col=id_col, text_col=text_col).withColumn("h", F.xxhash64("text"))
     spark = docs.sparkSession
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = parts_for(int(total), owner_bytes)
@@ -445,7 +445,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         F.flatten(F.collect_list(F.when(F.col("kind") == 2, F.arrays_zip("a", "b")))).alias("hots")), "wanted")
     amount = wanted.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("reps") + F.size("hots")).alias("c")).first()
     shards = parts_for((amount["c"] or 0) * 140, shard_bytes)
-    small = (amount["n"] or 0) * 40 + (amount["c"] or 0) * 8 <= BROADCAST_BYTES
+    small = (amount["n"] or 0) * 100 + (amount["c"] or 0) * 20 <= 3 * BROADCAST_BYTES  # as measured
     key = src.withColumn("_id", F.coalesce("doc_id", F.lit(-(1 << 63)))).drop("doc_id").withColumnRenamed("_id", "doc_id")
     # rows that repeat a document would send its contexts twice, which _settle takes for one place
     fetched = materialise(key.join(F.broadcast(wanted) if small else wanted, ["doc_id", "h"])
@@ -479,7 +479,7 @@ def _cut(batches):
 
 def with_spans(docs: DataFrame, **settings) -> DataFrame:
     """doc_id, text, a, b: every document with its removed byte ranges (null: none)."""
-    src = keyed(docs).withColumn("h", F.hash("text"))
+    src = keyed(docs).withColumn("h", F.xxhash64("text"))
     found = materialise(repeated_spans(docs, **settings), "spans").withColumnsRenamed({"doc_id": "_id", "h": "_h"})
     size = found.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("a")).alias("c")).first()
     small = size["n"] * 40 + (size["c"] or 0) * 8 <= BROADCAST_BYTES

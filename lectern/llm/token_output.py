@@ -7,8 +7,11 @@ and ``escapes`` (uint64).  A shard is one doc_id range, written in ascending ord
 ascend with doc_id.  A document's global start is its shard's base plus ``local_start``.
 
 Ranges come from the quantiles of the doc_id column alone, so texts are tokenised once and
-only coded ids are shuffled.  Null text is empty (the end id alone); a null doc_id sorts first;
-repeated rows are written each, ties ordered by id count and checksum.
+only coded ids are shuffled.  A task looks a document's shard up in the sorted cuts; shard k is
+partition k, so it is written by one task, and the files' names are in the order of doc_id.  An id that
+several cuts fall on (null ones, say) is dealt over as many shards by the hash of the text.  Null text
+is empty (the end id alone); a null doc_id sorts first; repeated rows are written each, those of one
+shard ordered by id count and checksum.
 """
 
 from __future__ import annotations
@@ -21,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lectern.llm import simple8b
-from lectern.llm.common import keyed, packs, parts_for
+from lectern.llm.common import keyed, packs, parts_for, share, shared
 from lectern.llm.tokens import encoder, tokenizer_path
 from lectern.session import scratch_dir
 
@@ -30,8 +33,8 @@ SHARD_DOCS = 20_000
 #: ids coded at a time
 CODE_IDS = 1 << 19
 
-_CODED = "doc_id long, n_tokens long, crc long, words binary, blocks binary, escapes binary"
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("crc", pa.int64()), ("words", pa.binary()),
+_CODED = "shard int, doc_id long, n_tokens long, crc long, words binary, blocks binary, escapes binary"
+_SCHEMA = pa.schema([("shard", pa.int32()), ("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("crc", pa.int64()), ("words", pa.binary()),
                      ("blocks", pa.binary()), ("escapes", pa.binary())])
 
 
@@ -49,18 +52,40 @@ def with_end(ids: np.ndarray, off: np.ndarray, end_id: int) -> tuple[np.ndarray,
 def id_batches(table, path: str, end_id: int):
     """(doc_ids, ids, offsets) of a pack, a bounded number of ids at a time."""
     doc_ids = table.column("doc_id").to_pylist()
+    for a, b, ids, off in _id_slices(table, path, end_id):
+        yield doc_ids[a:b], ids, off
+
+
+def _id_slices(table, path: str, end_id: int):
+    """(first row, end, ids, offsets), a bounded number of ids at a time."""
     ids, off = with_end(*encoder(path).encode(table.column("text")), end_id)
-    a = 0
-    while a < len(doc_ids):
+    a, n = 0, len(off) - 1
+    while a < n:
         b = max(a + 1, int(np.searchsorted(off, off[a] + CODE_IDS, "right")) - 1)
-        yield doc_ids[a:b], ids[off[a]:off[b]], off[a:b + 1] - off[a]
+        yield a, b, ids[off[a]:off[b]], off[a:b + 1] - off[a]
         a = b
 
 
-def _code(path: str, end_id: int):
+#: stands for a null doc_id
+_FIRST = -(1 << 63)
+
+
+def shard_of(ids: np.ndarray, h: np.ndarray, cuts: np.ndarray) -> np.ndarray:
+    """The number of cuts at or below an id; an id that is r cuts is dealt over their r shards by h."""
+    low, high = np.searchsorted(cuts, ids, "left"), np.searchsorted(cuts, ids, "right")
+    part = ((h.view(np.uint64) >> np.uint64(32)) * np.maximum(high - low, 1).astype(np.uint64)) >> np.uint64(32)
+    return np.where(high > low, low + 1 + part.astype(np.int64), high)
+
+
+def _code(path: str, end_id: int, block):
     def code(batches):
+        cuts = shared(block)
         for table in packs(batches, 4 << 20):
-            for doc_ids, ids, off in id_batches(table, path, end_id):
+            every = table.column("doc_id").to_pylist()
+            key = np.array([_FIRST if x is None else x for x in every], np.int64)
+            shard = shard_of(key, table.column("h").to_numpy(), cuts)
+            for a, b, ids, off in _id_slices(table, path, end_id):
+                doc_ids = every[a:b]
                 words, wo, blocks, bo, esc = simple8b.encode(ids, off)
                 eo = np.searchsorted(esc[:, 0], np.arange(len(doc_ids) + 1)) if len(esc) else np.zeros(len(doc_ids) + 1, np.int64)
                 blocks = blocks.astype("<u4")
@@ -71,7 +96,7 @@ def _code(path: str, end_id: int):
                     cols[2].append(blocks[bo[k]:bo[k + 1]].tobytes())
                     cols[3].append(esc[eo[k]:eo[k + 1], 1].tobytes())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x, f.type) for x, f in zip([doc_ids, np.diff(off), *cols], _SCHEMA)], schema=_SCHEMA)
+                    [pa.array(x, f.type) for x, f in zip([shard[a:b], doc_ids, np.diff(off), *cols], _SCHEMA)], schema=_SCHEMA)
     return code
 
 
@@ -94,19 +119,16 @@ def _number(batches):
 def write_token_files(docs: DataFrame, path: str, vocabulary: str | None = None, end_id: int = 1,
                       id_col: str = "doc_id", text_col: str = "text", shard_docs: int = SHARD_DOCS) -> str:
     """Tokenise ``docs`` and write them to the folder ``path``; returns the folder."""
-    src = keyed(docs, id_col=id_col, text_col=text_col)
+    src = keyed(docs, id_col=id_col, text_col=text_col).withColumn("h", F.xxhash64("text"))
     shards = parts_for(src, shard_docs)
     cuts = []
     if shards > 1:
         at = [i / shards for i in range(1, shards)]
-        cuts = src.select(F.percentile_approx("doc_id", at, max(10_000, 20 * shards)).alias("q")).first()["q"] or []
-    shard = F.lit(0)
-    if cuts:
-        # number of cuts at or below the id, from the sorted array of cuts (one per shard)
-        arr = F.array(*[F.lit(int(c)) for c in sorted(set(cuts))])
-        shard = F.coalesce(F.size(F.filter(arr, lambda c: c <= F.col("doc_id"))), F.lit(0))
-    coded = src.mapInArrow(_code(vocabulary or tokenizer_path(), end_id), _CODED).withColumn("shard", shard.cast("int"))
-    numbered = (coded.repartition(shards, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "crc").drop("crc")
+        key = F.coalesce("doc_id", F.lit(_FIRST))
+        cuts = src.select(F.percentile_approx(key, at, max(10_000, 20 * shards)).alias("q")).first()["q"] or []
+    block = share(docs.sparkSession, np.sort(np.array(cuts, np.int64)))  # a number a shard
+    coded = src.mapInArrow(_code(vocabulary or tokenizer_path(), end_id, block), _CODED)
+    numbered = (coded.repartitionById(shards, "shard").sortWithinPartitions("shard", "doc_id", "n_tokens", "crc").drop("crc")
                 .select("shard", "doc_id", "n_tokens", "words", "blocks", "escapes"))
     numbered.mapInArrow(_number, "shard int, doc_id long, n_tokens long, words binary, blocks binary, escapes binary, local_start long") \
         .write.option("compression", "none").parquet(f"{path}/data")

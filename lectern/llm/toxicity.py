@@ -1,16 +1,21 @@
 """Toxic spans by a linear-chain conditional random field.
 
-Labels are of documents, so words are labelled by distant supervision: a word (or its first
-four or five letters) that toxic training documents hold far more often than clean ones is
-tagged toxic in the toxic documents; every other word, and every word of a clean document, is
-tagged clean.  A two-tag CRF over sentences, with hashed word, stem and neighbour features, is
-trained on them in numpy.  Tasks score whole texts: forward-backward marginals of all words,
+Labels are of documents, so the labelled tokens are derived: a word (or its first four or five
+letters) that toxic training documents hold far more often than clean ones is marked, and tagged toxic
+in the toxic documents; every other word, and every word of a clean document, is tagged clean.  Words
+are counted over all training documents.  A word in t of the toxic and c of the clean ones has the
+evidence t log(t / (n p)) + c log(c / (n (1 - p))), with n = t + c and p the share of toxic documents:
+the chance of as many toxic ones is exp(-evidence) at most.  Words are marked from the evidence on at
+which a share ``FALSE`` of the marked ones is expected by chance (Benjamini-Hochberg), if their rate is
+``RATIO`` times that in clean documents.  A two-tag CRF over sentences, with hashed word, stem and
+neighbour features and whether the word is marked, is trained on them in numpy.  Tasks score whole texts: forward-backward marginals of all words,
 from which come the offending spans and, by a logistic regression on document features, the
 document's score.
 
-Training sees only rows of ``labels`` whose crc32(doc_id as text) mod 5 is not 0, at most
-``SAMPLE_DOCS`` of each label (those of the least hash), and ``SAMPLE_SENTENCES`` sentences with
-and without tagged words.  Scores depend on the text alone.
+Training sees only rows of ``labels`` whose crc32(doc_id as text) mod 5 is not 0.  The CRF and the
+document layer are fitted on at most ``SAMPLE_DOCS`` of each label (those of the least hash) and
+``SAMPLE_SENTENCES`` sentences with and without marked words; at most ``LEXICON`` words are marked, those
+of the most evidence.  Scores depend on the text alone.
 
 Null and empty texts are scored like a text without words.  Repeated rows get equal scores;
 repeated labels of a document count once (the greatest).  Without training rows of both labels
@@ -27,7 +32,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import U64, byte_table, finish, keyed, materialise, packs, share, shared, utf8, without, words
+from lectern.llm.common import (BROADCAST_BYTES, U64, byte_table, discard, finish, keyed, materialise, packs, share, shared, utf8,
+                                without, words)
 
 FOLDS = 5
 SAMPLE_DOCS = 2500
@@ -38,8 +44,10 @@ BITS = 18
 PACK = 1 << 20
 _WORD = byte_table(lambda b: 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128)
 _SPLIT = r"[^\p{L}\p{N}]+"
-#: evidence (nats) and rate ratio that a training word needs to be tagged
-EVIDENCE, RATIO = 12.0, 20.0
+#: expected share of marked words that are so by chance, and rate ratio that a marked word needs
+FALSE, RATIO = 0.05, 20.0
+#: toxic documents that a marked word is in at least, and words marked at most
+LEAST, LEXICON = 3, 200_000
 
 
 @dataclass
@@ -47,14 +55,15 @@ class Crf:
     weight: np.ndarray  # of features, for the toxic tag against the clean one
     trans: np.ndarray  # [from, to]
     doc: np.ndarray  # of document features
+    marked: np.ndarray  # hashes of the marked words, sorted
     prior: float = 0.0
     trained: bool = True
 
 
 # ---------------------------------------------------------------- features and chains
 
-def _features(buf: np.ndarray, off: np.ndarray):
-    """(word starts, ends, first word of each text, feature indices (n, 6), chain starts, lengths)."""
+def _features(buf: np.ndarray, off: np.ndarray, marked: np.ndarray):
+    """(word starts, ends, first word of each text, feature indices (n, 7), chain starts, lengths)."""
     s, e, h, first = words(buf, _WORD, off)
     n = len(s)
     norm = np.append(_WORD[buf], np.zeros(8, np.uint8))
@@ -83,6 +92,8 @@ def _features(buf: np.ndarray, off: np.ndarray):
     edge[n] = True
     cols.append(np.where(edge[:-1], U64(1), np.append(U64(0), h[:-1])))
     cols.append(np.where(edge[1:], U64(2), np.append(h[1:], U64(0))))
+    at_mark = np.minimum(np.searchsorted(marked, h), max(0, len(marked) - 1))
+    cols.append(np.where(marked[at_mark] == h, U64(3), U64(4)) if len(marked) else np.full(n, U64(4)))
     idx = np.stack([(finish(c + U64(1000003 * (j + 1))) >> U64(64 - BITS)).astype(np.int32) for j, c in enumerate(cols)], 1)
     return s, e, first, idx, at, length
 
@@ -114,7 +125,7 @@ def marginals(score: np.ndarray, trans: np.ndarray, at: np.ndarray, length: np.n
     return 1.0 / (1.0 + np.exp(-np.clip(a + b, -40, 40)))
 
 
-def train_crf(sentences: list[bytes], tags: list[np.ndarray], epochs: int = 6, batch: int = 64, rate: float = 0.4,
+def train_crf(sentences: list[bytes], tags: list[np.ndarray], marked: np.ndarray, epochs: int = 6, batch: int = 64, rate: float = 0.4,
               decay: float = 1e-5, seed: int = 7) -> tuple[np.ndarray, np.ndarray]:
     """Weights and transitions that maximise the tags' likelihood, by AdaGrad."""
     rng = np.random.default_rng(seed)
@@ -126,7 +137,7 @@ def train_crf(sentences: list[bytes], tags: list[np.ndarray], epochs: int = 6, b
             pick = order[k:k + batch]
             body = [sentences[i] for i in pick]
             off = np.concatenate([[0], np.cumsum([len(x) for x in body])])
-            _, _, _, idx, at, length = _features(np.frombuffer(b"".join(body), np.uint8), off)
+            _, _, _, idx, at, length = _features(np.frombuffer(b"".join(body), np.uint8), off, marked)
             y = np.concatenate([tags[i] for i in pick])
             score = weight[idx].sum(1)
             p = marginals(score, trans, at, length)
@@ -185,36 +196,68 @@ def held_out(id_column, folds: int):
     return F.pmod(F.crc32(F.coalesce(id_column.cast("string"), F.lit("")).cast("binary")), F.lit(folds))
 
 
-def _sample(docs: DataFrame, labels: DataFrame, folds: int, sample_docs: int) -> tuple[DataFrame, float]:
-    """Texts with their label, and the share of label 1 among all training rows."""
+def _training(docs: DataFrame, labels: DataFrame, folds: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, text, toxic) of all training rows, and their doc_id and label, written."""
     src = keyed(docs)
     lab = (labels.select(labels["doc_id"].cast("long").alias("doc_id"), labels["toxic"].cast("int").alias("toxic"))
            .filter("doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
            .filter(held_out(F.col("doc_id"), folds) != 0))
     lab = materialise(lab.join(src.select("doc_id").distinct(), "doc_id", "left_semi"), "tox-labels")
-    share = lab.agg(F.avg("toxic")).first()[0] or 0.0
-    pick = [lab.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for t in (0, 1)]
-    ids = materialise(pick[0].unionByName(pick[1]), "tox-sample")
-    return src.join(F.broadcast(ids), "doc_id"), share  # at most 2 * sample_docs ids
-
-
-def _lexicon(sample: DataFrame, n: dict[int, int]) -> dict[int, set]:
-    """Words (0) and stems of 4 and 5 letters that mark toxic documents."""
-    w = sample.select("toxic", F.array_distinct(F.split(F.lower("text"), _SPLIT)).alias("w"))
-    kinds = [w.select("toxic", F.lit(k).alias("k"), F.explode(
-        F.array_distinct(F.transform("w", lambda x: F.substring(x, 1, k)) if k else F.col("w"))).alias("key")) for k in (0, 4, 5)]
-    seen = kinds[0].unionByName(kinds[1]).unionByName(kinds[2]).filter(F.length("key") >= F.greatest("k", F.lit(3)))
-    t, c = F.sum("toxic"), F.sum(1 - F.col("toxic"))
-    counts = seen.groupBy("k", "key").agg(t.alias("t"), c.alias("c"))
-    rt, rc, r = F.col("t") / n[1], F.col("c") / n[0], (F.col("t") + F.col("c")) / (n[0] + n[1])
-    term = lambda x, rate: F.when(x > 0, x * F.log(rate / r)).otherwise(0.0)
-    strong = counts.filter((F.col("t") >= 3) & (rt > RATIO * rc) & (term(F.col("t"), rt) + term(F.col("c"), rc) >= EVIDENCE))
+    small = lab.count() * 16 <= BROADCAST_BYTES
+    return src.join(F.broadcast(lab) if small else lab, "doc_id"), lab
+
+
+def _keys(rows: DataFrame) -> DataFrame:
+    """(k, key, toxic): words (k = 0) and stems of k letters, each once a document."""
+    def named(x, k):
+        return F.transform(x, lambda y: F.struct(F.lit(k).alias("k"), y.alias("key")))
+
+    def stems(k):
+        return F.array_distinct(F.transform(F.filter("w", lambda y: F.length(y) >= k), lambda y: F.substring(y, 1, k)))
+
+    w = rows.select("toxic", F.array_distinct(F.split(F.lower("text"), _SPLIT)).alias("w"))
+    each = [named(F.filter("w", lambda y: F.length(y) >= 3), 0), named(stems(4), 4), named(stems(5), 5)]
+    return w.select("toxic", F.explode(F.concat(*each)).alias("x")).select("toxic", "x.k", "x.key")
+
+
+def _lexicon(rows: DataFrame, n: dict[int, int]) -> dict[int, set]:
+    """Words (0) and stems of 4 and 5 letters that mark toxic documents.
+
+    Only words of ``LEAST`` toxic documents can be marked, so only these are looked for in clean ones."""
+    seen = materialise(_keys(rows.filter("toxic = 1")).groupBy("k", "key").agg(F.count(F.lit(1)).alias("t")), "tox-words")
+    tested = seen.count()
+    able = materialise(seen.filter(F.col("t") >= LEAST), "tox-able")
+    size = able.agg(F.sum(F.octet_length("key") + 48)).first()[0] or 0
+    side = able.select("k", "key")
+    clean = _keys(rows.filter("toxic = 0")).join(F.broadcast(side) if size <= BROADCAST_BYTES else side, ["k", "key"], "left_semi")
+    p = n[1] / (n[0] + n[1])
+    counts = able.join(clean.groupBy("k", "key").agg(F.count(F.lit(1)).alias("c")), ["k", "key"], "left").fillna(0, ["c"])
+    total = F.col("t") + F.col("c")
+    term = lambda x, share: F.when(x > 0, x * F.log(x / (total * share))).otherwise(0.0)
+    counts = counts.filter(F.col("t") / n[1] > RATIO * F.col("c") / n[0]).withColumn("e", term(F.col("t"), p) + term(F.col("c"), 1 - p))
+    counts = materialise(counts, "tox-evidence")
+    # words by evidence in eighths of a nat: the least at which a share FALSE is expected by chance
+    steps = counts.groupBy(F.floor(F.col("e") * 8).alias("s")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("s")).collect()
+    least, marked = None, 0
+    for r in steps:
+        marked += r["n"]
+        if tested * np.exp(-r["s"] / 8) <= FALSE * marked:
+            least = r["s"] / 8
     out: dict[int, set] = {0: set(), 4: set(), 5: set()}
-    for row in strong.orderBy(F.desc("t"), "key").limit(5000).collect():
-        out[row["k"]].add(row["key"])
+    if least is not None:
+        for row in counts.filter(F.col("e") >= least).orderBy(F.desc("e"), "key").limit(LEXICON).collect():
+            out[row["k"]].add(row["key"])
+    discard(seen, able, counts)
     return out
 
 
+def _hashed(lexicon: dict[int, set]) -> np.ndarray:
+    """Hashes of the marked words, as the features have them."""
+    body = " ".join(sorted(lexicon[0])).encode()
+    h = words(np.frombuffer(body, np.uint8), _WORD, np.array([0, len(body)]))[2]
+    return np.unique(h)
+
+
 def _tag(sentence: str, lexicon: dict[int, set]) -> np.ndarray:
     body = sentence.encode()
     s, e, _, _ = words(np.frombuffer(body, np.uint8), _WORD, np.array([0, len(body)]))
@@ -242,12 +285,16 @@ def _logistic(x: np.ndarray, y: np.ndarray, share: float, steps: int = 50, decay
 
 def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample_docs: int = SAMPLE_DOCS,
         sample_sentences: int = SAMPLE_SENTENCES) -> Crf:
-    sample, share = _sample(docs, labels, folds, sample_docs)
-    sample = materialise(sample, "tox-texts")
-    n = {0: 0, 1: 0} | {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rows, lab = _training(docs, labels, folds)
+    n = {0: 0, 1: 0} | {r["toxic"]: r["n"] for r in lab.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = n[1] / max(1, n[0] + n[1])
     if not n[0] or not n[1]:
-        return Crf(np.zeros(1), np.zeros((2, 2)), np.zeros(6), n[1] / max(1, n[0] + n[1]), False)
-    lexicon = _lexicon(sample, n)
+        return Crf(np.zeros(1), np.zeros((2, 2)), np.zeros(6), np.zeros(0, np.uint64), share, False)
+    lexicon = _lexicon(rows, n)
+    marked = _hashed(lexicon)
+    pick = [lab.filter(F.col("toxic") == t).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_docs) for t in (0, 1)]
+    ids = materialise(pick[0].unionByName(pick[1]).select("doc_id"), "tox-sample")
+    sample = materialise(rows.join(F.broadcast(ids), "doc_id", "left_semi"), "tox-texts")  # at most 2 * sample_docs ids
 
     def sentences(batches):
         for pdf in batches:
@@ -256,9 +303,12 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample_docs: int
                 for line in text.replace("!", ".").replace("?", ".").replace("\n", ".").split("."):
                     parts = line.split()
                     for i in range(0, len(parts), CHAIN):
-                        one = " ".join(parts[i:i + CHAIN])[:8 * CHAIN]
-                        if one:
-                            out.append((one, toxic, int(_tag(one, lexicon).any())))
+                        one = " ".join(parts[i:i + CHAIN])
+                        # a text without blanks is many sentences, whole words where there are any
+                        while one:
+                            cut = len(one) if len(one) <= 8 * CHAIN else one.rfind(" ", 0, 8 * CHAIN) + 1 or 8 * CHAIN
+                            out.append((one[:cut], toxic, int(_tag(one[:cut], lexicon).any())))
+                            one = one[cut:]
             if out:
                 yield pd.DataFrame(out, columns=["sentence", "toxic", "marked"])
 
@@ -269,11 +319,11 @@ def fit(docs: DataFrame, labels: DataFrame, folds: int = FOLDS, sample_docs: int
     # marked words of clean documents are clean: they show how far a word can be trusted
     tags = [_tag(r["sentence"], lexicon) * r["toxic"] for r in taken]
     keep = [i for i, t in enumerate(tags) if len(t)]
-    weight, trans = train_crf([bodies[i] for i in keep], [tags[i] for i in keep])
-    model = Crf(weight.astype(np.float32), trans, np.zeros(6))
+    weight, trans = train_crf([bodies[i] for i in keep], [tags[i] for i in keep], marked)
+    model = Crf(weight.astype(np.float32), trans, np.zeros(6), marked)
     # the document layer, on marginals of the sampled documents
-    rows = _score(sample, model, extra=True).select("f", "toxic").toPandas()
-    model.doc = _logistic(np.array(rows["f"].to_list(), float), rows["toxic"].to_numpy(), share)
+    layer = _score(sample, model, extra=True).select("f", "toxic").toPandas()
+    model.doc = _logistic(np.array(layer["f"].to_list(), float), layer["toxic"].to_numpy(), share)
     return model
 
 
@@ -286,7 +336,7 @@ def _apply(block, extra: bool):
             buf, off = utf8(table.column("text"))
             n = table.num_rows
             if m.trained:
-                s, e, first, idx, at, length = _features(buf, off)
+                s, e, first, idx, at, length = _features(buf, off, m.marked)
                 p = marginals(m.weight[idx].sum(1, dtype=np.float64), m.trans, at, length)
                 f = _doc_features(p, first)
                 score = 1 / (1 + np.exp(-np.clip(f @ m.doc, -30, 30)))

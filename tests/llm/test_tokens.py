@@ -73,7 +73,7 @@ def test_packing(spark):
     bound = packing.lower_bound(np.array([r["length"] for r in found.collect()]), 512)
     bins = []
     for part in (100_000, 10):  # one partition, and rounds of exchanges
-        got = packing.pack_sequences(found, 512, part_pieces=part, fan_in=2).collect()
+        got = packing.pack_sequences(found, 512, part_pieces=part).collect()
         bins.append(check_packing(got, docs, 512))
     # one best-fit pass over all pieces is the yardstick for the rounds
     assert bound <= bins[0] and bins[1] <= bins[0] + 1
@@ -90,3 +90,57 @@ def test_bounds_and_best_fit():
         assert all(n[where == b].sum() == 20 - free[b] for b in range(len(free)))
     assert packing.lower_bound(np.array([11, 11, 11]), 20) == 3
     assert packing.lower_bound(np.array([7] * 6), 20) == 3
+
+
+def test_certificate(spark):
+    """Bins against the bound in every round, and the bound against the least number for small cases."""
+    from itertools import permutations
+    rng = np.random.default_rng(6)
+    for _ in range(60):
+        n = rng.integers(1, 13, rng.integers(1, 7)).astype(np.int64)
+        least = min(first_fit(p, 12) for p in permutations(n.tolist()))  # some order is optimal
+        assert packing.lower_bound(n, 12) <= least <= len(packing.best_fit_decreasing(n, 12)[2])
+        assert packing.lower_bound(n, 12) == packing.lower_bound(*np.unique(n, return_counts=True)[:1], 12, np.unique(n, return_counts=True)[1])
+    size = rng.integers(1, 513, 600)
+    found = spark.createDataFrame([(i, 0, 0, int(k), 0) for i, k in enumerate(size)], "doc_id long, piece int, start long, length long, ids_crc32 long")
+    for part in (100_000, 100, 20):
+        packed, certificate = packing.certified_packing(found, 512, part_pieces=part)
+        rows, certificate = packed.collect(), certificate.collect()
+        whole = [r for r in certificate if r["round"] == -1][0]
+        assert len(rows) == whole["pieces"] == 600 and len({r["sequence_id"] for r in rows}) == whole["bins"]
+        # one best-fit pass over all pieces is the yardstick for the rounds
+        assert whole["bound"] == packing.lower_bound(size, 512) <= whole["bins"] <= len(packing.best_fit_decreasing(size, 512)[2]) + 2
+        for r in certificate:
+            assert r["bound"] <= r["bins"] and r["closed_bins"] <= r["bins"]
+        assert part > 600 or max(r["round"] for r in certificate) > 0
+
+
+def first_fit(order, capacity):
+    free = []
+    for n in order:
+        for i, f in enumerate(free):
+            if f >= n:
+                free[i] -= n
+                break
+        else:
+            free.append(capacity - n)
+    return len(free)
+
+
+def test_shards_in_order(spark):
+    """Files in the order of their names hold ascending ids, one shard each; a common id is dealt over several."""
+    import glob
+    import tempfile
+
+    import pyarrow.parquet as pq
+    rng = np.random.default_rng(7)
+    docs = [(int(i), "some words " * int(rng.integers(1, 9))) for i in rng.permutation(300)] + [(None, f"no id {i}") for i in range(200)] + [(50, "again")] * 60
+    path = tempfile.mkdtemp(prefix="lectern-files-")
+    token_output.write_token_files(frame(spark, docs), path, shard_docs=20)
+    files = [pq.read_table(f).to_pydict() for f in sorted(glob.glob(f"{path}/data/part-*"))]
+    files = [f for f in files if f["doc_id"]]
+    ids = [-1 if d is None else d for f in files for d in f["doc_id"]]
+    assert ids == sorted(ids) and len(ids) == 560
+    assert all(len(set(f["shard"])) == 1 for f in files) and len(files) > 20 and max(len(f["doc_id"]) for f in files) < 90
+    got = sorted(token_output.read_token_digest(spark, path).select("start", "n_tokens").collect())
+    assert [r["start"] for r in got] == [0, *np.cumsum([r["n_tokens"] for r in got])[:-1].tolist()]
