@@ -125,7 +125,6 @@ def _pack(capacity: int, loose: int):
         handed = free > 0
         if len(free) == bound:
             handed[np.argsort(-free, kind="stable")[loose:]] = False
-            handed &= free > capacity // 64
         pdf["sequence_id"], pdf["offset"], pdf["open"], pdf["bins"], pdf["bound"] = where, offset, handed[where], len(free), bound
         return pdf
     return pack
