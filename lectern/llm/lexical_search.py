@@ -1,14 +1,15 @@
 """Ranked lexical search with hashed max-sketches.
 
 A document's impact of a term grows with its occurrences tf and is the same function for all its terms.
-The index holds per document the sketch of its impacts: terms are hashed to ``SKETCH`` coordinates,
-and a coordinate keeps the maximum over its terms (of tf, up to 254; 255 stands for any more).  The
-sum of a query's term weights times the sketch's impacts at their coordinates is an upper bound of
-its score, as every term's impact is at most its coordinate's.
+The index holds per document two sketches of its impacts: each hashes the terms to ``SKETCH`` coordinates
+by other bits, and a coordinate keeps the maximum over its terms (of tf, up to 254; 255 stands for any
+more).  A term's impact is at most that of its coordinate in either sketch, so the sum over a query's terms
+of weight times the lesser of the two is an upper bound of the score.  (With one sketch a term that is not
+in the document often meets another one's impact, and most documents are scored for some query.)
 
 1. One pass over the texts writes the index, a row per pack of documents, and the statistics: N, L and
    the document frequency of each query term.
-2. A batch of queries looks up the bounds of all documents of an index row by one matrix product.  The
+2. A batch of queries looks up the bounds of all documents of an index row by one matrix product: documents by terms by items.  The
    documents of the highest bounds are scored exactly from their texts; their k-th score is a threshold
    that no result can fall below.
 3. Every document with a bound that reaches the threshold is scored exactly, and the first k stay.
@@ -46,8 +47,14 @@ LOOKUP = 512
 UNIT = 10**9
 _WORD = byte_table(lambda b: 48 <= b <= 57 or 65 <= b <= 90 or 97 <= b <= 122 or b >= 128)
 _LOW = -(1 << 63)
-_INDEX = "kind int, a long, b long, c long, n int, data binary"
-_INDEX_ARROW = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("n", pa.int32()), ("data", pa.binary())])
+_INDEX = "kind int, a long, b long, c long, d long, n int, data binary"
+_INDEX_ARROW = pa.schema([("kind", pa.int32()), ("a", pa.int64()), ("b", pa.int64()), ("c", pa.int64()), ("d", pa.int64()), ("n", pa.int32()),
+                           ("data", pa.binary())])
+
+
+def coordinates(h: np.ndarray) -> list[np.ndarray]:
+    """A term's coordinate in each of the two sketches."""
+    return [((h >> U64(s)) & U64(SKETCH - 1)).astype(np.int64) for s in (0, 32)]
 
 
 class Batch:
@@ -66,12 +73,10 @@ class Batch:
         self.weight = np.array([math.floor(1000 * math.log((2 * n_docs + 2) / (2 * d + 1))) for d in df.tolist()], np.int64)
 
     def spread(self) -> "Batch":
-        """In a task: the weights as matrices, by coordinate and by term, a column per item."""
-        self.coords, col = np.unique((self.vocab & U64(SKETCH - 1)).astype(np.int64), return_inverse=True)
-        self.by_coord = np.zeros((len(self.coords), len(self.item_ids)))
-        np.add.at(self.by_coord, (col[self.term], self.item), self.weight[self.term].astype(float))
+        """In a task: the weights as a matrix, terms by items; the coordinates in use and each term's place among them."""
         self.by_term = np.zeros((len(self.vocab), len(self.item_ids)), np.int64)
         self.by_term[self.term, self.item] = self.weight[self.term]
+        self.coords = [np.unique(c, return_inverse=True) for c in coordinates(self.vocab)]
         return self
 
     def place(self, h: np.ndarray, check: np.ndarray):
@@ -118,51 +123,65 @@ def _scan(block, with_index: bool):
             df += np.bincount(at[at >= 0], minlength=len(df))
             if not with_index:
                 continue
-            key = doc * SKETCH + (seen & U64(SKETCH - 1)).astype(np.int64)[term]
-            by = np.argsort(key, kind="stable")
-            cut = np.flatnonzero(np.r_[True, np.diff(key[by]) != 0]) if len(by) else np.zeros(0, np.int64)
-            most = np.minimum(np.maximum.reduceat(tf[by], cut), 255).astype(np.uint8) if len(by) else np.zeros(0, np.uint8)
-            at = key[by][cut]
-            size = np.bincount(at // SKETCH, minlength=len(n))
+            (size, at, most), (size2, at2, most2) = (_sketch(doc, c[term], tf, len(n)) for c in coordinates(seen))
             ids = np.array([_LOW if x is None else x for x in table.column("doc_id").to_pylist()], np.int64)
-            hashes = table.column("h").to_numpy()
-            head = squeeze(ids, hashes, n.astype(np.int64), size.astype(np.int64))
-            # the sketches of a pack one after another: coordinates and values
-            yield _rows([(0, len(at), 0, len(head), len(n), head + squeeze((at % SKETCH).astype(np.uint16), most))])
+            head = squeeze(ids, table.column("h").to_numpy(), n.astype(np.int64), size, size2)
+            body = squeeze(at, most)  # the sketches of a pack one after another: coordinates and values
+            yield _rows([(0, len(at), len(at2), len(head), len(body), len(n), head + body + squeeze(at2, most2))])
         some = np.flatnonzero(df)
-        yield _rows([(1, t, d, 0, 0, b"") for t, d in zip(some.tolist(), df[some].tolist())] + [(2, n_docs, n_terms, 0, 0, b"")])
+        yield _rows([(1, t, d, 0, 0, 0, b"") for t, d in zip(some.tolist(), df[some].tolist())] + [(2, n_docs, n_terms, 0, 0, 0, b"")])
     return scan
 
 
+def _sketch(doc: np.ndarray, coord: np.ndarray, tf: np.ndarray, n: int):
+    """(coordinates in use of each document, coordinates, maxima of tf)."""
+    key = doc * SKETCH + coord
+    by = np.argsort(key, kind="stable")
+    if not len(by):
+        return np.zeros(n, np.int64), np.zeros(0, np.uint16), np.zeros(0, np.uint8)
+    cut = np.flatnonzero(np.r_[True, np.diff(key[by]) != 0])
+    at = key[by][cut]
+    most = np.minimum(np.maximum.reduceat(tf[by], cut), 255).astype(np.uint8)
+    return np.bincount(at // SKETCH, minlength=n).astype(np.int64), (at % SKETCH).astype(np.uint16), most
+
+
 def _rows(rows: list) -> pa.RecordBatch:
-    """Rows of the index table; c of an index row is where its second part begins."""
+    """Rows of the index table; of an index row a and b are the coordinates of the sketches, c and d the bytes of
+    the parts before the last."""
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), _INDEX_ARROW)], schema=_INDEX_ARROW)
 
 
 class Sketches:
     """An index row: doc ids, text hashes, terms in each, and their sketches."""
 
-    def __init__(self, n: int, filled: int, cut: int, data: bytes):
-        self.ids, self.h, self.n, size = expand(data[:cut], n, "<i8", "<i8", "<i8", "<i8")
-        self.coord, self.most = expand(data[cut:], filled, "<u2", "u1")
-        self.first = np.concatenate([[0], np.cumsum(size)])
+    def __init__(self, n: int, filled: tuple[int, int], head: int, body: int, data: bytes):
+        self.ids, self.h, self.n, *sizes = expand(data[:head], n, "<i8", "<i8", "<i8", "<i8", "<i8")
+        parts = data[head:head + body], data[head + body:]
+        self.parts = [(np.concatenate([[0], np.cumsum(s)]), *expand(x, k, "<u2", "u1")) for s, x, k in zip(sizes, parts, filled)]
 
     def bounds(self, batch: Batch, n_docs: int, n_terms: int):
         """(first document, upper bounds: documents by items), some documents at a time."""
-        col = np.full(SKETCH, -1)
-        col[batch.coords] = np.arange(len(batch.coords))
         norm = length_norm(self.n, n_docs, n_terms)
+        weights = batch.by_term.astype(float)
+        places = []
+        for used, _ in batch.coords:
+            places.append(np.full(SKETCH, -1))
+            places[-1][used] = np.arange(len(used))
         for a in range(0, len(self.ids), LOOKUP):
             z = min(a + LOOKUP, len(self.ids))
-            at = slice(self.first[a], self.first[z])
-            c = col[self.coord[at]]
-            ok = c >= 0
-            doc = np.repeat(np.arange(z - a), np.diff(self.first[a:z + 1]))[ok]
-            tf = self.most[at][ok].astype(np.int64)
-            # 10^6 is the limit of the impact for any tf
-            sketch = np.zeros((z - a, len(batch.coords)))
-            sketch[doc, c[ok]] = np.where(tf == 255, UNIT // 1000, impact(tf, norm[a + doc]))
-            yield a, sketch @ batch.by_coord
+            least = None
+            for (first, coord, most), place, (used, of_term) in zip(self.parts, places, batch.coords):
+                at = slice(first[a], first[z])
+                c = place[coord[at]]
+                ok = c >= 0
+                doc = np.repeat(np.arange(z - a), np.diff(first[a:z + 1]))[ok]
+                tf = most[at][ok].astype(np.int64)
+                sketch = np.zeros((z - a, len(used)))
+                # 10^6 is the limit of the impact for any tf
+                sketch[doc, c[ok]] = np.where(tf == 255, UNIT // 1000, impact(tf, norm[a + doc]))
+                sketch = sketch[:, of_term]
+                least = sketch if least is None else np.minimum(least, sketch)
+            yield a, least @ weights
 
 
 def _bounded(block, n_docs: int, n_terms: int, least: list[int], share_of: int, top: int | None):
@@ -173,8 +192,8 @@ def _bounded(block, n_docs: int, n_terms: int, least: list[int], share_of: int,
         floor = np.maximum(np.array(least, float), 1)
         held = []
         for b in batches:
-            for n, a, c, data in zip(*(b.column(k).to_pylist() for k in ("n", "a", "c", "data"))):
-                s = Sketches(n, a, c, data)
+            for n, x, y, head, body, data in zip(*(b.column(k).to_pylist() for k in ("n", "a", "b", "c", "d", "data"))):
+                s = Sketches(n, (x, y), head, body, data)
                 use = (s.ids.view(np.uint64) * U64(0x9E3779B97F4A7C15) >> U64(32)) % U64(share_of) == 0
                 for z, bound in s.bounds(batch, n_docs, n_terms):
                     bound[~use[z:z + len(bound)]] = 0
@@ -271,7 +290,7 @@ def search(docs: DataFrame, items: DataFrame, k: int = TOP, id_col: str = "doc_i
     for batch in _blocks(items, item_col, item_text_col, block_bytes):
         scanned = materialise(src.mapInArrow(_scan(share(spark, batch), index is None), _INDEX), "scan")
         if index is None:
-            index = scanned.filter("kind = 0").select("a", "c", "n", "data")
+            index = scanned.filter("kind = 0").select("a", "b", "c", "d", "n", "data")
         total = scanned.filter("kind = 2").agg(F.sum("a").alias("n"), F.sum("b").alias("l")).first()
         n_docs, n_terms = int(total["n"] or 0), int(total["l"] or 0)
         df = np.zeros(len(batch.vocab), np.int64)
