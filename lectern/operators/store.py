@@ -1,19 +1,18 @@
-"""K3/K4: keyed vector table with a dimension contract and snapshot upserts.
-
-A collection is a directory of immutable Parquet snapshots ``v=000001``, ...; the
-current snapshot is the highest version.  Parquet cannot be rewritten while it is
-read, so every upsert writes a new snapshot (old rows whose key is replaced are
-anti-joined away, new rows appended).  A snapshot is written once into a staging
-directory, its contract is checked on the written files (a scan of the vector column
-only), and a directory rename makes it visible -- the rename is the commit point, so
-a failed or rejected write never becomes current.  Single writer assumed.
+"""K3/K4: keyed vector table with a dimension contract and upserts that touch only changed buckets.
+
+A collection is a Parquet table partitioned by a hash bucket of the document key, next to a one-row
+``contract`` table (dimension, distance, number of buckets) and the ``loads`` that have reserved ids.  An
+upsert writes its points once, checks the contract while it writes them (an ``Observation``), then rewrites
+the buckets of the changed keys by Spark's dynamic partition overwrite; files of other buckets stay as they
+are.  Applying an upsert again gives the same table, so a job that died half-way is simply run again.
+Single writer assumed; a reader that lists files during the overwrite may fail and has to read again.
 """
 
 from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lectern.functions.vectors import sq_norm
@@ -21,6 +20,8 @@ from lectern.operators.joins import broadcast_if_small
 from lectern.session import hadoop_fs
 
 KINDS = ["ok", "null_vector", "bad_dimension", "zero_norm"]
+#: points of a bucket, about, and the least number of buckets
+BUCKET_POINTS, LEAST_BUCKETS = 100_000, 32
 
 
 def contract_kind(vec_col: str, dim: int):
@@ -44,27 +45,38 @@ def contract_report(df: DataFrame, dim: int, id_col: str = "id", vec_col: str =
 
 class VectorStore:
     def __init__(self, spark: SparkSession, root: str, dim: int, key: str = "book_id",
-                 id_col: str = "id", vec_col: str = "vector"):
+                 id_col: str = "id", vec_col: str = "vector", buckets: int | None = None):
         self.spark, self.root, self.dim = spark, root.rstrip("/"), dim
         self.key, self.id_col, self.vec_col = key, id_col, vec_col
+        self._buckets = buckets
 
-    def _versions(self) -> list[int]:
-        fs, p = hadoop_fs(self.spark, self.root)
-        if not fs.exists(p):
-            return []
-        out = []
-        for st in fs.listStatus(p):
-            name = st.getPath().getName()
-            if name.startswith("v=") and st.isDirectory():
-                out.append(int(name[2:]))
-        return sorted(out)
+    @property
+    def points(self) -> str:
+        return f"{self.root}/points"
+
+    def _there(self, path: str) -> bool:
+        fs, p = hadoop_fs(self.spark, path)
+        return fs.exists(p)
+
+    def _delete(self, path: str) -> None:
+        fs, p = hadoop_fs(self.spark, path)
+        fs.delete(p, True)
+
+    def exists(self) -> bool:
+        return self._there(self.points)
+
+    def buckets(self) -> int:
+        """Buckets of the collection, as its contract says."""
+        c = self.spark.read.parquet(f"{self.root}/contract").first()
+        if c["dim"] != self.dim:
+            raise ValueError(f"the collection has dimension {c['dim']}, not {self.dim}")
+        return c["buckets"]
 
-    def _path(self, v: int) -> str:
-        return f"{self.root}/v={v:06d}"
+    def _table(self) -> DataFrame:
+        return self.spark.read.parquet(self.points)
 
-    def current_version(self) -> int:
-        vs = self._versions()
-        return vs[-1] if vs else 0
+    def read(self) -> DataFrame:
+        return self._table().drop("bucket")
 
     def next_id(self) -> int:
         """First id above all stored ones: where the ids of a further load start."""
@@ -73,42 +85,84 @@ class VectorStore:
         top = self.read().agg(F.max(self.id_col)).first()[0]
         return 0 if top is None else int(top) + 1
 
-    def exists(self) -> bool:
-        return self.current_version() > 0
-
-    def read(self) -> DataFrame:
-        return self.spark.read.parquet(self._path(self.current_version()))
-
-    def _commit(self, df: DataFrame, version: int) -> int:
+    def reserve(self, load: str) -> int:
+        """First id of a named load (a micro-batch, say).  A load that comes again gets the id that it had."""
+        path = f"{self.root}/loads"
+        if self._there(path):
+            had = self.spark.read.parquet(path).filter(F.col("load") == load).agg(F.min("first_id")).first()[0]
+            if had is not None:
+                return int(had)
+        first = self.next_id()
+        self.spark.createDataFrame([(load, first)], "load string, first_id long").coalesce(1).write.mode("append").parquet(path)
+        return first
+
+    def _bucket(self, n: int):
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(n)).cast("int")
+
+    def _checked(self, df: DataFrame, path: str):
+        """Write ``df`` and check its contract on the way: kinds, rows and id range come with the write."""
+        seen = Observation()
+        kind = contract_kind(self.vec_col, self.dim)
+        watched = df.observe(seen, F.count(F.lit(1)).alias("n"), F.count(F.when(kind != "ok", 1)).alias("bad"),
+                             F.min(self.id_col).alias("lo"), F.max(self.id_col).alias("hi"))
+        watched.write.mode("errorifexists").partitionBy("bucket").parquet(path)
+        facts = seen.get
+        written = self.spark.read.schema(df.schema).parquet(path)
+        twice = facts["n"] and written.groupBy(self.id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
+        if facts["bad"] or twice:
+            self._refuse(path)
+        return written, facts
+
+    def _refuse(self, path: str):
+        self._delete(path)
+        raise ValueError(f"points violate the collection contract (dim={self.dim}, non-null, non-zero, unique ids)")
+
+    def create_if_absent(self, points: DataFrame) -> None:
+        """K3: the first load; later calls leave an existing collection untouched."""
+        if self.exists():
+            return
         staging = f"{self.root}/_staging-{uuid.uuid4().hex[:12]}"
-        df.write.mode("errorifexists").parquet(staging)
-        written = self.spark.read.parquet(staging)
-        bad = written.filter(contract_kind(self.vec_col, self.dim) != "ok").limit(1).count()
-        twice = written.groupBy(self.id_col).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count()
+        n = self._buckets or max(LEAST_BUCKETS, -(-points.select(self.key).count() // BUCKET_POINTS))
+        self._checked(points.withColumn("bucket", self._bucket(n)).hint("rebalance", "bucket"), staging)
+        self.spark.createDataFrame([(self.dim, "cosine", n)], "dim int, distance string, buckets int").coalesce(1) \
+            .write.mode("overwrite").parquet(f"{self.root}/contract")
         fs, src = hadoop_fs(self.spark, staging)
-        if bad or twice:
-            fs.delete(src, True)
-            raise ValueError(f"points violate the collection contract (dim={self.dim}, non-null, non-zero, unique ids)")
-        _, dst = hadoop_fs(self.spark, self._path(version))
-        if not fs.rename(src, dst):
-            raise RuntimeError(f"could not commit snapshot {version}")
-        return version
-
-    def create_if_absent(self, points: DataFrame) -> int:
-        """K3: first snapshot; later calls leave an existing collection untouched."""
-        if self.exists():
-            return self.current_version()
-        return self._commit(points, 1)
+        if not fs.rename(src, hadoop_fs(self.spark, self.points)[1]):
+            raise RuntimeError(f"could not create {self.points}")
 
-    def upsert(self, points: DataFrame, replaced_keys: DataFrame | None = None) -> int:
-        """K4: rows of every replaced key are dropped, the new rows appended (last wins).
+    def upsert(self, points: DataFrame, replaced_keys: DataFrame | None = None) -> list[int]:
+        """K4: rows of every replaced key are dropped, the new rows appended (last wins).  Returns the
+        buckets that were rewritten.
 
         ``replaced_keys`` (one column named like ``key``) defaults to the keys present
         in ``points``; pass the delta's document keys so a document whose new version
         has no storable chunk also loses its old ones."""
         if not self.exists():
-            return self.create_if_absent(points)
-        keys = (replaced_keys if replaced_keys is not None else points.select(self.key)).distinct()
-        old = self.read()
-        kept = old.join(broadcast_if_small(keys), self.key, "left_anti")
-        return self._commit(kept.unionByName(points.select(*old.columns)), self.current_version() + 1)
+            self.create_if_absent(points)
+            return []
+        n = self.buckets()
+        staging = f"{self.root}/_delta-{uuid.uuid4().hex[:12]}"
+        old = self._table()
+        new, facts = self._checked(points.select(*[c for c in old.columns if c != "bucket"]).withColumn("bucket", self._bucket(n)), staging)
+        keys = (replaced_keys.select(self.key) if replaced_keys is not None else new.select(self.key)).distinct()
+        keys = keys.withColumn("bucket", self._bucket(n))
+        touched = sorted({r["bucket"] for r in keys.select("bucket").union(new.select("bucket")).distinct().collect()})  # buckets at most
+        if not touched:
+            self._delete(staging)
+            return []
+        held = old.filter(F.col("bucket").isin(touched))  # prunes to the files of these buckets
+        kept = held.join(broadcast_if_small(keys.select(self.key)), self.key, "left_anti")
+        if facts["n"] and facts["lo"] < self.next_id():
+            # ids that could be taken: of rows that stay
+            others = old.filter(~F.col("bucket").isin(touched)).select(self.id_col).union(kept.select(self.id_col))
+            if others.join(new.select(self.id_col), self.id_col, "left_semi").limit(1).count():
+                self._refuse(staging)
+        out = kept.select(*old.columns).unionByName(new.select(*old.columns))
+        left = {r["bucket"] for r in out.select("bucket").distinct().collect()}
+        out.hint("rebalance", "bucket").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+            .partitionBy("bucket").parquet(self.points)
+        for b in set(touched) - left:
+            self._delete(f"{self.points}/bucket={b}")  # all its rows have gone
+        self._delete(staging)
+        self.spark.catalog.refreshByPath(self.points)
+        return touched

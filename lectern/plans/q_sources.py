@@ -9,7 +9,7 @@ from lectern.plans import sqlparts as S
 from lectern.plans.corpus import training_corpus
 from lectern.session import scratch_dir
 from lectern.sources.catalogue import read_catalogue, write_catalogue
-from lectern.sources.corpus import land_text, landing_audit, read_split, scan_text, write_split
+from lectern.sources.corpus import land_text, landing_audit, read_split, save_clean, scan_text, write_split
 from lectern.sources.tables import catalogue, documents
 
 ROOT_KEY = "external_books_id"
@@ -28,8 +28,8 @@ def sql_q01_catalogue_json():
 
 
 def _landed(spark, sf):
-    """Every document landed as ``book_id=<id>/part-*.txt`` plus decoy JSON files (a
-    per-language summary) that the extension filter must skip."""
+    """Every document landed as ``book_id_<id>.txt`` plus decoy JSON files (a per-language
+    summary) that the extension filter must skip."""
     path = scratch_dir(spark, "landed")
     d = documents(spark, sf)
     land_text(d.select(F.col("doc_id").alias("book_id"), "text"), path)
@@ -80,7 +80,8 @@ def sql_q04_split_counts():
 
 
 def q10_training_corpus(spark, sf):
-    t = training_corpus(_landed(spark, sf), "book_id", "text")
+    """Land, clean, save; the facts are read from the saved table."""
+    t = save_clean(training_corpus(_landed(spark, sf), "book_id", "text"), scratch_dir(spark, "clean"))
     return t.select("book_id", F.col("chars_before").cast("long").alias("chars_before"),
                     F.col("chars_after").cast("long").alias("chars_after"),
                     F.col("n_sentences").cast("long").alias("n_sentences"),

@@ -1,8 +1,7 @@
-"""Landed text files, landing audit, train/test split.
+"""Landed text files, cleaned text, landing audit, train/test split.
 
-Landed books are plain text files whose path carries the key (``.../book_id=<id>/``);
-the scan reads each file whole (``wholetext``), prunes other extensions at listing
-time (``pathGlobFilter``) and parses the key from the file path.
+Landed books are flat text files named by their key (``book_id_<id>.txt``), a bounded number in each
+folder, read and written by the Python data source in ``landing``.
 """
 
 from __future__ import annotations
@@ -10,21 +9,31 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY_PATTERN = r"book_id=(\d+)/"
+from lectern.sources import landing
+
+KEY_PATTERN = r"book_id_(-?\d+)\."
+#: files in a folder, on average
+FOLDER_FILES = 2000
 
 
 def land_text(df: DataFrame, path: str, key: str = "book_id", text: str = "text") -> None:
-    """K1: one text file per book (the text writer ends each file with a newline)."""
-    df.select(F.col(text).alias("value"), F.col(key).alias("book_id")).write.mode("overwrite") \
-        .partitionBy("book_id").text(path)
+    """K1: one text file per book (a newline ends each file), in folders of about ``FOLDER_FILES``."""
+    landing.register(df.sparkSession)
+    shards = max(1, -(-df.count() // FOLDER_FILES))
+    df.select(F.col(key).cast("long").alias("book_id"), F.col(text).alias("text")).write.format("landed_books") \
+        .option("path", path).option("shards", shards).mode("overwrite").save()
 
 
-def scan_text(spark: SparkSession, path: str, glob: str = "*.txt") -> DataFrame:
+def scan_text(spark: SparkSession, path: str, suffix: str = ".txt") -> DataFrame:
     """Every matching file as one row (book_id, file_name, text)."""
-    raw = (spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True)
-           .text(path, wholetext=True))
-    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), KEY_PATTERN, 1).try_cast("long").alias("book_id"),
-                      F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("text"))
+    landing.register(spark)
+    return spark.read.format("landed_books").option("path", path).option("suffix", suffix).load().select("book_id", "file_name", "text")
+
+
+def save_clean(clean: DataFrame, path: str) -> DataFrame:
+    """K1: the cleaned text, one row a book; returns the saved table."""
+    clean.write.mode("overwrite").parquet(path)
+    return clean.sparkSession.read.schema(clean.schema).parquet(path)
 
 
 def landing_audit(catalogue: DataFrame, landed: DataFrame) -> DataFrame:

@@ -3,8 +3,9 @@
 T1 -- incremental corpus build: landed text files are a file stream; every
 micro-batch is cleaned, chunked, embedded, looked up and upserted into the keyed
 vector table (replace by book).  A rerun over the same directory only sees new
-files (the checkpoint records processed files), and re-applying a batch after a
-failure is harmless because the upsert is keyed.
+files (the checkpoint records processed files).  A micro-batch reserves its first id under
+the stream's and its own number before it writes, so one that is replayed after a failure replaces
+its rows by the same rows with the same ids.
 
 T2 -- questions to answers: question files are a stream joined against the current
 (static) vector table; each micro-batch runs the answer job and writes its own folder of the sink.
@@ -42,23 +43,28 @@ def text_file_stream(spark: SparkSession, landing_dir: str, glob: str = "*.txt",
                                F.col("_metadata.file_path").alias("path")).alias("landed"))
 
 
+def load_batch(spark: SparkSession, batch: DataFrame, store: VectorStore, catalogue: DataFrame, load: str,
+               budget: int = 512, dim: int = 384) -> None:
+    """Upsert landed rows (doc_id, text, landed) as the load of that name."""
+    # several actions read the micro-batch (chunk write, counts, commit): read the
+    # landed files once (persist is recomputable from the source if a block is lost)
+    # of a book that landed several times in the batch, the newest file counts
+    docs = (batch.groupBy("doc_id").agg(F.max_by("text", "landed").alias("text"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+    try:
+        if docs.isEmpty():
+            return
+        pts = build_points(spark, docs, catalogue, budget=budget, dim=dim, materialize=False, first_id=store.reserve(load))
+        store.upsert(pts, replaced_keys=docs.select(F.col("doc_id").alias("book_id")))
+    finally:
+        docs.unpersist()
+
+
 def incremental_build(spark: SparkSession, landing_dir: str, store: VectorStore, catalogue: DataFrame,
                       checkpoint: str, budget: int = 512, dim: int = 384):
     """Start the stream with ``availableNow`` (process what is there, then stop)."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        # several actions read the micro-batch (chunk write, counts, commit): read the
-        # landed files once (persist is recomputable from the source if a block is lost)
-        # of a book that landed several times in the batch, the newest file counts
-        docs = (batch.groupBy("doc_id").agg(F.max_by("text", "landed").alias("text"))
-                .persist(StorageLevel.MEMORY_AND_DISK))
-        try:
-            if docs.isEmpty():
-                return
-            pts = build_points(spark, docs, catalogue, budget=budget, dim=dim, materialize=False,
-                               first_id=store.next_id())
-            store.upsert(pts, replaced_keys=docs.select(F.col("doc_id").alias("book_id")))
-        finally:
-            docs.unpersist()
+        load_batch(spark, batch, store, catalogue, f"{checkpoint}#{epoch_id}", budget, dim)
 
     return (text_file_stream(spark, landing_dir).writeStream.foreachBatch(apply)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
