@@ -5,14 +5,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lectern.functions.vectors import cosine
+from lectern.functions.vectors import cosine, l2_normalize
 from lectern.operators.embedding import hash_counts, hash_embed
 from lectern.operators.joins import broadcast_if_small
 from lectern.operators.numbering import batch_number
-from lectern.operators.search import ann_index, top_k
+from lectern.operators.search import ann_index, cell_index, probed_cells, top_k
 from lectern.plans import sqlparts as S
 from lectern.plans.answers import retrieve
 from lectern.plans.corpus import build_points
+from lectern.session import scratch_dir
 from lectern.sources.tables import catalogue, documents, questions, table
 
 DIM = 384
@@ -102,6 +103,46 @@ def q16_ann_recall(spark, sf):
                     F.round("scanned_fraction", 6).alias("scanned_fraction")))
 
 
+CELLS, PROBES = 256, 90
+
+
+def q37_cell_search(spark, sf):
+    """V4 over stored cells: every vector whose id is divisible by 50 asks for its four nearest.  A
+    question scores only the points of the cells that it probes; per question the share of the table
+    that this is, and the recall against the exact search."""
+    emb = table(spark, sf, "embeddings").filter(F.col("embedding").isNotNull())
+    pts = emb.select(F.col("vec_id").alias("id"), l2_normalize("embedding").alias("vector"))
+    qs = pts.filter(F.col("id") % 50 == 0).select(F.col("id").alias("qid"), F.col("vector").alias("qvec"))
+    stored, cells = cell_index(pts, scratch_dir(spark, "cells"), CELLS, PROBES)
+    found = top_k(stored, qs, k=4, cells=cells)
+    exact = top_k(pts, qs, k=4).select("qid", "id", F.lit(1).alias("hit"))
+    sizes = stored.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))  # a row a cell
+    scanned = probed_cells(qs, cells).join(F.broadcast(sizes), "cell").groupBy("qid").agg(F.sum("n").alias("scanned"))
+    rows = found.join(exact, ["qid", "id"], "left").join(scanned, "qid")
+    recall = rows.groupBy("qid").agg((F.sum(F.coalesce("hit", F.lit(0))) / F.lit(4.0)).alias("recall"))
+    return rows.join(recall, "qid").select("qid", F.col("rank").cast("long").alias("rank"), "id", F.round("score", 6).alias("score"),
+                                           F.col("scanned").cast("long").alias("scanned"), "recall")
+
+
+def sql_q37_cell_search():
+    unit = "list_transform({0}, lambda x: x / sqrt(list_dot_product({0}, {0})))"
+    return f"""WITH p AS MATERIALIZED (SELECT vec_id AS id, {unit.format('e')} AS v FROM (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE embedding IS NOT NULL)),
+c0 AS (SELECT row_number() OVER (ORDER BY md5(id::VARCHAR), id) - 1 AS cell, v FROM p QUALIFY row_number() OVER (ORDER BY md5(id::VARCHAR), id) <= {CELLS}),
+a0 AS (SELECT id, any_value(p.v) AS v, arg_max(cell, (round(list_dot_product(p.v, c0.v), 9), -cell)) AS cell FROM p, c0 GROUP BY id),
+ex AS (SELECT cell, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a0),
+mean AS (SELECT cell, list(s ORDER BY pos) AS m FROM (SELECT cell, pos, sum(x) AS s FROM ex GROUP BY ALL) GROUP BY cell),
+c1 AS MATERIALIZED (SELECT c0.cell, CASE WHEN m IS NULL OR list_dot_product(m, m) = 0 THEN c0.v ELSE {unit.format('m')} END AS v FROM c0 LEFT JOIN mean USING (cell)),
+a1 AS MATERIALIZED (SELECT id, any_value(p.v) AS v, arg_max(cell, (round(list_dot_product(p.v, c1.v), 9), -cell)) AS cell FROM p, c1 GROUP BY id),
+q AS (SELECT id AS qid, v FROM p WHERE id % 50 = 0),
+probe AS (SELECT qid, cell FROM q, c1 QUALIFY row_number() OVER (PARTITION BY qid ORDER BY round(list_dot_product(q.v, c1.v), 9) DESC, cell) <= {PROBES}),
+pairs AS MATERIALIZED (SELECT qid, id, round(list_dot_product(q.v, a1.v), 9) AS score, (qid, cell) IN (SELECT (qid, cell) FROM probe) AS probed FROM q, a1),
+near AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) AS rank FROM pairs WHERE probed QUALIFY rank <= 4),
+exact AS (SELECT qid, id FROM pairs QUALIFY row_number() OVER (PARTITION BY qid ORDER BY score DESC, id) <= 4),
+r AS (SELECT near.qid, count(exact.id) / 4.0 AS recall FROM near LEFT JOIN exact USING (qid, id) GROUP BY near.qid),
+s AS (SELECT qid, count(*) FILTER (probed) AS scanned FROM pairs GROUP BY qid)
+SELECT qid, rank::BIGINT AS rank, id, round(score, 6) AS score, scanned::BIGINT AS scanned, recall::DOUBLE AS recall FROM near JOIN r USING (qid) JOIN s USING (qid)"""
+
+
 def q17_points(spark, sf):
     pts = build_points(spark, documents(spark, sf), catalogue(spark, sf), budget=512, dim=DIM)
     return pts.select("id", "book_id", F.col("chunk_no").cast("long").alias("chunk_no"),
@@ -159,6 +200,7 @@ QUERIES = {
     "q14_unit_vectors": (q14_unit_vectors, sql_q14_unit_vectors),
     "q15_cosine_centroid": (q15_cosine_centroid, sql_q15_cosine_centroid),
     "q16_ann_recall": (q16_ann_recall, None),
+    "q37_cell_search": (q37_cell_search, sql_q37_cell_search),
     "q17_points": (q17_points, sql_q17_points),
     "q20_search_one": (q20_search_one, sql_q20_search_one),
     "q21_search_many": (q21_search_many, sql_q21_search_many),
