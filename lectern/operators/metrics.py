@@ -5,12 +5,14 @@ fold, ``lectern.functions.ngrams``): scoring is a narrow map over the pair table
 the only shuffle is the final (partial + final) aggregation.  ``score_pairs`` projects
 token and n-gram arrays as columns first: an n-gram builder must never be handed an
 un-projected tokeniser expression (it would re-tokenise once per n-gram).  LCS has no native
-linear form, so ROUGE-L / Lsum use an Arrow UDF whose DP row update is one
-``numpy.maximum.accumulate`` per token of the shorter side.
+linear form, so ROUGE-L / Lsum use an Arrow UDF: bit-parallel, a row of the DP being one long integer
+whose zero bits are the row's steps.  A length needs one row; the recovery of a common subsequence
+keeps every s-th row and makes the others anew, so its memory grows with n * sqrt(m) bits.
 """
 
 from __future__ import annotations
 
+import math
 from collections import Counter
 
 import numpy as np
@@ -28,43 +30,88 @@ SCORE = T.StructType([T.StructField("precision", T.DoubleType()), T.StructField(
 
 # ------------------------------------------------------------------ LCS (Arrow UDF)
 
+def _places(tokens) -> dict:
+    """Token -> integer with the bits of its places."""
+    at: dict = {}
+    for j, tok in enumerate(tokens):
+        at.setdefault(tok, []).append(j)
+    out = {}
+    for tok, places in at.items():
+        bits = bytearray((places[-1] >> 3) + 1)
+        for j in places:
+            bits[j >> 3] |= 1 << (j & 7)
+        out[tok] = int.from_bytes(bits, "little")
+    return out
+
+
+def _next_row(row: int, match: int, full: int) -> int:
+    """The row below: bit j is 0 where the table grows from column j to j + 1."""
+    common = row & match
+    return ((row + common) | (row - common)) & full
+
+
 def lcs_length(a, b) -> int:
     if len(a) == 0 or len(b) == 0:
         return 0
     if len(a) > len(b):
         a, b = b, a
-    vocab: dict = {}
-    ai = np.fromiter((vocab.setdefault(t, len(vocab)) for t in a), dtype=np.int64, count=len(a))
-    bi = np.fromiter((vocab.setdefault(t, len(vocab)) for t in b), dtype=np.int64, count=len(b))
-    prev = np.zeros(len(bi) + 1, dtype=np.int64)
-    for x in ai:
-        cand = np.where(bi == x, prev[:-1] + 1, prev[1:])
-        prev[1:] = np.maximum.accumulate(cand)
-    return int(prev[-1])
-
-
-def _lcs_table(ref, can) -> np.ndarray:
-    t = np.zeros((len(ref) + 1, len(can) + 1), dtype=np.int64)
-    ci = np.asarray(can, dtype=object)
-    for i, tok in enumerate(ref, start=1):
-        cand = np.where(ci == tok, t[i - 1, :-1] + 1, t[i - 1, 1:])
-        t[i, 1:] = np.maximum.accumulate(cand)
-    return t
+    both = set(a)
+    match = _places([t if t in both else None for t in b])
+    full = (1 << len(b)) - 1
+    row = full
+    for tok in a:
+        m = match.get(tok)
+        if m:
+            row = _next_row(row, m, full)
+    return len(b) - row.bit_count()
 
 
 def _lcs_indices(ref, can) -> list[int]:
-    """Indices of ``ref`` on one LCS, walking back with the metric library's tie rule."""
-    t = _lcs_table(ref, can)
-    i, j, out = len(ref), len(can), []
+    """Indices of ``ref`` on one LCS, walking back with the metric library's tie rule: on equal tokens
+    both ends step back, else the candidate's if the table is greater there, else the reference's."""
+    m, n = len(ref), len(can)
+    if not m or not n:
+        return []
+    both = set(ref)
+    match = _places([t if t in both else None for t in can])
+    full = (1 << n) - 1
+    step = int(m ** 0.5) + 1
+    kept, row = [full], full  # rows 0, step, 2 * step, ...
+    for i, tok in enumerate(ref, start=1):
+        row = _next_row(row, match.get(tok, 0), full)
+        if i % step == 0:
+            kept.append(row)
+    block, first = [], m + 1  # rows first, first + 1, ... of the block that the walk is in
+
+    def row_of(i: int) -> int:
+        nonlocal block, first
+        if i < first:
+            first = i - i % step
+            block = [kept[first // step]]
+            for k in range(first + 1, min(first + step, m + 1)):
+                block.append(_next_row(block[-1], match.get(ref[k - 1], 0), full))
+        return block[i - first]
+
+    i, j, out = m, n, []
+    here = row_of(m)
+    value = n - here.bit_count()
     while i > 0 and j > 0:
         if ref[i - 1] == can[j - 1]:
             out.append(i - 1)
-            i -= 1
-            j -= 1
-        elif t[i, j - 1] > t[i - 1, j]:
-            j -= 1
-        else:
-            i -= 1
+            i, j, value = i - 1, j - 1, value - 1
+            here = row_of(i)
+            continue
+        above = row_of(i - 1)
+        up = j - (above & ((1 << j) - 1)).bit_count()
+        # to the left as long as that is greater than above
+        while j > 0 and ref[i - 1] != can[j - 1]:
+            left = value - (~here >> (j - 1) & 1)
+            if left <= up:
+                break
+            j, value = j - 1, left
+            up -= ~above >> j & 1
+        if j > 0 and ref[i - 1] != can[j - 1]:
+            i, value, here = i - 1, up, above
     return out[::-1]
 
 
@@ -231,20 +278,52 @@ def _finish(name):
 
 def leaderboard(pred: DataFrame, model_col: str = "model", pred_col: str = "prediction",
                 ref_col: str = "reference", max_order: int = 4) -> DataFrame:
-    """Per-model mean ROUGE-1/2/L F-measure and corpus BLEU in one aggregation
+    """Per-model mean ROUGE-1/2/L/Lsum F-measure and the corpus BLEU struct in one aggregation
     (one pass over the scored pairs; partial aggregation before the shuffle)."""
     extra = [c for c in ("_rr", "_br") if c in pred.columns]
     scored = score_pairs(pred.select(model_col, pred_col, ref_col, *extra), pred_col, ref_col)
+    scored = scored.withColumn("rougeLsum", rouge_lsum(F.col(pred_col), F.col(ref_col)))
     n = range(1, max_order + 1)
     g = scored.groupBy(model_col).agg(
         F.count("*").alias("n_pairs"), F.avg("rouge1.fmeasure").alias("rouge1"),
         F.avg("rouge2.fmeasure").alias("rouge2"), F.avg("rougeL.fmeasure").alias("rougeL"),
+        F.avg("rougeLsum.fmeasure").alias("rougeLsum"),
         *[F.sum(f"bleu_parts.m{i}").alias(f"m{i}") for i in n], *[F.sum(f"bleu_parts.p{i}").alias(f"p{i}") for i in n],
         F.sum("bleu_parts.pred_len").alias("pred_len"), F.sum("bleu_parts.ref_len").alias("ref_len"))
-    return g.select(model_col, "n_pairs", "rouge1", "rouge2", "rougeL", bleu_from_sums(
+    return g.select(model_col, "n_pairs", "rouge1", "rouge2", "rougeL", "rougeLsum", bleu_from_sums(
         [F.col(f"m{i}") for i in n], [F.col(f"p{i}") for i in n], F.col("pred_len"), F.col("ref_len")).alias("bleu"))
 
 
+#: P(X <= x) of a Poisson variable of mean 1, x = 0, 1, ...: a draw is the number of these at or below u
+POISSON = [sum(math.exp(-1) / math.factorial(i) for i in range(x + 1)) for x in range(9)]
+
+
+def poisson_weight(key: Column, replicate: Column, seed: str = "boot") -> Column:
+    """Bootstrap weight of a row in a replicate: Poisson(1) of an md5-seeded uniform (the same in any engine)."""
+    h = F.md5(F.concat_ws(":", F.lit(seed), replicate.cast("string"), key))
+    u = F.conv(F.substring(h, 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
+    return sum(F.when(u >= c, 1).otherwise(0) for c in POISSON)
+
+
+def bootstrap_means(scored: DataFrame, group: str, key: Column, value_cols: list[str], replicates: int = 100,
+                    low: float = 0.025, high: float = 0.975) -> DataFrame:
+    """Mean of each column per group with a percentile interval over Poisson bootstrap replicates.
+
+    A row's weight in a replicate depends on its key alone, so no sample is drawn and nothing is
+    shuffled but one partial sum per task, group and replicate."""
+    rows = scored.select(group, key.alias("_key"), *value_cols).withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
+    # replicate 0 is the plain mean
+    w = F.when(F.col("_b") == 0, F.lit(1)).otherwise(poisson_weight(F.col("_key"), F.col("_b")))
+    sums = rows.withColumn("_w", w).groupBy(group, "_b").agg(F.sum("_w").alias("_n"), *[F.sum(F.col("_w") * F.col(c)).alias(c) for c in value_cols])
+    means = sums.select(group, "_b", *[(F.col(c) / F.when(F.col("_n") > 0, F.col("_n"))).alias(c) for c in value_cols])
+    out = []
+    for c in value_cols:
+        drawn = F.array_sort(F.collect_list(F.when(F.col("_b") > 0, F.col(c))))  # replicates at most
+        at = lambda share: F.get(drawn, F.floor(F.lit(share) * F.size(drawn)).cast("int"))
+        out += [F.max(F.when(F.col("_b") == 0, F.col(c))).alias(c), at(low).alias(f"{c}_low"), at(high).alias(f"{c}_high")]
+    return means.groupBy(group).agg(*out)
+
+
 def metrics_json(df: DataFrame, key_col: str, metric_cols: list[str]) -> DataFrame:
     """K5: one JSON document per key (``to_json`` of the metric struct)."""
     return df.select(key_col, F.to_json(F.struct(*metric_cols)).alias("metrics_json"))

@@ -43,6 +43,11 @@ def trial_table(spark: SparkSession, n_trials: int = N_TRIALS) -> DataFrame:
         categorical(uniform(F.col("trial_id"), "epochs"), EPOCHS).alias("num_train_epochs"))
 
 
+def log_position(rate: Column, low: float = LR_LOW, high: float = LR_HIGH) -> Column:
+    """Where a log-uniform parameter lies in its range, from 0 to 1."""
+    return (F.log(rate) - F.lit(math.log(low))) / F.lit(math.log(high) - math.log(low))
+
+
 def best_trial(scored: DataFrame, loss_col: str = "loss", digits: int = 9) -> DataFrame:
     """Flags the trial of minimum loss (ties: lower trial_id) via a global min_by.
 

@@ -9,10 +9,12 @@ appends EOS, padding fills to the fixed length.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import _col, ws_tokens
+from lectern.operators.numbering import exclusive_offsets
+from lectern.session import scratch_dir
 
 PAD, EOS, FIRST_ID = 0, 1, 3
 VOCAB = 32000
@@ -85,3 +87,51 @@ def concat_rows(books: DataFrame, pairs: DataFrame) -> DataFrame:
 def tokenize_batches(df: DataFrame, fn, schema) -> DataFrame:
     """B1: user batched map over Arrow column batches (``fn(pandas.DataFrame) -> DataFrame``)."""
     return df.mapInPandas(lambda it: (fn(pdf) for pdf in it), schema)
+
+
+def length_batches(df: DataFrame, ids_col: str, key_col: str, budget: int, max_len: int = 512) -> DataFrame:
+    """R5 by tokens: rows in order of length (then key), cut into batches of about ``budget`` tokens.
+
+    A row's batch is the budget's multiple that the tokens before it have filled, from the
+    distributed prefix sum, so a batch holds rows of near-equal length."""
+    n = F.least(F.size(ids_col), F.lit(max_len - 1)) + 1
+    rows = df.withColumn("n_tokens", n.cast("long"))
+    at = exclusive_offsets(rows.select("n_tokens", key_col), ["n_tokens", key_col], "n_tokens")
+    return rows.join(at.select(key_col, F.floor(F.col("offset") / budget).cast("long").alias("batch")), key_col)
+
+
+def padding(batched: DataFrame, size_col: str = "n_tokens", batch_col: str = "batch") -> DataFrame:
+    """(batches, tokens, padding) when every row is padded to the longest of its batch."""
+    b = batched.groupBy(batch_col).agg(F.count(F.lit(1)).alias("r"), F.sum(size_col).alias("t"), F.max(size_col).alias("m"))
+    return b.agg(F.count(F.lit(1)).alias("batches"), F.sum("t").alias("tokens"), F.sum(F.col("r") * F.col("m") - F.col("t")).alias("padding"))
+
+
+#: id of a word that is in no vocabulary, and the first of those that are
+UNKNOWN, FIRST_WORD = 2, 3
+
+
+def fit_vocabulary(texts: DataFrame, text_col: str, size: int) -> DataFrame:
+    """V5: the ``size`` most frequent words (ties by the word) -> (word, n, word_id from ``FIRST_WORD``), written."""
+    counts = texts.select(F.explode(ws_tokens(text_col)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    top = counts.orderBy(F.desc("n"), "word").limit(size)  # the vocabulary's size is a parameter
+    ids = top.withColumn("word_id", (F.row_number().over(Window.orderBy(F.desc("n"), "word")) + FIRST_WORD - 1).cast("int"))
+    path = scratch_dir(texts.sparkSession, "vocabulary")
+    ids.write.parquet(path)
+    return texts.sparkSession.read.schema(ids.schema).parquet(path)
+
+
+def vocabulary_ids(texts: DataFrame, key_col: str, text_col: str, vocabulary: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
+    """(key, ids): the words' ids in their order, ``UNKNOWN`` for words outside the vocabulary.
+
+    The vocabulary is broadcast only if its counted bytes allow it; else words are joined by a shuffle
+    (a word's occurrences in a text travel as one row, so a frequent word is a row a text)."""
+    size = vocabulary.agg(F.sum(F.octet_length("word") + 48)).first()[0] or 0
+    words = texts.select(F.col(key_col).alias("_k"), F.posexplode(ws_tokens(text_col)).alias("pos", "word"))
+    seen = words.groupBy("_k", "word").agg(F.collect_list("pos").alias("at"))
+    v = vocabulary.select("word", "word_id")
+    named = seen.join(F.broadcast(v) if size <= max_bytes else v, "word", "left").withColumn("word_id", F.coalesce("word_id", F.lit(UNKNOWN)))
+    placed = named.groupBy("_k").agg(F.array_sort(F.flatten(F.collect_list(
+        F.transform("at", lambda p: F.struct(p.alias("p"), F.col("word_id").alias("i")))))).alias("x"))
+    ids = placed.select("_k", F.transform("x", lambda e: e["i"]).alias("ids"))
+    return (texts.select(F.col(key_col).alias("_k")).join(ids, "_k", "left")
+            .select(F.col("_k").alias(key_col), F.coalesce("ids", F.array().cast("array<int>")).alias("ids")))

@@ -55,9 +55,10 @@ def combine(hits: DataFrame) -> DataFrame:
 
 
 def with_extractive_summary(df: DataFrame, question: str, context: str, out: str = "summary",
-                            n: int = SUMMARY_SENTENCES) -> DataFrame:
+                            n: int = SUMMARY_SENTENCES, min_overlap: str | None = None) -> DataFrame:
     """Built-in generator -- the n context sentences sharing most distinct question
-    terms (ties: earlier first), output in source order.  Native and in-row; question
+    terms (ties: earlier first), output in source order; with ``min_overlap`` (a column) only those
+    that share as many terms.  Native and in-row; question
     terms and sentences are projected once before the per-sentence lambda reads them."""
     keep = df.columns
     d = df.select("*", F.array_distinct(rouge_tokens(F.col(question))).alias("_qt"),
@@ -65,6 +66,8 @@ def with_extractive_summary(df: DataFrame, question: str, context: str, out: str
     scored = F.transform("_sents", lambda s, i: F.struct(
         (-F.size(F.array_intersect(F.array_distinct(rouge_tokens(s)), F.col("_qt")))).alias("neg"),
         i.alias("pos"), s.alias("s")))
+    if min_overlap:
+        scored = F.filter(scored, lambda x: -x["neg"] >= F.col(min_overlap))
     top = F.slice(F.array_sort(scored), 1, n)
     ordered = F.array_sort(F.transform(top, lambda x: F.struct(x["pos"].alias("pos"), x["s"].alias("s"))))
     return d.select(*keep, F.array_join(F.transform(ordered, lambda x: x["s"]), " ").alias(out))

@@ -9,11 +9,11 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from lectern.operators.generation import batch_generator, make_head_model
-from lectern.operators.metrics import bleu_from_sums, score_pairs
+from lectern.operators.metrics import bleu_from_sums, rouge_lsum, score_pairs
 from lectern.plans import sqlparts as S
 from lectern.plans.answers import PROMPT_TOKENS, answer_questions, combine, retrieve, with_extractive_summary
 from lectern.plans.corpus import build_points
-from lectern.plans.q_metrics import bleu_sums_sql, lcs_ctes, overlap_ctes, prf_sql, rouge_l_prf
+from lectern.plans.q_metrics import bleu_sums_sql, lcs_ctes, lsum_ctes, lsum_prf, overlap_ctes, prf_sql, rouge_l_prf
 from lectern.sources.tables import catalogue, documents, questions
 
 DIM = 384
@@ -68,6 +68,7 @@ def q30_answer_scores(spark, sf):
     a = _answers(spark, sf).select("qid", "summary", "answer", "reference",
                                    F.when(has_ref, F.col("answer")).otherwise("").alias("scored"))
     s = score_pairs(a, "scored", "reference")
+    s = s.withColumn("rougeLsum", rouge_lsum(F.col("scored"), F.coalesce("reference", F.lit(""))))
     bl = bleu_from_sums([F.col(f"bleu_parts.m{n}") for n in range(1, 5)],
                         [F.col(f"bleu_parts.p{n}") for n in range(1, 5)],
                         F.col("bleu_parts.pred_len"), F.col("bleu_parts.ref_len"))
@@ -75,7 +76,11 @@ def q30_answer_scores(spark, sf):
         return F.when(has_ref, F.round(c, 9))
     return s.select("qid", F.md5("summary").alias("summary_md5"), F.md5("answer").alias("answer_md5"),
                     only(F.col("rouge1.fmeasure")).alias("rouge1"), only(F.col("rouge2.fmeasure")).alias("rouge2"),
-                    only(F.col("rougeL.fmeasure")).alias("rougeL"), only(bl["bleu"]).alias("bleu"))
+                    only(F.col("rougeL.fmeasure")).alias("rougeL"), only(F.col("rougeLsum.fmeasure")).alias("rougeLsum"),
+                    only(bl["bleu"]).alias("bleu"), *[only(bl["precisions"][i]).alias(f"precision_{i + 1}") for i in range(4)],
+                    only(bl["brevity_penalty"]).alias("brevity_penalty"), only(bl["length_ratio"]).alias("length_ratio"),
+                    F.when(has_ref, bl["translation_length"]).cast("long").alias("translation_length"),
+                    F.when(has_ref, bl["reference_length"]).cast("long").alias("reference_length"))
 
 
 def sql_q30_answer_scores():
@@ -88,28 +93,34 @@ sp AS MATERIALIZED (SELECT qid AS pid, answer AS pred, reference AS ref FROM ans
 {overlap_ctes('o1', 'sp', S.rouge_tokens, 1)},
 {overlap_ctes('o2', 'sp', S.rouge_tokens, 2)},
 {lcs_ctes('l', 'sp', S.rouge_tokens)},
+{lsum_ctes('sp')},
 {ctes},
 bl AS ({body}),
-sc AS (SELECT o1.pid AS qid, round({f1}, 9) AS rouge1, round({f2}, 9) AS rouge2, round({fl}, 9) AS rougeL
-  FROM o1 JOIN o2 ON o2.pid = o1.pid JOIN l ON l.pid = o1.pid)
-SELECT a.qid, md5(a.summary) AS summary_md5, md5(a.answer) AS answer_md5, sc.rouge1, sc.rouge2, sc.rougeL, bl.bleu
+sc AS (SELECT o1.pid AS qid, round({f1}, 9) AS rouge1, round({f2}, 9) AS rouge2, round({fl}, 9) AS rougeL, round({lsum_prf()[2]}, 9) AS rougeLsum
+  FROM o1 JOIN o2 ON o2.pid = o1.pid JOIN l ON l.pid = o1.pid JOIN lsum ON lsum.pid = o1.pid)
+SELECT a.qid, md5(a.summary) AS summary_md5, md5(a.answer) AS answer_md5, sc.rouge1, sc.rouge2, sc.rougeL, sc.rougeLsum, bl.* EXCLUDE (pid)
 FROM ans a LEFT JOIN sc ON sc.qid = a.qid LEFT JOIN bl ON bl.pid = a.qid"""
 
 
 def q32_system_delta(spark, sf):
-    """The same questions answered from the top-1 passage and from the top-4 passages;
-    ROUGE-1 F of each summary against the reference, pivoted per question."""
+    """Every question with a reference under three systems -- without retrieval (the generator has
+    the question alone), with the best passage, with the best four -- and what the context adds;
+    ROUGE-1 F of each summary against the reference, pivoted per question.  A question without a
+    hit has an empty context, so an empty summary."""
     pts = build_points(spark, documents(spark, sf), catalogue(spark, sf), budget=512, dim=DIM)
-    q = questions(spark, sf)
+    q = questions(spark, sf).filter(F.col("reference").isNotNull() & (F.col("reference") != ""))
     hits = retrieve(pts, q, k=K, dim=DIM)
-    both = (combine(hits.filter(F.col("rank") <= 1)).withColumn("system", F.lit("k1"))
-            .unionByName(combine(hits).withColumn("system", F.lit("k4"))))
-    j = both.join(q.filter(F.col("reference").isNotNull() & (F.col("reference") != "")), "qid")
-    j = with_extractive_summary(j.select("qid", "system", "reference", "question", "context"), "question", "context")
+    systems = [(name, q.join(combine(hits.filter(F.col("rank") <= n)).select("qid", "context"), "qid", "left")) for name, n in (("k1", 1), ("k4", K))]
+    systems.append(("base", q.withColumn("context", F.col("question"))))
+    j = None
+    for name, rows in systems:
+        rows = rows.select("qid", F.lit(name).alias("system"), "reference", "question", F.coalesce("context", F.lit("")).alias("context"))
+        j = rows if j is None else j.unionByName(rows)
+    j = with_extractive_summary(j, "question", "context")
     s = score_pairs(j, "summary", "reference", metrics=("rouge1",))
-    pv = s.groupBy("qid").pivot("system", ["k1", "k4"]).agg(F.first("rouge1.fmeasure"))
-    return pv.select("qid", F.round("k1", 9).alias("rouge1_k1"), F.round("k4", 9).alias("rouge1_k4"),
-                     F.round(F.col("k4") - F.col("k1"), 9).alias("delta"))
+    pv = s.groupBy("qid").pivot("system", ["base", "k1", "k4"]).agg(F.first("rouge1.fmeasure"))
+    return pv.select("qid", *[F.round(c, 9).alias(f"rouge1_{c}") for c in ("base", "k1", "k4")],
+                     F.round(F.col("k4") - F.col("base"), 9).alias("gain"), F.round(F.col("k4") - F.col("k1"), 9).alias("delta"))
 
 
 def sql_q32_system_delta():
@@ -127,15 +138,19 @@ ctx AS (
   SELECT qid, 'k1' AS system, string_agg(text, {sep} ORDER BY rank) AS context FROM hits WHERE rank <= 1 GROUP BY qid
   UNION ALL
   SELECT qid, 'k4', string_agg(text, {sep} ORDER BY rank) FROM hits GROUP BY qid
+  UNION ALL
+  SELECT qid, 'base', question FROM qs
 ),
-g AS (SELECT c.qid, c.system, q.question, q.reference, c.context, {qterms} AS qt
-  FROM ctx c JOIN qs q ON q.qid = c.qid WHERE q.reference IS NOT NULL AND q.reference <> ''),
+g AS (SELECT q.qid, s.system, q.question, q.reference, coalesce(c.context, '') AS context, {qterms} AS qt
+  FROM qs q CROSS JOIN (SELECT unnest(['base', 'k1', 'k4']) AS system) s LEFT JOIN ctx c ON c.qid = q.qid AND c.system = s.system
+  WHERE q.reference IS NOT NULL AND q.reference <> ''),
 g2 AS (SELECT *, {scored} AS sc FROM g),
 sp AS MATERIALIZED (SELECT row_number() OVER (ORDER BY qid, system) AS pid, qid, system, {summary} AS pred,
   reference AS ref FROM g2),
 {overlap_ctes('o', 'sp', S.rouge_tokens, 1)},
 r AS (SELECT sp.qid, sp.system, {f} AS f FROM o JOIN sp ON sp.pid = o.pid)
-SELECT qid, round(max(f) FILTER (WHERE system = 'k1'), 9) AS rouge1_k1, round(max(f) FILTER (WHERE system = 'k4'), 9) AS rouge1_k4,
+SELECT qid, round(max(f) FILTER (WHERE system = 'base'), 9) AS rouge1_base,
+  round(max(f) FILTER (WHERE system = 'k4') - max(f) FILTER (WHERE system = 'base'), 9) AS gain, round(max(f) FILTER (WHERE system = 'k1'), 9) AS rouge1_k1, round(max(f) FILTER (WHERE system = 'k4'), 9) AS rouge1_k4,
   round(max(f) FILTER (WHERE system = 'k4') - max(f) FILTER (WHERE system = 'k1'), 9) AS delta FROM r GROUP BY qid"""
 
 

@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from lectern.functions.ngrams import bleu_tokens, rouge_tokens
 from lectern.functions.text import sentences, truncate_tokens
-from lectern.operators.metrics import corpus_bleu, leaderboard, rouge_lsum, score_pairs
+from lectern.operators.metrics import POISSON, bootstrap_means, corpus_bleu, leaderboard, metrics_json, rouge_lsum, score_pairs
 from lectern.plans import sqlparts as S
+from lectern.session import scratch_dir
 from lectern.sources.tables import metric_pairs
 
 # ---------------------------------------------------------------- SQL building blocks
@@ -148,19 +149,18 @@ def q25_rouge_lsum(spark, sf):
     return s.select("conv_id", "turn", *[F.round(F.col(f"r.{k}"), 9).alias(k) for k in ("precision", "recall", "fmeasure")])
 
 
-def sql_q25_rouge_lsum():
-    """Union-LCS over newline-separated lines: a DP table per (reference line, candidate
+def lsum_ctes(pairs: str) -> str:
+    """(pid, h, m, n): union-LCS hits and token counts of both sides.  Union-LCS over newline-separated lines: a DP table per (reference line, candidate
     line), a backtrack with the metric's tie rule, then hits = sum over tokens of
     min(occurrences in the union, candidate count)."""
     tok = S.rouge_tokens
     nl = "chr(10)"
     lines = lambda col: f"list_filter(string_split({col}, {nl}), lambda s: length(s) > 0)"
-    return f"""WITH RECURSIVE {PAIRS_SQL},
-ln AS MATERIALIZED (
+    return f"""ln AS MATERIALIZED (
   SELECT pid, side, li, {tok('line')} AS toks FROM (
-    SELECT pid, 'c' AS side, unnest(l) AS line, generate_subscripts(l, 1) AS li FROM (SELECT pid, {lines('pred')} AS l FROM pairs)
+    SELECT pid, 'c' AS side, unnest(l) AS line, generate_subscripts(l, 1) AS li FROM (SELECT pid, {lines('pred')} AS l FROM {pairs})
     UNION ALL
-    SELECT pid, 'r', unnest(l), generate_subscripts(l, 1) FROM (SELECT pid, {lines('ref')} AS l FROM pairs))
+    SELECT pid, 'r', unnest(l), generate_subscripts(l, 1) FROM (SELECT pid, {lines('ref')} AS l FROM {pairs}))
 ),
 lp AS MATERIALIZED (
   SELECT row_number() OVER (ORDER BY r.pid, r.li, c.li) AS lpid, r.pid, r.li AS ri, r.toks AS x, c.toks AS y
@@ -198,15 +198,24 @@ bt AS (
 uni AS (SELECT DISTINCT lp.pid, lp.ri, b.hit, lp.x[b.hit] AS t FROM bt b JOIN lp ON lp.lpid = b.lpid WHERE b.hit IS NOT NULL),
 occ AS (SELECT pid, t, count(*) AS o FROM uni GROUP BY ALL),
 cc AS (SELECT pid, t, count(*) AS c FROM (SELECT pid, unnest(toks) AS t FROM ln WHERE side = 'c') GROUP BY ALL),
-hits AS (SELECT o.pid, sum(least(o.o, c.c)) AS h FROM occ o JOIN cc c ON c.pid = o.pid AND c.t = o.t GROUP BY o.pid),
-sizes AS (SELECT pid, sum(len(toks)) FILTER (WHERE side = 'r') AS m, sum(len(toks)) FILTER (WHERE side = 'c') AS n FROM ln GROUP BY pid),
-sc AS (SELECT p.pid, p.conv_id, p.turn, coalesce(h.h, 0) AS h, coalesce(z.m, 0) AS m, coalesce(z.n, 0) AS n
-  FROM pairs p LEFT JOIN hits h ON h.pid = p.pid LEFT JOIN sizes z ON z.pid = p.pid)
-SELECT conv_id, turn,
-  round(CASE WHEN m = 0 OR n = 0 THEN 0.0 ELSE h / n END, 9) AS precision,
-  round(CASE WHEN m = 0 OR n = 0 THEN 0.0 ELSE h / m END, 9) AS recall,
-  round(CASE WHEN m = 0 OR n = 0 OR h = 0 THEN 0.0 ELSE 2 * (h / n) * (h / m) / ((h / n) + (h / m)) END, 9) AS fmeasure
-FROM sc"""
+u_hits AS (SELECT o.pid, sum(least(o.o, c.c)) AS h FROM occ o JOIN cc c ON c.pid = o.pid AND c.t = o.t GROUP BY o.pid),
+u_sizes AS (SELECT pid, sum(len(toks)) FILTER (WHERE side = 'r') AS m, sum(len(toks)) FILTER (WHERE side = 'c') AS n FROM ln GROUP BY pid),
+lsum AS (SELECT p.pid, coalesce(h.h, 0) AS h, coalesce(z.m, 0) AS m, coalesce(z.n, 0) AS n
+  FROM {pairs} p LEFT JOIN u_hits h ON h.pid = p.pid LEFT JOIN u_sizes z ON z.pid = p.pid)"""
+
+
+def lsum_prf() -> tuple[str, str, str]:
+    p = "(CASE WHEN m = 0 OR n = 0 THEN 0.0 ELSE h / n END)"
+    r = "(CASE WHEN m = 0 OR n = 0 THEN 0.0 ELSE h / m END)"
+    return p, r, "(CASE WHEN m = 0 OR n = 0 OR h = 0 THEN 0.0 ELSE 2 * (h / n) * (h / m) / ((h / n) + (h / m)) END)"
+
+
+def sql_q25_rouge_lsum():
+    p, r, f = lsum_prf()
+    return f"""WITH RECURSIVE {PAIRS_SQL},
+{lsum_ctes('pairs')}
+SELECT conv_id, turn, round({p}, 9) AS precision, round({r}, 9) AS recall, round({f}, 9) AS fmeasure
+FROM lsum JOIN pairs USING (pid)"""
 
 
 def q26_bleu(spark, sf):
@@ -242,34 +251,87 @@ def _predictions(spark, sf):
                     "reference", "_rr", "_br")
 
 
+METRICS_JSON = ("rouge1 double, rouge2 double, rougeL double, rougeLsum double, bleu struct<bleu:double, precisions:array<double>, "
+                "brevity_penalty:double, length_ratio:double, translation_length:bigint, reference_length:bigint>")
+
+
 def q31_leaderboard(spark, sf):
+    """One JSON document of metrics per model, written and read back."""
     lb = leaderboard(_predictions(spark, sf))
-    return lb.select("model", F.col("n_pairs").cast("long").alias("n_pairs"),
-                     *[F.round(c, 9).alias(c) for c in ("rouge1", "rouge2", "rougeL")],
-                     F.round("bleu.bleu", 9).alias("bleu"))
+    path = scratch_dir(spark, "metrics")
+    metrics_json(lb.withColumn("model", F.concat_ws("=", "model", "n_pairs")), "model", ["rouge1", "rouge2", "rougeL", "rougeLsum", "bleu"]) \
+        .write.json(path)
+    back = spark.read.schema("model string, metrics_json string").json(path)
+    m = back.select(F.split("model", "=").alias("k"), F.from_json("metrics_json", METRICS_JSON).alias("m"))
+    return m.select(F.col("k")[0].alias("model"), F.col("k")[1].cast("long").alias("n_pairs"),
+                    *[F.round(f"m.{c}", 9).alias(c) for c in ("rouge1", "rouge2", "rougeL", "rougeLsum")],
+                    F.round("m.bleu.bleu", 9).alias("bleu"), *_bleu_columns("m.bleu"))
 
 
-def sql_q31_leaderboard():
+def _bleu_columns(b: str):
+    return [*[F.round(F.col(f"{b}.precisions")[i], 9).alias(f"precision_{i + 1}") for i in range(4)],
+            F.round(f"{b}.brevity_penalty", 9).alias("brevity_penalty"), F.round(f"{b}.length_ratio", 9).alias("length_ratio"),
+            F.col(f"{b}.translation_length").cast("long").alias("translation_length"),
+            F.col(f"{b}.reference_length").cast("long").alias("reference_length")]
+
+
+REPLICATES = 100
+
+
+def q38_score_intervals(spark, sf):
+    """A6 and A7 with intervals: mean ROUGE per model, and its 95 % interval over bootstrap replicates."""
+    s = score_pairs(_predictions(spark, sf).select("model", "conv_id", "turn", "prediction", "reference", "_rr"), metrics=("rouge1", "rouge2", "rougeL"))
+    flat = s.select("model", F.concat_ws("/", "conv_id", "turn").alias("key"), *[F.col(f"{c}.fmeasure").alias(c) for c in ("rouge1", "rouge2", "rougeL")])
+    b = bootstrap_means(flat, "model", F.col("key"), ["rouge1", "rouge2", "rougeL"], REPLICATES)
+    return b.select("model", *[F.round(c, 9).alias(c) for c in b.columns if c != "model"])
+
+
+def sql_q38_score_intervals():
+    p1, _, f1 = prf_sql("o1.ov", "o1.np", "o1.nr")
+    p2, _, f2 = prf_sql("o2.ov", "o2.np", "o2.nr")
+    _, _, fl = rouge_l_prf("l")
+    u = "(('0x' || substr(md5('boot:' || b::VARCHAR || ':' || conv_id::VARCHAR || '/' || turn::VARCHAR), 1, 8))::BIGINT / 4294967296.0)"
+    w = " + ".join(f"(CASE WHEN {u} >= {c!r} THEN 1 ELSE 0 END)" for c in POISSON)
+    cols = ("rouge1", "rouge2", "rougeL")
+    ends = ", ".join(f"round(max({c}) FILTER (WHERE b = 0), 9) AS {c}, round(list_sort(list({c}) FILTER (WHERE b > 0 AND {c} IS NOT NULL))"
+                     f"[floor(0.025 * count({c}) FILTER (WHERE b > 0))::INT + 1], 9) AS {c}_low, round(list_sort(list({c}) FILTER (WHERE b > 0 AND {c} IS NOT NULL))"
+                     f"[floor(0.975 * count({c}) FILTER (WHERE b > 0))::INT + 1], 9) AS {c}_high" for c in cols)
+    return f"""WITH RECURSIVE {_model_pairs()},
+{overlap_ctes('o1', 'mpairs', ROUGE_TOK, 1)},
+{overlap_ctes('o2', 'mpairs', ROUGE_TOK, 2)},
+{lcs_ctes('l', 'mpairs', ROUGE_TOK)},
+sc AS (SELECT pp.model, pp.conv_id, pp.turn, {f1} AS rouge1, {f2} AS rouge2, {fl} AS rougeL
+  FROM mpairs pp JOIN o1 ON o1.pid = pp.pid JOIN o2 ON o2.pid = pp.pid JOIN l ON l.pid = pp.pid),
+x AS (SELECT model, b, CASE WHEN b = 0 THEN 1 ELSE {w} END AS w, rouge1, rouge2, rougeL FROM sc, (SELECT unnest(range(0, {REPLICATES} + 1)) AS b)),
+m AS (SELECT model, b, {', '.join(f'sum(w * {c}) / nullif(sum(w), 0) AS {c}' for c in cols)} FROM x GROUP BY model, b)
+SELECT model, {ends} FROM m GROUP BY model"""
+
+
+def _model_pairs() -> str:
     gens = " UNION ALL ".join(
         f"SELECT '{name}' AS model, conv_id, turn, array_to_string(list_slice({S.sentences('pred')}, 1, {n}), ' ') AS pred, ref FROM base"
         for name, n in MODELS)
     gens += f" UNION ALL SELECT 'head_150', conv_id, turn, {S.truncate_tokens('pred', HEAD_TOKENS)}, ref FROM base"
-    mp = f"""base AS ({PAIRS_SQL.split('AS MATERIALIZED (', 1)[1].rsplit(')', 1)[0]}),
+    return f"""base AS ({PAIRS_SQL.split('AS MATERIALIZED (', 1)[1].rsplit(')', 1)[0]}),
 mpairs AS MATERIALIZED (SELECT row_number() OVER (ORDER BY model, conv_id, turn) AS pid, * FROM ({gens}))"""
+
+
+def sql_q31_leaderboard():
     p1, _, f1 = prf_sql("o1.ov", "o1.np", "o1.nr")
     p2, _, f2 = prf_sql("o2.ov", "o2.np", "o2.nr")
     _, _, fl = rouge_l_prf("l")
     ctes, body = bleu_sums_sql("mpairs", "pp.model")
-    return f"""WITH RECURSIVE {mp},
+    return f"""WITH RECURSIVE {_model_pairs()},
 {overlap_ctes('o1', 'mpairs', ROUGE_TOK, 1)},
 {overlap_ctes('o2', 'mpairs', ROUGE_TOK, 2)},
 {lcs_ctes('l', 'mpairs', ROUGE_TOK)},
+{lsum_ctes('mpairs')},
 {ctes},
-means AS (SELECT pp.model, count(*) AS n_pairs, avg({f1}) AS rouge1, avg({f2}) AS rouge2, avg({fl}) AS rougeL
-  FROM mpairs pp JOIN o1 ON o1.pid = pp.pid JOIN o2 ON o2.pid = pp.pid JOIN l ON l.pid = pp.pid GROUP BY pp.model),
+means AS (SELECT pp.model, count(*) AS n_pairs, avg({f1}) AS rouge1, avg({f2}) AS rouge2, avg({fl}) AS rougeL, avg({lsum_prf()[2]}) AS rougeLsum
+  FROM mpairs pp JOIN o1 ON o1.pid = pp.pid JOIN o2 ON o2.pid = pp.pid JOIN l ON l.pid = pp.pid JOIN lsum ON lsum.pid = pp.pid GROUP BY pp.model),
 bl AS ({body})
 SELECT m.model, m.n_pairs::BIGINT AS n_pairs, round(m.rouge1, 9) AS rouge1, round(m.rouge2, 9) AS rouge2,
-  round(m.rougeL, 9) AS rougeL, bl.bleu FROM means m JOIN bl ON bl.model = m.model"""
+  round(m.rougeL, 9) AS rougeL, round(m.rougeLsum, 9) AS rougeLsum, bl.* EXCLUDE (model) FROM means m JOIN bl ON bl.model = m.model"""
 
 
 QUERIES = {
@@ -278,5 +340,6 @@ QUERIES = {
     "q24_rouge_l": (q24_rouge_l, sql_q24_rouge_l),
     "q25_rouge_lsum": (q25_rouge_lsum, sql_q25_rouge_lsum),
     "q26_bleu": (q26_bleu, sql_q26_bleu),
+    "q38_score_intervals": (q38_score_intervals, sql_q38_score_intervals),
     "q31_leaderboard": (q31_leaderboard, sql_q31_leaderboard),
 }
