@@ -24,6 +24,10 @@ from pyspark.sql import types as T
 from lectern.functions.text import clean_sentences, sentence_lengths
 
 
+#: tokens of chunks that a task holds before it hands them on
+HELD_TOKENS = 200_000
+
+
 def chunk_bounds(lengths, budget: int, drop_empty: bool = False):
     """Chunk boundaries as (start, end) sentence index pairs; (0, 0) is the empty chunk."""
     n = len(lengths)
@@ -76,7 +80,7 @@ def pack_chunks(df: DataFrame, key_cols: list[str], budget: int | list[int] = 51
 
     def fn(batches):
         for pdf in batches:
-            cols = {k: [] for k in names}
+            cols, held = {k: [] for k in names}, 0
             keys = [pdf[k].tolist() for k in key_cols]
             for i, (sents, lens) in enumerate(zip(pdf[sents_col], pdf[lens_col])):
                 if sents is None or len(sents) == 0:
@@ -96,6 +100,10 @@ def pack_chunks(df: DataFrame, key_cols: list[str], budget: int | list[int] = 51
                         cols["n_tokens"].append(int(prefix[e] - prefix[s]))
                         cols["n_sentences"].append(e - s)
                         cols["n_chunks"].append(len(bounds))
+                    held += int(prefix[-1])
+                if held >= HELD_TOKENS:  # the chunks of a few documents at a time, however many come in a batch
+                    yield pd.DataFrame(cols, columns=names)
+                    cols, held = {k: [] for k in names}, 0
             if cols["chunk_no"]:
                 yield pd.DataFrame(cols, columns=names)
 

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lectern.functions.vectors import cosine, l2_normalize
 from lectern.operators.embedding import hash_counts, hash_embed
-from lectern.operators.joins import broadcast_if_small
+from lectern.operators.chunking import chunk_documents
+from lectern.operators.joins import broadcast_if_small, bucketed_lookup, save_bucketed
 from lectern.operators.numbering import batch_number
 from lectern.operators.search import ann_index, cell_index, probed_cells, top_k
 from lectern.plans import sqlparts as S
@@ -159,6 +160,25 @@ SELECT id, book_id, chunk_no, 'book_id_' || book_id::VARCHAR || '_chunk_' || chu
 FROM pts"""
 
 
+LOOKUP_BUCKETS = 16
+
+
+def q42_bucketed_lookup(spark, sf):
+    """J1 without moving chunks: chunk table and catalogue bucketed by book, joined bucket by bucket."""
+    chunks = save_bucketed(chunk_documents(documents(spark, sf), budget=512), "doc_id", LOOKUP_BUCKETS)
+    cat = save_bucketed(catalogue(spark, sf).withColumnRenamed("id", "doc_id"), "doc_id", LOOKUP_BUCKETS)
+    found = bucketed_lookup(chunks, cat, "doc_id", ["entry_dup"])
+    return found.select("doc_id", F.col("chunk_no").cast("long").alias("chunk_no"), "title", "author", "context",
+                        F.md5("chunk_text").alias("md5_text"))
+
+
+def sql_q42_bucketed_lookup():
+    return f"""WITH RECURSIVE {S.catalogue_ctes()},
+{S.sentence_cte('s', 'documents', 'doc_id', 'text')},
+{S.chunk_ctes('k', 's', 512)}
+SELECT k.doc_id, chunk_no, title, author, context, md5(chunk_text) AS md5_text FROM k JOIN cat1 ON cat1.id = k.doc_id"""
+
+
 def _search(spark, sf, one: bool):
     pts = build_points(spark, documents(spark, sf), catalogue(spark, sf), budget=512, dim=DIM)
     q = questions(spark, sf)
@@ -200,6 +220,7 @@ QUERIES = {
     "q14_unit_vectors": (q14_unit_vectors, sql_q14_unit_vectors),
     "q15_cosine_centroid": (q15_cosine_centroid, sql_q15_cosine_centroid),
     "q16_ann_recall": (q16_ann_recall, None),
+    "q42_bucketed_lookup": (q42_bucketed_lookup, sql_q42_bucketed_lookup),
     "q37_cell_search": (q37_cell_search, sql_q37_cell_search),
     "q17_points": (q17_points, sql_q17_points),
     "q20_search_one": (q20_search_one, sql_q20_search_one),
