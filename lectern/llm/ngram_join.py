@@ -43,7 +43,9 @@ from lectern.llm.components import components
 from lectern.llm.families import LOW, PACK, families, fingerprint, labelled_rows, sets_by_class, shingle_sets, texts_of, verified, within
 
 WORDS = 5
-SHORT_LIST = 32
+SHORT_LIST = 16
+#: bits of a shingle by which owners know it (two that share them only make more candidates)
+KEY = (1 << 48) - 1
 OWNER_POSTINGS = 200_000
 #: in full mode, pairs of a block: those of two parts of a label's classes
 BLOCK_PAIRS = 1 << 16
@@ -145,7 +147,7 @@ def _send(buckets: int, block, part: str):
                     if part == "first":
                         about.append((cid, len(x), min(s, len(y)), len(y)))
                     y = y[:s] if part == "first" else y[s:]
-                parts.append((y, np.full(len(y), cid, np.int64), np.full(len(y), len(x), np.int32)))
+                parts.append((y & U64(KEY), np.full(len(y), cid, np.int64), np.full(len(y), len(x), np.int32)))
             if parts:
                 rows = list(_messages(*(np.concatenate(c) for c in zip(*parts)), buckets))
                 if about:
@@ -441,16 +443,17 @@ def _met_often_enough(candidates: DataFrame, state: DataFrame) -> DataFrame:
     """Pairs (a, b) met as often as linked classes are.
 
     At most q - 1 shingles of a class are not its partner's, so of its a sent ones in short lists
-    a - q + 1 are; they are met if the partner has sent as far or all."""
+    a - q + 1 are; they are met if the partner has sent as far or all.  One less is asked for, as two
+    shingles of a class may share a key."""
     met = candidates.groupBy("a", "b").agg(F.sum("met").alias("met"))
     side = lambda c: state.select(F.col("cid").alias(c), *[F.col(x).alias(f"{x}_{c}") for x in ("n", "q", "a", "whole")])
     met = met.join(side("a"), "a").join(side("b"), "b")
-    owed = lambda c: F.greatest(F.col(f"a_{c}") - F.col(f"q_{c}") + 1, F.lit(1))
+    owed = lambda c: F.greatest(F.col(f"a_{c}") - F.col(f"q_{c}"), F.lit(1))
     both = F.col("whole_a") & F.col("whole_b")
     least = (F.when(both, F.greatest(owed("a"), owed("b"))).when(F.col("whole_a"), owed("b")).when(F.col("whole_b"), owed("a"))
              .otherwise(F.least(owed("a"), owed("b"))))
     long = F.least(F.col("n_a") - F.col("a_a"), F.col("n_b") - F.col("a_b"))
-    return met.filter((F.col("met") >= least) & (~both | (9 * (F.col("met") + long) >= 4 * (F.col("n_a") + F.col("n_b"))))).select("a", "b")
+    return met.filter((F.col("met") >= least) & (~both | (9 * (F.col("met") + long + 1) >= 4 * (F.col("n_a") + F.col("n_b"))))).select("a", "b")
 
 
 def _within(members: DataFrame, labels: DataFrame | None, src: DataFrame, classes: DataFrame) -> DataFrame:
@@ -521,7 +524,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
         who = materialise(classes.join(core.select("cid"), "cid").select("cid", "fp", F.col("rep").alias("doc_id")), "core-docs")
         asked = texts_of(src, who).mapInArrow(_send(buckets, block, "all"), _SENT)
         longs = owned.filter("kind = 1").select(F.col("b").cast("int").alias("bucket"), F.col("a").alias("shingle")).unionByName(
-            hot.select(F.pmod(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(buckets)).cast("int").alias("bucket"), F.col("h").alias("shingle")))
+            hot.select(F.pmod(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(buckets)).cast("int").alias("bucket"), F.col("h").bitwiseAND(F.lit(KEY)).alias("shingle")))
         lists = (longs.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(_in_long, "cid long, shingle long")
                  .groupBy("cid").agg(F.array_sort(F.collect_list("shingle")).alias("lists")))
         sets = lists.join(core.select("cid", "n", (F.col("q") - F.col("a")).cast("int").alias("p")), "cid").withColumn("long", F.size("lists").cast("long"))
