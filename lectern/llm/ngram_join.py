@@ -8,7 +8,8 @@ is to reach the threshold shares at least T = ceil(0.8 n) of them with its partn
    A class sends these and some more to the owners of hash ranges, which build the inverted lists.
    Which lists are long (over ``SHORT_LIST`` classes) shows only there: shingles that many
    documents of a task hold are known before (``hot``) and never sent, and a class that has sent too
-   few others sends the rest of its set, until nothing changes.
+   few others sends the rest of its set, until nothing changes.  When few shingles are sent late
+   (``LATE_KEYS``, which are broadcast), only their lists are built again, else all are.
 2. Lists that are not long are merged, which gives candidates and how often each was met.
 3. Only classes of which more than four fifths lie in long lists (``core``: members of large groups
    of near copies) may have partners that no short list shows; what they share is in long lists
@@ -52,6 +53,8 @@ BLOCK_PAIRS = 1 << 16
 #: a task reports shingles that so many of its classes hold, or one of HOT_SHARE; at most HOT_KEYS shingles
 #: are hot, those of most classes (any set will do: it only fixes the order)
 HOT_LEAST, HOT_SHARE, HOT_KEYS = 3, 2000, 1 << 20
+#: shingles sent late up to which only the lists that they change are built again
+LATE_KEYS = 1 << 20
 #: partners searched at a time in full mode
 ASKED = 256
 
@@ -231,6 +234,53 @@ def _own(short_list: int):
     return own
 
 
+def _own_change(short_list: int):
+    """What late postings change in the result of ``_own``: the lists as they are now, less as they were."""
+    own = _own(short_list)
+
+    def change(pdf: pd.DataFrame) -> pd.DataFrame:
+        now, before = own(pdf), pdf[~pdf["late"]]
+        if not len(before):
+            return now
+        was = own(before)
+        was = was[was["kind"] != 1].assign(met=lambda x: -x["met"])
+        return pd.concat([now, was], ignore_index=True)
+    return change
+
+
+def _keys(batches):
+    for pdf in batches:
+        for n, data in zip(pdf["n"], pdf["data"]):
+            yield pd.DataFrame({"h": np.unique(expand(data, n, *_POSTING)[0]).view(np.int64)})
+
+
+def _only(block):
+    """Of the sent postings those of the given shingles."""
+    def only(batches):
+        keys = shared(block)
+        for pdf in batches:
+            rows = []
+            for bucket, n, data in zip(pdf["bucket"], pdf["n"], pdf["data"]):
+                h, cid, size = expand(data, n, *_POSTING)
+                i = _members(h, keys)
+                if i.any():
+                    rows.append((bucket, int(i.sum()), squeeze(h[i], cid[i], size[i])))
+            if rows:
+                yield pd.DataFrame(rows, columns=["bucket", "n", "data"])
+    return only
+
+
+def _changed(posted: DataFrame, rest: DataFrame, short_list: int) -> DataFrame | None:
+    """Rows to add to what the owners found in ``posted`` when ``rest`` follows; None if that is too much to broadcast."""
+    if (rest.agg(F.sum("n")).first()[0] or 0) > LATE_KEYS:
+        return None
+    keys = rest.mapInPandas(_keys, "h long").distinct().toPandas()["h"].to_numpy(np.int64).view(np.uint64)
+    block = share(rest.sparkSession, np.sort(keys))
+    old = posted.mapInPandas(_only(block), _SENT).withColumn("late", F.lit(False))
+    both = old.unionByName(rest.withColumn("late", F.lit(True)))
+    return materialise(both.groupBy("bucket").applyInPandas(_own_change(short_list), _CANDIDATE), "changed")
+
+
 def _in_long(longs: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
     """Of the shingles of the asking classes those that are in long lists."""
     if not len(longs) or not len(asked):
@@ -494,7 +544,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
     written = [by_doc, first, about]
     # the first time only long lists are looked for, with some room, so that fewer classes follow later
     owned = materialise(posted.groupBy("bucket").applyInPandas(_count_long(short_list), _CANDIDATE), "owned")
-    state = _state(about, None, owned)
+    built, state = [owned], _state(about, None, owned)
     room, counted = F.floor(F.col("q") / 10), True
     while True:
         short_of = materialise(state.filter(~F.col("whole") & (F.col("a") < F.col("q") + room)).select("cid"), "short-of")
@@ -502,15 +552,23 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
         if not more and not counted:
             discard(short_of)
             break
-        discard(owned)
+        change = None
         if more:
             who = materialise(by_doc.join(short_of, "cid"), "rest-docs")
             rest = materialise(texts_of(src, who).mapInArrow(_send(buckets, block, "rest"), _SENT), "rest")
+            if not counted:
+                change = _changed(posted, rest, short_list)
             posted = posted.unionByName(rest)
             written += [rest, short_of]
             discard(who)
             sent_all = short_of if sent_all is None else sent_all.unionByName(short_of)
-        owned = materialise(posted.groupBy("bucket").applyInPandas(_own(short_list), _CANDIDATE), "owned")
+        if change is None:
+            discard(*built)
+            owned = materialise(posted.groupBy("bucket").applyInPandas(_own(short_list), _CANDIDATE), "owned")
+            built = [owned]
+        else:
+            owned = owned.unionByName(change)
+            built.append(change)
         if more:
             discard(state)
             state = _state(about, sent_all, owned)
@@ -542,7 +600,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
         else:
             more = _within(members, None, src, classes)
         found = materialise(found.unionByName(more).distinct(), "links")
-    discard(owned)
+    discard(*built)
     return signed, classes, found, components(found)
 
 
