@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lectern.functions import text as TX
+from lectern.operators import abbreviations as AB
 from lectern.operators.chunking import chunk_documents
 from lectern.plans import sqlparts as S
+from lectern.session import scratch_dir
 from lectern.sources.tables import documents, table
 
 # --- fixed values: the licence block as it appears in a landed book (eight lines) ---
@@ -147,6 +149,49 @@ SELECT doc_id, chunk_no, 'book_id_' || doc_id::VARCHAR || '_chunk_' || chunk_no:
   md5(chunk_text) AS md5_text, n_tokens FROM chunks"""
 
 
+def _stop_counts(spark, sf):
+    counts = AB.word_stops(documents(spark, sf))
+    path = scratch_dir(spark, "word-stops")
+    counts.write.parquet(path)
+    return spark.read.schema(counts.schema).parquet(path)
+
+
+def q43_abbreviations(spark, sf):
+    scores = AB.stop_scores(_stop_counts(spark, sf))
+    return scores.select("word", "n_word", "n_stop", F.round(F.col("score") * 1000).cast("long").alias("score_milli"), "is_abbreviation")
+
+
+def _sql_scores():
+    return f"""w AS (SELECT lower(regexp_replace(t, '\.$', '')) AS word, ends_with(t, '.') AS stop
+  FROM (SELECT unnest({S.ws_tokens('text')}) AS t FROM documents)),
+c AS (SELECT word, count(*) AS n, count(*) FILTER (WHERE stop) AS k FROM w
+  WHERE regexp_matches(word, {S.lit(AB.WORD)}) GROUP BY word),
+r AS (SELECT least(greatest(sum(k)::DOUBLE / sum(n), {AB.RATE_EDGE}), 1 - {AB.RATE_EDGE}) AS p FROM c),
+f AS (SELECT word, n, k, length(replace(word, '.', '')) AS len, length(word) AS whole, p FROM c, r WHERE k > 0),
+scores AS (SELECT word, n, k, 2 * (k * ln({AB.STOP_RATE} / p) + (n - k) * ln({1 - AB.STOP_RATE} / (1 - p)))
+  * exp(-len) * (whole - len + 1) * pow(len::DOUBLE, k - n) AS score FROM f)"""
+
+
+def sql_q43_abbreviations():
+    return f"""WITH {_sql_scores()}
+SELECT word, n::BIGINT AS n_word, k::BIGINT AS n_stop, round(score * 1000)::BIGINT AS score_milli,
+  score >= {AB.LEAST_SCORE} AS is_abbreviation FROM scores"""
+
+
+def q44_learnt_sentences(spark, sf):
+    known = AB.stop_scores(_stop_counts(spark, sf)).filter("is_abbreviation").select("word")
+    s = AB.learnt_sentences(documents(spark, sf), known)
+    return s.select("doc_id", F.col("sent_no").cast("long").alias("sent_no"), F.md5("sentence").alias("md5_sentence"))
+
+
+def sql_q44_learnt_sentences():
+    return f"""WITH {S.sentence_cte('sents', 'documents', 'doc_id', 'text')}, {_sql_scores()},
+p AS (SELECT doc_id, i, s, lower(regexp_extract(s, {S.lit(AB.LAST_WORD)}, 1)) IN (SELECT word FROM scores WHERE score >= {AB.LEAST_SCORE}) AS open FROM sents),
+b AS (SELECT doc_id, i, s, CASE WHEN coalesce(lag(open) OVER (PARTITION BY doc_id ORDER BY i), false) THEN 0 ELSE 1 END AS begins FROM p),
+o AS (SELECT doc_id, i, s, sum(begins) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) - 1 AS sent_no FROM b)
+SELECT doc_id, sent_no::BIGINT AS sent_no, md5(string_agg(s, ' ' ORDER BY i)) AS md5_sentence FROM o GROUP BY doc_id, sent_no"""
+
+
 QUERIES = {
     "q05_preamble": (q05_preamble, sql_q05_preamble),
     "q06_handles_urls": (q06_handles_urls, sql_q06_handles_urls),
@@ -155,4 +200,6 @@ QUERIES = {
     "q09_token_counts": (q09_token_counts, sql_q09_token_counts),
     "q11_chunk_stats": (q11_chunk_stats, sql_q11_chunk_stats),
     "q12_chunks": (q12_chunks, sql_q12_chunks),
+    "q43_abbreviations": (q43_abbreviations, sql_q43_abbreviations),
+    "q44_learnt_sentences": (q44_learnt_sentences, sql_q44_learnt_sentences),
 }
