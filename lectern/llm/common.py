@@ -6,6 +6,7 @@ or only name a table in the folder that every executor sees.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import pickle
 
@@ -16,15 +17,13 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.session import hadoop_fs, scratch_dir
+from lectern.session import hadoop_fs, scratch_dir, small_batches
 
 #: text bytes that a task handles at a time; a longer document is a pack of its own
 PACK_BYTES = 8 << 20
 #: a table is broadcast only when its counted size is below this; beyond it the join shuffles
 BROADCAST_BYTES = 32 << 20
 
-#: texts in an Arrow batch
-BATCH_ROWS = 1024
 
 U64 = np.uint64
 _C1 = U64(0x9E3779B97F4A7C15)
@@ -55,13 +54,6 @@ def discard(*tables: DataFrame) -> None:
         t.sparkSession.sparkContext._jvm.System.gc()
 
 
-def small_batches(spark) -> None:
-    """Whole texts travel to Python in Arrow batches, which the executor and its worker both
-    hold: the session's batches are kept at ``BATCH_ROWS`` rows at most."""
-    if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > BATCH_ROWS:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-
-
 def keyed(docs: DataFrame, *extra: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id and text (null: empty) alone, so that other columns of any name cannot clash."""
     small_batches(docs.sparkSession)
@@ -132,6 +124,24 @@ def packs(batches, limit: int = PACK_BYTES, column: str = "text"):
         yield pa.Table.from_batches(held)
 
 
+def release() -> None:
+    """Give the memory that arrays have left behind back to the system: a Python worker serves many
+    tasks, and beside it the executor and other workers need room."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def tidy(fn):
+    """``fn`` over a task's batches, with :func:`release` at the end."""
+    def run(batches):
+        yield from fn(batches)
+        release()
+
+    return run
+
+
 def mix(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """64-bit hash of two 64-bit columns (wraps by intent)."""
     x = a * _C1

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import BROADCAST_BYTES, U64, expand, keyed, materialise, mix, packs, parts_for, spans, squeeze, utf8
+from lectern.llm.common import BROADCAST_BYTES, U64, expand, keyed, materialise, mix, packs, parts_for, release, spans, squeeze, tidy, utf8
 from lectern.llm.lyndon import suffix_array
 
 SPAN = 100
@@ -47,6 +47,8 @@ SEND_BYTES = 8 << 20
 OWNER_BYTES = 16 << 20
 SHARD_BYTES = 2 << 20
 HOT_SEED = 200_000
+#: parts of a shard, by seed, that are settled one after another: its arrays take some 100 bytes a text byte
+SHARD_PARTS = 4
 
 _KINDS = ("<u8", "<u8", "<i8", "<i8", "<i4", "u1", "u1")  # seed, context, doc_id, h, start, strings - 1, anchor - start
 _SENT = "kind string, bucket int, n long, data binary"
@@ -251,6 +253,7 @@ def _own(buckets: int):
         cut = np.append(x, len(d))
         reps = pd.DataFrame({"doc_id": d[x], "h": h[x], "a": [a[i:j].astype(np.int32) for i, j in zip(cut, cut[1:])],
                              "b": [code[i:j].astype(np.int32) for i, j in zip(cut, cut[1:])], "kind": 2 if hot else 1})
+        release()
         return pd.concat([x for x in (again, reps) if len(x)] or [again], ignore_index=True)[["kind", "doc_id", "h", "a", "b"]]
     return own
 
@@ -393,7 +396,16 @@ def _shard(pdf: pd.DataFrame) -> pd.DataFrame:
     if kind == 1:
         text = np.frombuffer(b"".join(pdf["text"]), np.uint8)
         seed, doc, h, start, size = cols
-        return repeated_in_shard(seed, doc, h, start.astype(np.int64), size.astype(np.int64), text)
+        start, size = start.astype(np.int64), size.astype(np.int64)
+        at = np.cumsum(size) - size
+        part = (seed >> U64(32)) % U64(SHARD_PARTS)  # strings of different seeds are never compared
+        found = []
+        for k in range(SHARD_PARTS):
+            i = np.flatnonzero(part == U64(k))
+            if len(i):
+                found.append(repeated_in_shard(seed[i], doc[i], h[i], start[i], size[i], text[spans(at[i], size[i])]))
+        release()
+        return pd.concat([x for x in found if len(x)] or found[:1], ignore_index=True)
     cols, first = _settle(cols)
     i = np.flatnonzero(~first)
     return _string_places(cols[2][i], cols[3][i], cols[4][i])
@@ -421,7 +433,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = docs.sparkSession
     total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = parts_for(int(total), owner_bytes)
-    sent = materialise(src.mapInArrow(_scan(buckets), _SENT), "contexts")
+    sent = materialise(src.mapInArrow(tidy(_scan(buckets)), _SENT), "contexts")
     places = sent.filter("kind = 'again'").select("data").mapInArrow(_unpack_places, _PLACES)
     messages = sent.filter("kind = 'send'").select("bucket", "n", "data")
     # a hot seed has a millionth of all contexts at least: there are a million of them at most
@@ -449,7 +461,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     key = src.withColumn("_id", F.coalesce("doc_id", F.lit(-(1 << 63)))).drop("doc_id").withColumnRenamed("_id", "doc_id")
     # rows that repeat a document would send its contexts twice, which _settle takes for one place
     fetched = materialise(key.join(F.broadcast(wanted) if small else wanted, ["doc_id", "h"])
-                          .mapInArrow(_fetch(shards), "kind int, shard int, n long, data binary, text binary"), "fetched")
+                          .mapInArrow(tidy(_fetch(shards)), "kind int, shard int, n long, data binary, text binary"), "fetched")
     in_shards = fetched.filter("kind > 0").groupBy("shard", "kind").applyInPandas(_shard, _PLACES)
     settled = fetched.filter("kind = 0").select("n", "data").mapInPandas(_settled, _PLACES)
     every = places.unionByName(in_shards).unionByName(settled)
@@ -488,4 +500,4 @@ def with_spans(docs: DataFrame, **settings) -> DataFrame:
 
 
 def span_digest(docs: DataFrame) -> DataFrame:
-    return with_spans(docs).mapInArrow(_cut, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return with_spans(docs).mapInArrow(tidy(_cut), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")

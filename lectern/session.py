@@ -43,6 +43,20 @@ def build_session(master: str | None = None, app: str = "lectern",
     return spark
 
 
+#: rows and bytes in an Arrow batch, at most: a batch of texts is held by the executor, by its Python worker
+#: and there again as Python objects, several times its size
+BATCH_ROWS, BATCH_BYTES = 1024, 4 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches at ``BATCH_ROWS`` rows and ``BATCH_BYTES`` bytes at most, so that what a
+    Python worker holds does not grow with the rows of a partition."""
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        had = spark.conf.get(f"spark.sql.execution.arrow.{key}").lower().removesuffix("b")
+        if not had.isdigit() or not 0 < int(had) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
