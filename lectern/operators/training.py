@@ -9,12 +9,14 @@ appends EOS, padding fills to the fixed length.
 
 from __future__ import annotations
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lectern.functions.text import _col, ws_tokens
 from lectern.operators.numbering import exclusive_offsets
-from lectern.session import scratch_dir
+from lectern.session import scratch_dir, small_batches
 
 PAD, EOS, FIRST_ID = 0, 1, 3
 VOCAB = 32000
@@ -84,6 +86,12 @@ def concat_rows(books: DataFrame, pairs: DataFrame) -> DataFrame:
     return books.unionByName(pairs, allowMissingColumns=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def tokenize_batches(df: DataFrame, fn, schema) -> DataFrame:
     """B1: user batched map over Arrow column batches (``fn(pandas.DataFrame) -> DataFrame``)."""
     return df.mapInPandas(lambda it: (fn(pdf) for pdf in it), schema)
@@ -95,7 +103,9 @@ def length_batches(df: DataFrame, ids_col: str, key_col: str, budget: int, max_l
     A row's batch is the budget's multiple that the tokens before it have filled, from the
     distributed prefix sum, so a batch holds rows of near-equal length."""
     n = F.least(F.size(ids_col), F.lit(max_len - 1)) + 1
-    rows = df.withColumn("n_tokens", n.cast("long"))
+    # written once: the count, the ranges, the prefix sum and the join all read it, and what ``df`` costs
+    # (a user's tokeniser) is paid once
+    rows = written(df.withColumn("n_tokens", n.cast("long")), "lengths")
     at = exclusive_offsets(rows.select("n_tokens", key_col), ["n_tokens", key_col], "n_tokens")
     return rows.join(at.select(key_col, F.floor(F.col("offset") / budget).cast("long").alias("batch")), key_col)
 
@@ -115,21 +125,54 @@ def fit_vocabulary(texts: DataFrame, text_col: str, size: int) -> DataFrame:
     counts = texts.select(F.explode(ws_tokens(text_col)).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
     top = counts.orderBy(F.desc("n"), "word").limit(size)  # the vocabulary's size is a parameter
     ids = top.withColumn("word_id", (F.row_number().over(Window.orderBy(F.desc("n"), "word")) + FIRST_WORD - 1).cast("int"))
-    path = scratch_dir(texts.sparkSession, "vocabulary")
-    ids.write.parquet(path)
-    return texts.sparkSession.read.schema(ids.schema).parquet(path)
+    return written(ids, "vocabulary")
+
+
+def _ids_in_place(texts: DataFrame, key_col: str, text_col: str, vocabulary: DataFrame) -> DataFrame:
+    """``vocabulary_ids`` with a small vocabulary: one scan, one row a text is shuffled."""
+    v = vocabulary.select("word", "word_id").toPandas()
+    block = texts.sparkSession.sparkContext.broadcast((v["word"].tolist(), v["word_id"].tolist()))
+
+    def look_up(batches):
+        known, number = block.value
+        known, number = pa.array(known, pa.string()), pa.array(number, pa.int32())
+        for b in batches:
+            words = b.column("words")
+            at = pc.index_in(words.flatten().cast(pa.string()), value_set=known)
+            ids = pc.fill_null(pc.take(number, at), UNKNOWN)
+            first = words.offsets.to_numpy()
+            lists = pa.ListArray.from_arrays(pa.array(first - first[0], pa.int32()), ids)
+            yield pa.RecordBatch.from_arrays([b.column("_k"), b.column("_lost"), lists], names=["_k", "_lost", "ids"])
+
+    key = F.col(key_col)
+    small_batches(texts.sparkSession)
+    # rows without key are told apart, so that they do not meet in one group
+    words = texts.select(key.alias("_k"), F.when(key.isNull(), F.xxhash64(text_col)).alias("_lost"),
+                         F.when(key.isNotNull(), F.coalesce(ws_tokens(text_col), F.array().cast("array<string>")))
+                         .otherwise(F.array().cast("array<string>")).alias("words"))
+    kind = texts.schema[key_col].dataType.simpleString()
+    found = words.mapInArrow(look_up, f"_k {kind}, _lost long, ids array<int>")
+    rows = found.groupBy("_k", "_lost").agg(F.count(F.lit(1)).cast("int").alias("n"), F.collect_list("ids").alias("all"))
+    place = F.flatten(F.transform("all", lambda x: F.transform(x, lambda i, p: F.struct(p.alias("p"), i.alias("i")))))
+    merged = F.when(F.col("n") == 1, F.col("all")[0]).otherwise(F.transform(F.array_sort(place), lambda e: e["i"]))
+    return (rows.select("_k", "n", merged.alias("ids")).withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("n"))))
+            .select(F.col("_k").alias(key_col), "ids"))
 
 
 def vocabulary_ids(texts: DataFrame, key_col: str, text_col: str, vocabulary: DataFrame, max_bytes: int = 64 << 20) -> DataFrame:
     """(key, ids): the words' ids in their order, ``UNKNOWN`` for words outside the vocabulary.
 
-    The vocabulary is broadcast only if its counted bytes allow it; else words are joined by a shuffle
-    (a word's occurrences in a text travel as one row, so a frequent word is a row a text)."""
+    The vocabulary is broadcast only if its counted bytes allow it, and words are looked up where they are;
+    else they are joined by a shuffle (a word's occurrences in a text travel as one row, so a frequent
+    word is a row a text).  Texts of one key have their words in order of place together; rows without
+    key have none."""
     size = vocabulary.agg(F.sum(F.octet_length("word") + 48)).first()[0] or 0
+    if size <= max_bytes:
+        return _ids_in_place(texts, key_col, text_col, vocabulary)
     words = texts.select(F.col(key_col).alias("_k"), F.posexplode(ws_tokens(text_col)).alias("pos", "word"))
     seen = words.groupBy("_k", "word").agg(F.collect_list("pos").alias("at"))
     v = vocabulary.select("word", "word_id")
-    named = seen.join(F.broadcast(v) if size <= max_bytes else v, "word", "left").withColumn("word_id", F.coalesce("word_id", F.lit(UNKNOWN)))
+    named = seen.join(v, "word", "left").withColumn("word_id", F.coalesce("word_id", F.lit(UNKNOWN)))
     placed = named.groupBy("_k").agg(F.array_sort(F.flatten(F.collect_list(
         F.transform("at", lambda p: F.struct(p.alias("p"), F.col("word_id").alias("i")))))).alias("x"))
     ids = placed.select("_k", F.transform("x", lambda e: e["i"]).alias("ids"))

@@ -10,7 +10,7 @@ from lectern.functions.text import NON_WS_RUN, clean_text
 from lectern.operators.numbering import batch_number, exclusive_offsets
 from lectern.operators.training import (EOS, FIRST_ID, FIRST_WORD, IGNORE, PAD, UNKNOWN, VOCAB, attention_mask, book_rows,
                                         collate_causal, concat_rows, encode, fit_vocabulary, length_batches, pad_to_batch_longest,
-                                        padding, seq2seq_rows, token_ids, tokenize_batches, vocabulary_ids)
+                                        padding, seq2seq_rows, token_ids, tokenize_batches, vocabulary_ids, written)
 from lectern.plans import sqlparts as S
 from lectern.sources.tables import documents, metric_pairs
 
@@ -96,8 +96,14 @@ def _hashed_ids(pdf):
     """A user's batched map: word ids of a column batch."""
     import hashlib
 
+    known: dict[str, int] = {}  # of this batch
+
     def one(text):
-        return [int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % (VOCAB - FIRST_ID) + FIRST_ID for w in re.findall(NON_WS_RUN, text)]
+        words = re.findall(NON_WS_RUN, text)
+        for w in words:
+            if w not in known:
+                known[w] = int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % (VOCAB - FIRST_ID) + FIRST_ID
+        return [known[w] for w in words]
     return pdf.assign(ids=[one(t) for t in pdf["text"]])[["doc_id", "ids"]]
 
 
@@ -132,7 +138,7 @@ SELECT doc_id, batch::BIGINT AS batch, n_tokens::BIGINT AS n_tokens, padded::BIG
 
 def q40_padding_share(spark, sf):
     """Padding of batches by length against batches of 16 rows in order of doc_id."""
-    by_length = length_batches(_tokenised(spark, sf), "ids", "doc_id", BATCH_TOKENS).select("doc_id", "n_tokens", "batch")
+    by_length = written(length_batches(_tokenised(spark, sf), "ids", "doc_id", BATCH_TOKENS).select("doc_id", "n_tokens", "batch"), "batches")
     ones = exclusive_offsets(by_length.select("doc_id", "n_tokens").withColumn("one", F.lit(1).cast("long")), "doc_id", "one")
     fixed = ones.select("n_tokens", batch_number("offset", FIXED_BATCH).alias("batch"))
     both = [padding(x).withColumn("scheme", F.lit(name)) for name, x in (("by_length", by_length), ("fixed", fixed))]
@@ -154,7 +160,7 @@ VOCABULARY = 5000
 def q41_vocabulary_ids(spark, sf):
     """V5 with a fitted vocabulary: the most frequent words of the cleaned corpus by rank; words outside it
     have one id."""
-    d = _clean_docs(spark, sf)
+    d = written(_clean_docs(spark, sf), "clean")  # read twice: for the vocabulary and for the ids
     ids = vocabulary_ids(d, "doc_id", "text", fit_vocabulary(d, "text", VOCABULARY))
     return ids.select("doc_id", F.size("ids").cast("long").alias("n_ids"), _md5_ints(F.col("ids")).alias("ids_md5"),
                       F.size(F.filter("ids", lambda x: x == UNKNOWN)).cast("long").alias("n_unknown"))
