@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lectern.functions.text import clean_sentences, sentence_lengths
+from lectern.session import small_batches
 
 
 #: tokens of chunks that a task holds before it hands them on
@@ -64,6 +65,7 @@ def pack_chunks(df: DataFrame, key_cols: list[str], budget: int | list[int] = 51
 
     With a list of budgets every document is packed once per budget in the same pass
     (one sentence split feeds all of them) and rows carry ``chunk_budget``."""
+    small_batches(df.sparkSession)
     multi = isinstance(budget, (list, tuple))
     budgets = list(budget) if multi else [budget]
     key_fields = [df.schema[k] for k in key_cols]

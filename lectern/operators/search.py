@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.session import scratch_dir
+from lectern.session import scratch_dir, small_batches
 
 SCORE_DIGITS = 9
 MAX_BROADCAST_BYTES = 256 << 20
@@ -148,6 +148,7 @@ def top_k(points: DataFrame, questions: DataFrame, k: int = 4, id_col: str = "id
     where the table has more than twice as many partitions).
     """
     spark = points.sparkSession
+    small_batches(spark)
     qcols = [F.col(qid_col).cast("long").alias("qid"), F.col(qvec_col).cast("array<double>").alias("qvec")]
     if group_col:
         qcols.append(F.col(group_col).cast("long").alias("grp"))

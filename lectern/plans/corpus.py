@@ -10,7 +10,7 @@ from lectern.operators.chunking import chunk_documents
 from lectern.operators.embedding import DEFAULT_DIM, hash_embed
 from lectern.operators.joins import broadcast_if_small, first_match
 from lectern.operators.numbering import exclusive_offsets
-from lectern.session import scratch_dir
+from lectern.session import scratch_dir, small_batches
 from lectern.sources.tables import balanced
 
 DEFAULT_BUDGET = 512
@@ -56,6 +56,7 @@ def points_from_chunks(chunks: DataFrame, books: DataFrame, dim: int = DEFAULT_D
     Only the empty chunk 0 is not stored; it keeps its id slot.  ``encoder`` maps the text
     column to a vector column (default: feature hashing).
     """
+    small_batches(chunks.sparkSession)
     group = ["chunk_budget"] if "chunk_budget" in chunks.columns else []
     j = chunks.join(broadcast_if_small(books), group + ["doc_id"], "inner")
     stem = F.format_string("book_id_%d", F.col("doc_id"))
