@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import byte_table, keyed, materialise, packs, share, shared, spans, utf8, without, words
+from lectern.llm.common import byte_table, keyed, materialise, packs, share, shared, spans, tidy, utf8, without, words
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -223,7 +223,7 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, b
     src = keyed(docs).withColumn("h", F.xxhash64("text"))
     found, n = None, 0
     for block in _blocks(benchmark, window, block_bytes):
-        part = src.mapInArrow(_hits(block), _OUT_DDL)
+        part = src.mapInArrow(tidy(_hits(block)), _OUT_DDL)
         found = part if found is None else found.unionByName(part)
         n += 1
     if n == 1:
@@ -249,7 +249,7 @@ def longest_matches(docs: DataFrame, benchmark: DataFrame, least: int = WINDOW)
     match in the corpus and one place of it: item_id, item_word, match_words, doc_id, doc_word."""
     src, found = keyed(docs), None
     for block in _blocks(benchmark, least, BLOCK_BYTES):
-        part = src.mapInArrow(_longest(block, least), _LONGEST)
+        part = src.mapInArrow(tidy(_longest(block, least)), _LONGEST)
         found = part if found is None else found.unionByName(part)
     best = F.max(F.struct("match_words", (-F.col("doc_id")).alias("d"), (-F.col("doc_word")).alias("w"))).alias("b")
     return found.groupBy("item_id", "item_word").agg(best).select(

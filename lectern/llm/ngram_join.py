@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import U64, discard, expand, join_groups, keyed, materialise, packs, parts_for, share, shared, spans, squeeze, without
+from lectern.llm.common import U64, discard, expand, join_groups, keyed, materialise, packs, parts_for, release, share, shared, spans, squeeze, tidy, without
 from lectern.llm.components import components
 from lectern.llm.families import LOW, PACK, families, fingerprint, labelled_rows, sets_by_class, shingle_sets, texts_of, verified, within
 
@@ -229,6 +229,7 @@ def _own(short_list: int):
         out = _count_pairs(*(np.concatenate(c) for c in zip(*pairs)))
         long = h[at[size > short_list]].view(np.int64)
         who, k = _long_counts(cid, size, short_list)
+        release()
         return pd.concat([out, pd.DataFrame({"kind": 1, "a": long, "b": int(pdf["bucket"].iloc[0]), "met": 0}),
                           pd.DataFrame({"kind": 2, "a": who, "b": 0, "met": k})], ignore_index=True)
     return own
@@ -529,7 +530,7 @@ def _hot(signed: DataFrame, short_list: int) -> DataFrame:
 def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full: bool):
     """(rows with their fingerprints, classes, links of classes, labels of linked classes)."""
     src = keyed(docs, id_col=id_col, text_col=text_col).withColumn("doc_id", F.coalesce("doc_id", F.lit(LOW)))
-    every = materialise(src.withColumn("h", F.xxhash64("text")).mapInArrow(_sign, "kind int, doc_id long, h long, n long, fp binary"), "signed")
+    every = materialise(src.withColumn("h", F.xxhash64("text")).mapInArrow(tidy(_sign), "kind int, doc_id long, h long, n long, fp binary"), "signed")
     signed = every.filter("kind = 0").drop("kind")
     classes = materialise(signed.filter("n > 0").groupBy("fp").agg(
         F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies"))
@@ -538,7 +539,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
     hot = materialise(_hot(every, short_list), "hot")
     block = share(src.sparkSession, np.sort(hot.toPandas()["h"].to_numpy(np.int64).view(np.uint64)))
     by_doc = materialise(classes.select("cid", "fp", F.col("rep").alias("doc_id")), "by-doc")
-    first = materialise(texts_of(src, by_doc).mapInArrow(_send(buckets, block, "first"), _SENT), "postings")
+    first = materialise(texts_of(src, by_doc).mapInArrow(tidy(_send(buckets, block, "first")), _SENT), "postings")
     about = materialise(first.filter(F.col("bucket") == _ABOUT).mapInPandas(_about, "cid long, n long, sent long, cold long"), "about")
     posted, sent_all = first.filter(F.col("bucket") != _ABOUT), None
     written = [by_doc, first, about]
@@ -555,7 +556,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
         change = None
         if more:
             who = materialise(by_doc.join(short_of, "cid"), "rest-docs")
-            rest = materialise(texts_of(src, who).mapInArrow(_send(buckets, block, "rest"), _SENT), "rest")
+            rest = materialise(texts_of(src, who).mapInArrow(tidy(_send(buckets, block, "rest")), _SENT), "rest")
             if not counted:
                 change = _changed(posted, rest, short_list)
             posted = posted.unionByName(rest)
@@ -580,7 +581,7 @@ def _linked(docs: DataFrame, id_col: str, text_col: str, short_list: int, full:
     core = materialise(state.filter(F.col("whole") & (F.col("a") < F.col("q"))), "core")
     if core.limit(1).count():
         who = materialise(classes.join(core.select("cid"), "cid").select("cid", "fp", F.col("rep").alias("doc_id")), "core-docs")
-        asked = texts_of(src, who).mapInArrow(_send(buckets, block, "all"), _SENT)
+        asked = texts_of(src, who).mapInArrow(tidy(_send(buckets, block, "all")), _SENT)
         longs = owned.filter("kind = 1").select(F.col("b").cast("int").alias("bucket"), F.col("a").alias("shingle")).unionByName(
             hot.select(F.pmod(F.col("h").bitwiseAND(F.lit(0xFFFFFFFF)), F.lit(buckets)).cast("int").alias("bucket"), F.col("h").bitwiseAND(F.lit(KEY)).alias("shingle")))
         lists = (longs.groupBy("bucket").cogroup(asked.groupBy("bucket")).applyInPandas(_in_long, "cid long, shingle long")

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import keyed, materialise, packs
+from lectern.llm.common import keyed, materialise, packs, tidy
 from lectern.llm.token_output import id_batches
 from lectern.llm.tokens import tokenizer_path
 
@@ -60,7 +60,7 @@ def _cut(path: str, end_id: int, capacity: int):
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, end_id: int = 0, capacity: int = CAPACITY) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 of every piece."""
-    return keyed(docs).mapInArrow(_cut(vocabulary or tokenizer_path(), end_id, capacity), _PIECES)
+    return keyed(docs).mapInArrow(tidy(_cut(vocabulary or tokenizer_path(), end_id, capacity)), _PIECES)
 
 
 def lower_bound(lengths: np.ndarray, capacity: int, counts: np.ndarray | None = None) -> int:

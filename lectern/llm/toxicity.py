@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lectern.llm.common import (BROADCAST_BYTES, U64, byte_table, discard, finish, keyed, materialise, packs, share, shared, utf8,
+from lectern.llm.common import (BROADCAST_BYTES, U64, byte_table, discard, finish, keyed, materialise, packs, share, shared, tidy, utf8,
                                 without, words)
 
 FOLDS = 5
@@ -370,7 +370,7 @@ def _apply(block, extra: bool):
 def _score(rows: DataFrame, model: Crf, extra: bool = False) -> DataFrame:
     block = share(rows.sparkSession, model)  # the weights: 1 MB
     kind = "doc_id long, score double, spans array<struct<start:int,end:int,p:double>>, "
-    return rows.mapInArrow(_apply(block, extra), kind + ("f array<double>, toxic int" if extra else "h long"))
+    return rows.mapInArrow(tidy(_apply(block, extra)), kind + ("f array<double>, toxic int" if extra else "h long"))
 
 
 def tag_toxicity(docs: DataFrame, labels: DataFrame, **settings) -> DataFrame:
