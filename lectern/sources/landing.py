@@ -7,6 +7,9 @@ makes a partition of each folder (tasks list their own folder) and of each slice
 files of other extensions are skipped by name.  Filters on ``book_id`` are pushed down: an equality
 or an IN list opens only the files of these books.
 
+``listed`` gives the names of the files alone, ``contents`` the bytes of files so named: tasks list the
+folders and open the files, whatever their number.
+
 Paths go through ``pyarrow.fs``, so any file system that it knows can hold the landing.
 """
 
@@ -17,10 +20,15 @@ import posixpath
 import re
 import uuid
 from dataclasses import dataclass
+from functools import reduce
 
+import pandas as pd
+from pyspark import StorageLevel
 from pyspark.sql.datasource import (DataSource, DataSourceReader, DataSourceWriter, EqualTo, In, InputPartition,
                                     WriterCommitMessage)
 
+from lectern.session import BATCH_BYTES
+
 NAME = re.compile(r"book_id_(-?\d+)\.")
 SHARD = "shard="
 #: loose files that one reader partition takes
@@ -160,6 +168,63 @@ class LandedBooks(DataSource):
         return LandedBooksWriter(self.options, overwrite)
 
 
+LISTED = "path string, modified_ns long"
+
+
+def listed(spark, path: str, suffix: str = ".txt"):
+    """(path, modified_ns) of every file of that extension in a folder and the folders in it, as they are now.
+
+    Tasks list the folders, all those of a level together; the driver learns how many there are.  Returns
+    the rows, which are persisted, and a function that lets go of them."""
+    top = path.rstrip("/")
+
+    def entries(batches):
+        from pyarrow import fs
+        system, root = file_system(top)
+        for pdf in batches:
+            for folder in pdf["path"]:
+                found = [i for i in system.get_file_info(fs.FileSelector(folder or root))
+                         if not posixpath.basename(i.path).startswith((".", "_"))]
+                found = [i for i in found if i.type == fs.FileType.Directory or i.path.endswith(suffix)]
+                if found:
+                    yield pd.DataFrame({"path": [i.path for i in found],
+                                        "modified_ns": pd.array([i.mtime_ns for i in found], dtype="Int64"),
+                                        "folder": [i.type == fs.FileType.Directory for i in found]})
+
+    most = 4 * spark.sparkContext.defaultParallelism
+    levels, folders, n = [], spark.createDataFrame([("",)], "path string"), 1
+    while n:
+        levels.append(folders.repartition(min(n, most)).mapInPandas(entries, f"{LISTED}, folder boolean")
+                      .persist(StorageLevel.MEMORY_AND_DISK))
+        folders = levels[-1].filter("folder").select("path")
+        n = folders.count()
+    files = reduce(lambda a, b: a.unionByName(b), levels).filter("not folder").drop("folder")
+    return files, lambda: [x.unpersist() for x in levels]
+
+
+def contents(files, path: str):
+    """(path, modified_ns, content) of listed files under ``path``; files of no bytes are left out."""
+    top = path.rstrip("/")
+
+    def read(batches):
+        system, _ = file_system(top)
+        for pdf in batches:
+            held, size = [], 0
+            for name, modified in zip(pdf["path"], pdf["modified_ns"]):
+                with system.open_input_stream(name) as f:
+                    content = f.read()
+                if content:
+                    held.append((name, modified, content))
+                    size += len(content)
+                if size >= BATCH_BYTES:
+                    yield pd.DataFrame(held, columns=["path", "modified_ns", "content"])
+                    held, size = [], 0
+            if held:
+                yield pd.DataFrame(held, columns=["path", "modified_ns", "content"])
+
+    return files.mapInPandas(read, f"{LISTED}, content binary")
+
+
 def register(spark) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(LandedBooks)

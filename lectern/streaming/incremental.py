@@ -1,9 +1,11 @@
 """Structured Streaming re-aims of the batch jobs.
 
-T1 -- incremental corpus build: landed text files are a file stream; every
-micro-batch is cleaned, chunked, embedded, looked up and upserted into the keyed
+T1 -- incremental corpus build: tasks list the landed text files and write the names of new ones
+to lists of ``LIST_FILES``, and these lists are the file stream, so that its source, which keeps in the
+driver what it has seen, holds lists and no books; every
+micro-batch is read, cleaned, chunked, embedded, looked up and upserted into the keyed
 vector table (replace by book).  A rerun over the same directory only sees new
-files (the checkpoint records processed files).  A micro-batch reserves its first id under
+files (the checkpoint records lists and processed lists).  A micro-batch reserves its first id under
 the stream's and its own number before it writes, so one that is replayed after a failure replaces
 its rows by the same rows with the same ids.
 
@@ -24,23 +26,40 @@ from pyspark.sql import types as T
 from lectern.operators.store import VectorStore
 from lectern.plans.answers import answer_questions
 from lectern.plans.corpus import build_points
-from lectern.sources.corpus import KEY_PATTERN
+from lectern.session import hadoop_fs
+from lectern.sources.corpus import FOLDER_FILES, KEY_PATTERN
+from lectern.sources.landing import LISTED, contents, listed
+
+#: names in a list, at most
+LIST_FILES = 20_000
 
 QUESTION_SCHEMA = T.StructType([T.StructField("qid", T.LongType()), T.StructField("question", T.StringType()),
                                 T.StructField("reference", T.StringType())])
 
 
-def text_file_stream(spark: SparkSession, landing_dir: str, glob: str = "*.txt",
-                     max_files_per_trigger: int | None = None) -> DataFrame:
-    r = (spark.readStream.format("text").option("wholetext", True).option("pathGlobFilter", glob)
-         .option("recursiveFileLookup", True))
-    if max_files_per_trigger:
-        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
-    raw = r.load(landing_dir)
-    return raw.select(F.regexp_extract(F.col("_metadata.file_path"), KEY_PATTERN, 1).try_cast("long").alias("doc_id"),
-                      F.col("value").alias("text"),
-                      F.struct(F.col("_metadata.file_modification_time").alias("at"),
-                               F.col("_metadata.file_path").alias("path")).alias("landed"))
+def announce(spark: SparkSession, landing_dir: str, checkpoint: str, suffix: str = ".txt") -> str:
+    """Write the names of landed files that are not announced yet to lists beside the checkpoint; returns
+    the folder of the lists.  A list that was written and not read stays for the next run."""
+    lists = f"{checkpoint.rstrip('/')}/landed"
+    fs, p = hadoop_fs(spark, lists)
+    files, done = listed(spark, landing_dir, suffix)
+    try:
+        new = files
+        if fs.exists(p):
+            new = files.join(spark.read.schema(LISTED).parquet(lists).select("path").hint("merge"), "path", "left_anti")
+        if not fs.exists(p) or not new.isEmpty():
+            new.write.option("maxRecordsPerFile", LIST_FILES).mode("append").parquet(lists)
+    finally:
+        done()
+    return lists
+
+
+def landed_texts(files: DataFrame, landing_dir: str) -> DataFrame:
+    """Listed files -> rows (doc_id, text, landed), a task reading about ``FOLDER_FILES`` files."""
+    n = max(files.sparkSession.sparkContext.defaultParallelism, -(-files.count() // FOLDER_FILES))
+    return contents(files.repartition(n), landing_dir).select(
+        F.regexp_extract("path", KEY_PATTERN, 1).try_cast("long").alias("doc_id"),
+        F.col("content").cast("string").alias("text"), F.struct(F.col("modified_ns").alias("at"), "path").alias("landed"))
 
 
 def load_batch(spark: SparkSession, batch: DataFrame, store: VectorStore, catalogue: DataFrame, load: str,
@@ -64,9 +83,10 @@ def incremental_build(spark: SparkSession, landing_dir: str, store: VectorStore,
                       checkpoint: str, budget: int = 512, dim: int = 384):
     """Start the stream with ``availableNow`` (process what is there, then stop)."""
     def apply(batch: DataFrame, epoch_id: int) -> None:
-        load_batch(spark, batch, store, catalogue, f"{checkpoint}#{epoch_id}", budget, dim)
+        load_batch(spark, landed_texts(batch, landing_dir), store, catalogue, f"{checkpoint}#{epoch_id}", budget, dim)
 
-    return (text_file_stream(spark, landing_dir).writeStream.foreachBatch(apply)
+    lists = announce(spark, landing_dir, checkpoint)
+    return (spark.readStream.schema(LISTED).parquet(lists).writeStream.foreachBatch(apply)
             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
 
 

@@ -50,6 +50,33 @@ def test_book_landed_twice_in_one_batch(spark, tmp_dir):
     assert got and {r["text"] for r in got} == {"A newer text of the book."} and len({r["book_id"] for r in got}) == len(got)
 
 
+def test_stream_source_holds_lists_and_not_books(spark, tmp_dir):
+    rows = [(i, f"Text of the book {i}.") for i in range(60)]
+    cat = spark.createDataFrame([(i, f"t{i}", "a", "c", 0) for i in range(200)], "id long, title string, author string, context string, entry_dup int")
+    store, landing = VectorStore(spark, f"{tmp_dir}/store", 384), f"{tmp_dir}/landing"
+    build = lambda: incremental_build(spark, landing, store, cat, f"{tmp_dir}/ckpt", budget=64).awaitTermination()
+    held = lambda: {r["book_id"]: r["payload"]["text"] for r in store.read().collect()}
+    land_text(spark.createDataFrame(rows, "book_id long, text string").coalesce(1), f"{landing}/one")
+    build()
+    assert held() == dict(rows)
+    # what the source remembers in the driver is less than the files
+    seen = [line for b in os.listdir(f"{tmp_dir}/ckpt/sources/0") if not b.startswith(".")
+            for line in open(f"{tmp_dir}/ckpt/sources/0/{b}").read().split("\n")[1:] if line]
+    assert 0 < len(seen) < 20
+    # files laid by hand in any folder, one without bytes, other extensions, hidden ones; known files are not read again
+    os.makedirs(f"{landing}/two/deep/er")
+    for at, text in (("two/book_id_100.txt", "By hand."), ("two/deep/er/book_id_101.txt", "Deep."), ("book_id_102.txt", "Loose."),
+                     ("two/book_id_5.txt", ""), ("two/book_id_103.md", "No."), ("two/.book_id_104.txt", "No."), ("two/deep/_book_id_105.txt", "No.")):
+        with open(f"{landing}/{at}", "w") as f:
+            f.write(text)
+    before = {r["book_id"]: r["id"] for r in store.read().collect()}
+    build()
+    assert held() == dict(rows) | {100: "By hand.", 101: "Deep.", 102: "Loose."}
+    assert {r["book_id"]: r["id"] for r in store.read().collect()}.items() >= before.items()
+    build()
+    assert len(held()) == 63
+
+
 def test_replayed_question_batch_writes_no_doubles(spark, tmp_dir):
     store = VectorStore(spark, f"{tmp_dir}/store", 384)
     store.create_if_absent(build_points(spark, documents(spark, SF), catalogue(spark, SF)))
