@@ -1,8 +1,6 @@
-"""Metric tokenisers, n-gram arrays and an in-row multiset overlap.
+"""Metric tokenisers and the F-measure, as native Column expressions.
 
-Everything here is a native Column expression: n-gram counting for ROUGE-N and BLEU
-runs inside each row (sort + one fold), so scoring millions of pairs needs no
-shuffle at all -- the only aggregation is the final corpus mean / sum.
+N-grams are counted from the token arrays by an Arrow UDF (``lectern.operators.metrics.shared_grams``).
 """
 
 from __future__ import annotations
@@ -41,42 +39,5 @@ def bleu_tokens(c) -> Column:
     return F.regexp_extract_all(s, F.lit(NON_WS_RUN), 0)
 
 
-def ngrams(tokens, n: int) -> Column:
-    """Contiguous n-grams joined by one space (tokens hold no whitespace).
-
-    ``tokens`` should be a column reference: the array is read once per n-gram."""
-    t = _col(tokens)
-    if n == 1:
-        return t
-    return F.when(F.size(t) >= n,
-                  F.transform(F.sequence(F.lit(1), F.size(t) - n + 1),
-                              lambda i: F.array_join(F.slice(t, i, n), " "))
-                  ).otherwise(F.array().cast("array<string>"))
-
-
-def multiset_overlap(a, b) -> Column:
-    """sum over distinct x of min(count_a(x), count_b(x)), in O(n log n) per row.
-
-    Both sides are tagged, merged, sorted, then folded once with a scalar struct
-    accumulator (no array growth inside the fold).
-    """
-    tagged = F.concat(
-        F.transform(_col(a), lambda x: F.struct(x.alias("g"), F.lit(0).alias("s"))),
-        F.transform(_col(b), lambda x: F.struct(x.alias("g"), F.lit(1).alias("s"))))
-    zero = F.struct(F.lit(None).cast("string").alias("g"), F.lit(0).alias("p"),
-                    F.lit(0).alias("r"), F.lit(0).alias("o"))
-
-    def step(acc, x):
-        same = acc["g"].eqNullSafe(x["g"])
-        return F.struct(
-            x["g"].alias("g"),
-            (F.when(same, acc["p"]).otherwise(F.lit(0)) + F.when(x["s"] == 0, 1).otherwise(0)).alias("p"),
-            (F.when(same, acc["r"]).otherwise(F.lit(0)) + F.when(x["s"] == 1, 1).otherwise(0)).alias("r"),
-            (acc["o"] + F.when(same, F.lit(0)).otherwise(F.least(acc["p"], acc["r"]))).alias("o"))
-
-    return F.aggregate(F.array_sort(tagged), zero, step,
-                       lambda acc: acc["o"] + F.least(acc["p"], acc["r"]))
-
-
 def fmeasure(p, r) -> Column:
     return F.when((p + r) > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))

@@ -1,10 +1,9 @@
 """ROUGE-1/2, ROUGE-L, ROUGE-Lsum, BLEU and per-model leaderboards.
 
-ROUGE-N and BLEU clipped counts are native in-row expressions (sorted merge + one
-fold, ``lectern.functions.ngrams``): scoring is a narrow map over the pair table and
-the only shuffle is the final (partial + final) aggregation.  ``score_pairs`` projects
-token and n-gram arrays as columns first: an n-gram builder must never be handed an
-un-projected tokeniser expression (it would re-tokenise once per n-gram).  LCS has no native
+ROUGE-N and BLEU clipped counts come from an Arrow UDF over the token arrays, which counts the n-grams of
+all orders in one pass and those of a reference once for the models that follow one another: scoring is
+a narrow map over the pair table and the only shuffle is the final (partial + final) aggregation.
+``score_pairs`` projects token arrays as columns first.  LCS has no native
 linear form, so ROUGE-L / Lsum use an Arrow UDF: bit-parallel, a row of the DP being one long integer
 whose zero bits are the row's steps.  A length needs one row; the recovery of a common subsequence
 keeps every s-th row and makes the others anew, so its memory grows with n * sqrt(m) bits.
@@ -21,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lectern.functions.ngrams import bleu_tokens, fmeasure, multiset_overlap, ngrams, rouge_tokens
+from lectern.functions.ngrams import bleu_tokens, fmeasure, rouge_tokens
 from lectern.functions.text import _col
 
 SCORE = T.StructType([T.StructField("precision", T.DoubleType()), T.StructField("recall", T.DoubleType()),
@@ -168,6 +167,40 @@ def _rouge_lsum_udf(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=["precision", "recall", "fmeasure"])
 
 
+# ------------------------------------------------------------------ n-gram counts (Arrow UDF)
+
+def _gram_counts(tokens, orders: int) -> list[dict]:
+    """Counts of the n-grams, n = 1 to ``orders``."""
+    return [Counter(tokens if n == 1 else zip(*[tokens[i:] for i in range(n)])) for n in range(1, orders + 1)]
+
+
+def clipped_counts(pairs, orders: int):
+    """Of each (prediction, reference) pair of token lists: for n = 1 to ``orders``, how many n-grams they share,
+    each as often as in the side that has it less often.  A reference that comes again is counted once."""
+    last, held = None, []
+    for a, b in pairs:
+        if last is None or b != last:
+            last, held = b, _gram_counts(b, orders)
+        yield [sum(min(n, of[g]) for g, n in c.items() if g in of) for c, of in zip(_gram_counts(a, orders), held)]
+
+
+def shared_grams(pred, ref, orders: int) -> Column:
+    """Struct m1, m2, ... of ``clipped_counts``; without one of the two sides m1 is null and the others are 0."""
+    @F.pandas_udf(T.StructType([T.StructField(f"m{n}", T.LongType()) for n in range(1, orders + 1)]))
+    def counts(a: pd.Series, b: pd.Series) -> pd.DataFrame:
+        sides = ([[] if x is None else x.tolist() for x in s] for s in (a, b))
+        out = pd.DataFrame(clipped_counts(zip(*sides), orders), columns=[f"m{n}" for n in range(1, orders + 1)], dtype="Int64")
+        out.loc[(a.isna() | b.isna()).to_numpy(), "m1"] = pd.NA
+        return out
+    return counts(pred, ref)
+
+
+def _n_grams(tokens: Column, n: int) -> Column:
+    """Number of n-grams: that of the tokens, less n - 1."""
+    size = F.size(tokens)
+    return size if n == 1 else F.when(size >= n, size - (n - 1)).otherwise(0)
+
+
 def _line_tokens(c) -> Column:
     lines = F.filter(F.split(_col(c), "\n"), lambda s: F.length(s) > 0)
     return F.transform(lines, lambda s: rouge_tokens(s))
@@ -226,32 +259,32 @@ def score_pairs(df: DataFrame, pred_col: str = "prediction", ref_col: str = "ref
         if "_br" not in df.columns:
             toks.append(bleu_tokens(ref_col).alias("_br"))
     cur = df.select("*", *toks)
-    grams = []
-    if "rouge2" in metrics:
-        grams += [ngrams("_rp", 2).alias("_rp2"), ngrams("_rr", 2).alias("_rr2")]
+    # one pass of Python over the tokens counts the shared n-grams of every order
+    shared = []
+    if "rouge1" in metrics or "rouge2" in metrics:
+        shared.append(shared_grams(F.col("_rp"), F.col("_rr"), 2 if "rouge2" in metrics else 1).alias("_rm"))
     if "bleu" in metrics:
-        for n in range(2, max_order + 1):
-            grams += [ngrams("_bp", n).alias(f"_bp{n}"), ngrams("_br", n).alias(f"_br{n}")]
-    cur = cur.select("*", *grams)
-
-    def prf(gp, gr):
-        ov = multiset_overlap(gp, gr).cast("double")
-        p = ov / F.greatest(F.size(gp), F.lit(1))
-        r = ov / F.greatest(F.size(gr), F.lit(1))
+        shared.append(shared_grams(F.col("_bp"), F.col("_br"), max_order).alias("_bm"))
+    if "rougeL" in metrics:
+        shared.append(_rouge_l_udf(F.col("_rp"), F.col("_rr")).alias("_lcs"))
+    cur = cur.select("*", *shared)
+
+    def prf(n):
+        ov = F.col(f"_rm.m{n}").cast("double")
+        p = ov / F.greatest(_n_grams(F.col("_rp"), n), F.lit(1))
+        r = ov / F.greatest(_n_grams(F.col("_rr"), n), F.lit(1))
         return p, r
 
     outs = []
     if "rouge1" in metrics:
-        outs.append(_prf_struct(*prf(F.col("_rp"), F.col("_rr")), "_p1"))
+        outs.append(_prf_struct(*prf(1), "_p1"))
     if "rouge2" in metrics:
-        outs.append(_prf_struct(*prf(F.col("_rp2"), F.col("_rr2")), "_p2"))
+        outs.append(_prf_struct(*prf(2), "_p2"))
     if "bleu" in metrics:
         fields = []
         for n in range(1, max_order + 1):
-            gp = F.col("_bp") if n == 1 else F.col(f"_bp{n}")
-            gr = F.col("_br") if n == 1 else F.col(f"_br{n}")
-            fields.append(multiset_overlap(gp, gr).cast("long").alias(f"m{n}"))
-            fields.append(F.size(gp).cast("long").alias(f"p{n}"))
+            fields.append(F.col(f"_bm.m{n}").alias(f"m{n}"))
+            fields.append(_n_grams(F.col("_bp"), n).cast("long").alias(f"p{n}"))
         fields += [F.size("_bp").cast("long").alias("pred_len"), F.size("_br").cast("long").alias("ref_len")]
         outs.append(F.struct(*fields).alias("bleu_parts"))
     cur = cur.select("*", *outs)
@@ -261,7 +294,7 @@ def score_pairs(df: DataFrame, pred_col: str = "prediction", ref_col: str = "ref
     if "rouge2" in metrics:
         final.append(_finish("_p2").alias("rouge2"))
     if "rougeL" in metrics:
-        final.append(_rouge_l_udf(F.col("_rp"), F.col("_rr")).alias("rougeL"))
+        final.append(F.col("_lcs").alias("rougeL"))
     if "bleu" in metrics:
         final.append(F.col("bleu_parts"))
     return cur.select(*final)

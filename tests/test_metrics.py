@@ -1,5 +1,7 @@
 """Metric edge cases (FIXTURES section 4) and LCS properties."""
 
+import random
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -61,3 +63,25 @@ def test_rouge_lsum_hand_case(spark):
     df = spark.createDataFrame([("a b\nc d", "a b c")], "p string, r string")
     got = df.select(rouge_lsum("p", "r").alias("s")).first().s
     assert abs(got.recall - 1.0) < 1e-12 and abs(got.precision - 0.75) < 1e-12
+
+
+def test_shared_grams_without_folds(spark):
+    rnd = random.Random(3)
+    text = lambda n: None if n < 0 else " ".join(rnd.choice("abcd") for _ in range(n))
+    refs = [text(n) for n in (-1, 0, 1, 3, 12, 40)]
+    rows = [(i, text(n), r) for i, (r, n) in enumerate((r, n) for r in refs for n in (-1, 0, 1, 2, 9, 9, 30))]
+    s = score_pairs(spark.createDataFrame(rows, "i long, prediction string, reference string").coalesce(2), metrics=("rouge1", "rouge2", "bleu"))
+    for i, r1, r2, parts in s.select("i", "rouge1", "rouge2", "bleu_parts").collect():
+        _, p, r = rows[i]
+        if p is None or r is None:
+            assert r1.precision is None and parts.m1 is None and (parts.m2, parts.m4, parts.p3 if p is None else 0) == (0, 0, 0)
+            continue
+        for n in range(1, 5):
+            a, b = ([" ".join(t[k:k + n]) for k in range(len(t) - n + 1)] for t in (p.split(), r.split()))
+            want = sum(min(a.count(g), b.count(g)) for g in set(a))
+            assert (parts[f"m{n}"], parts[f"p{n}"]) == (want, len(a))
+            if n < 3:
+                got = (r1, r2)[n - 1]
+                assert (got.precision, got.recall) == (want / max(len(a), 1), want / max(len(b), 1))
+    # no fold over sorted n-gram strings, a row at a time
+    assert "aggregate(" not in s._jdf.queryExecution().optimizedPlan().toString()
